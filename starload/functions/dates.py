@@ -13,7 +13,7 @@ def date_key(day: Column) -> Column:
 
 def month_key(key: Column) -> Column:
     """yyyymmdd -> yyyymm, the storage partition of the fact table."""
-    return F.floor(key / 100).cast("int")
+    return F.call_function("div", key, F.lit(100)).cast("int")
 
 
 def date_parts(day: Column) -> dict[str, Column]:

@@ -1 +1 @@
-"""DataFrame -> DataFrame operators; none of them reads or writes a table."""
+"""DataFrame -> DataFrame operators; none of them reads or writes a warehouse table."""

@@ -9,6 +9,7 @@ from starload.functions.checks import require_present
 from starload.functions.dates import calendar_attributes, date_key, date_parts
 from starload.operators.merge import assign_keys, insert_ignore
 from starload.schemas import DIM_DATE, DIM_SYMBOL, UNKNOWN_COMPANY, names
+from starload.session import stored
 
 
 def build_dim_date(staging: DataFrame) -> DataFrame:
@@ -38,8 +39,8 @@ def pad_dim_date(dim: DataFrame, with_calendar: bool = False) -> DataFrame:
 
 def new_dates(target: DataFrame, staging: DataFrame, with_calendar: bool = False) -> DataFrame:
     """Date rows to append."""
-    days = pad_dim_date(build_dim_date(staging), with_calendar)
-    return insert_ignore(target, days, ["date_key"]).select(*names(DIM_DATE))
+    days = insert_ignore(target, build_dim_date(staging), ["date_key"])
+    return pad_dim_date(days, with_calendar)
 
 
 def staged_symbols(staging: DataFrame) -> DataFrame:
@@ -56,8 +57,9 @@ def named_symbols(spark: SparkSession, symbols: list[str]) -> DataFrame:
 def new_symbols(target: DataFrame, codes: DataFrame) -> DataFrame:
     """Symbol rows to append: new codes get the next keys and an unknown company name.
 
-    Rows the target already has keep their key and name.
+    Rows the target already has keep their key and name. The new codes are stored first, as
+    numbering reads them twice and finding them may mean reading all of staging.
     """
-    fresh = insert_ignore(target, codes, ["symbol_code"])
+    fresh = stored(insert_ignore(target, codes, ["symbol_code"]), "symbol_codes")
     keyed = assign_keys(target, fresh, "symbol_key", "symbol_code")
     return keyed.withColumn("company_name", F.lit(UNKNOWN_COMPANY)).select(*names(DIM_SYMBOL))

@@ -21,6 +21,7 @@ from pyspark.sql.utils import AnalysisException
 from starload.functions.dates import month_key
 from starload.operators.merge import merge_tagged, tag_union
 from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, FACT_KEY, STAGING, ddl, names
+from starload.session import stored
 
 MONTH = "month_key"
 ROWS_PER_FILE = 8_000_000
@@ -96,10 +97,15 @@ class Warehouse:
         return loaded.get["rows"]
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Append to a dimension; a load that brings nothing new leaves no empty file."""
+        """Append to a dimension; a load that brings nothing new leaves no empty file.
+
+        The rows are stored first, so that looking whether there are any does not find them
+        a second time.
+        """
         self.require(table)
-        if not rows.isEmpty():
-            rows.select(*self.spark.table(table).columns).write.insertInto(table)
+        fresh = stored(rows.select(*self.spark.table(table).columns), "new_rows")
+        if not fresh.isEmpty():
+            fresh.write.insertInto(table)
 
     def upsert_fact(self, incoming: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
         """Insert or replace fact rows by key; only months that `incoming` touches are read
@@ -140,10 +146,12 @@ class Warehouse:
         finds its groups together. A month with most of the rows becomes many tasks.
         """
         plan = self.spark.createDataFrame(list(layout), f"{MONTH} INT, files INT, slot STRING")
+        # The list has a row per calendar month, twelve for each year of a four-digit
+        # calendar at most, however many rows the months have: safe to broadcast.
         part = F.pmod(F.xxhash64(*FACT_KEY), F.col("files"))
         spread = (
             tag_union(existing, incoming)
-            .join(plan, MONTH)
+            .join(F.broadcast(plan), MONTH)
             .withColumn("part", part)
             .drop("files")
             .repartition(sum(files for _, files, _ in layout), MONTH, "part")

@@ -52,48 +52,50 @@ def with_file(landed: DataFrame) -> DataFrame:
 
 
 def parse_payloads(documents: DataFrame) -> DataFrame:
-    """`documents` with `days`, the parsed series, and `reason`, why it is unusable or NULL.
+    """`documents` with `series`, the parsed days, and `reason`, why it is unusable or NULL.
 
-    A document is one row and stays one row here, so nothing is shuffled: the days are
-    sorted inside the row, and of a repeated day the last one in the text is kept.
+    The one-element explode keeps a document on its row and makes the parsed value a column
+    of its own: filters on it stay above, so that each text is parsed exactly once.
     """
-    parsed = documents.withColumn("_doc", F.from_json("payload", _DOCUMENT, _STRICT_JSON))
+    document = F.from_json("payload", _DOCUMENT, _STRICT_JSON)
+    parsed = documents.select("*", F.explode(F.array(document)).alias("_doc"))
     series = F.col("_doc").getField(SERIES_KEY)
+    reason = (
+        F.when(F.col("_doc._broken").isNotNull(), "not a valid document")
+        .when(series.isNull(), "no daily series")
+        .when(F.size(series) == 0, "empty daily series")
+        .when(F.exists(F.map_values(series), lambda v: v.isNull()), "day without values")
+    )
+    return parsed.select(*documents.columns, series.alias("series"), reason.alias("reason"))
+
+
+def explode_series(parsed: DataFrame) -> DataFrame:
+    """One row of text per document and day, ascending by day, in the CSV columns.
+
+    The days are sorted inside the document's row, so nothing is shuffled; of a repeated day
+    the last one in the text is kept. Columns that came with the documents follow, except
+    the raw text.
+    """
     numbered = F.transform(
-        F.map_entries(series),
+        F.map_entries("series"),
         lambda entry, position: F.struct(
             entry["key"].alias("timestamp"),
             position.alias("position"),
             entry["value"].alias("fields"),
         ),
     )
-    judged = parsed.withColumn("reason", _reason(series)).withColumn(
-        "_sorted", F.sort_array(numbered)
-    )
 
     def last_of_its_day(day: Column, position: Column) -> Column:
         following = F.get("_sorted", position + 1)
         return ~day["timestamp"].eqNullSafe(following["timestamp"])
 
-    return judged.withColumn("days", F.filter("_sorted", last_of_its_day)).drop("_doc", "_sorted")
-
-
-def _reason(series: Column) -> Column:
-    return (
-        F.when(F.col("_doc._broken").isNotNull(), "not a valid document")
-        .when(series.isNull(), "no daily series")
-        .when(F.size(series) == 0, "empty daily series")
-        .when(F.exists(F.map_values(series), lambda v: v.isNull()), "day without values")
+    extra = [c for c in parsed.columns if c not in ("payload", "series", "reason", "symbol")]
+    in_order = parsed.select("symbol", *extra, F.sort_array(numbered).alias("_sorted"))
+    # Filtering inside the explode: on a named column the optimizer would add a check for
+    # emptiness and evaluate sorting and parsing once more for it.
+    rows = in_order.select(
+        "symbol", *extra, F.explode(F.filter("_sorted", last_of_its_day)).alias("day")
     )
-
-
-def explode_series(parsed: DataFrame) -> DataFrame:
-    """One row of text per document and day, ascending by day, in the CSV columns.
-
-    Any other column that came with the documents follows, except the raw text.
-    """
-    extra = [c for c in parsed.columns if c not in ("payload", "days", "reason", "symbol")]
-    rows = parsed.select("symbol", *extra, F.explode("days").alias("day"))
     fields = {to: F.col("day.fields").getField(name) for name, to in FIELDS.items()}
     fields |= {"timestamp": F.col("day.timestamp"), "symbol": F.col("symbol")}
     return rows.select(*[fields[c].alias(c) for c in CSV_COLUMNS], *extra)
