@@ -12,6 +12,7 @@ One load at a time may run against a warehouse; nothing here locks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -114,16 +115,22 @@ class Warehouse:
         self.require(self.fact)
         incoming = incoming.withColumn(MONTH, month_key(F.col("date_key")))
         touched = _month_counts(incoming)
+        if not touched:
+            return 0
         existing = self.spark.table(self.fact).filter(F.col(MONTH).isin(list(touched)))
         live = self._live_months(existing)
         layout = []
+        all_rows = 0
         for month, rows in touched.items():
             old_rows, slot = live.get(month, (0, "b"))
-            files = -(-(rows + old_rows) // rows_per_file)
+            files = math.ceil((rows + old_rows) / rows_per_file)
             layout.append((month, files, "b" if slot == "a" else "a"))
-        if not layout:
-            return 0
-        self._write_months(existing, incoming, layout)
+            all_rows += rows + old_rows
+        enough = max(
+            math.ceil(all_rows / rows_per_file), self.spark.sparkContext.defaultParallelism
+        )
+        tasks = min(sum(files for _, files, _ in layout), enough)
+        self._write_months(existing, incoming, layout, tasks)
         self._repoint({month: slot for month, _, slot in layout}, known=set(live))
         return sum(touched.values())
 
@@ -137,7 +144,11 @@ class Warehouse:
         return {r[MONTH]: (r["rows"], r["slot"]) for r in per_month.collect()}
 
     def _write_months(
-        self, existing: DataFrame, incoming: DataFrame, layout: Sequence[tuple[int, int, str]]
+        self,
+        existing: DataFrame,
+        incoming: DataFrame,
+        layout: Sequence[tuple[int, int, str]],
+        tasks: int,
     ) -> None:
         """Merge old and new rows of the touched months into the folders that are not live.
 
@@ -154,7 +165,7 @@ class Warehouse:
             .join(F.broadcast(plan), MONTH)
             .withColumn("part", part)
             .drop("files")
-            .repartition(sum(files for _, files, _ in layout), MONTH, "part")
+            .repartition(tasks, MONTH, "part")
         )
         measures = [c for c in names(FACT) if c not in FACT_KEY]
         merged = merge_tagged(spread, ["slot", MONTH, "part", *FACT_KEY], measures)
