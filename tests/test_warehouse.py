@@ -1,0 +1,260 @@
+"""Tables: definitions, replacement, failure, reruns, months."""
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from starload.functions.dates import month_key
+from starload.operators.staging import to_staging
+from starload.plans.load import load_dimensions, load_fact, load_staging, run
+from starload.plans.warehouse import Warehouse, save_distributed
+from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, STAGING, names
+from starload.sources.prices_csv import read_csv
+from tests.conftest import FAILURE, land, payload, raw, row, rows_of
+
+RUN_DATE = dt.date(2024, 1, 5)
+
+
+def load(spark, warehouse, *rows, symbols=None):
+    load_staging(warehouse, raw(spark, *rows))
+    load_dimensions(warehouse, symbols)
+    return load_fact(warehouse, symbols)
+
+
+def facts(warehouse):
+    rows = warehouse.read(warehouse.fact).collect()
+    return {(r.date_key, r.symbol_code): (float(r.open_price), r.volume) for r in rows}
+
+
+def fact_files(warehouse):
+    return {
+        (r.month_key, r.file)
+        for r in warehouse.spark.table(warehouse.fact)
+        .select("month_key", F.col("_metadata.file_path").alias("file"))
+        .distinct()
+        .collect()
+    }
+
+
+def test_create_twice_and_list(warehouse):
+    warehouse.create()
+    assert warehouse.tables("staging") == ["stock_prices"]
+    assert warehouse.tables("public") == ["dim_date", "dim_symbol", "fact_stock_prices"]
+    expected = {
+        warehouse.staging: STAGING,
+        warehouse.dim_date: DIM_DATE,
+        warehouse.dim_symbol: DIM_SYMBOL,
+        warehouse.fact: FACT,
+    }
+    for table, columns in expected.items():
+        df = warehouse.read(table)
+        assert df.columns == names(columns)
+        assert [t for _, t in df.dtypes] == [c.stored_type for c in columns]
+        assert df.count() == 0
+
+
+def test_missing_tables_are_reported_before_anything_is_written(spark, tmp_path):
+    nowhere = Warehouse(spark, str(tmp_path / "w"), prefix="none_")
+    with pytest.raises(AnalysisException, match="does not exist"):
+        load_staging(nowhere, raw(spark, row("2024-01-02", "A")))
+    assert not (tmp_path / "w").exists()
+
+
+def test_staging_holds_only_the_latest_load(spark, warehouse):
+    for day in ("2024-01-02", "2024-01-03", "2024-01-04"):
+        assert load_staging(warehouse, raw(spark, row(day, "A"), row(day, "B"))) == 2
+    assert {str(r.date) for r in warehouse.read(warehouse.staging).collect()} == {"2024-01-04"}
+
+
+def test_failed_staging_load_leaves_the_old_rows(spark, warehouse):
+    load_staging(warehouse, raw(spark, row("2024-01-02", "A")))
+    for _ in range(2):
+        with pytest.raises(FAILURE):
+            load_staging(warehouse, raw(spark, row("2024-01-03", "B"), row("nonsense", "B")))
+        assert [r.symbol for r in warehouse.read(warehouse.staging).collect()] == ["A"]
+
+
+def test_no_rows_empty_staging_with_a_warning(spark, warehouse, caplog):
+    load_staging(warehouse, raw(spark, row("2024-01-02", "A")))
+    assert load_staging(warehouse, raw(spark)) == 0
+    assert warehouse.read(warehouse.staging).count() == 0
+    assert "had no rows" in caplog.text
+
+
+def test_upsert_inserts_replaces_and_keeps(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-02-02", "A"), row("2024-01-02", "B"))
+    changed = ("2024-01-02", "7", "7", "7", "7", None, "A")
+    assert load(spark, warehouse, changed, row("2024-01-03", "A")) == 2
+    assert facts(warehouse) == {
+        (20240102, "A"): (7.0, None),
+        (20240102, "B"): (1.5, 10),
+        (20240103, "A"): (1.5, 10),
+        (20240202, "A"): (1.5, 10),
+    }
+
+
+def test_rerun_changes_nothing(spark, warehouse):
+    batch = [row("2024-01-02", "A"), row("2024-01-31", "B"), row("2024-03-01", "A")]
+    load(spark, warehouse, *batch)
+    before = [rows_of(warehouse.read(t)) for t in (warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)]
+    dim_files = len(list(Path(warehouse.root).glob("public/dim_*/*.parquet")))
+    for _ in range(2):
+        load(spark, warehouse, *batch)
+    after = [rows_of(warehouse.read(t)) for t in (warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)]
+    assert after == before
+    assert warehouse.read(warehouse.fact).count() == 3
+    assert len(list(Path(warehouse.root).glob("public/dim_*/*.parquet"))) == dim_files
+
+
+def test_untouched_months_keep_their_files_and_old_copies_do_not_pile_up(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-02-02", "A"))
+    before = fact_files(warehouse)
+    for price in ("2", "3", "4"):
+        load(spark, warehouse, row("2024-02-02", "A", price=price))
+    after = fact_files(warehouse)
+    assert {f for f in before if f[0] == 202401} == {f for f in after if f[0] == 202401}
+    assert facts(warehouse)[(20240202, "A")] == (4.0, 10)
+    stored = list(Path(warehouse.root).glob("public/fact_stock_prices/*/month_key=202402/*.parquet"))
+    assert len(stored) == 2
+
+
+def test_failed_fact_load_leaves_every_month(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-02-02", "A"))
+    before = facts(warehouse)
+    with pytest.raises(FAILURE, match="NULL or repeated key"):
+        load(spark, warehouse, row("2024-01-02", "A", price="9"),
+             row("2024-02-02", "A", price="8"), row("2024-02-02", "A", price="9"))
+    assert facts(warehouse) == before
+    load(spark, warehouse, row("2024-01-02", "A", price="9"))
+    assert facts(warehouse) == {**before, (20240102, "A"): (9.0, 10)}
+
+
+def test_a_load_that_dies_before_repointing_leaves_the_fact(spark, warehouse, monkeypatch):
+    load(spark, warehouse, row("2024-01-02", "A"))
+
+    def die(self, slots, known):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_repoint", die)
+        with pytest.raises(RuntimeError):
+            load(spark, warehouse, row("2024-01-02", "A", price="9"), row("2024-05-02", "A"))
+    assert facts(warehouse) == {(20240102, "A"): (1.5, 10)}
+    load(spark, warehouse, row("2024-01-02", "A", price="9"), row("2024-05-02", "A"))
+    assert facts(warehouse) == {(20240102, "A"): (9.0, 10), (20240502, "A"): (1.5, 10)}
+
+
+def test_a_hot_month_becomes_many_files(spark, warehouse):
+    hot = spark.range(30000).select(
+        F.lit(20240102).alias("date_key"),
+        F.format_string("S%d", "id").alias("symbol_code"),
+        *[F.lit(1).cast("decimal(10,4)").alias(c) for c in names(FACT)[2:6]],
+        F.col("id").alias("volume"),
+    )
+    cold = hot.limit(40).withColumn("date_key", F.lit(20230102))
+    assert warehouse.upsert_fact(hot.unionByName(cold), rows_per_file=2000) == 30040
+    table = warehouse.read(warehouse.fact)
+    assert table.count() == table.distinct().count() == 30040
+    per_file = (
+        spark.table(warehouse.fact)
+        .groupBy("month_key", F.col("_metadata.file_path").alias("file"))
+        .count()
+        .collect()
+    )
+    sizes = {m: [r["count"] for r in per_file if r.month_key == m] for m in (202301, 202401)}
+    assert len(sizes[202301]) == 1
+    assert len(sizes[202401]) > 5 and max(sizes[202401]) < 10000
+    warehouse.upsert_fact(hot.withColumn("volume", F.lit(7)), rows_per_file=2000)
+    # All of the hot month, and the one row of the cold month that had it before.
+    assert warehouse.read(warehouse.fact).filter("volume = 7").count() == 30001
+
+
+def test_one_symbol_leaves_other_staged_symbols_out_of_the_fact(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-01-03", "B"), symbols=["A"])
+    assert set(facts(warehouse)) == {(20240102, "A")}
+    assert warehouse.read(warehouse.dim_date).count() == 2
+    assert [r.symbol_code for r in warehouse.read(warehouse.dim_symbol).collect()] == ["A"]
+
+
+def test_edited_company_name_survives(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"))
+    spark.sql(f"INSERT INTO {warehouse.dim_symbol} VALUES (9, 'B', 'Bolt Ltd')")
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-01-02", "B"), row("2024-01-02", "C"))
+    assert rows_of(warehouse.read(warehouse.dim_symbol)) == {
+        (1, "A", "N/A"),
+        (9, "B", "Bolt Ltd"),
+        (10, "C", "N/A"),
+    }
+
+
+def test_long_symbol_cannot_enter_the_dimension(spark, warehouse):
+    with pytest.raises(FAILURE, match="EXCEED_LIMIT_LENGTH"):
+        load_dimensions(warehouse, symbols=["ABCDEFGHIJK"])
+
+
+def test_splitting_a_batch_by_days_gives_the_same_fact(spark, warehouse, tmp_path):
+    rows = [row(f"2024-0{m}-0{d}", s) for m in (1, 2) for d in (1, 2, 3) for s in "AB"]
+    load(spark, warehouse, *rows)
+    other = Warehouse(spark, str(tmp_path / "other"), prefix=f"{warehouse.prefix}o_")
+    other.create()
+    for part in (rows[:5], rows[5:6], rows[6:]):
+        load(spark, other, *part)
+    assert facts(other) == facts(warehouse)
+
+
+def test_run_end_to_end(spark, warehouse, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "A", payload({"2024-01-02": (1, 2, 0.5, 1.5, 100)}))
+    land(landing, "B", payload({"2024-01-02": (2, 3, 1.5, 2.5, 200), "2023-12-29": (1, 1, 1, 1, 1)}))
+    for _ in range(2):
+        report = run(spark, str(landing), str(tmp_path / "csv"), warehouse, RUN_DATE)
+        assert (report.staged_rows, report.fact_rows) == (3, 3)
+    assert read_csv(spark, report.csv_path).count() == 3
+    assert facts(warehouse) == {
+        (20240102, "A"): (1.0, 100),
+        (20240102, "B"): (2.0, 200),
+        (20231229, "B"): (1.0, 1),
+    }
+
+
+def test_run_of_one_symbol_stages_it_alone(spark, warehouse, tmp_path):
+    landing = tmp_path / "landing"
+    for symbol in "AB":
+        land(landing, symbol, payload({"2024-01-02": (1, 2, 0.5, 1.5, 100)}))
+    report = run(spark, str(landing), str(tmp_path / "csv"), warehouse, RUN_DATE, symbols=["B"])
+    assert report.staged_rows == 1
+    assert set(facts(warehouse)) == {(20240102, "B")}
+
+
+@pytest.mark.parametrize("text", ['{"Note": "limit"}', '{"Time Series (Daily)": {}}'])
+def test_unusable_document_stops_the_run_before_staging(spark, warehouse, tmp_path, text):
+    load(spark, warehouse, row("2024-01-02", "OLD"))
+    landing = tmp_path / "landing"
+    land(landing, "A", payload({"2024-01-02": (1, 2, 0.5, 1.5, 100)}))
+    land(landing, "B", text)
+    with pytest.raises(FAILURE, match="unusable payload of symbol B"):
+        run(spark, str(landing), str(tmp_path / "csv"), warehouse, RUN_DATE)
+    assert [r.symbol for r in warehouse.read(warehouse.staging).collect()] == ["OLD"]
+
+
+def test_missing_landing_folder_stops_the_run(spark, warehouse, tmp_path):
+    with pytest.raises(FAILURE, match="PATH_NOT_FOUND"):
+        run(spark, str(tmp_path / "no"), str(tmp_path / "csv"), warehouse, RUN_DATE)
+
+
+def test_month_key(spark):
+    keys = spark.createDataFrame([(20240131,), (10101,), (99991231,)], "k INT")
+    assert [r[0] for r in keys.select(month_key(F.col("k"))).collect()] == [202401, 101, 999912]
+
+
+def test_tables_hashed_alike_join_without_a_shuffle(spark, warehouse):
+    staged = to_staging(raw(spark, row("2024-01-02", "A"), row("2024-01-03", "B")))
+    left, right = f"{warehouse.prefix}public.left_side", f"{warehouse.prefix}public.right_side"
+    save_distributed(staged, left, "date", 4)
+    save_distributed(staged.select("date", F.lit(1).alias("one")), right, "date", 4)
+    joined = spark.table(left).hint("merge").join(spark.table(right), "date")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 2
