@@ -1,58 +1,85 @@
-"""Text rows -> typed staging rows."""
+"""Text rows -> typed staging rows.
+
+All casts are the try_ kind, so that the outcome does not hang on the session's ANSI flag.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.functions.checks import require
+from starload import schemas
 from starload.schemas import CSV_COLUMNS, CSV_TO_STAGING, STAGING
 
 _SOURCE = {to: name for name, to in CSV_TO_STAGING.items()}
 
 
-def _typed(text: Column, type_: str) -> Column:
-    # The try_ casts, so that the outcome does not hang on the session's ANSI flag.
-    if type_ == "date":
+def _typed(column: schemas.Column) -> Column:
+    text = F.col(_SOURCE[column.name])
+    if column.type == "date":
         return F.try_to_date(text, "yyyy-MM-dd")
-    return text if type_.startswith("varchar") else text.try_cast(type_)
+    return text if column.max_length else text.try_cast(column.type)
+
+
+def _unreadable(column: schemas.Column) -> str:
+    return f"{column.name} is not a {column.type}"
 
 
-def staging_columns() -> list[Column]:
-    """The staging columns, cast from the text columns of a CSV row."""
-    return [_typed(F.col(_SOURCE[c.name]), c.type).alias(c.name) for c in STAGING]
+def _text_problems(column: schemas.Column) -> list[tuple[Column, str]]:
+    """What can be wrong with a text column."""
+    text = F.col(_SOURCE[column.name])
+    problems = [(F.length(text) > column.max_length, f"{column.name} is longer than {column.max_length}")]
+    if column.required:
+        problems.insert(0, (text.isNull(), f"{column.name} is missing"))
+    return problems
 
 
 def bad_reason() -> Column:
     """The first thing that keeps a text row out of the staging table, or NULL."""
-    problems = []
+    reasons = []
     for column in STAGING:
-        text = F.col(_SOURCE[column.name])
-        if column.required:
-            problems.append(F.when(text.isNull(), f"{column.name} is missing"))
         if column.max_length:
-            too_long = F.length(text) > column.max_length
-            problems.append(F.when(too_long, f"{column.name} is longer than {column.max_length}"))
+            reasons += [F.when(bad, reason) for bad, reason in _text_problems(column)]
         else:
-            unreadable = text.isNotNull() & _typed(text, column.type).isNull()
-            problems.append(F.when(unreadable, f"{column.name} is not a {column.type}"))
-    return F.coalesce(*problems)
+            text = F.col(_SOURCE[column.name])
+            reasons.append(F.when(text.isNotNull() & _typed(column).isNull(), _unreadable(column)))
+    return F.coalesce(*reasons)
+
+
+def _fail(reason: str) -> Column:
+    return F.raise_error(
+        F.concat(
+            F.lit("bad price row of symbol "), F.coalesce("symbol", F.lit("NULL")),
+            F.lit(" on "), F.coalesce("timestamp", F.lit("NULL")),
+            F.lit(f": {reason}"),
+        )
+    )
+
+
+def _strict(column: schemas.Column) -> Column:
+    """The typed value; evaluating it fails where the text does not fit.
+
+    Built so that a good value is cast once: a filter on the whole row would have to cast
+    every column for the check and again for the result.
+    """
+    text = F.col(_SOURCE[column.name])
+    if not column.max_length:
+        return F.coalesce(_typed(column), F.when(text.isNotNull(), _fail(_unreadable(column))))
+    value = text
+    for bad, reason in reversed(_text_problems(column)):
+        value = F.when(bad, _fail(reason)).otherwise(value)
+    return value
 
 
 def to_staging(raw: DataFrame) -> DataFrame:
-    """Typed rows; the job fails at the first row that does not fit its types."""
-    message = F.concat(
-        F.lit("bad price row of symbol "), F.coalesce("symbol", F.lit("NULL")),
-        F.lit(" on "), F.coalesce("timestamp", F.lit("NULL")),
-        F.lit(": "), F.coalesce(bad_reason(), F.lit("")),
-    )
-    return require(raw, bad_reason().isNull(), message).select(*staging_columns())
+    """Typed rows; writing them fails at the first row that does not fit its types."""
+    return raw.select(*[_strict(column).alias(column.name) for column in STAGING])
 
 
 def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed good rows, bad rows as the text they came as, with the reason)."""
     judged = raw.select(*CSV_COLUMNS, bad_reason().alias("reason"))
-    good = judged.filter(F.col("reason").isNull()).select(*staging_columns())
+    good = judged.filter(F.col("reason").isNull()).select(
+        *[_typed(column).alias(column.name) for column in STAGING]
+    )
     return good, judged.filter(F.col("reason").isNotNull())
-
-
