@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.functions.checks import require
-
 _INCOMING = "_incoming"
 
 
@@ -60,37 +58,41 @@ def tag_union(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return old.unionByName(incoming.withColumn(_INCOMING, F.lit(1)))
 
 
-def merge_tagged(both: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """One row per key: all measures of the new row if there is one, else of the old row.
+def merge_tagged(both: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the new row if there is one, else the old row.
+
+    All measures come from that row, so a NULL of a new row replaces the old value. Two new
+    rows with one key are a conflict and fail the job, as does a NULL in a key.
 
-    A NULL measure of a new row replaces the old value. Two new rows with one key are a
-    conflict and fail the job. Merging is one aggregation, hence at most one shuffle, and
-    the conflict check rides along in it.
+    Rows are sorted by key, new before old, and walked once: at most one shuffle, none where
+    the rows already lie together by some of the keys, and nothing that has to fit in memory.
+    The result is in key order.
     """
     present = F.lit(True)
     for name in keys:
         present = present & F.col(name).isNotNull()
-    newest = [F.max_by(m, _INCOMING).alias(m) for m in measures]
-    merged = both.groupBy(*keys).agg(
-        *newest,
-        F.sum(_INCOMING).alias("_new_rows"),
-        F.sum(1 - F.col(_INCOMING)).alias("_old_rows"),
-    )
-    message = F.concat(
-        F.lit("NULL or repeated key in one load: "), F.to_json(F.struct(*keys))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(_INCOMING)))
+    message = F.concat(F.lit("NULL or repeated key in one load: "), F.to_json(F.struct(*keys)))
+    # One CASE, not two filters: a plain "position = 1" would let the planner drop all
+    # other rows of a key before the conflict could be seen.
+    keep = (
+        F.when((F.col("_position") == 1) & present, F.lit(True))
+        .when((F.col("_position") == 2) & (F.col(_INCOMING) == 0), F.lit(False))
+        .otherwise(F.raise_error(message).cast("boolean"))
     )
-    single = present & (F.col("_new_rows") <= 1) & (F.col("_old_rows") <= 1)
-    return require(merged, single, message).select(*keys, *measures)
+    return both.withColumn("_position", position).filter(keep).drop("_position", _INCOMING)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`existing` after inserting or replacing the rows of `incoming`; see merge_tagged."""
-    measures = [c for c in incoming.columns if c not in set(keys)]
-    return merge_tagged(tag_union(existing, incoming), keys, measures).select(*existing.columns)
+    return merge_tagged(tag_union(existing, incoming), keys).select(*existing.columns)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the one with the largest `order`. Combines before it shuffles."""
-    values = [c for c in df.columns if c not in set(keys)]
-    latest = F.max_by(F.struct(*values), F.struct(*order)).alias("_latest")
-    return df.groupBy(*keys).agg(latest).select(*keys, "_latest.*").select(*df.columns)
+    """One row per key: the one with the largest `order`.
+
+    The planner cuts each task's rows to one per key before it shuffles them.
+    """
+    ranking = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    ranked = df.withColumn("_position", F.row_number().over(ranking))
+    return ranked.filter(F.col("_position") == 1).drop("_position")

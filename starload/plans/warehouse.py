@@ -153,8 +153,9 @@ class Warehouse:
         """Merge old and new rows of the touched months into the folders that are not live.
 
         Rows are spread once, by month and by as many hash parts as the month needs files,
-        and merged where they land: the part depends on the key only, so the aggregation
-        finds its groups together. A month with most of the rows becomes many tasks.
+        and merged where they land: the part depends on the key only, so old and new row of
+        a key meet. A month with most of the rows becomes many tasks. Merging sorts the rows
+        by symbol and day, and so the files stay: a reader of one symbol skips row groups.
         """
         plan = self.spark.createDataFrame(list(layout), f"{MONTH} INT, files INT, slot STRING")
         # The list has a row per calendar month, twelve for each year of a four-digit
@@ -167,10 +168,10 @@ class Warehouse:
             .drop("files")
             .repartition(tasks, MONTH, "part")
         )
-        measures = [c for c in names(FACT) if c not in FACT_KEY]
-        merged = merge_tagged(spread, ["slot", MONTH, "part", *FACT_KEY], measures)
+        by_symbol = ["slot", MONTH, "part", "symbol_code", "date_key"]
         (
-            merged.sortWithinPartitions("slot", MONTH, "symbol_code", "date_key")
+            merge_tagged(spread, by_symbol)
+            .sortWithinPartitions(*by_symbol)
             .select(*names(FACT), "slot", MONTH)
             .write.partitionBy("slot", MONTH)
             .mode("overwrite")

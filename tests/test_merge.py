@@ -84,11 +84,19 @@ def test_conflict_check_survives_pruning(spark):
         upsert(table(spark, []), twice, KEYS).count()
 
 
-def test_upsert_is_one_hash_aggregation_over_one_shuffle(spark):
+def test_upsert_is_one_sort_over_one_shuffle(spark):
     merged = upsert(table(spark, [(1, "A", "1", 10)]), table(spark, [(2, "A", "2", 20)]), KEYS)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    assert "SortAggregate" not in plan and "Join" not in plan
+    plan = merged.sortWithinPartitions(*KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    assert plan.count("Sort [") == 1
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
+def test_latest_per_key_combines_before_the_shuffle(spark):
+    df = spark.range(10).selectExpr("id % 2 AS s", "id AS t")
+    plan = latest_per_key(df, ["s"], [F.col("t")])._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange ")[1]
+    assert "WindowGroupLimit" in below and "Partial" in below
 
 
 def test_duplicate_keys(spark):
