@@ -14,9 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starload.operators.dims import named_symbols, new_dates, new_symbols, staged_symbols
 from starload.operators.facts import build_fact
-from starload.operators.staging import to_staging
+from starload.operators.staging import quarantine, to_staging
 from starload.plans.warehouse import Warehouse
-from starload.sources.payloads import explode_series, parse_payloads, read_landing, require_usable
+from starload.sources.payloads import (
+    explode_series,
+    parse_payloads,
+    read_landing,
+    require_usable,
+    split_payloads,
+)
 from starload.sources.prices_csv import read_csv, write_csv
 
 logger = logging.getLogger(__name__)
@@ -35,20 +41,35 @@ def extract(
     run_date: dt.date,
     symbols: list[str] | None = None,
     packed: bool = False,
+    rejects: str | None = None,
 ) -> str:
     """Landed documents -> CSV files of the day; returns their folder.
 
-    One unusable document fails the step. Documents are written as they are read, without
-    a shuffle: each holds one symbol, so it ends in one file.
+    One unusable document fails the step, unless there is a `rejects` folder: then those
+    documents are reported there and the others go on. Documents are written as they are
+    read, without a shuffle: each holds one symbol, so it ends in one file.
     """
     parsed = parse_payloads(read_landing(spark, landing, symbols, packed))
-    rows = explode_series(require_usable(parsed))
-    return write_csv(rows, csv_root, run_date, cluster=False)
+    if rejects is None:
+        usable = require_usable(parsed)
+    else:
+        usable, unusable = split_payloads(parsed)
+        unusable.write.mode("overwrite").parquet(f"{rejects}/documents")
+    return write_csv(explode_series(usable), csv_root, run_date, cluster=False)
 
 
-def load_staging(warehouse: Warehouse, rows: DataFrame) -> int:
-    """Replace the staging table by text rows, typed strictly; returns the row count."""
-    loaded = warehouse.replace_staging(to_staging(rows))
+def load_staging(warehouse: Warehouse, rows: DataFrame, rejects: str | None = None) -> int:
+    """Replace the staging table by text rows, typed; returns the row count.
+
+    One bad row fails the step and leaves the table as it was, unless there is a `rejects`
+    folder: then the bad rows go there, as text with the reason, and the others are staged.
+    """
+    if rejects is None:
+        typed = to_staging(rows)
+    else:
+        typed, bad = quarantine(rows)
+        bad.write.mode("overwrite").parquet(f"{rejects}/rows")
+    loaded = warehouse.replace_staging(typed)
     if loaded == 0:
         logger.warning("the input had no rows; %s is now empty", warehouse.staging)
     return loaded
@@ -83,11 +104,14 @@ def run(
     run_date: dt.date,
     symbols: list[str] | None = None,
     packed: bool = False,
+    rejects: str | None = None,
 ) -> LoadReport:
-    """Documents -> CSV -> staging -> dimensions -> fact."""
-    csv_path = extract(spark, landing, csv_root, run_date, symbols, packed)
+    """Documents -> CSV -> staging -> dimensions -> fact, for the named symbols or for all."""
+    if symbols is not None and not symbols:
+        raise ValueError("no symbol to load")
+    csv_path = extract(spark, landing, csv_root, run_date, symbols, packed, rejects)
     warehouse.create()
-    staged = load_staging(warehouse, read_csv(spark, csv_path))
+    staged = load_staging(warehouse, read_csv(spark, csv_path), rejects)
     load_dimensions(warehouse, symbols)
     loaded = load_fact(warehouse, symbols)
     logger.info("staged %d rows, loaded %d fact rows", staged, loaded)

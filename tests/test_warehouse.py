@@ -240,6 +240,27 @@ def test_unusable_document_stops_the_run_before_staging(spark, warehouse, tmp_pa
     assert [r.symbol for r in warehouse.read(warehouse.staging).collect()] == ["OLD"]
 
 
+def test_run_with_a_rejects_folder_loads_the_rest(spark, warehouse, tmp_path):
+    landing, rejects = tmp_path / "landing", str(tmp_path / "rejects")
+    good = (1, 2, 0.5, 1.5, 100)
+    land(landing, "A", payload({"2024-01-02": good, "2024-01-03": (1, 2, 0.5, 1.5, "1.5")}))
+    land(landing, "B", '{"Note": "limit"}')
+    csv = str(tmp_path / "csv")
+    report = run(spark, str(landing), csv, warehouse, RUN_DATE, rejects=rejects)
+    assert (report.staged_rows, report.fact_rows) == (1, 1)
+    documents = spark.read.parquet(f"{rejects}/documents").collect()
+    assert [(r.symbol, r.reason) for r in documents] == [("B", "no daily series")]
+    rows = spark.read.parquet(f"{rejects}/rows").collect()
+    assert [(r.timestamp, r.volume, r.reason) for r in rows] == [
+        ("2024-01-03", "1.5", "volume is not a bigint")
+    ]
+
+
+def test_run_needs_a_symbol(spark, warehouse, tmp_path):
+    with pytest.raises(ValueError, match="no symbol"):
+        run(spark, str(tmp_path), str(tmp_path / "csv"), warehouse, RUN_DATE, symbols=[])
+
+
 def test_missing_landing_folder_stops_the_run(spark, warehouse, tmp_path):
     with pytest.raises(FAILURE, match="PATH_NOT_FOUND"):
         run(spark, str(tmp_path / "no"), str(tmp_path / "csv"), warehouse, RUN_DATE)
