@@ -26,22 +26,21 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("p_brand").alias("symbol"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.struct(
-            "l_orderkey",
-            "l_linenumber",
-            F.col("l_extendedprice").cast("decimal(10,4)").alias("price"),
-        ).alias("sale"),
+        F.struct("l_orderkey", "l_linenumber", "l_extendedprice").alias("sale"),
     )
-    price = F.col("sale.price")
+    price = F.col("sale.l_extendedprice")
+    bar = {
+        "open_price": F.min("sale")["l_extendedprice"],
+        "high": F.max(price),
+        "low": F.min(price),
+        "close_price": F.max("sale")["l_extendedprice"],
+        "volume": F.sum("quantity"),
+    }
+    # The casts come last, on one row per bar instead of on every sale.
+    bar = {c.name: bar[c.name].cast(c.type) for c in STAGING if c.name in bar}
     return (
         sales.groupBy("date", "symbol")
-        .agg(
-            F.min("sale")["price"].alias("open_price"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max("sale")["price"].alias("close_price"),
-            F.sum("quantity").alias("volume"),
-        )
+        .agg(*[value.alias(name) for name, value in bar.items()])
         .select(*names(STAGING))
     )
 
