@@ -1,0 +1,82 @@
+"""Physical plans: pushdown, pruning, joins, no Python in the tasks."""
+
+import re
+
+import pytest
+
+from starload.operators.dims import build_dim_date, staged_symbols
+from starload.operators.facts import build_fact
+from starload.plans.load import load_dimensions, load_fact, load_staging
+from starload.queries.bars import bars
+from starload.queries.registry import QUERIES
+from tests.conftest import SF_DIR, raw, row, rows_of
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+@pytest.fixture
+def loaded(spark, warehouse):
+    days = ("2023-12-29", "2024-01-02", "2024-02-01")
+    load_staging(warehouse, raw(spark, *[row(d, s) for d in days for s in "AB"]))
+    load_dimensions(warehouse)
+    load_fact(warehouse)
+    return warehouse
+
+
+def test_symbol_filter_reaches_the_staging_scan_and_the_dimension_is_broadcast(loaded):
+    fact = build_fact(loaded.read(loaded.staging), loaded.read(loaded.dim_date), ["A"])
+    assert "EqualTo(symbol,A)" in formatted(fact)
+    assert "BroadcastHashJoin" in physical(fact)
+
+
+def test_beyond_the_broadcast_limit_the_join_sorts_and_gives_the_same(spark, loaded):
+    def fact():
+        return build_fact(loaded.read(loaded.staging), loaded.read(loaded.dim_date))
+
+    expected = rows_of(fact())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in physical(fact())
+        assert rows_of(fact()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_dimensions_read_one_staging_column(loaded):
+    staging = loaded.read(loaded.staging)
+    assert "ReadSchema: struct<date:date>" in formatted(build_dim_date(staging))
+    assert "ReadSchema: struct<symbol:string>" in formatted(staged_symbols(staging))
+
+
+def test_distinct_days_combine_before_the_shuffle(loaded):
+    plan = physical(build_dim_date(loaded.read(loaded.staging)))
+    assert "HashAggregate" in plan.split("Exchange ")[1]
+    assert "SortAggregate" not in plan
+
+
+def test_month_filter_prunes_the_fact(spark, loaded):
+    plan = formatted(spark.table(loaded.fact).filter("month_key = 202401"))
+    assert "month_key=202401" in plan and "month_key=202402" not in plan
+
+
+def test_bars_combine_before_the_shuffle_and_read_only_what_they_need(spark):
+    plan = bars(spark, SF_DIR)
+    assert physical(plan).count("Exchange hashpartitioning") == 1
+    assert "Aggregate" in physical(plan).split("Exchange hashpartitioning")[1]
+    schemas = re.findall(r"ReadSchema: (.*)", formatted(plan))
+    assert any("p_brand" in s and "p_name" not in s for s in schemas)
+    assert not any("l_tax" in s for s in schemas)
+
+
+@pytest.mark.parametrize("name", ["staging_load", "fact_upsert", "dim_symbol", "constraint_audit"])
+def test_no_python_in_the_tasks(spark, name):
+    plan = physical(QUERIES[name](spark, SF_DIR))
+    assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
