@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,34 @@ MONTH = "month_key"
 ROWS_PER_FILE = 8_000_000
 
 
+class MonthLayout(NamedTuple):
+    """Where the rows of a month go: a folder, and parts numbered through all months."""
+
+    key: int
+    slot: str
+    parts: int
+    first_part: int
+
+
+def plan_layout(
+    months: Sequence[tuple[int, int, str]], rows_per_file: int, parallelism: int
+) -> tuple[list[MonthLayout], int]:
+    """The layout of (month, rows, slot) entries, and the number of tasks.
+
+    A month has as many parts as it needs files, so one with most of the rows becomes many
+    tasks. Parts are numbered from the largest down and dealt to the tasks in turn; tasks
+    that are fewer than the parts take several small ones.
+    """
+    parts = {month: math.ceil(rows / rows_per_file) for month, rows, _ in months}
+    layout = []
+    first = 0
+    for month, _, slot in sorted(months, key=lambda m: -m[1] / parts[m[0]]):
+        layout.append(MonthLayout(month, slot, parts[month], first))
+        first += parts[month]
+    enough = max(math.ceil(sum(rows for _, rows, _ in months) / rows_per_file), parallelism)
+    return layout, min(first, enough)
+
+
 class Warehouse:
     """The table names below `root`; `prefix` tells several warehouses of a catalog apart."""
 
@@ -119,19 +148,15 @@ class Warehouse:
             return 0
         existing = self.spark.table(self.fact).filter(F.col(MONTH).isin(list(touched)))
         live = self._live_months(existing)
-        layout = []
-        all_rows = 0
+        months = []
         for month, rows in touched.items():
             old_rows, slot = live.get(month, (0, "b"))
-            files = math.ceil((rows + old_rows) / rows_per_file)
-            layout.append((month, files, "b" if slot == "a" else "a"))
-            all_rows += rows + old_rows
-        enough = max(
-            math.ceil(all_rows / rows_per_file), self.spark.sparkContext.defaultParallelism
+            months.append((month, rows + old_rows, "b" if slot == "a" else "a"))
+        layout, tasks = plan_layout(
+            months, rows_per_file, self.spark.sparkContext.defaultParallelism
         )
-        tasks = min(sum(files for _, files, _ in layout), enough)
-        self._write_months(existing, incoming, layout, tasks)
-        self._repoint({month: slot for month, _, slot in layout}, known=set(live))
+        self._write_months(merge_months(existing, incoming, layout, tasks))
+        self._repoint({month.key: month.slot for month in layout}, known=set(live))
         return sum(touched.values())
 
     def _live_months(self, existing: DataFrame) -> dict[int, tuple[int, str]]:
@@ -143,37 +168,10 @@ class Warehouse:
         )
         return {r[MONTH]: (r["rows"], r["slot"]) for r in per_month.collect()}
 
-    def _write_months(
-        self,
-        existing: DataFrame,
-        incoming: DataFrame,
-        layout: Sequence[tuple[int, int, str]],
-        tasks: int,
-    ) -> None:
-        """Merge old and new rows of the touched months into the folders that are not live.
-
-        Rows are spread once, by month and by as many hash parts as the month needs files,
-        and merged where they land: the part depends on the key only, so old and new row of
-        a key meet. A month with most of the rows becomes many tasks. Merging sorts the rows
-        by symbol and day, and so the files stay: a reader of one symbol skips row groups.
-        """
-        plan = self.spark.createDataFrame(list(layout), f"{MONTH} INT, files INT, slot STRING")
-        # The list has a row per calendar month, twelve for each year of a four-digit
-        # calendar at most, however many rows the months have: safe to broadcast.
-        part = F.pmod(F.xxhash64(*FACT_KEY), F.col("files"))
-        spread = (
-            tag_union(existing, incoming)
-            .join(F.broadcast(plan), MONTH)
-            .withColumn("part", part)
-            .drop("files")
-            .repartition(tasks, MONTH, "part")
-        )
-        by_symbol = ["slot", MONTH, "part", "symbol_code", "date_key"]
+    def _write_months(self, merged: DataFrame) -> None:
+        """Write into the folders that are not live; those of other months stay."""
         (
-            merge_tagged(spread, by_symbol)
-            .sortWithinPartitions(*by_symbol)
-            .select(*names(FACT), "slot", MONTH)
-            .write.partitionBy("slot", MONTH)
+            merged.write.partitionBy("slot", MONTH)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self._folder(self.fact))
@@ -193,6 +191,34 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {self.fact} ADD {' '.join(added)}")
 
 
+def merge_months(
+    existing: DataFrame, incoming: DataFrame, layout: Sequence[MonthLayout], tasks: int
+) -> DataFrame:
+    """Old and new rows of the touched months, merged and laid out to be written.
+
+    Rows are spread once, each to the part that its key is given, and merged where they
+    land, as old and new row of a key meet there. Merging sorts the rows by symbol and day,
+    and so the files stay: a reader of one symbol skips row groups.
+    """
+    plan = existing.sparkSession.createDataFrame(
+        [tuple(month) for month in layout],
+        f"{MONTH} INT, slot STRING, parts INT, first_part INT",
+    )
+    part = F.col("first_part") + F.pmod(F.xxhash64(*FACT_KEY), F.col("parts"))
+    # The list has a row per calendar month, twelve for each year of a four-digit calendar
+    # at most, however many rows the months have: safe to broadcast.
+    spread = (
+        tag_union(existing, incoming)
+        .join(F.broadcast(plan), MONTH)
+        .withColumn("part", part.cast("int"))
+        .drop("parts", "first_part")
+        .repartitionById(tasks, "part")
+    )
+    by_symbol = ["slot", MONTH, "part", "symbol_code", "date_key"]
+    merged = merge_tagged(spread, by_symbol).sortWithinPartitions(*by_symbol)
+    return merged.select(*names(FACT), "slot", MONTH)
+
+
 def _month_counts(incoming: DataFrame) -> dict[int, int]:
     """Month -> rows: at most twelve entries for each year of the calendar."""
     return {r[MONTH]: r["count"] for r in incoming.groupBy(MONTH).count().collect()}

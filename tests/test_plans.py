@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from starload.functions.dates import month_key
 from starload.operators.dims import build_dim_date, staged_symbols
 from starload.operators.facts import build_fact
 from starload.plans.load import load_dimensions, load_fact, load_staging
+from starload.plans.warehouse import MONTH, merge_months, plan_layout
 from starload.queries.bars import bars
 from starload.queries.registry import QUERIES
 from tests.conftest import SF_DIR, raw, row, rows_of
@@ -67,6 +70,18 @@ def test_month_filter_prunes_the_fact(spark, loaded):
     assert "month_key=202401" in plan and "month_key=202402" not in plan
 
 
+def test_months_are_merged_by_one_shuffle_and_one_sort(spark, loaded):
+    incoming = build_fact(loaded.read(loaded.staging), loaded.read(loaded.dim_date))
+    incoming = incoming.withColumn(MONTH, month_key(F.col("date_key")))
+    months = [202312, 202401, 202402]
+    existing = spark.table(loaded.fact).filter(F.col(MONTH).isin(months))
+    layout, tasks = plan_layout([(m, 4, "b") for m in months], rows_per_file=2, parallelism=8)
+    plan = physical(merge_months(existing, incoming, layout, tasks))
+    assert len(re.findall(r"Exchange (hash|range|shuffle|REPART|Single|\w*partition)", plan)) == 1
+    assert plan.count("Sort [") == 1
+    assert "SortMergeJoin" not in plan and "Aggregate" not in plan
+
+
 def test_bars_combine_before_the_shuffle_and_read_only_what_they_need(spark):
     plan = bars(spark, SF_DIR)
     assert physical(plan).count("Exchange hashpartitioning") == 1

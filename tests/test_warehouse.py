@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 from starload.functions.dates import month_key
 from starload.operators.staging import to_staging
 from starload.plans.load import load_dimensions, load_fact, load_staging, run
-from starload.plans.warehouse import Warehouse, save_distributed
+from starload.plans.warehouse import Warehouse, plan_layout, save_distributed
 from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, STAGING, names
 from starload.sources.prices_csv import read_csv
 from tests.conftest import FAILURE, land, payload, raw, row, rows_of
@@ -166,12 +166,24 @@ def test_a_hot_month_becomes_many_files(spark, warehouse):
     )
     sizes = {m: [r["count"] for r in per_file if r.month_key == m] for m in (202301, 202401)}
     assert len(sizes[202301]) == 1
-    assert len(sizes[202401]) > 5 and max(sizes[202401]) < 10000
+    # Fifteen parts of about 2000 rows, each in a task and a file of its own.
+    assert len(sizes[202401]) == 15 and max(sizes[202401]) < 2300
     warehouse.upsert_fact(hot.withColumn("volume", F.lit(7)), rows_per_file=2000)
     # All of the hot month, and the one row of the cold month that had it before.
     assert warehouse.read(warehouse.fact).filter("volume = 7").count() == 30001
 
 
+def test_layout_splits_large_months_and_packs_small_ones():
+    months = [(202301, 10, "a"), (202302, 10, "b"), (202401, 1000, "a")]
+    layout, tasks = plan_layout(months, rows_per_file=100, parallelism=4)
+    assert [(m.key, m.slot, m.parts, m.first_part) for m in layout] == [
+        (202401, "a", 10, 0),
+        (202301, "a", 1, 10),
+        (202302, "b", 1, 11),
+    ]
+    assert tasks == 11
+
+
 def test_one_symbol_leaves_other_staged_symbols_out_of_the_fact(spark, warehouse):
     load(spark, warehouse, row("2024-01-02", "A"), row("2024-01-03", "B"), symbols=["A"])
     assert set(facts(warehouse)) == {(20240102, "A")}
