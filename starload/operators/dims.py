@@ -54,12 +54,19 @@ def named_symbols(spark: SparkSession, symbols: list[str]) -> DataFrame:
     return spark.createDataFrame([(s,) for s in symbols], "symbol_code STRING")
 
 
-def new_symbols(target: DataFrame, codes: DataFrame) -> DataFrame:
-    """Symbol rows to append: new codes get the next keys and an unknown company name.
+def unknown_symbols(target: DataFrame, codes: DataFrame) -> DataFrame:
+    return insert_ignore(target, codes, ["symbol_code"])
+
+
+def number_symbols(target: DataFrame, unknown: DataFrame) -> DataFrame:
+    """Symbol rows to append: the unknown codes get the next keys and no company name yet.
 
-    Rows the target already has keep their key and name. The new codes are stored first, as
-    numbering reads them twice and finding them may mean reading all of staging.
+    Reads `unknown` twice, so it should be stored if finding it means reading all of staging.
     """
-    fresh = stored(insert_ignore(target, codes, ["symbol_code"]), "symbol_codes")
-    keyed = assign_keys(target, fresh, "symbol_key", "symbol_code")
+    keyed = assign_keys(target, unknown, "symbol_key", "symbol_code")
     return keyed.withColumn("company_name", F.lit(UNKNOWN_COMPANY)).select(*names(DIM_SYMBOL))
+
+
+def new_symbols(target: DataFrame, codes: DataFrame) -> DataFrame:
+    """Both steps. Rows the target already has keep their key and name."""
+    return number_symbols(target, stored(unknown_symbols(target, codes), "symbol_codes"))

@@ -12,10 +12,17 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starload.operators.dims import named_symbols, new_dates, new_symbols, staged_symbols
+from starload.operators.dims import (
+    named_symbols,
+    new_dates,
+    number_symbols,
+    staged_symbols,
+    unknown_symbols,
+)
 from starload.operators.facts import build_fact
 from starload.operators.staging import quarantine, to_staging
 from starload.plans.warehouse import Warehouse
+from starload.session import stored
 from starload.sources.payloads import (
     explode_series,
     parse_payloads,
@@ -80,14 +87,20 @@ def load_dimensions(
 ) -> None:
     """Append unknown days, of all staged symbols, and unknown symbols.
 
-    Named symbols are added whether staged or not; without names all staged ones are.
+    Named symbols are added whether staged or not; without names all staged ones are. What is
+    new is stored first: staging is read once for it, and if there is nothing, no empty file
+    is appended.
     """
     staging = warehouse.read(warehouse.staging)
-    dates = warehouse.read(warehouse.dim_date)
-    warehouse.append(warehouse.dim_date, new_dates(dates, staging, with_calendar))
+    known_dates = warehouse.read(warehouse.dim_date)
+    dates = stored(new_dates(known_dates, staging, with_calendar), "new_dates")
+    if not dates.isEmpty():
+        warehouse.append(warehouse.dim_date, dates)
     codes = staged_symbols(staging) if symbols is None else named_symbols(warehouse.spark, symbols)
     known = warehouse.read(warehouse.dim_symbol)
-    warehouse.append(warehouse.dim_symbol, new_symbols(known, codes))
+    unknown = stored(unknown_symbols(known, codes), "new_symbols")
+    if not unknown.isEmpty():
+        warehouse.append(warehouse.dim_symbol, number_symbols(known, unknown))
 
 
 def load_fact(warehouse: Warehouse, symbols: list[str] | None = None) -> int:

@@ -23,7 +23,6 @@ from pyspark.sql.utils import AnalysisException
 from starload.functions.dates import month_key
 from starload.operators.merge import merge_tagged, tag_union
 from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, FACT_KEY, STAGING, ddl, names
-from starload.session import stored
 
 MONTH = "month_key"
 ROWS_PER_FILE = 8_000_000
@@ -127,15 +126,9 @@ class Warehouse:
         return loaded.get["rows"]
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Append to a dimension; a load that brings nothing new leaves no empty file.
-
-        The rows are stored first, so that looking whether there are any does not find them
-        a second time.
-        """
+        """Append to a dimension."""
         self.require(table)
-        fresh = stored(rows.select(*self.spark.table(table).columns), "new_rows")
-        if not fresh.isEmpty():
-            fresh.write.insertInto(table)
+        rows.select(*self.spark.table(table).columns).write.insertInto(table)
 
     def upsert_fact(self, incoming: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
         """Insert or replace fact rows by key; only months that `incoming` touches are read

@@ -57,7 +57,7 @@ def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return staging, stored(build_dim_date(staging), "dim_date")
 
 
-def _warehouse(spark: SparkSession) -> Warehouse:
+def scratch_warehouse(spark: SparkSession) -> Warehouse:
     """A warehouse of its own for one query run."""
     root = scratch_dir(spark, "warehouse")
     warehouse = Warehouse(spark, root, prefix=f"w{root[-12:]}_")
@@ -209,7 +209,7 @@ def fact_upsert_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = _staged(spark, sf_dir)
     year = F.year("date")
     second = second_batch(staging).withColumn("volume", F.when(year != 1999, F.col("volume")))
-    warehouse = _warehouse(spark)
+    warehouse = scratch_warehouse(spark)
     for batch in (first_batch(staging), second):
         load_staging(warehouse, raw_bars(batch))
         load_dimensions(warehouse)
@@ -253,7 +253,7 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_all_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents -> CSV -> staging -> dimensions -> fact, for all symbols in one run."""
     landing = land(payloads(bars(spark, sf_dir)), scratch_dir(spark, "landing"))
-    warehouse = _warehouse(spark)
+    warehouse = scratch_warehouse(spark)
     run(spark, landing, scratch_dir(spark, "csv"), warehouse, RUN_DATE)
     return warehouse.read(warehouse.fact)
 
@@ -262,7 +262,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of documents, each picked up by one run of the stream."""
     staging = _staged(spark, sf_dir)
     landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
-    warehouse = _warehouse(spark)
+    warehouse = scratch_warehouse(spark)
     for batch in (first_batch(staging), second_batch(staging)):
         land(payloads(batch), landing)
         ingest(spark, landing, warehouse, checkpoint).awaitTermination()
