@@ -22,7 +22,10 @@ def row_checks(df: DataFrame, table: str, columns: tuple[Column, ...]) -> DataFr
         if column.max_value:
             failures[f"{column.name} range"] = F.abs(value) >= column.max_value
     counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in failures.items()])
-    rows = [F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("violations")) for n in failures]
+    rows = [
+        F.struct(F.lit(name).alias("check_name"), F.col(f"`{name}`").alias("violations"))
+        for name in failures
+    ]
     return counts.select(F.explode(F.array(*rows)).alias("c")).select(
         "c.check_name", F.lit(table).alias("table_name"), "c.violations"
     )

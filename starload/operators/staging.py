@@ -28,7 +28,8 @@ def _unreadable(column: schemas.Column) -> str:
 def _text_problems(column: schemas.Column) -> list[tuple[Column, str]]:
     """What can be wrong with a text column."""
     text = F.col(_SOURCE[column.name])
-    problems = [(F.length(text) > column.max_length, f"{column.name} is longer than {column.max_length}")]
+    too_long = f"{column.name} is longer than {column.max_length}"
+    problems = [(F.length(text) > column.max_length, too_long)]
     if column.required:
         problems.insert(0, (text.isNull(), f"{column.name} is missing"))
     return problems

@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starload.operators.audit import audit
 from starload.operators.dims import (
     named_symbols,
     new_dates,
@@ -109,6 +110,12 @@ def load_fact(warehouse: Warehouse, symbols: list[str] | None = None) -> int:
     return warehouse.upsert_fact(build_fact(staging, warehouse.read(warehouse.dim_date), symbols))
 
 
+def audit_tables(warehouse: Warehouse) -> DataFrame:
+    """The violations in the four tables, by check; see starload.operators.audit."""
+    tables = (warehouse.staging, warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)
+    return audit(*map(warehouse.read, tables))
+
+
 def run(
     spark: SparkSession,
     landing: str,

@@ -30,6 +30,13 @@ bars AS (
     FROM ranked GROUP BY date, symbol
 )"""
 
+RAISED = """
+raised AS (
+    SELECT date, CAST(open_price + 1 AS DECIMAL(10,4)) AS open_price,
+           high, low, close_price, volume, symbol
+    FROM bars WHERE date >= DATE '1999-01-01'
+)"""
+
 DATES = """
 days AS (
     SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, date AS full_date,
@@ -164,6 +171,13 @@ judged AS (
 SELECT symbol, reason, CAST(count(*) AS BIGINT) AS payloads
 FROM judged WHERE reason IS NOT NULL GROUP BY symbol, reason""",
     "csv_roundtrip": STAGED,
+    "csv_replace": f"""
+WITH {BARS}, {RAISED}
+SELECT * FROM bars WHERE symbol >= 'Brand#2'
+UNION ALL
+SELECT * FROM raised WHERE symbol < 'Brand#2'""",
+    "csv_by_name": STAGED,
+    "staging_refresh": f"WITH {BARS}, {RAISED} SELECT * FROM raised",
     "quarantine_rows": f"""
 WITH {BARS}
 SELECT CASE WHEN symbol = 'Brand#11' THEN strftime(date, '%Y')

@@ -40,7 +40,7 @@ from starload.sources.payloads import (
     require_usable,
     split_payloads,
 )
-from starload.sources.prices_csv import read_csv, write_csv
+from starload.sources.prices_csv import read_csv, read_foreign_csv, write_csv
 from starload.streaming.ingest import ingest
 
 RUN_DATE = dt.date(2024, 1, 5)
@@ -98,6 +98,22 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_staging(read_csv(spark, write_csv(rows, scratch_dir(spark, "csv"), RUN_DATE)))
 
 
+def csv_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's files, then some symbols again with the second batch only."""
+    staging, root = _staged(spark, sf_dir), scratch_dir(spark, "csv")
+    write_csv(raw_bars(staging), root, RUN_DATE)
+    again = second_batch(staging).filter(F.col("symbol") < "Brand#2")
+    return to_staging(read_csv(spark, write_csv(raw_bars(again), root, RUN_DATE)))
+
+
+def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of another writer: other column order, one column more."""
+    path = scratch_dir(spark, "foreign_csv")
+    rows = raw_bars(bars(spark, sf_dir)).withColumn("currency", F.lit("USD"))
+    rows.select(*sorted(rows.columns)).write.csv(path, header=True)
+    return to_staging(read_foreign_csv(spark, path))
+
+
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of some symbols are spoilt; the bad rows come back as text with the reason."""
     symbol = F.col("symbol")
@@ -128,6 +144,15 @@ def quarantine_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine(raw_bars(bars(spark, sf_dir)).withColumn("volume", volume))[0]
 
 
+def staging_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging table after two loads holds the second."""
+    staging = _staged(spark, sf_dir)
+    warehouse = scratch_warehouse(spark)
+    for batch in (first_batch(staging), second_batch(staging)):
+        load_staging(warehouse, raw_bars(batch))
+    return warehouse.read(warehouse.staging)
+
+
 def staging_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(bars(spark, sf_dir))
 
@@ -274,8 +299,11 @@ QUERIES: dict[str, Query] = {
     "payload_roundtrip": payload_roundtrip,
     "payload_rejects": payload_rejects,
     "csv_roundtrip": csv_roundtrip,
+    "csv_replace": csv_replace,
+    "csv_by_name": csv_by_name,
     "quarantine_rows": quarantine_rows,
     "quarantine_kept": quarantine_kept,
+    "staging_refresh": staging_refresh,
     "staging_count": staging_count,
     "staging_peek": staging_peek,
     "dim_date": dim_date,

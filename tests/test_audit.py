@@ -1,20 +1,19 @@
 """The audit finds every planted violation and nothing in a clean load."""
 
 from starload.operators.audit import audit
-from starload.plans.load import load_dimensions, load_fact, load_staging
+from starload.plans.load import audit_tables, load_dimensions, load_fact, load_staging
 from tests.conftest import raw, row
 
 
-def found(*tables):
-    return {(r.table_name, r.check_name): r.violations for r in audit(*tables).collect()}
+def by_check(report):
+    return {(r.table_name, r.check_name): r.violations for r in report.collect()}
 
 
 def test_clean_load_has_no_violations(spark, warehouse):
     load_staging(warehouse, raw(spark, row("2024-01-02", "A"), row("2024-01-03", "B")))
     load_dimensions(warehouse, with_calendar=True)
     load_fact(warehouse)
-    tables = (warehouse.staging, warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)
-    violations = found(*map(warehouse.read, tables))
+    violations = by_check(audit_tables(warehouse))
     assert len(violations) == 26
     assert set(violations.values()) == {0}
 
@@ -37,7 +36,7 @@ def test_violations(spark):
         "1 close_price, 1 volume FROM VALUES (20240102, 'A'), (20240102, 'A'), (20240102, 'A'), "
         "(20240105, 'Z'), (NULL, 'B') t(k, s)"
     )
-    violations = {k: v for k, v in found(staging, dim_date, dim_symbol, fact).items() if v}
+    violations = {k: v for k, v in by_check(audit(staging, dim_date, dim_symbol, fact)).items() if v}
     assert violations == {
         ("stock_prices", "symbol not null"): 1,
         ("stock_prices", "symbol length"): 1,

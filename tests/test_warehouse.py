@@ -99,12 +99,12 @@ def test_upsert_inserts_replaces_and_keeps(spark, warehouse):
 def test_rerun_changes_nothing(spark, warehouse):
     batch = [row("2024-01-02", "A"), row("2024-01-31", "B"), row("2024-03-01", "A")]
     load(spark, warehouse, *batch)
-    before = [rows_of(warehouse.read(t)) for t in (warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)]
+    tables = (warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)
+    before = [rows_of(warehouse.read(t)) for t in tables]
     dim_files = len(list(Path(warehouse.root).glob("public/dim_*/*.parquet")))
     for _ in range(2):
         load(spark, warehouse, *batch)
-    after = [rows_of(warehouse.read(t)) for t in (warehouse.dim_date, warehouse.dim_symbol, warehouse.fact)]
-    assert after == before
+    assert [rows_of(warehouse.read(t)) for t in tables] == before
     assert warehouse.read(warehouse.fact).count() == 3
     assert len(list(Path(warehouse.root).glob("public/dim_*/*.parquet"))) == dim_files
 
