@@ -60,6 +60,11 @@ class Warehouse:
     """The table names below `root`; `prefix` tells several warehouses of a catalog apart."""
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+        # Catalog and writer resolve a relative path against different folders.
+        if not root.startswith("/") and ":/" not in root:
+            raise ValueError(f"the root must be an absolute path, not {root}")
+        if "'" in root:
+            raise ValueError("the root must not hold a quote")
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
@@ -75,7 +80,16 @@ class Warehouse:
     # -- definitions
 
     def create(self) -> None:
-        """Create what is missing. Keys are not declared: Parquet tables enforce none."""
+        """Create what is missing. Keys are not declared: Parquet tables enforce none.
+
+        Only the catalog knows which copy of a month is live, so fact files of a table that
+        is not in the catalog stop this instead of being taken for empty and overwritten.
+        """
+        if not self.spark.catalog.tableExists(self.fact) and self._has_fact_rows():
+            raise ValueError(
+                f"{self._folder(self.fact)} holds a fact table that this catalog does not know; "
+                "use the catalog it was loaded with, or another root"
+            )
         for schema in ("staging", "public"):
             self.spark.sql(
                 f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{schema} "
@@ -99,6 +113,15 @@ class Warehouse:
         schema, name = table.removeprefix(self.prefix).split(".")
         return "/".join([self.root, schema, name, *parts])
 
+    def _has_fact_rows(self) -> bool:
+        reader = self.spark.read.schema("date_key INT").option("recursiveFileLookup", True)
+        try:
+            return not reader.parquet(self._folder(self.fact)).isEmpty()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+
     def tables(self, schema: str) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(f"{self.prefix}{schema}"))
 

@@ -56,6 +56,21 @@ def test_create_twice_and_list(warehouse):
         assert df.count() == 0
 
 
+@pytest.mark.parametrize("root", ["warehouse", "./w", "/it's"])
+def test_unusable_root(spark, root):
+    with pytest.raises(ValueError, match="root must"):
+        Warehouse(spark, root)
+
+
+def test_a_fact_that_the_catalog_does_not_know_is_not_taken_over(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"))
+    stranger = Warehouse(spark, warehouse.root, prefix=f"{warehouse.prefix}x_")
+    with pytest.raises(ValueError, match="does not know"):
+        stranger.create()
+    warehouse.create()
+    assert facts(warehouse) == {(20240102, "A"): (1.5, 10)}
+
+
 def test_missing_tables_are_reported_before_anything_is_written(spark, tmp_path):
     nowhere = Warehouse(spark, str(tmp_path / "w"), prefix="none_")
     with pytest.raises(AnalysisException, match="does not exist"):
