@@ -36,12 +36,15 @@ def ingest(
     warehouse.create()
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        tables = warehouse.on(batch.sparkSession)
         landed_last = [F.col("landed_at"), F.col("file")]
         latest = latest_per_key(batch, ["symbol", "timestamp"], landed_last)
-        load_staging(tables, latest.select(*CSV_COLUMNS))
-        load_dimensions(tables)
-        load_fact(tables)
+        load_staging(warehouse.on(batch.sparkSession), latest.select(*CSV_COLUMNS))
+        # A micro-batch has a session of its own, and sessions remember the files of a table.
+        # From the staging table on nothing streams, so the rest runs in the session of the
+        # warehouse, which then sees its own changes.
+        warehouse.spark.catalog.refreshTable(warehouse.staging)
+        load_dimensions(warehouse)
+        load_fact(warehouse)
 
     return (
         rows.writeStream.foreachBatch(load)

@@ -39,9 +39,12 @@ def test_each_run_loads_only_what_is_new(warehouse, drop):
     second = drop(("A", {JAN_2: prices(9), JAN_3: prices(9)}))
     assert second == {**first, (20240102, "A"): 9.0, (20240103, "A"): 9.0}
     assert warehouse.read(warehouse.staging).count() == 2
-    assert drop() == second
     assert warehouse.read(warehouse.dim_date).count() == 3
-    assert warehouse.read(warehouse.dim_symbol).count() == 2
+    assert drop() == second
+    drop(("C", {"2024-03-01": prices(1)}))
+    assert warehouse.read(warehouse.staging).count() == 1
+    assert warehouse.read(warehouse.dim_date).count() == 4
+    assert warehouse.read(warehouse.dim_symbol).count() == 3
 
 
 def test_last_landed_document_wins_within_a_batch(drop):
