@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 from starload.schemas import CSV_COLUMNS, CSV_SCHEMA
 
+# Quotes are doubled, as most writers do, and blanks are kept: text arrives as it was.
+_FORMAT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def day_path(path: str, run_date: dt.date) -> str:
     return f"{path.rstrip('/')}/extract_date={run_date:%Y%m%d}"
@@ -33,8 +41,7 @@ def write_csv(rows: DataFrame, path: str, run_date: dt.date, cluster: bool = Tru
         .write.partitionBy("symbol_part")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .csv(target)
+        .csv(target, **_FORMAT)
     )
     return target
 
@@ -43,7 +50,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Files that write_csv wrote. A different header or a ragged line fails the job."""
     return (
         spark.read.schema(CSV_SCHEMA)
-        .csv(path, header=True, mode="FAILFAST", enforceSchema=False)
+        .csv(path, mode="FAILFAST", enforceSchema=False, **_FORMAT)
         .select(*CSV_COLUMNS)
     )
 
@@ -55,5 +62,5 @@ def read_foreign_csv(spark: SparkSession, path: str) -> DataFrame:
     header; files that differ from it fail the job instead of shifting values.
     """
     return spark.read.csv(
-        path, header=True, inferSchema=False, mode="FAILFAST", enforceSchema=False
+        path, inferSchema=False, mode="FAILFAST", enforceSchema=False, **_FORMAT
     ).select(*CSV_COLUMNS)

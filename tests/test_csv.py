@@ -20,6 +20,8 @@ def test_round_trip_keeps_text(spark, tmp_path):
         row("2024-01-02", "TRUE", price="01.50"),
         ("2024-01-02", None, "2", "0.5", "1.5", None, "000001"),
         row("2024-01-02", 'Q"U,O'),
+        row("2024-01-02", "B\\S"),
+        row("2024-01-02", " X "),
     )
     path = write_csv(rows, str(tmp_path), DAY_ONE)
     assert path.endswith("extract_date=20240105")
@@ -69,6 +71,12 @@ def test_foreign_files_are_read_by_column_name(spark, tmp_path):
     assert rows_of(read_foreign_csv(spark, str(file))) == {row("2024-01-02", "A")}
 
 
+def test_foreign_files_double_their_quotes(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    file.write_text(f'{",".join(CSV_COLUMNS)}\n2024-01-02,1,1,1,1,1,"A""B,C"\n')
+    assert [r.symbol for r in read_foreign_csv(spark, str(file)).collect()] == ['A"B,C']
+
+
 def test_foreign_files_without_a_column_fail(spark, tmp_path):
     file = tmp_path / "x.csv"
     file.write_text("timestamp,open,high,low,close,symbol\n2024-01-02,1,1,1,1,A\n")
