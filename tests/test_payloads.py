@@ -1,6 +1,7 @@
 """Landed documents: validity, order, repeated days, odd symbols."""
 
 import json
+import random
 
 import pytest
 
@@ -68,6 +69,22 @@ def test_last_of_a_repeated_day_wins(spark, tmp_path):
     ]
 
 
+def test_random_documents_read_as_a_json_parser_reads_them(spark, tmp_path):
+    rng = random.Random(7)
+    expected = set()
+    for number in range(40):
+        symbol = f"S{number}"
+        days = [f"2024-01-{rng.randint(1, 9):02}" for _ in range(rng.randint(1, 30))]
+        entries = ", ".join(f'"{day}": {{"1. open": "{rng.random():.4f}"}}' for day in days)
+        text = f'{{"{SERIES_KEY}": {{{entries}}}}}'
+        path = land(tmp_path, symbol, text)
+        series = json.loads(text)[SERIES_KEY]
+        expected |= {(day, values["1. open"], symbol) for day, values in series.items()}
+    rows = explode_series(require_usable(parsed(spark, path))).collect()
+    assert len(rows) == len(expected)
+    assert {(r.timestamp, r.open, r.symbol) for r in rows} == expected
+
+
 def test_symbols_stay_text_and_prune_the_scan(spark, tmp_path):
     for symbol in ("NA", "TRUE", "000001", "Brand%2312"):
         path = land(tmp_path, symbol, payload({"2024-01-02": DAY}))
