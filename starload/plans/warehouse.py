@@ -85,16 +85,16 @@ class Warehouse:
         Only the catalog knows which copy of a month is live, so fact files of a table that
         is not in the catalog stop this instead of being taken for empty and overwritten.
         """
-        if not self.spark.catalog.tableExists(self.fact) and self._has_fact_rows():
-            raise ValueError(
-                f"{self._folder(self.fact)} holds a fact table that this catalog does not know; "
-                "use the catalog it was loaded with, or another root"
-            )
         for schema in ("staging", "public"):
             self.spark.sql(
                 f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{schema} "
                 f"LOCATION '{self.root}/{schema}'"
             )
+        if not self.spark.catalog.tableExists(self.fact) and self._has_fact_rows():
+            raise ValueError(
+                f"{self._folder(self.fact)} holds a fact table that this catalog does not know; "
+                "use the catalog it was loaded with, or another root"
+            )
         self._create_table(self.staging, ddl(STAGING), self._folder(self.staging, "a"))
         self._create_table(self.dim_date, ddl(DIM_DATE), self._folder(self.dim_date))
         self._create_table(self.dim_symbol, ddl(DIM_SYMBOL), self._folder(self.dim_symbol))
@@ -116,11 +116,13 @@ class Warehouse:
     def _has_fact_rows(self) -> bool:
         reader = self.spark.read.schema("date_key INT").option("recursiveFileLookup", True)
         try:
-            return not reader.parquet(self._folder(self.fact)).isEmpty()
+            rows = reader.parquet(f"{self.root}/public")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return False
             raise
+        in_fact = F.col("_metadata.file_path").contains("/fact_stock_prices/")
+        return not rows.filter(in_fact).isEmpty()
 
     def tables(self, schema: str) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(f"{self.prefix}{schema}"))
