@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,7 +46,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cores = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session("starload-bench", cores)
+    spark = local_session("starload-bench", tempfile.mkdtemp(prefix="bench-"), cores)
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in HEADLINE:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,7 +29,8 @@ from starload.sources.prices_csv import read_csv, write_csv  # noqa: E402
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    spark = local_session("starload-steps", int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8)))
+    cores = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+    spark = local_session("starload-steps", tempfile.mkdtemp(prefix="bench-"), cores)
     spark.sparkContext.setLogLevel("ERROR")
     bars = stored(source.bars(spark, sf_dir), "bars")
     first, second = source.first_batch(bars), source.second_batch(bars)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str, cores: int | str = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the benchmark.
+def local_session(
+    app: str, shared: str, cores: int | str = 8, memory: str = "8g"
+) -> SparkSession:
+    """A single-machine session for tests and the benchmark, with `shared` as scratch folder.
 
     On a cluster the session comes from the cluster; the library sets nothing on it.
     """
@@ -20,6 +21,8 @@ def local_session(app: str, cores: int | str = 8, memory: str = "8g") -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", shared)
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -27,12 +30,11 @@ def local_session(app: str, cores: int | str = 8, memory: str = "8g") -> SparkSe
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one that the cluster names."""
+    """A fresh folder below the shared one: `spark.checkpoint.dir`, or where a session names
+    none, below the warehouse folder, which all executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/starload/{label}-{uuid.uuid4().hex}"
 
 

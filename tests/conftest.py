@@ -17,8 +17,9 @@ FAILURE = (PySparkException, Py4JJavaError)
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("starload-tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("starload-tests", shared=shared)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
