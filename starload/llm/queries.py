@@ -4,17 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm.common import table
 from starload.llm.exact_dedup import exact_dedup
+from starload.llm.language_id import held_out, learn, predict
 from starload.llm.line_dedup import drop_frequent_lines
+from starload.llm.pii import BASE, KINDS, find_pii
 from starload.llm.simhash_dedup import simhash_groups
+from starload.llm.token_files import read_checksums, write_token_files
+from starload.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark, "tokens")
+    write_token_files(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
+        end_token=1, words_apart=True,
+    )
+    return read_checksums(spark, path)
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    samples = learn(docs.filter(~held_out()))
+    found = predict(docs.select("doc_id", "text"), samples)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -31,6 +73,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_token_files": op3_token_files,
+    "op5_language": op5_language,
+    "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
