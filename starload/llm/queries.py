@@ -11,6 +11,7 @@ from starload.llm.common import table
 from starload.llm.exact_dedup import exact_dedup
 from starload.llm.language_id import held_out, learn, predict
 from starload.llm.line_dedup import drop_frequent_lines
+from starload.llm.pivot_index import near_vectors
 from starload.llm.pii import BASE, KINDS, find_pii
 from starload.llm.simhash_dedup import simhash_groups
 from starload.llm.token_files import read_checksums, write_token_files
@@ -30,6 +31,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_checksums(spark, path)
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     samples = learn(docs.filter(~held_out()))
@@ -74,6 +79,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
+    "op4_near_vectors": op4_near_vectors,
     "op5_language": op5_language,
     "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
