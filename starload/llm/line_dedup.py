@@ -84,7 +84,7 @@ def _count_keys(shards: int, min_chars: int):
 def _update_filter(min_docs: int):
     """One shard: its old filter and all its keys with old and new count -> the new filter."""
 
-    def update(key, counts: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+    def update(key: tuple, counts: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
         hi = counts["hi"].to_numpy().view(np.uint64)
         lo = counts["lo"].to_numpy().view(np.uint64)
         before, now = (counts[c].to_numpy() >= min_docs for c in ("n_before", "n"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starload.llm.common import table
 from starload.llm.exact_dedup import exact_dedup
+from starload.llm.html_wrappers import extract_main_text
 from starload.llm.language_id import held_out, learn, predict
 from starload.llm.line_dedup import drop_frequent_lines
 from starload.llm.pivot_index import near_vectors
@@ -20,6 +21,10 @@ from starload.session import scratch_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -78,6 +83,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_main_text": op2_main_text,
     "op3_token_files": op3_token_files,
     "op4_near_vectors": op4_near_vectors,
     "op5_language": op5_language,
