@@ -30,9 +30,9 @@ def power_of_two(at_least: int) -> int:
     return 1 << max(0, at_least - 1).bit_length()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """`df` dealt evenly over the session's shuffle partitions; for tables that grow by computing."""
-    return df.repartition(parallelism(df.sparkSession))
+def hash_share(*columns: str) -> Column:
+    """A number from 0 to 1 that follows from the columns' hash, as if drawn evenly."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
 
 
 def arrow_batches(
@@ -51,3 +51,13 @@ def arrow_batches(
 def extended(df: DataFrame, **columns) -> StructType:
     """The schema of `df` with nullable columns after its own."""
     return StructType([*df.schema.fields, *[StructField(n, t) for n, t in columns.items()]])
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them as long as `df` has such columns."""
+    found = []
+    for name in names:
+        while name in df.columns or name in found:
+            name = f"_{name}"
+        found.append(name)
+    return found

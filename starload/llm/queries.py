@@ -12,15 +12,22 @@ from starload.llm.exact_dedup import exact_dedup
 from starload.llm.html_wrappers import extract_main_text
 from starload.llm.language_id import held_out, learn, predict
 from starload.llm.line_dedup import drop_frequent_lines
+from starload.llm.packing import pack
 from starload.llm.pivot_index import near_vectors
 from starload.llm.pii import BASE, KINDS, find_pii
 from starload.llm.simhash_dedup import simhash_groups
+from starload.llm.quality_domains import BUDGET_RATIO, TARGETS, domains
+from starload.llm.soft_mixing import mix
 from starload.llm.token_files import read_checksums, write_token_files
 from starload.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -31,7 +38,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     write_token_files(
         table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
-        end_token=1, words_apart=True,
+        end_token=1, words_apart=True, plain_words=True,
     )
     return read_checksums(spark, path)
 
@@ -47,6 +54,14 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(
+        table(spark, sf_dir, "documents"), domains(table(spark, sf_dir, "labels")), TARGETS,
+        BUDGET_RATIO,
+    )
+    return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in TARGETS], "rate", "copies")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
 
@@ -83,10 +98,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op2_main_text": op2_main_text,
     "op3_token_files": op3_token_files,
     "op4_near_vectors": op4_near_vectors,
     "op5_language": op5_language,
+    "op6_soft_mixing": op6_soft_mixing,
     "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,

@@ -18,6 +18,7 @@ of the attempts that counted: an attempt that dies leaves files nobody reads.
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 import zlib
@@ -34,8 +35,10 @@ from pyspark.sql.window import Window
 
 from starload.llm.common import Batches, parallelism, text_of
 
-_HELD_WORDS = 200_000  # words whose tokens a task remembers
-_LONG_WORD = 64  # code points from which on a word is not remembered
+_HELD_WORDS = 700_000  # words whose tokens a worker remembers, twice over
+_LONG_WORD = 64  # code points from which on a word is forgotten at once
+_MARKS = ".,;:!?"
+_NOT_LATIN = "\u0250"  # the first code point after the Latin letters that need no context
 _CHARS_AT_ONCE = 1 << 20
 _DOCUMENTS_AT_ONCE = 4096
 
@@ -55,10 +58,18 @@ class Encoder:
 
     `words_apart` says that the tokenizer drops white space and never joins what stands on
     both sides of it. Then a text's tokens are those of its words in a row, and words are
-    encoded once and remembered. A tokenizer that visibly does otherwise is refused.
+    encoded once and remembered: those met lately for sure, others until there are too many.
+    A tokenizer that visibly does otherwise is refused.
+
+    `plain_words` says besides that it lower-cases, keeps a mark apart from the letter or
+    digit before it, and ends every run of letters with a token that ends in `WORD_END`:
+    "Word," is then remembered as "word" and ",", and many words are encoded as one text,
+    whose tokens tell where each of them ends.
     """
 
-    def __init__(self, file: str, end: int, words_apart: bool):
+    WORD_END = "</w>"
+
+    def __init__(self, file: str, end: int, words_apart: bool, plain_words: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -70,12 +81,23 @@ class Encoder:
         self.end = np.array([end], self.type).tobytes()
         self.words_apart = words_apart
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # what was remembered before the last clearing
+        self.plain_words = plain_words
         if words_apart:
             texts = ["The", "don't", "x1", "(a)", "..."]
             whole = self._encode_whole([f" {a}\n{b}\t {a}\r" for a in texts for b in texts])
             parts = [self._encode_whole([a, b, a]) for a in texts for b in texts]
             if whole != [b"".join(p) for p in parts]:
                 raise ValueError(f"{file} does not encode words apart")
+        if plain_words:
+            texts = ["The", "X1", "It's", "\u00c9T\u00c9"]
+            whole = self._encode_whole([a + m for a in texts for m in _MARKS])
+            parts = [self._encode_whole([a.lower(), m]) for a in texts for m in _MARKS]
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(size, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(self.WORD_END)]] = True
+            if not words_apart or whole != [b"".join(p) for p in parts] or not self.ends.any():
+                raise ValueError(f"{file} does not encode words without case and marks")
 
     def _encode_whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -86,18 +108,73 @@ class Encoder:
         if not self.words_apart:
             return [ids + self.end for ids in self._encode_whole(texts)]
         words = [words_of(text) for text in texts]
-        new = set().union(*words) - self.known.keys()
-        if len(self.known) + len(new) > _HELD_WORDS:
-            self.known.clear()
-            new = set().union(*words)
-        listed = list(new)
-        self.known.update(zip(listed, self._encode_whole(listed), strict=True))
-        encoded = [b"".join([*map(self.known.__getitem__, own), self.end]) for own in words]
-        for word in listed:
-            if len(word) > _LONG_WORD:
-                del self.known[word]
+        long = self._learn(set().union(*words))
+        known = self.known.__getitem__
+        encoded = [b"".join([*map(known, own), self.end]) for own in words]
+        for word in long:
+            self.known.pop(word, None)
+        if len(self.known) > _HELD_WORDS:
+            self.before, self.known = self.known, {}
         return encoded
 
+    def _learn(self, words: set[str]) -> list[str]:
+        """Put all these words into `known`; what of it is too long to be kept there."""
+        new = words.difference(self.known)
+        if self.before:
+            again = new.intersection(self.before)
+            self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
+            new -= again
+        if not self.plain_words:
+            listed = list(new)
+            self.known.update(zip(listed, self._encode_whole(listed), strict=True))
+            return [word for word in listed if len(word) > _LONG_WORD]
+        parts = {word: plain(word) for word in new}
+        bare = list({part for both in parts.values() for part in both}.difference(self.known))
+        runs = [w for w in bare if w.isalpha() and max(w) < _NOT_LATIN and "\u0130" not in w]
+        self.known.update(zip(runs, self._encode_runs(runs), strict=True))
+        others = [word for word in bare if word not in self.known]
+        self.known.update(zip(others, self._encode_whole(others), strict=True))
+        for word, (stem, mark) in parts.items():
+            self.known[word] = self.known[stem] + self.known[mark]
+        return [word for word in [*bare, *parts] if len(word) > _LONG_WORD]
+
+
+    def _encode_runs(self, words: list[str]) -> list[bytes]:
+        """The tokens of words that are one run of letters each."""
+        if not words:
+            return []
+        ids = np.array(
+            self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids,
+            self.type,
+        )
+        cuts = (np.flatnonzero(self.ends[ids]) + 1) * self.type.itemsize
+        if len(cuts) != len(words):
+            raise ValueError("a run of letters does not end with one token")
+        data = ids.tobytes()
+        cuts = cuts.tolist()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+
+def plain(word: str) -> tuple[str, str]:
+    """A word in lower case and the mark at its end, or the word as it is and nothing.
+
+    Only words of Latin letters are taken apart: there neither normalisation nor lower case
+    depends on what stands next to a character. A capital I with dot becomes two characters,
+    and a special token's name may change by case; both are left alone.
+    """
+    if (not word.isascii() and (max(word) >= _NOT_LATIN or "\u0130" in word)) or "<|" in word:
+        return word, ""
+    word = word.lower()
+    if word[-1] in _MARKS and len(word) > 1 and word[-2].isalnum():
+        return word[:-1], word[-1]
+    return word, ""
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(file: str, end: int, words_apart: bool, plain_words: bool) -> Encoder:
+    """One encoder a worker process: what a task remembers helps the next."""
+    return Encoder(file, end, words_apart, plain_words)
+
 
 def words_of(text: str) -> list[str]:
     """The text cut at blanks, tabs and line ends; other white space stays inside words.
@@ -134,11 +211,13 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     words_apart: bool = False,
+    plain_words: bool = False,
     parts: int | None = None,
 ) -> None:
     """Encode every whole text into the files of a new data set at `path`, by ascending id.
 
     `tokenizer_file` must exist under that name on all machines, `path` be shared by them.
+    `words_apart` and `plain_words`, see Encoder, speed up tokenizers of such a kind.
     A null text is empty: its tokens are the end token alone. Documents with a null id come
     first; those that share an id are ordered by text. An empty table gives a data set
     without parts. Other columns are ignored. A part is written front to back in constant
@@ -159,7 +238,7 @@ def write_token_files(
         out = None
         for own_ids, texts in _pieces(batches):
             if out is None:
-                coder = Encoder(tokenizer_file, end_token, words_apart)
+                coder = _encoder(tokenizer_file, end_token, words_apart, plain_words)
                 out = system.open_output_stream(f"{inside}/{name}.bin")
             encoded = coder.encode(texts)
             ends = total + np.cumsum([len(e) // coder.type.itemsize for e in encoded])
