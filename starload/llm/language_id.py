@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from starload.llm.common import arrow_batches, extended, text_of
+from starload.llm.common import arrow_batches, extended, hash_share, text_of
 from starload.session import stored
 
 PIECE = 2048
@@ -57,9 +57,9 @@ def learn(
     most `sample_texts` different texts.
 
     Which texts and which part of them follows from hashes of the text, so copies of a text
-    count once. Rows without language or without a letter in the text are left out. What
-    comes to the driver is bounded by the parameters; more languages than `max_languages`
-    are an error, as are none.
+    count once. Rows without language or without a letter in the text are left out; if none
+    is left, there is nothing learned. What comes to the driver is bounded by the
+    parameters; more languages than `max_languages` are an error.
     """
     digest = F.xxhash64("text")
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
@@ -70,7 +70,7 @@ def learn(
     if counts.count() > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     # Hashes are spread evenly: this bar lets through half as many again as are wanted.
-    share = F.shiftrightunsigned("digest", 11) / F.lit(float(1 << 53))
+    share = hash_share("text")
     start = F.pmod("digest", F.greatest(F.lit(1), F.length("text") - sample_chars + 1)) + 1
     some = (
         labelled.join(F.broadcast(counts), "lang")
@@ -84,8 +84,6 @@ def learn(
     texts: dict[str, list[str]] = {}
     for row in chosen.orderBy("lang", "place").collect():
         texts.setdefault(row["lang"], []).append(row["piece"])
-    if not texts:
-        raise ValueError("no labelled text to learn from")
     return [Sample(lang, "\n".join(pieces)) for lang, pieces in sorted(texts.items())]
 
 
@@ -253,28 +251,33 @@ def predict(
     samples: list[Sample],
     text_col: str = "text",
     max_alphabet: int = 256,
+    into: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """`docs` with `lang_pred` and `score`, in place of columns of those names.
 
-    `lang_pred` is a learned language, `und` for a text that is null or has no letter. The
-    score, 0 to 1, is the share by which the runner-up needs more (1 if there is none, 0
-    for `und`); in a tie the language first in the alphabet wins. Every row is judged by
-    its whole text alone, so repeated rows agree; other columns pass through.
+    `lang_pred` is a learned language, `und` for a text that is null or has no letter, and
+    for all texts if nothing was learned. The score, 0 to 1, is the share by which the
+    runner-up needs more (1 if there is none, 0 for `und`); in a tie the language first in
+    the alphabet wins. Every row is judged by its whole text alone, so repeated rows agree;
+    other columns pass through. `into` names the two columns otherwise.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in into]
     learned = docs.sparkSession.sparkContext.broadcast(tuple(samples))
 
     def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        model = _model(learned.value, max_alphabet)
         texts = [t.as_py() for t in batch.column(batch.num_columns - 1)]
-        found = model.judge(texts)
+        if learned.value:
+            found = _model(learned.value, max_alphabet).judge(texts)
+        else:
+            found = [(UNKNOWN, 0.0)] * len(texts)
         columns = [pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64())]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *columns], names=[*kept, "lang_pred", "score"]
+            [*batch.columns[:-1], *columns], names=[*kept, *into]
         )
 
     source = docs.select(*kept, text_of(text_col).alias("_text_to_judge"))
-    schema = extended(docs.select(*kept), lang_pred=T.StringType(), score=T.DoubleType())
+    types = dict(zip(into, (T.StringType(), T.DoubleType()), strict=True))
+    schema = extended(docs.select(*kept), **types)
     return source.mapInArrow(arrow_batches(judge), schema)
 
 

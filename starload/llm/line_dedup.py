@@ -211,22 +211,27 @@ class LineStore:
         )
         self.version = new
 
-    def apply(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    def apply(
+        self,
+        docs: DataFrame,
+        text_col: str = "text",
+        into: tuple[str, str] = ("n_lines", "n_dropped"),
+    ) -> DataFrame:
         """`docs`, which must be in the store, with the frequent lines taken out of the text.
 
-        Columns `n_lines` (before) and `n_dropped` are appended, in place of columns of that
-        name. A null text becomes empty; the row of a document that loses all its lines
-        stays, with an empty text.
+        Two columns, named by `into`, are appended in place of columns of that name: how
+        many lines a document had, and how many it lost. A null text becomes empty; the row
+        of a document that loses all its lines stays, with an empty text.
         """
-        kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+        kept = [c for c in docs.columns if c not in into]
         docs = docs.select(*[text_of(c).alias(c) if c == text_col else F.col(c) for c in kept])
         size = F.sum(F.length("slots") + F.length("mistaken"))
         held = self.filters().agg(size).first()[0] or 0
         if held > self.max_broadcast_bytes:
-            return self._apply_at_shards(docs, text_col)
+            return self._apply_at_shards(docs, text_col, into)
         judge = self.spark.sparkContext.broadcast(_Judge(self.filters().collect(), self.shards))
         min_chars = self.min_chars
-        schema = extended(docs, n_lines=LongType(), n_dropped=LongType())
+        schema = extended(docs, **dict.fromkeys(into, LongType()))
 
         def rewrite(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             place = batch.schema.get_field_index(text_col)
@@ -249,11 +254,13 @@ class LineStore:
             columns += [
                 pa.array([len(own) for own in lines], pa.int64()), pa.array(dropped, pa.int64())
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *into])
 
         return docs.mapInArrow(arrow_batches(rewrite), schema)
 
-    def _apply_at_shards(self, docs: DataFrame, text_col: str) -> DataFrame:
+    def _apply_at_shards(
+        self, docs: DataFrame, text_col: str, into: tuple[str, str]
+    ) -> DataFrame:
         """The same for filters that are too large to broadcast: keys go to the exact counts."""
         min_chars = self.min_chars
 
@@ -292,16 +299,20 @@ class LineStore:
             .join(gone, "_digest", "left")
             .select(
                 *[F.array_join(left, "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                F.size(lines_of).cast("long").alias("n_lines"),
-                F.size(lost).cast("long").alias("n_dropped"),
+                F.size(lines_of).cast("long").alias(into[0]),
+                F.size(lost).cast("long").alias(into[1]),
             )
         )
 
 
 def drop_frequent_lines(
-    docs: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1
+    docs: DataFrame,
+    text_col: str = "text",
+    min_docs: int = 10,
+    min_chars: int = 1,
+    into: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
     """`docs` without the lines that `min_docs` or more of them share; see LineStore.apply."""
     store = LineStore(docs.sparkSession, scratch_dir(docs.sparkSession, "lines"), min_docs, min_chars)
     store.insert(docs, text_col)
-    return store.apply(docs, text_col)
+    return store.apply(docs, text_col, into)

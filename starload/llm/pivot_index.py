@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.llm.common import Batches, arrow_batches, extended, parallelism
+from starload.llm.common import Batches, arrow_batches, extended, hash_share, parallelism
 from starload.llm.components import connected_components
 from starload.llm.simhash_dedup import merge_labels
 from starload.session import stored
@@ -61,11 +61,10 @@ def choose_pivots(nodes: DataFrame, pivots: int, apart: float = 0.7) -> dict[int
     Which vectors are considered follows from their hash: at most twice as many, whatever
     the size of the data.
     """
-    share = F.shiftrightunsigned(F.xxhash64("vec"), 11) / F.lit(float(1 << 53))
     sizes = nodes.groupBy("dimension").agg(F.count(F.lit(1)).alias("n"))
     few = (
         nodes.join(F.broadcast(sizes), "dimension")
-        .filter(share * F.col("n") < 1.5 * pivots)
+        .filter(hash_share("vec") * F.col("n") < 1.5 * pivots)
         .select("dimension", "vec", F.xxhash64("vec").alias("order"))
     )
     found: dict[int, list] = {}

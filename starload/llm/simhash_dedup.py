@@ -22,8 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
+from pyspark.sql.window import Window
 
-from starload.llm.common import arrow_batches, extended, parallelism, text_of
+from starload.llm.common import arrow_batches, extended, fresh, parallelism, text_of
 from starload.llm.components import connected_components
 from starload.session import stored
 
@@ -253,3 +254,26 @@ def simhash_groups(
     return marked.join(named, "fingerprint").select(
         F.col("id").alias(id_col), "fingerprint", "component_id"
     )
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    radius: int = 3,
+) -> DataFrame:
+    """The rows of `docs`, with its own columns, that name their component: one of each.
+
+    Of rows that share id and fingerprint one stays, which their columns' hash decides.
+    """
+    [mark, place] = fresh(docs, "fingerprint", "place")
+    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
+    named = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
+        F.col(id_col).alias("_id"), F.col("fingerprint").alias("_fingerprint")
+    ).distinct()
+    marked = fingerprints(docs, text_col, shingle, mark)
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_fingerprint"))
+    order = Window.partitionBy(id_col, mark).orderBy(F.xxhash64(*docs.columns))
+    kept = marked.join(named, same, "left_semi").withColumn(place, F.row_number().over(order))
+    return kept.filter(F.col(place) == 1).drop(mark, place)
