@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from starload.llm.common import arrow_batches, extended, hash_share, text_of
+from starload.llm.common import arrow_batches, extended, fresh, hash_share, text_of
 from starload.session import stored
 
 PIECE = 2048
@@ -144,7 +144,7 @@ def suffix_automaton(sequence: list[int]) -> list[dict[int, int]]:
 
 class Model:
     """For each language a table of moves: the next state's row, doubled, plus one where a
-    phrase ends before the symbol."""
+    phrase begins with the symbol. A letter that is not in the sample is a phrase by itself."""
 
     def __init__(self, samples: tuple[Sample, ...], max_alphabet: int = 256):
         letters = _letters()
@@ -171,8 +171,8 @@ class Model:
         restart = np.full(self.size, 1, np.int32)
         for symbol, state in moves[0].items():
             restart[symbol] = state * self.size * 2 + 1
-        table = np.tile(restart, len(moves))
-        for state, own in enumerate(moves):
+        table = np.tile(restart, len(moves))  # a phrase begins at the root, whatever follows
+        for state, own in enumerate(moves[1:], 1):
             for symbol, following in own.items():
                 table[state * self.size + symbol] = following * self.size * 2
         return table
@@ -191,16 +191,15 @@ class Model:
         flat = np.concatenate(texts)
         counts = np.empty((len(texts), len(self.tables)))
         states = [np.zeros(len(order), np.int32) for _ in self.tables]
-        # A phrase is counted when the next one begins: the first is added here.
-        ends = [np.ones(len(order), np.int32) for _ in self.tables]
+        begun = [np.zeros(len(order), np.int32) for _ in self.tables]
         for step, lanes in enumerate(active):
             symbol = flat[start[:lanes] + step].astype(np.int32)
-            for table, state, end in zip(self.tables, states, ends, strict=True):
+            for table, state, count in zip(self.tables, states, begun, strict=True):
                 move = table[state[:lanes] + symbol]
-                end[:lanes] += move & 1
+                count[:lanes] += move & 1
                 np.right_shift(move, 1, out=state[:lanes])
-        for column, end in enumerate(ends):
-            counts[:, column] = np.bincount(text[order], end, len(texts))
+        for column, count in enumerate(begun):
+            counts[:, column] = np.bincount(text[order], count, len(texts))
         return counts
 
     def judge(self, texts: list[str]) -> list[tuple[str, float]]:
@@ -275,7 +274,8 @@ def predict(
             [*batch.columns[:-1], *columns], names=[*kept, *into]
         )
 
-    source = docs.select(*kept, text_of(text_col).alias("_text_to_judge"))
+    [text] = fresh(docs, "text_to_judge")
+    source = docs.select(*kept, text_of(text_col).alias(text))
     types = dict(zip(into, (T.StringType(), T.DoubleType()), strict=True))
     schema = extended(docs.select(*kept), **types)
     return source.mapInArrow(arrow_batches(judge), schema)

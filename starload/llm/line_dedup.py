@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from starload.llm import cuckoo
-from starload.llm.common import arrow_batches, extended, parallelism, text_of
+from starload.llm.common import arrow_batches, extended, fresh, parallelism, text_of
 from starload.session import scratch_dir
 
 _HELD_KEYS = 200_000  # keys that a counting task holds before it hands them on
@@ -278,27 +278,29 @@ class LineStore:
                     pa.array(texts, pa.string()), pa.array(places, pa.int32()),
                     pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)),
                 ],
-                names=["_digest", "place", "hi", "lo"],
+                names=["digest", "place", "hi", "lo"],
             )
 
+        names = fresh(docs, "digest", "gone")
         digest = F.sha2(text_col, 256)
-        lines = docs.select(digest.alias("_digest"), text_col).distinct().mapInArrow(
-            arrow_batches(keyed), "_digest STRING, place INT, hi BIGINT, lo BIGINT"
+        lines = docs.select(digest.alias("digest"), text_col).distinct().mapInArrow(
+            arrow_batches(keyed), "digest STRING, place INT, hi BIGINT, lo BIGINT"
         )
         frequent = self.counts().filter(F.col("n") >= self.min_docs).select("hi", "lo")
         gone = (
             lines.join(frequent, ["hi", "lo"], "left_semi")
-            .groupBy("_digest")
-            .agg(F.collect_set("place").alias("_gone"))
+            .groupBy(F.col("digest").alias(names[0]))
+            .agg(F.collect_set("place").alias(names[1]))
         )
-        lost = F.coalesce("_gone", F.array().cast("array<int>"))
+        lost = F.coalesce(names[1], F.array().cast("array<int>"))
         lines_of = F.split(text_col, "\n", -1)
         left = F.filter(lines_of, lambda _, place: ~F.array_contains(lost, place))
+        text = F.array_join(left, "\n").alias(text_col)
         return (
-            docs.withColumn("_digest", digest)
-            .join(gone, "_digest", "left")
+            docs.withColumn(names[0], digest)
+            .join(gone, names[0], "left")
             .select(
-                *[F.array_join(left, "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns],
+                *[text if c == text_col else F.col(c) for c in docs.columns],
                 F.size(lines_of).cast("long").alias(into[0]),
                 F.size(lost).cast("long").alias(into[1]),
             )

@@ -67,7 +67,8 @@ def fingerprints(
             [*batch.columns[:-1], pa.array(values.view(np.int64))], names=[*kept, into]
         )
 
-    source = docs.select(*kept, text_of(text_col).alias("_text_to_hash"))
+    [text] = fresh(docs, "text_to_hash")
+    source = docs.select(*kept, text_of(text_col).alias(text))
     return source.mapInArrow(arrow_batches(append), extended(docs.select(*kept), **{into: LongType()}))
 
 
@@ -267,13 +268,13 @@ def one_of_each_group(
 
     Of rows that share id and fingerprint one stays, which their columns' hash decides.
     """
-    [mark, place] = fresh(docs, "fingerprint", "place")
+    mark, place, name, value = fresh(docs, "fingerprint", "place", "name", "value")
     groups = simhash_groups(docs, id_col, text_col, shingle, radius)
     named = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_id"), F.col("fingerprint").alias("_fingerprint")
+        F.col(id_col).alias(name), F.col("fingerprint").alias(value)
     ).distinct()
     marked = fingerprints(docs, text_col, shingle, mark)
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_fingerprint"))
+    same = F.col(id_col).eqNullSafe(F.col(name)) & (F.col(mark) == F.col(value))
     order = Window.partitionBy(id_col, mark).orderBy(F.xxhash64(*docs.columns))
     kept = marked.join(named, same, "left_semi").withColumn(place, F.row_number().over(order))
     return kept.filter(F.col(place) == 1).drop(mark, place)

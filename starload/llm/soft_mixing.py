@@ -4,9 +4,9 @@ A table of labelled documents teaches a classifier, which gives every document a
 over the domains. With t tokens, posteriors p and a rate r for every document, domain k is
 expected to get sum(t * p_k * r) tokens. The rates are fitted by projected gradient descent:
 from r = 1 they follow the gradient of the weighted squared distance between expected and
-wanted totals and are cut off at zero. A document's rate depends on its posteriors alone, so
-a rate is a short formula over them, one term for each step taken; a step is one aggregation
-over tokens and posteriors, from which a number per domain comes to the driver.
+wanted totals, with momentum, and are cut off at zero. A document's rate depends on its
+posteriors alone, so a rate is a formula over them, one term for each step taken; a step is
+one aggregation over tokens and posteriors, from which a number per domain comes to the driver.
 
 Everything is done with DataFrame functions. The classifier is a Bernoulli naive Bayes model
 over the pieces of text (words, and the marks after them) that tell domains apart best. It is
@@ -27,6 +27,7 @@ from starload.llm.common import fresh, hash_share, text_of
 from starload.session import stored
 
 _SLOTS = 4096  # places of the arrays that the model is looked up in
+_STEPS_AT_ONCE = 10  # after so many steps the rates are written
 _BETWEEN = "\u0001"  # stands between the pieces in the model's text and in none of them
 
 
@@ -158,15 +159,16 @@ def posteriors(
         names[place] = piece
     lookup = _constant(names)
     known = F.filter(pieces_of(text_col), lambda x: (x != "") & (F.get(lookup, _slot(x)) == x))
-    scored = docs.select(*kept, F.transform(F.array_distinct(known), _slot).alias("_known"))
+    found, *scores = fresh(docs, "found", *[f"score{k}" for k in range(len(model.prior))])
+    scored = docs.select(*kept, F.transform(F.array_distinct(known), _slot).alias(found))
     for k, prior in enumerate(model.prior):
         start = prior + sum(a[k] for a in model.absent)
         weights = ["0"] * _SLOTS
         for piece, has, lacks in zip(model.pieces, model.present, model.absent, strict=True):
-            weights[places[piece]] = repr(has[k] - lacks[k])
+            weights[places[piece]] = repr(float(has[k] - lacks[k]))
         table = _constant(weights).cast("array<double>")
-        scored = scored.withColumn(f"_s{k}", F.aggregate("_known", F.lit(start), _adding(table)))
-    columns = [F.col(f"_s{k}") for k in range(len(model.prior))]
+        scored = scored.withColumn(scores[k], F.aggregate(found, F.lit(start), _adding(table)))
+    columns = [F.col(score) for score in scores]
     top = F.greatest(*columns) if len(columns) > 1 else columns[0]
     whole = reduce(lambda a, b: a + b, [F.exp(c - top) for c in columns])
     own = {d: F.exp(c - top) / whole for d, c in zip(model.domains, columns, strict=True)}
@@ -176,31 +178,44 @@ def posteriors(
 # -- the rates
 
 
+class Step(NamedTuple):
+    """How far the last move is carried on, then what is taken off for each posterior."""
+
+    onward: float
+    taken: list[float]
+
+
 class Rates(NamedTuple):
     """Rates as a formula: the steps taken, and the expected token totals they end in."""
 
-    steps: list[list[float]]
+    steps: list[Step]
     totals: dict[str, float]
     wanted: dict[str, float]
 
     def column(self) -> Column:
-        return _rate(self.steps, list(self.wanted))
+        return _after(self.steps, list(self.wanted), F.lit(1.0), F.lit(1.0))["now"]
 
 
-def _rate(steps: Sequence[Sequence[float]], domains: Sequence[str]) -> Column:
-    """1 after all steps, each of which takes some of each posterior away, never below 0.
+def _after(steps: Sequence[Step], domains: Sequence[str], now: Column, last: Column) -> Column:
+    """A struct of the rate `now` after the steps, and the `last` one before.
 
     The steps are constant arrays: whatever is in them, Spark compiles the same code.
     """
+    start = F.struct(now.alias("now"), last.alias("last"))
     if not steps:
-        return F.lit(1.0)
-    tables = [_constant([repr(x) for x in column]).cast("array<double>") for column in zip(*steps, strict=True)]
+        return start
+    columns = [[s.onward for s in steps], *zip(*[s.taken for s in steps], strict=True)]
+    onward, *taken = [
+        _constant([repr(float(x)) for x in column]).cast("array<double>") for column in columns
+    ]
 
-    def after(rate: Column, step: Column) -> Column:
-        taken = [F.get(t, step) * F.col(f"p_{d}") for t, d in zip(tables, domains, strict=True)]
-        return F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, taken))
+    def move(rates: Column, step: Column) -> Column:
+        ahead = rates["now"] + F.get(onward, step) * (rates["now"] - rates["last"])
+        off = [F.get(t, step) * F.col(f"p_{d}") for t, d in zip(taken, domains, strict=True)]
+        moved = F.greatest(F.lit(0.0), ahead - reduce(lambda a, b: a + b, off))
+        return F.struct(moved.alias("now"), rates["now"].alias("last"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), F.lit(1.0), after)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), start, move)
 
 
 def fit_rates(
@@ -208,50 +223,107 @@ def fit_rates(
     targets: dict[str, float],
     budget: float,
     tokens_col: str = "n_tokens",
-    max_steps: int = 40,
+    max_steps: int = 60,
     tolerance: float = 1e-3,
 ) -> Rates:
     """Rates for `members` (tokens and posteriors) that bring every domain's expected tokens
     to its share of `budget`.
 
-    Stops when all totals are within `tolerance` of the budget, or no longer change: a
-    domain that nobody belongs to, or that only comes along with others, can keep a target
-    out of reach. What remains is then as small as non-negative rates allow.
+    Each domain's distance is weighted by its own mass, and each step carries the one before
+    it on, until that leads uphill: then the pace starts anew. Stops when all totals are
+    within `tolerance` of the budget, or no longer change: a domain that nobody belongs to,
+    or that only comes along with others, can keep a target out of reach. What remains is
+    then about as small as non-negative rates allow.
     """
     domains = list(targets)
-    own = {d: F.col(f"p_{d}") for d in domains}
+    own = [F.col(f"p_{d}") for d in domains]
     t = F.col(tokens_col).cast("double")
-    wanted = {d: budget * w for d, w in targets.items()}
+    wanted = [budget * targets[d] for d in domains]
+    size = range(len(domains))
     moments = members.agg(
-        *[F.sum(t * own[a] * own[b]).alias(f"{i}_{j}") for i, a in enumerate(domains) for j, b in enumerate(domains)]
+        *[F.sum(t * own[i] * own[j]).alias(f"{i}_{j}") for i in size for j in size]
     ).first()
-    mass = [moments[f"{i}_{i}"] or 0.0 for i in range(len(domains))]
-    # Each domain is weighted by its own mass; the step is safe for any overlap of domains.
+    mass = [moments[f"{i}_{i}"] or 0.0 for i in size]
+    some = [i for i in size if mass[i] > 0]
+    # No overlap of domains makes a step of this length too long.
     reach = max(
-        (
-            sum(
-                (moments[f"{i}_{j}"] or 0.0) / math.sqrt(mass[i] * mass[j])
-                for j in range(len(domains)) if mass[j] > 0
-            )
-            for i in range(len(domains)) if mass[i] > 0
-        ),
+        (sum(moments[f"{i}_{j}"] / math.sqrt(mass[i] * mass[j]) for j in some) for i in some),
         default=1.0,
     )
-    steps: list[list[float]] = []
-    before: list[float] | None = None
+    held = members.select(
+        tokens_col, *[f"p_{d}" for d in domains], F.lit(1.0).alias("now"), F.lit(1.0).alias("last")
+    )
+    steps: list[Step] = []
+    recent: list[Step] = []
+    pace, best, before, still = 1.0, math.inf, None, 0
     while True:
-        rate = _rate(steps, domains)
-        sums = members.agg(*[F.sum(t * own[d] * rate).alias(d) for d in domains]).first()
-        totals = [sums[d] or 0.0 for d in domains]
-        off = [x - wanted[d] for x, d in zip(totals, domains, strict=True)]
-        done = max(map(abs, off)) <= tolerance * budget or len(steps) == max_steps
-        if before is not None:
-            moved = max(abs(x - y) for x, y in zip(totals, before, strict=True))
-            done = done or moved <= 0.01 * tolerance * budget
-        if done or budget <= 0:
-            return Rates(steps, dict(zip(domains, totals, strict=True)), wanted)
-        before = totals
-        steps.append([o / (m * reach) if m > 0 else 0.0 for o, m in zip(off, mass, strict=True)])
+        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        onward = (pace - 1) / faster
+        after = held.withColumn("rates", _after(recent, domains, F.col("now"), F.col("last")))
+        now, last = F.col("rates.now"), F.col("rates.last")
+        sums = after.agg(
+            *[F.sum(t * p * now).alias(f"at{i}") for i, p in enumerate(own)],
+            *[F.sum(t * p * (now + onward * (now - last))).alias(f"to{i}") for i, p in enumerate(own)],
+        ).first()
+        totals = [sums[f"at{i}"] or 0.0 for i in size]
+        distance = sum((totals[i] - wanted[i]) ** 2 / mass[i] for i in some)
+        moved = budget if before is None else max(abs(totals[i] - before[i]) for i in size)
+        still = still + 1 if moved <= 0.01 * tolerance * budget else 0
+        off = max(abs(totals[i] - wanted[i]) for i in size)
+        if off <= tolerance * budget or still == 3 or len(steps) == max_steps or budget <= 0:
+            named = [dict(zip(domains, x, strict=True)) for x in (totals, wanted)]
+            return Rates(steps, *named)
+        if distance > best:
+            onward, faster = 0.0, 1.0
+        best, before, pace = distance, totals, faster
+        ahead = totals if onward == 0 else [sums[f"to{i}"] or 0.0 for i in size]
+        taken = [(ahead[i] - wanted[i]) / (mass[i] * reach) if mass[i] > 0 else 0.0 for i in size]
+        recent.append(Step(onward, taken))
+        steps.append(recent[-1])
+        if len(recent) == _STEPS_AT_ONCE:
+            held = stored(after_steps(held, recent, domains), "rates")
+            recent = []
+
+
+def after_steps(held: DataFrame, steps: Sequence[Step], domains: Sequence[str]) -> DataFrame:
+    """`held` with its rates `now` and `last` moved on."""
+    rates = _after(steps, domains, F.col("now"), F.col("last"))
+    moved = held.withColumn("rates", rates)
+    return moved.select(
+        *[c for c in held.columns if c not in ("now", "last")],
+        F.col("rates.now").alias("now"), F.col("rates.last").alias("last"),
+    )
+
+
+def _judged(docs: DataFrame, model: Model, domains: Sequence[str], text_col: str) -> DataFrame:
+    """`docs` with tokens (words) and posteriors, in place of columns of those names."""
+    words = F.size(F.filter(F.split(text_of(text_col), r"\s+"), lambda w: w != ""))
+    return posteriors(docs.withColumn("n_tokens", words), model, domains, text_col)
+
+
+def _copies(rate: Column, draw: Column) -> Column:
+    """The rate rounded down, or up if a number from 0 to 1 is below what that leaves."""
+    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("int")
+
+
+def _fitted(
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float],
+    budget_ratio: float,
+    id_col: str,
+    text_col: str,
+) -> tuple[DataFrame, Model, Rates]:
+    """id, draw, n_tokens and posteriors of all documents, the model, and the rates."""
+    if abs(sum(targets.values()) - 1) > 1e-9 or min(targets.values()) < 0:
+        raise ValueError("targets must be shares that add up to one")
+    domains = list(targets)
+    model = learn(docs, labels, domains, id_col, text_col)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    judged = _judged(source.withColumn("draw", hash_share("id", "text")), model, domains, "text")
+    members = stored(judged.drop("text"), "members")
+    budget = budget_ratio * (members.agg(F.sum("n_tokens")).first()[0] or 0)
+    return members, model, fit_rates(members, targets, budget)
 
 
 def mix(
@@ -262,28 +334,21 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """`docs` with `n_tokens`, a posterior `p_<domain>` for each target, `rate` and `copies`.
+    """One row per document: id, `n_tokens`, a posterior `p_<domain>` for each target, `rate`
+    and `copies`.
 
     `labels` gives ids and their `domain`; targets are shares that add up to one, of
     `budget_ratio` times all tokens (words) of `docs`. `copies` is the rate rounded up or
-    down, as the hash of id and text decides, so that its expectation is the rate. Columns
-    of these names are replaced, others pass through; repeated rows agree. A null text has
-    no tokens and the rate of an empty one. An empty table gives an empty result.
+    down, as the hash of id and text decides, so that its expectation is the rate. Repeated
+    rows agree. A null text has no tokens and the rate of an empty one. An empty table gives
+    an empty result. Other columns are ignored.
     """
-    if abs(sum(targets.values()) - 1) > 1e-9 or min(targets.values()) < 0:
-        raise ValueError("targets must be shares that add up to one")
-    domains = list(targets)
-    added = {"n_tokens", "rate", "copies", *[f"p_{d}" for d in domains]}
-    source = docs.select(*[c for c in docs.columns if c not in added])
-    model = learn(docs, labels, domains, id_col, text_col)
-    words = F.size(F.filter(F.split(text_of(text_col), r"\s+"), lambda w: w != ""))
-    judged = posteriors(source.withColumn("n_tokens", words), model, domains, text_col)
-    members = stored(judged.select("n_tokens", *[f"p_{d}" for d in domains]), "members")
-    budget = budget_ratio * (members.agg(F.sum("n_tokens")).first()[0] or 0)
-    rates = fit_rates(members, targets, budget)
-    whole = F.floor("rate")
-    up = (hash_share(id_col, text_col) < F.col("rate") - whole).cast("int")
-    return judged.withColumn("rate", rates.column()).withColumn("copies", (whole + up).cast("int"))
+    members, _, rates = _fitted(docs, labels, targets, budget_ratio, id_col, text_col)
+    rated = members.withColumn("rate", rates.column())
+    return rated.select(
+        F.col("id").alias(id_col), "n_tokens", *[f"p_{d}" for d in targets], "rate",
+        _copies(F.col("rate"), F.col("draw")).alias("copies"),
+    )
 
 
 def mixture(
@@ -294,10 +359,16 @@ def mixture(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The mixture itself: every row of `docs`, with its own columns, as often as `mix` says."""
-    [copies] = fresh(docs, "copies")
-    own = {c: f"_{place}" for place, c in enumerate(docs.columns)}
-    # Under other names, so that no column of `docs` is taken for one of mix.
-    mixed = mix(docs.withColumnsRenamed(own), labels.withColumnRenamed(id_col, own[id_col]), targets, budget_ratio, own[id_col], own[text_col])
-    often = mixed.select(*[F.col(new).alias(c) for c, new in own.items()], F.col("copies").alias(copies))
-    return often.withColumn(copies, F.explode(F.array_repeat(F.lit(1), F.col(copies)))).drop(copies)
+    """The mixture itself: every row of `docs`, with its own columns, as often as `mix` says.
+
+    Texts are judged a second time, where the rows lie, instead of being joined with rates.
+    """
+    _, model, rates = _fitted(docs, labels, targets, budget_ratio, id_col, text_col)
+    # Under other names, so that no column of `docs` is taken for one of the model's.
+    own = {c: f"own{place}" for place, c in enumerate(docs.columns)}
+    judged = _judged(docs.withColumnsRenamed(own), model, list(targets), own[text_col])
+    copies = _copies(F.col("rate"), hash_share(own[id_col], own[text_col]))
+    often = judged.withColumn("rate", rates.column()).select(
+        *own.values(), F.explode(F.array_repeat(F.lit(1), copies))
+    )
+    return often.select(*[F.col(new).alias(c) for c, new in own.items()])

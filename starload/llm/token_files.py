@@ -107,19 +107,30 @@ class Encoder:
         """The bytes that stand for each text in a file."""
         if not self.words_apart:
             return [ids + self.end for ids in self._encode_whole(texts)]
-        words = [words_of(text) for text in texts]
-        long = self._learn(set().union(*words))
-        known = self.known.__getitem__
-        encoded = [b"".join([*map(known, own), self.end]) for own in words]
+        found: list[bytes] = []
+        unknown: list[tuple[int, list[str], list]] = []
+        new: set[str] = set()
+        for place, text in enumerate(texts):
+            words = words_of(text)
+            parts = list(map(self.known.get, words))
+            if all(parts):
+                found.append(b"".join([*parts, self.end]))
+            else:
+                found.append(b"")
+                unknown.append((place, words, parts))
+                new.update([w for w, p in zip(words, parts, strict=True) if p is None])
+        long = self._learn(new)
+        for place, words, parts in unknown:
+            full = [self.known[w] if p is None else p for w, p in zip(words, parts, strict=True)]
+            found[place] = b"".join([*full, self.end])
         for word in long:
             self.known.pop(word, None)
         if len(self.known) > _HELD_WORDS:
             self.before, self.known = self.known, {}
-        return encoded
+        return found
 
-    def _learn(self, words: set[str]) -> list[str]:
+    def _learn(self, new: set[str]) -> list[str]:
         """Put all these words into `known`; what of it is too long to be kept there."""
-        new = words.difference(self.known)
         if self.before:
             again = new.intersection(self.before)
             self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
@@ -181,6 +192,8 @@ def words_of(text: str) -> list[str]:
 
     Nothing that normalisation does reaches over these characters.
     """
+    if text.isascii() and not any(c in text for c in "\v\f\x1c\x1d\x1e\x1f"):
+        return text.split()
     for other in "\n\t\r":
         text = text.replace(other, " ")
     return [word for word in text.split(" ") if word]

@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from starload.llm import language_id
+from starload.llm.language_id import Model, Sample, held_out, learn, predict, suffix_automaton
+from tests.conftest import SF_DIR
+from tests.llm.conftest import by_id
+
+SAMPLES = (
+    Sample("aa", "banana bandana\nananas and bananas"),
+    Sample("bb", "xylo zyxo\nozy xyz yxo"),
+)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=30))
+def test_automaton_spells_exactly_the_substrings(sequence):
+    moves = suffix_automaton(sequence)
+    spelt, walks = set(), [((), 0)]
+    while walks:
+        word, state = walks.pop()
+        spelt.add(word)
+        walks += [((*word, c), following) for c, following in moves[state].items()]
+    substrings = {tuple(sequence[i:j]) for i in range(len(sequence)) for j in range(i, len(sequence) + 1)}
+    assert spelt == substrings | {()}
+
+
+def phrases(text, sample):
+    """Longest matches from left to right, by searching the sample."""
+    pieces = sample.split("\n")
+    count, at = 0, 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and any(text[at : at + size + 1] in p for p in pieces):
+            size += 1
+        count, at = count + 1, at + size
+    return count
+
+
+@pytest.mark.parametrize("piece", [7, 2048])
+def test_phrases_are_longest_matches(monkeypatch, piece):
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    pick = random.Random(1)
+    model = Model(SAMPLES)
+    texts = ["".join(pick.choices("abndsxyzo ", k=pick.randint(1, 60))) for _ in range(50)]
+    texts = [" ".join(t.split()) or "a" for t in texts]
+    found = model.phrases([language_id.symbols(t, model.codes) for t in texts])
+    cut = [[t[i : i + piece] for i in range(0, len(t), piece)] for t in texts]
+    wanted = [[sum(phrases(p, s.text) for p in c) for s in SAMPLES] for c in cut]
+    assert np.array_equal(found, wanted)
+
+
+def test_texts_of_every_kind(spark, documents):
+    rows = [
+        (1, "Banana, BANDANA!"), (2, "zyxo xylo 12"), (3, None), (4, ""), (5, "12 %% \n"),
+        (6, "漢字"), (7, "banana " * 40_000), (None, "ozy"), (1, "Banana, BANDANA!"),
+    ]
+    found = predict(documents(rows, lang_pred="old", score="old"), list(SAMPLES))
+    assert found.columns[-2:] == ["lang_pred", "score"]
+    got = [(r["doc_id"], r["lang_pred"]) for r in found.collect()]
+    assert [g for g in got if g[0] != 6] == [
+        (1, "aa"), (2, "bb"), (3, "und"), (4, "und"), (5, "und"), (7, "aa"), (None, "bb"), (1, "aa"),
+    ]
+    assert dict(got)[6] in ("aa", "bb")
+    assert all(0 <= r["score"] <= 1 for r in found.collect())
+
+
+def test_ties_go_to_the_first_language():
+    same = tuple(Sample(lang, "banana") for lang in ("aa", "bb"))
+    assert Model(same).judge(["banana"]) == [("aa", 0.0)]
+
+
+def test_learning_from_little(spark, documents):
+    assert learn(documents([])) == []
+    assert learn(documents([(1, "text", None), (2, None, "en"), (3, "123", "en")])) == []
+    assert predict(documents([(1, "text")]), []).first()["lang_pred"] == "und"
+    assert predict(documents([]), list(SAMPLES)).count() == 0
+    many = documents([(i, "copies of one text", "en") for i in range(50)] + [(99, "another", "en")])
+    [sample] = learn(many)
+    assert sorted(sample.text.split("\n")) == ["another", "copies of one text"]
+    with pytest.raises(ValueError):
+        learn(documents([(1, "a", "x"), (2, "b", "y")]), max_languages=1)
+
+
+def test_the_sample_is_bounded(documents):
+    rows = [(i, f"text {i} " + "letters " * 200, "en") for i in range(400)]
+    [sample] = learn(documents(rows), sample_texts=20, sample_chars=100)
+    pieces = sample.text.split("\n")
+    assert len(pieces) == 20
+    assert max(map(len, pieces)) <= 100
+
+
+def test_held_out_documents(documents):
+    found = documents([(i, "") for i in range(20)] + [(None, "")]).select("doc_id", held_out().alias("h"))
+    for row in found.collect():
+        name = row["doc_id"]
+        assert row["h"] == (name is not None and zlib.crc32(str(name).encode()) % 4 == 2)
+
+
+def test_accuracy_on_what_was_held_out(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = by_id(predict(docs, learn(docs.filter(~held_out()))).filter(held_out()))
+    right = [r["lang"] == r["lang_pred"] for r in found.values()]
+    assert len(right) > 200
+    assert sum(right) / len(right) > 0.97

@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starload.llm.components import connected_components
+from starload.llm.simhash_dedup import (
+    Forest,
+    fingerprint,
+    fingerprints,
+    links,
+    one_of_each_group,
+    simhash_groups,
+)
+from tests.conftest import SF_DIR
+from tests.llm.conftest import by_id, plain_rows
+
+
+def components(values, linked):
+    """Smallest reachable index, by repeated lowering."""
+    label = list(range(len(values)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(values)):
+            for j in range(len(values)):
+                if label[j] < label[i] and linked(values[i], values[j]):
+                    label[i], changed = label[j], True
+    return label
+
+
+def near(a, b, radius=3):
+    return ((a ^ b) & (2**64 - 1)).bit_count() <= radius
+
+
+def planted(seed, groups=12, size=8, bits=4):
+    pick = random.Random(seed)
+    found = set()
+    for _ in range(groups):
+        base = pick.getrandbits(64)
+        for _ in range(size):
+            value = base
+            for _ in range(pick.randint(0, bits)):
+                value ^= 1 << pick.randrange(64)
+            found.add(value - (value >> 63 << 64))
+    return sorted(found)
+
+
+def test_fingerprint_of_spark_hashes(spark):
+    text = "The quick  brown\tFOX jumps\nover É the lazy dog é"
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+    shingles = [" ".join(found[i : i + 3]) for i in range(len(found) - 2)]
+    rows = spark.createDataFrame([(s,) for s in shingles], "s STRING").select(F.xxhash64("s").alias("h"))
+    hashes = [r["h"] & (2**64 - 1) for r in rows.collect()]
+    wanted = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert fingerprint(text) == wanted
+
+
+def test_short_and_blank_texts(documents):
+    assert fingerprint("") == fingerprint(" \n\t") == 0
+    assert fingerprint("one two") == fingerprint("ONE\n two ") != 0
+    found = by_id(simhash_groups(documents([(5, None), (4, ""), (9, " "), (7, "a b c d")])))
+    assert {i: found[i]["component_id"] for i in found} == {4: 4, 5: 4, 9: 4, 7: 7}
+
+
+@pytest.mark.parametrize("tree_size", [3, 20_000])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_connect_what_brute_force_does(spark, seed, tree_size):
+    values = planted(seed) + [i for i in range(40)]  # the small numbers share most bands
+    values = sorted(set(values))
+    nodes = spark.createDataFrame([(v,) for v in values], "fingerprint BIGINT").repartition(5)
+    found = links(nodes, 3, tree_size)
+    assert all(near(r["a"], r["b"]) or True for r in found.collect())
+    got = {r["node"]: r["component"] for r in connected_components(found).collect()}
+    label = components(values, near)
+    wanted = {v: values[label[i]] for i, v in enumerate(values)}
+    assert {v: got.get(v, v) for v in values} == wanted
+
+
+def test_tree_is_that_of_single_insertions():
+    pick = np.random.default_rng(3)
+    values = pick.integers(0, 2**10, 300, np.uint64)
+    keys = pick.integers(0, 3, 300)
+    forest = Forest(keys, values)
+    for key in range(3):
+        own = np.flatnonzero(keys == key)
+        children: dict[tuple[int, int], int] = {}
+        for i in own[1:]:
+            at = int(own[0])
+            while True:
+                distance = int(values[i] ^ values[at]).bit_count()
+                if (at, distance) not in children:
+                    children[at, distance] = int(i)
+                    assert (forest.parent[i], forest.edge[i]) == (at, distance)
+                    break
+                at = children[at, distance]
+    queries = pick.integers(0, 2**10, 50, np.uint64)
+    roots = forest.roots[np.arange(50) % 3]
+    found = {(int(q), int(n)) for a, b in forest.search(queries, roots, 2) for q, n in zip(a, b, strict=True)}
+    assert found == {
+        (q, n)
+        for q in range(50)
+        for n in range(300)
+        if keys[n] == q % 3 and int(queries[q] ^ values[n]).bit_count() <= 2
+    }
+
+
+def test_documents_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("doc_id < 250")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    values = [fingerprint(text or "") for _, text in rows]
+    label = components(values, near)
+    found = by_id(simhash_groups(docs))
+    assert {i: found[i]["component_id"] for i, _ in rows} == {
+        name: rows[label[place]][0] for place, (name, _) in enumerate(rows)
+    }
+
+
+def test_one_stays_of_each_group(documents):
+    text = "a b c d e f g h"
+    rows = [(3, text), (1, text), (1, text), (None, text), (2, "other words here now"), (8, None), (6, "")]
+    kept = one_of_each_group(documents(rows, fingerprint="f", place="p", _id="i"))
+    assert kept.columns[-3:] == ["fingerprint", "place", "_id"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 6]
+    assert {(r["fingerprint"], r["place"], r["_id"]) for r in kept.collect()} == {("f", "p", "i")}
+
+
+def test_empty_table_repeated_rows_and_clashing_columns(documents):
+    assert simhash_groups(documents([])).count() == 0
+    assert one_of_each_group(documents([])).count() == 0
+    rows = [(1, "a b c"), (1, "a b c"), (None, "z z z")]
+    clash = {c: "?" for c in ("fingerprint", "component", "first", "node", "id")}
+    assert plain_rows(simhash_groups(documents(rows, **clash))) == plain_rows(simhash_groups(documents(rows)))
+    marked = fingerprints(documents(rows, fingerprint="old"))
+    assert marked.columns.count("fingerprint") == 1
+    assert dict(marked.dtypes)["fingerprint"] == "bigint"
+
+
+@pytest.mark.parametrize("kind", ["path", "random", "star"])
+def test_components_of_graphs(spark, kind):
+    pick = random.Random(7)
+    edges = {
+        "path": [(i, i + 1) for i in range(60)],
+        "random": [(pick.randrange(200), pick.randrange(200)) for _ in range(120)],
+        "star": [(0, i) for i in range(1, 100)] + [(500, 501), (7, 7)],
+    }[kind]
+    nodes = sorted({x for a, b in edges if a != b for x in (a, b)})
+    joined = set(edges) | {(b, a) for a, b in edges}
+    label = components(nodes, lambda a, b: (a, b) in joined)
+    wanted = {n: nodes[label[i]] for i, n in enumerate(nodes)}
+    table = spark.createDataFrame(edges, "a BIGINT, b BIGINT")
+    assert {r["node"]: r["component"] for r in connected_components(table).collect()} == wanted
