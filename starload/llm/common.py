@@ -36,14 +36,17 @@ def hash_share(*columns: str) -> Column:
 
 
 def arrow_batches(
-    rows: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
+    rows: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], at_once: int = 1000
 ) -> Callable[[Batches], Batches]:
-    """A mapInArrow function from one of single batches; empty batches are left out."""
+    """A mapInArrow function from one of single batches, which get `at_once` rows at most;
+    empty ones are left out. What a task has used is given back at its end, as workers live on.
+    """
 
     def over(batches: Batches) -> Batches:
         for batch in batches:
-            if batch.num_rows:
-                yield from rows(batch)
+            for first in range(0, batch.num_rows, at_once):
+                yield from rows(batch.slice(first, at_once))
+        pa.default_memory_pool().release_unused()
 
     return over
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from starload.llm.common import arrow_batches, extended, fresh, hash_share, text_of
+from starload.llm.common import arrow_batches, extended, hash_share
 from starload.session import stored
 
 PIECE = 2048
@@ -236,7 +236,7 @@ class Model:
         return result
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _model(samples: tuple[Sample, ...], max_alphabet: int) -> Model:
     """One model a worker process, whatever number of tasks it runs."""
     return Model(samples, max_alphabet)
@@ -261,23 +261,23 @@ def predict(
     other columns pass through. `into` names the two columns otherwise.
     """
     kept = [c for c in docs.columns if c not in into]
+    place = kept.index(text_col)
     learned = docs.sparkSession.sparkContext.broadcast(tuple(samples))
 
     def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = [t.as_py() for t in batch.column(batch.num_columns - 1)]
+        texts = [t.as_py() or "" for t in batch.column(place)]
         if learned.value:
             found = _model(learned.value, max_alphabet).judge(texts)
         else:
             found = [(UNKNOWN, 0.0)] * len(texts)
         columns = [pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64())]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *columns], names=[*kept, *into]
+            [*batch.columns, *columns], names=[*kept, *into]
         )
 
-    [text] = fresh(docs, "text_to_judge")
-    source = docs.select(*kept, text_of(text_col).alias(text))
+    source = docs.select(*kept)
     types = dict(zip(into, (T.StringType(), T.DoubleType()), strict=True))
-    schema = extended(docs.select(*kept), **types)
+    schema = extended(source, **types)
     return source.mapInArrow(arrow_batches(judge), schema)
 
 

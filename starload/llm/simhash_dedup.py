@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
-from starload.llm.common import arrow_batches, extended, fresh, parallelism, text_of
+from starload.llm.common import arrow_batches, extended, fresh, parallelism
 from starload.llm.components import connected_components
 from starload.session import stored
 
 SEED = 42
 _HASHES_AT_ONCE = 1 << 16
-_PAIRS_AT_ONCE = 1 << 21
+_PAIRS_AT_ONCE = 1 << 18
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -60,16 +60,17 @@ def fingerprints(
     """
     kept = [c for c in docs.columns if c != into]
 
+    place = kept.index(text_col)
+
     def append(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = batch.column(batch.num_columns - 1)
-        values = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
+        texts = batch.column(place)
+        values = np.array([fingerprint(t.as_py() or "", shingle) for t in texts], np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(values.view(np.int64))], names=[*kept, into]
+            [*batch.columns, pa.array(values.view(np.int64))], names=[*kept, into]
         )
 
-    [text] = fresh(docs, "text_to_hash")
-    source = docs.select(*kept, text_of(text_col).alias(text))
-    return source.mapInArrow(arrow_batches(append), extended(docs.select(*kept), **{into: LongType()}))
+    source = docs.select(*kept)
+    return source.mapInArrow(arrow_batches(append), extended(source, **{into: LongType()}))
 
 
 class Forest:

@@ -48,15 +48,12 @@ def test_what_cannot_be_met_comes_as_near_as_brute_force(spark):
     budget = float(t.sum())
     wanted = budget * np.array(list(TARGETS.values()))
     found = fit_rates(table, TARGETS, budget, max_steps=150, tolerance=1e-4)
-    weight = (t[:, None] * p * p).sum(axis=0)
-
-    def distance(rates):
-        return ((((t[:, None] * p * rates[:, None]).sum(axis=0) - wanted) ** 2) / weight).sum()
-
-    rates = np.array([r["r"] for r in table.select("n_tokens", found.column().alias("r")).collect()])
-    assert distance(rates) <= 1.05 * distance(brute_force(t, p, wanted)) + 1e-4 * budget
-    mine = [found.totals[d] for d in TARGETS]
-    assert np.allclose(mine, (t[:, None] * p * rates[:, None]).sum(axis=0))
+    rates = np.array([r["r"] for r in table.select(found.column().alias("r")).collect()])
+    mine = (t[:, None] * p * rates[:, None]).sum(axis=0)
+    assert np.allclose(mine, [found.totals[d] for d in TARGETS])
+    best = (t[:, None] * p * brute_force(t, p, wanted)[:, None]).sum(axis=0)
+    assert abs(best - wanted).max() > 0.02 * budget  # out of reach
+    assert abs(mine - best).max() < 0.01 * budget
 
 
 def test_posteriors_equal_bayes(spark, documents):
