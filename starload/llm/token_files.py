@@ -27,6 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,9 @@ from starload.llm.common import Batches, parallelism, text_of
 _HELD_WORDS = 700_000  # words whose tokens a worker remembers, twice over
 _LONG_WORD = 64  # code points from which on a word is forgotten at once
 _MARKS = ".,;:!?"
+_NOT_LATIN_1 = 0xC4  # the first byte of the first code point beyond Latin-1 in UTF-8
 _NOT_LATIN = "\u0250"  # the first code point after the Latin letters that need no context
-_CHARS_AT_ONCE = 1 << 20
+_BYTES_AT_ONCE = 8 << 20
 _DOCUMENTS_AT_ONCE = 4096
 
 _PART = "part INT, file STRING, width INT, documents BIGINT, tokens BIGINT, nameless BIGINT"
@@ -123,32 +125,99 @@ class Encoder:
         for place, words, parts in unknown:
             full = [self.known[w] if p is None else p for w, p in zip(words, parts, strict=True)]
             found[place] = b"".join([*full, self.end])
+        self._forget(long)
+        return found
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all texts in a row, and how many each has, end tokens included.
+
+        Plain words are cut, counted as distinct words and put back as tokens for all texts
+        at once; only distinct words are looked up one by one. Texts with other than Latin-1
+        characters, or what may be a special token, are encoded by themselves.
+        """
+        if not self.plain_words:
+            return self._in_a_row([np.frombuffer(t, self.type) for t in self.encode(texts.to_pylist())])
+        texts = texts.cast(pa.string())
+        _, bounds, content = texts.buffers()
+        offsets = np.frombuffer(bounds, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(content or b"", np.uint8)[offsets[0] : offsets[-1]].copy()
+        offsets = offsets - offsets[0]
+        odd = np.zeros(len(texts), bool)
+        for places in (
+            np.flatnonzero(data >= _NOT_LATIN_1),
+            np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|"))),
+        ):
+            odd[np.searchsorted(offsets, places, "right") - 1] = True
+        others = np.flatnonzero(odd)
+        for text in others:
+            data[offsets[text] : offsets[text + 1]] = ord(" ")
+        starts, words = cut_words(data, offsets)
+        distinct = words.dictionary_encode()
+        which = distinct.indices.to_numpy()
+        listed = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = list(map(self.known.get, listed))
+        new = [w for w, part in zip(listed, parts, strict=True) if part is None]
+        if new:
+            long = self._learn_cut(set(new))
+            parts = [self.known[w] if p is None else p for w, p in zip(listed, parts, strict=True)]
+            self._forget(long)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // self.type.itemsize
+        flat = np.frombuffer(b"".join(parts), self.type)
+        many = size[which]
+        own = np.bincount(np.searchsorted(offsets, starts, "right") - 1, many, len(texts)).astype(np.int64)
+        before = (np.cumsum(size) - size)[which] - (np.cumsum(many) - many)
+        tokens = flat[np.repeat(before, many) + np.arange(many.sum())]
+        tokens = np.insert(tokens, np.cumsum(own), np.frombuffer(self.end, self.type))
+        if not len(others):
+            return tokens, own + 1
+        rows = np.split(tokens, np.cumsum(own + 1)[:-1])
+        for text, found in zip(others, self.encode(texts.take(others).to_pylist()), strict=True):
+            rows[text] = np.frombuffer(found, self.type)
+        return self._in_a_row(rows)
+
+    def _in_a_row(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(rows), np.array([len(row) for row in rows], np.int64)
+
+    def _forget(self, long: list[str]) -> None:
         for word in long:
             self.known.pop(word, None)
         if len(self.known) > _HELD_WORDS:
             self.before, self.known = self.known, {}
-        return found
 
     def _learn(self, new: set[str]) -> list[str]:
         """Put all these words into `known`; what of it is too long to be kept there."""
         if self.before:
             again = new.intersection(self.before)
             self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
-            new -= again
+            new = new - again
         if not self.plain_words:
-            listed = list(new)
-            self.known.update(zip(listed, self._encode_whole(listed), strict=True))
-            return [word for word in listed if len(word) > _LONG_WORD]
+            return self._learn_whole(list(new))
         parts = {word: plain(word) for word in new}
-        bare = list({part for both in parts.values() for part in both}.difference(self.known))
-        runs = [w for w in bare if w.isalpha() and max(w) < _NOT_LATIN and "\u0130" not in w]
-        self.known.update(zip(runs, self._encode_runs(runs), strict=True))
-        others = [word for word in bare if word not in self.known]
-        self.known.update(zip(others, self._encode_whole(others), strict=True))
+        bare = {part for both in parts.values() for part in both}.difference(self.known)
+        long = self._learn_whole(list(bare))
         for word, (stem, mark) in parts.items():
             self.known[word] = self.known[stem] + self.known[mark]
-        return [word for word in [*bare, *parts] if len(word) > _LONG_WORD]
+        return long + [word for word in parts if len(word) > _LONG_WORD]
 
+    def _learn_cut(self, new: set[str]) -> list[str]:
+        """The same for words that were cut from Latin-1 texts and lower-cased before."""
+        if self.before:
+            again = new.intersection(self.before)
+            self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
+            new -= again
+        return self._learn_whole(list(new))
+
+    def _learn_whole(self, words: list[str]) -> list[str]:
+        """Encode unknown words, runs of Latin letters as one text."""
+        if self.plain_words:
+            runs = [w for w in words if w.isalpha() and max(w) < _NOT_LATIN and "\u0130" not in w]
+            self.known.update(zip(runs, self._encode_runs(runs), strict=True))
+            words = [w for w in words if w not in self.known]
+            long = [w for w in runs if len(w) > _LONG_WORD]
+        else:
+            long = []
+        self.known.update(zip(words, self._encode_whole(words), strict=True))
+        return long + [w for w in words if len(w) > _LONG_WORD]
 
     def _encode_runs(self, words: list[str]) -> list[bytes]:
         """The tokens of words that are one run of letters each."""
@@ -199,21 +268,52 @@ def words_of(text: str) -> list[str]:
     return [word for word in text.split(" ") if word]
 
 
-def _pieces(batches: Batches) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of about a million characters."""
-    ids: list = []
-    texts: list[str] = []
-    chars = 0
+def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The words in the UTF-8 bytes of Latin-1 texts, and where each begins.
+
+    A-Z are lower-cased in `data`. Words end at blanks, tabs, line ends and the ends of texts,
+    and before a mark at their end that follows a small letter or a digit.
+    """
+    data[(data >= ord("A")) & (data <= ord("Z"))] += 32
+    gap = _GAPS[data]
+    edge = np.zeros(len(data) + 1, bool)  # where texts begin, and the end of all
+    edge[offsets] = True
+    new = ~gap
+    new[1:] &= gap[:-1] | edge[1:-1]
+    ends = edge[1:].copy()
+    ends[:-1] |= gap[1:]
+    mark = np.flatnonzero(_MARK_BYTES[data] & ends & ~new)
+    before = data[mark - 1]
+    accented = (before >= 0xA0) & (before != 0xB7) & (data[mark - 2] == 0xC3)  # but the division sign
+    new[mark[_PLAIN_BYTES[before] | accented]] = True
+    kept = np.cumsum(~gap, dtype=np.int32)
+    starts = np.flatnonzero(new)
+    bounds = np.append(kept[starts] - 1, kept[-1] if len(kept) else 0).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data[~gap]))
+    return starts, words
+
+
+def _byte_set(members: str) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[ord(c) for c in members]] = True
+    return table
+
+
+_GAPS = _byte_set(" \n\t\r")
+_MARK_BYTES = _byte_set(_MARKS)
+_PLAIN_BYTES = _byte_set("abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _pieces(batches: Batches) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(ids, texts) of some megabytes at most, but for longer texts."""
     for batch in batches:
-        for name, text in zip(batch.column(0), batch.column(1), strict=True):
-            ids.append(name.as_py())
-            texts.append(text.as_py())
-            chars += len(texts[-1])
-            if chars >= _CHARS_AT_ONCE:
-                yield ids, texts
-                ids, texts, chars = [], [], 0
-    if ids:
-        yield ids, texts
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+        cuts = np.flatnonzero(np.diff(sizes // _BYTES_AT_ONCE, prepend=0)).tolist()
+        for first, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            if end > first:
+                yield batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first)
 
 
 def write_token_files(
@@ -253,13 +353,13 @@ def write_token_files(
             if out is None:
                 coder = _encoder(tokenizer_file, end_token, words_apart, plain_words)
                 out = system.open_output_stream(f"{inside}/{name}.bin")
-            encoded = coder.encode(texts)
-            ends = total + np.cumsum([len(e) // coder.type.itemsize for e in encoded])
+            tokens, counts = coder.encode_array(texts)
+            ends = total + np.cumsum(counts)
             total = int(ends[-1])
             offsets.append(ends)
-            nameless += sum(i is None for i in own_ids)
-            ids.append(np.array([i or 0 for i in own_ids], "<i8"))
-            out.write(b"".join(encoded))
+            nameless += own_ids.null_count
+            ids.append(own_ids.fill_null(0).to_numpy())
+            out.write(tokens.tobytes())
         if out is None:
             return
         out.close()

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -51,6 +52,15 @@ def test_odd_texts_are_encoded_as_the_library_does(tokenizer, encoder):
         assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == ids_of(tokenizer, text), text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aBzé\xf7É.,!'<|5 \n\t\xa0ßσ", max_size=25), min_size=1, max_size=6))
+def test_texts_together_are_encoded_as_one_by_one(tokenizer, encoder, texts):
+    tokens, counts = encoder.encode_array(pa.array(["x", *texts]).slice(1))
+    wanted = [ids_of(tokenizer, text) for text in texts]
+    assert counts.tolist() == list(map(len, wanted))
+    assert tokens.tolist() == [i for ids in wanted for i in ids]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("abIİéÉσΣ'.,!?<|>sS1 \ń̸½", max_size=40))
 def test_any_text_is_encoded_as_the_library_does(tokenizer, encoder, text):
