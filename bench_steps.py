@@ -35,7 +35,7 @@ def main() -> None:
     bars = stored(source.bars(spark, sf_dir), "bars")
     first, second = source.first_batch(bars), source.second_batch(bars)
     counts = {"all": bars.count(), "first": first.count(), "second": second.count()}
-    landing = source.land(source.payloads(bars), scratch_dir(spark, "landing"))
+    landing = source.land(source.payloads(bars), scratch_dir(spark, "landing"), RUN_DATE)
     times: dict[str, list[float]] = {}
     rows: dict[str, int] = {}
 
@@ -54,16 +54,16 @@ def main() -> None:
         to_staging(read_csv(spark, path)).write.format("noop").mode("overwrite").save()
 
     for _ in range(int(os.environ.get("BENCH_RUNS", "3")) + 1):
-        warehouse = scratch_warehouse(spark)
-        step("payload parse", counts["all"], parse)
-        step("CSV round trip", counts["all"], csv_round_trip)
-        raw = source.raw_bars(first)
-        step("staging load", counts["first"], lambda raw=raw: load_staging(warehouse, raw))
-        step("dimension loads", counts["first"], lambda: load_dimensions(warehouse))
-        step("first fact load", counts["first"], lambda: load_fact(warehouse))
-        load_staging(warehouse, source.raw_bars(second))
-        load_dimensions(warehouse)
-        step("fact upsert, one year shared", counts["second"], lambda: load_fact(warehouse))
+        with scratch_warehouse(spark) as warehouse:
+            step("payload parse", counts["all"], parse)
+            step("CSV round trip", counts["all"], csv_round_trip)
+            raw = source.raw_bars(first)
+            step("staging load", counts["first"], lambda raw=raw, w=warehouse: load_staging(w, raw))
+            step("dimension loads", counts["first"], lambda w=warehouse: load_dimensions(w))
+            step("first fact load", counts["first"], lambda w=warehouse: load_fact(w))
+            load_staging(warehouse, source.raw_bars(second))
+            load_dimensions(warehouse)
+            step("fact upsert, one year shared", counts["second"], lambda w=warehouse: load_fact(w))
 
     print("| step | rows | seconds | rows/s |\n|---|---|---|---|")
     for name, taken in times.items():

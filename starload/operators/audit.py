@@ -1,17 +1,22 @@
-"""Constraint audit: what the tables promise but Parquet does not enforce."""
+"""Constraint audit: what the tables promise but Parquet does not enforce.
+
+Each table is scanned once. Its rows are gathered by key, with a counter for every check, and
+what is left, a row per key, meets the dimensions it refers to.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Column as Expression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, FACT_KEY, STAGING, Column
 
 
-def row_checks(df: DataFrame, table: str, columns: tuple[Column, ...]) -> DataFrame:
-    """NULL, text length and decimal range, all counted in one pass over the table."""
+def _row_checks(columns: tuple[Column, ...]) -> dict[str, Expression]:
+    """Check name -> whether a row fails it: NULL, text length and decimal range."""
     failures = {}
     for column in columns:
         value = F.col(column.name)
@@ -21,36 +26,46 @@ def row_checks(df: DataFrame, table: str, columns: tuple[Column, ...]) -> DataFr
             failures[f"{column.name} length"] = F.length(value) > column.max_length
         if column.max_value:
             failures[f"{column.name} range"] = F.abs(value) >= column.max_value
-    counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in failures.items()])
-    rows = [
-        F.struct(F.lit(name).alias("check_name"), F.col(f"`{name}`").alias("violations"))
-        for name in failures
-    ]
-    return counts.select(F.explode(F.array(*rows)).alias("c")).select(
-        "c.check_name", F.lit(table).alias("table_name"), "c.violations"
-    )
-
-
-def key_check(df: DataFrame, table: str, keys: tuple[str, ...]) -> DataFrame:
-    """Rows beyond the first of each key."""
-    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-    return _one_row(copies, surplus, f"{', '.join(keys)} unique", table)
+    return failures
 
 
-def reference_check(df: DataFrame, table: str, key: str, dimension: DataFrame) -> DataFrame:
-    """Rows whose key the dimension does not hold.
+def audit_table(
+    df: DataFrame,
+    table: str,
+    columns: tuple[Column, ...],
+    key: tuple[str, ...] = (),
+    known: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """check_name, table_name, violations.
 
-    Rows are counted per key before the join, so a hot key meets the dimension once.
+    `key` must be unique: rows beyond the first of a key count, but for keys with a NULL.
+    `known` gives for a column the table that must hold its values; NULLs need not be held.
     """
-    used = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    orphans = used.join(dimension.select(key), key, "left_anti")
-    return _one_row(orphans, F.coalesce(F.sum("copies"), F.lit(0)), f"{key} known", table)
-
-
-def _one_row(df: DataFrame, violations, check: str, table: str) -> DataFrame:
-    return df.agg(violations.alias("violations")).select(
-        F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), "violations"
+    checks = _row_checks(columns)
+    counters = [F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(checks.values())]
+    names = list(checks)
+    if not key:
+        totals = df.agg(*counters)
+    else:
+        # Combined before the shuffle, so that a key with many rows arrives as one per task.
+        grouped = df.groupBy(*key).agg(*counters, F.count(F.lit(1)).alias("copies"))
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+        sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(names))]
+        names.append(f"{', '.join(key)} unique")
+        sums.append(F.sum(F.when(whole, F.col("copies") - 1)).alias(f"c{len(names) - 1}"))
+        for column, dimension in (known or {}).items():
+            held = dimension.select(F.col(column).alias(f"held_{column}")).distinct()
+            grouped = grouped.join(held, grouped[column] == F.col(f"held_{column}"), "left")
+            orphan = F.col(column).isNotNull() & F.col(f"held_{column}").isNull()
+            names.append(f"{column} known")
+            sums.append(F.sum(F.when(orphan, F.col("copies"))).alias(f"c{len(names) - 1}"))
+        totals = grouped.agg(*sums)
+    rows = [
+        F.struct(F.lit(name).alias("check_name"), F.coalesce(f"c{i}", F.lit(0)).alias("violations"))
+        for i, name in enumerate(names)
+    ]
+    return totals.select(F.explode(F.array(*rows)).alias("c")).select(
+        "c.check_name", F.lit(table).alias("table_name"), "c.violations"
     )
 
 
@@ -59,14 +74,12 @@ def audit(
 ) -> DataFrame:
     """check_name, table_name, violations: one row per promise of the data model."""
     parts = [
-        row_checks(staging, "stock_prices", STAGING),
-        row_checks(dim_date, "dim_date", DIM_DATE),
-        key_check(dim_date, "dim_date", ("date_key",)),
-        row_checks(dim_symbol, "dim_symbol", DIM_SYMBOL),
-        key_check(dim_symbol, "dim_symbol", ("symbol_code",)),
-        row_checks(fact, "fact_stock_prices", FACT),
-        key_check(fact, "fact_stock_prices", FACT_KEY),
-        reference_check(fact, "fact_stock_prices", "date_key", dim_date),
-        reference_check(fact, "fact_stock_prices", "symbol_code", dim_symbol),
+        audit_table(staging, "stock_prices", STAGING),
+        audit_table(dim_date, "dim_date", DIM_DATE, ("date_key",)),
+        audit_table(dim_symbol, "dim_symbol", DIM_SYMBOL, ("symbol_code",)),
+        audit_table(
+            fact, "fact_stock_prices", FACT, FACT_KEY,
+            {"date_key": dim_date, "symbol_code": dim_symbol},
+        ),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload import schemas
+from starload.operators.merge import duplicate_keys
 from starload.schemas import CSV_COLUMNS, CSV_TO_STAGING, STAGING
+from starload.session import stored
 
 _SOURCE = {to: name for name, to in CSV_TO_STAGING.items()}
 
@@ -78,9 +80,26 @@ def to_staging(raw: DataFrame) -> DataFrame:
 
 
 def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed good rows, bad rows as the text they came as, with the reason)."""
-    judged = raw.select(*CSV_COLUMNS, bad_reason().alias("reason"))
-    good = judged.filter(F.col("reason").isNull()).select(
-        *[_typed(column).alias(column.name) for column in STAGING]
+    """(typed good rows, bad rows as the text they came as, with the reason).
+
+    Beyond what cannot be stored, a row is bad that would fail the loads that follow: one
+    without a day, and every one of several rows with the same day and symbol. Rows that
+    come with a `reason` are bad for that one.
+
+    The judged rows are written once, and read back for the good and the bad ones.
+    """
+    known = F.col("reason") if "reason" in raw.columns else F.lit(None).cast("string")
+    missing = F.when(F.col("timestamp").isNull(), "date is missing")
+    reason = F.coalesce(known, bad_reason(), missing)
+    typed = F.struct(*[_typed(column).alias(column.name) for column in STAGING])
+    judged = raw.select(*CSV_COLUMNS, reason.alias("reason"), typed.alias("typed"))
+    judged = stored(judged, "judged_rows")
+    good = judged.filter(F.col("reason").isNull())
+    keys = ["timestamp", "symbol"]
+    repeated = duplicate_keys(good, keys).select(*keys)
+    again = good.join(repeated, keys, "left_semi").withColumn("reason", F.lit("repeated key"))
+    bad = judged.filter(F.col("reason").isNotNull()).unionByName(again)
+    return (
+        good.join(repeated, keys, "left_anti").select("typed.*"),
+        bad.select(*CSV_COLUMNS, "reason"),
     )
-    return good, judged.filter(F.col("reason").isNotNull())

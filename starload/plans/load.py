@@ -11,6 +11,7 @@ import logging
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starload.operators.audit import audit
 from starload.operators.dims import (
@@ -21,9 +22,10 @@ from starload.operators.dims import (
     unknown_symbols,
 )
 from starload.operators.facts import build_fact
+from starload.operators.merge import latest_per_key
 from starload.operators.staging import quarantine, to_staging
-from starload.plans.warehouse import Warehouse
-from starload.session import stored
+from starload.plans.warehouse import ROWS_PER_FILE, Warehouse
+from starload.session import stamp, stored
 from starload.sources.payloads import (
     explode_series,
     parse_payloads,
@@ -31,7 +33,7 @@ from starload.sources.payloads import (
     require_usable,
     split_payloads,
 )
-from starload.sources.prices_csv import read_csv, write_csv
+from starload.sources.prices_csv import by_symbol_and_day, read_csv, read_csv_judged, write_csv
 
 logger = logging.getLogger(__name__)
 
@@ -42,6 +44,26 @@ class LoadReport(NamedTuple):
     fact_rows: int
 
 
+class AuditError(ValueError):
+    """The load would break promises of the data model; nothing was written to the fact."""
+
+
+def rejects_path(rejects: str, kind: str, run_date: dt.date, name: str) -> str:
+    """Where a run puts what it sets aside: a folder of its own, so that no run overwrites
+    what another has found."""
+    return f"{rejects.rstrip('/')}/{kind}/run_date={run_date:%Y%m%d}/run={name}"
+
+
+def last_landed(rows: DataFrame) -> DataFrame:
+    """Of each day of a symbol the row of the document that landed last.
+
+    The rows are laid out for the files by ranges of symbol and day, where all rows of a day
+    meet: one shuffle serves both.
+    """
+    order = [F.col("landed_at"), F.col("file")]
+    return latest_per_key(by_symbol_and_day(rows), ["symbol", "timestamp"], order)
+
+
 def extract(
     spark: SparkSession,
     landing: str,
@@ -50,36 +72,45 @@ def extract(
     symbols: list[str] | None = None,
     packed: bool = False,
     rejects: str | None = None,
+    name: str | None = None,
 ) -> str:
-    """Landed documents -> CSV files of the day; returns their folder.
+    """The documents that landed on the day -> CSV files of this run; returns their folder.
 
-    One unusable document fails the step, unless there is a `rejects` folder: then those
-    documents are reported there and the others go on. Documents are written as they are
-    read, without a shuffle: each holds one symbol, so it ends in one file.
+    Where several documents bring a day of a symbol, the last landed wins. One unusable
+    document fails the step, unless there is a `rejects` folder: then those documents are
+    reported there and the others go on.
     """
-    parsed = parse_payloads(read_landing(spark, landing, symbols, packed))
+    name = name or stamp()
+    parsed = parse_payloads(read_landing(spark, landing, run_date, symbols, packed))
     if rejects is None:
         usable = require_usable(parsed)
     else:
         usable, unusable = split_payloads(parsed)
-        unusable.write.mode("overwrite").parquet(f"{rejects}/documents")
-    return write_csv(explode_series(usable), csv_root, run_date, cluster=False)
+        unusable.write.parquet(rejects_path(rejects, "documents", run_date, name))
+    rows = last_landed(explode_series(usable))
+    return write_csv(rows, csv_root, run_date, name, laid_out=True)
 
 
-def load_staging(warehouse: Warehouse, rows: DataFrame, rejects: str | None = None) -> int:
+def load_staging(
+    warehouse: Warehouse, rows: DataFrame, rejects: str | None = None, again: bool = False
+) -> int:
     """Replace the staging table by text rows, typed; returns the row count.
 
-    One bad row fails the step and leaves the table as it was, unless there is a `rejects`
-    folder: then the bad rows go there, as text with the reason, and the others are staged.
+    One bad row fails the step and leaves the table as it was, unless there is a folder for
+    `rejects`: then the bad rows go there, as text with the reason, and the others are
+    staged. The folder must be new, unless this load may happen `again`. A load without
+    rows empties the table with a warning.
     """
     if rejects is None:
         typed = to_staging(rows)
     else:
         typed, bad = quarantine(rows)
-        bad.write.mode("overwrite").parquet(f"{rejects}/rows")
+        bad.write.mode("overwrite" if again else "errorifexists").parquet(rejects)
     loaded = warehouse.replace_staging(typed)
     if loaded == 0:
         logger.warning("the input had no rows; %s is now empty", warehouse.staging)
+    elif logger.isEnabledFor(logging.DEBUG):
+        logger.debug("first staged row: %s", warehouse.read(warehouse.staging).first())
     return loaded
 
 
@@ -104,10 +135,16 @@ def load_dimensions(
         warehouse.append(warehouse.dim_symbol, number_symbols(known, unknown))
 
 
-def load_fact(warehouse: Warehouse, symbols: list[str] | None = None) -> int:
-    """Upsert the staged rows of the symbols, or of all; returns how many there were."""
+def _staged_fact(warehouse: Warehouse, symbols: list[str] | None) -> DataFrame:
     staging = warehouse.read(warehouse.staging)
-    return warehouse.upsert_fact(build_fact(staging, warehouse.read(warehouse.dim_date), symbols))
+    return build_fact(staging, warehouse.read(warehouse.dim_date), symbols)
+
+
+def load_fact(
+    warehouse: Warehouse, symbols: list[str] | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> int:
+    """Upsert the staged rows of the symbols, or of all; returns how many there were."""
+    return warehouse.upsert_fact(_staged_fact(warehouse, symbols), rows_per_file)
 
 
 def audit_tables(warehouse: Warehouse) -> DataFrame:
@@ -116,6 +153,18 @@ def audit_tables(warehouse: Warehouse) -> DataFrame:
     return audit(*map(warehouse.read, tables))
 
 
+def require_sound(warehouse: Warehouse, symbols: list[str] | None = None) -> None:
+    """Fail if staging, the dimensions or the fact rows about to be loaded break a promise.
+
+    The fact itself is not read: it has passed this gate load by load.
+    """
+    tables = [warehouse.read(t) for t in (warehouse.staging, warehouse.dim_date, warehouse.dim_symbol)]
+    found = audit(*tables, _staged_fact(warehouse, symbols)).filter("violations > 0")
+    broken = [f"{r.table_name}: {r.check_name} ({r.violations})" for r in found.collect()]
+    if broken:
+        raise AuditError("; ".join(broken))
+
+
 def run(
     spark: SparkSession,
     landing: str,
@@ -125,14 +174,31 @@ def run(
     symbols: list[str] | None = None,
     packed: bool = False,
     rejects: str | None = None,
+    with_calendar: bool = False,
+    check: bool = True,
+    rows_per_file: int = ROWS_PER_FILE,
+    keep: dt.timedelta = dt.timedelta(days=7),
 ) -> LoadReport:
-    """Documents -> CSV -> staging -> dimensions -> fact, for the named symbols or for all."""
+    """Documents of the day -> CSV -> staging -> dimensions -> fact, for the named symbols or
+    for all.
+
+    Exactly what this run extracted is staged. `check` audits the load before the fact is
+    written. Versions of staging and fact that were replaced longer than `keep` ago go.
+    """
     if symbols is not None and not symbols:
         raise ValueError("no symbol to load")
-    csv_path = extract(spark, landing, csv_root, run_date, symbols, packed, rejects)
+    name = stamp()
+    csv_path = extract(spark, landing, csv_root, run_date, symbols, packed, rejects, name)
     warehouse.create()
-    staged = load_staging(warehouse, read_csv(spark, csv_path), rejects)
-    load_dimensions(warehouse, symbols)
-    loaded = load_fact(warehouse, symbols)
+    if rejects is None:
+        staged = load_staging(warehouse, read_csv(spark, csv_path))
+    else:
+        aside = rejects_path(rejects, "rows", run_date, name)
+        staged = load_staging(warehouse, read_csv_judged(spark, csv_path), aside)
+    load_dimensions(warehouse, symbols, with_calendar)
+    if check:
+        require_sound(warehouse, symbols)
+    loaded = load_fact(warehouse, symbols, rows_per_file)
+    warehouse.remove_old(keep)
     logger.info("staged %d rows, loaded %d fact rows", staged, loaded)
     return LoadReport(csv_path, staged, loaded)

@@ -6,6 +6,9 @@ quantities for volumes.
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,24 +19,34 @@ from starload.schemas import CSV_TO_STAGING, FIELDS, SERIES_KEY, STAGING, names
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging-shaped rows, one per day and brand.
 
-    First and last price come from min and max over (order, line, price), not from ranked
-    windows: the aggregates combine before the shuffle, so a brand with most of the rows
-    arrives as one row per task and day.
+    First and last price are those of the least and the greatest sale, packed into one number
+    of order, line and price: it is aggregated by hash and combined before the shuffle, so a
+    brand with most of the rows arrives as one row per task and day.
     """
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    price = F.col("l_extendedprice").cast("decimal(10,4)")
+    packed = (
+        F.col("l_orderkey").cast("decimal(17,0)") * F.lit(Decimal(10**20))
+        + F.col("l_linenumber").cast("decimal(10,0)") * F.lit(Decimal(10**10))
+        + (price * 10000).cast("decimal(10,0)")
+    )
     sales = lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"]).select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("p_brand").alias("symbol"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.struct("l_orderkey", "l_linenumber", "l_extendedprice").alias("sale"),
+        "l_extendedprice",
+        packed.cast("decimal(38,0)").alias("sale"),
     )
-    price = F.col("sale.l_extendedprice")
+
+    def price_of(sale: Column) -> Column:
+        return F.pmod(sale, F.lit(Decimal(10**10))) / 10000
+
     bar = {
-        "open_price": F.min("sale")["l_extendedprice"],
-        "high": F.max(price),
-        "low": F.min(price),
-        "close_price": F.max("sale")["l_extendedprice"],
+        "open_price": price_of(F.min("sale")),
+        "high": F.max("l_extendedprice"),
+        "low": F.min("l_extendedprice"),
+        "close_price": price_of(F.max("sale")),
         "volume": F.sum("quantity"),
     }
     # The casts come last, on one row per bar instead of on every sale.
@@ -91,13 +104,10 @@ def payloads(staging: DataFrame, stale: Column | None = None) -> DataFrame:
     return documents.select("symbol", "year", text.alias("payload"))
 
 
-def land(documents: DataFrame, path: str) -> str:
-    """Write one file per document below the folder of its symbol."""
-    (
-        documents.select("payload", "symbol")
-        .write.partitionBy("symbol")
-        .option("maxRecordsPerFile", 1)
-        .mode("append")
-        .text(path)
-    )
+def land(documents: DataFrame, path: str, run_date: dt.date, packed: bool = False) -> str:
+    """Write the documents of a day below the folders of their symbols: a file for each, or
+    `packed` on the lines of few files."""
+    landed = documents.select("payload", F.lit(f"{run_date:%Y%m%d}").alias("landed"), "symbol")
+    writer = landed.write.partitionBy("landed", "symbol").mode("append")
+    (writer if packed else writer.option("maxRecordsPerFile", 1)).text(path)
     return path

@@ -95,6 +95,22 @@ def _violations(check: str, table: str, source: str, bad: str) -> str:
     )
 
 
+def _surplus(check: str, table: str, source: str, *key: str) -> str:
+    """Rows beyond the first of each whole key."""
+    whole = " AND ".join(f"{k} IS NOT NULL" for k in key)
+    return (
+        f"SELECT '{check}', '{table}', CAST(count(*) - count(DISTINCT ({', '.join(key)})) AS BIGINT) "
+        f"FROM {source} WHERE {whole}"
+    )
+
+
+def _orphans(column: str, dimension: str) -> str:
+    return (
+        f"{column} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {dimension} AS d WHERE d.{column} = bad_fact.{column})"
+    )
+
+
 def _audit() -> str:
     staging, fact = "stock_prices", "fact_stock_prices"
     checks = [
@@ -102,24 +118,20 @@ def _audit() -> str:
         _violations("symbol length", staging, "bad_staging", "length(symbol) > 10"),
         _violations("date_key not null", "dim_date", "bad_days", "date_key IS NULL"),
         _violations("full_date not null", "dim_date", "bad_days", "full_date IS NULL"),
-        _violations("day_name length", "dim_date", "bad_days", "false"),
-        _violations("month_name length", "dim_date", "bad_days", "false"),
-        _violations("quarter_name length", "dim_date", "bad_days", "false"),
-        _violations("symbol_code not null", "dim_symbol", "bad_symbols", "symbol IS NULL"),
-        _violations("symbol_code length", "dim_symbol", "bad_symbols", "length(symbol) > 10"),
-        _violations("company_name length", "dim_symbol", "bad_symbols", "false"),
-        _violations("symbol_code unique", "dim_symbol", "bad_symbols", "false"),
+        _violations("day_name length", "dim_date", "bad_days", "length(day_name) > 10"),
+        _violations("month_name length", "dim_date", "bad_days", "length(month_name) > 10"),
+        _violations("quarter_name length", "dim_date", "bad_days", "length(quarter_name) > 2"),
+        _surplus("date_key unique", "dim_date", "bad_days", "date_key"),
+        _violations("symbol_code not null", "dim_symbol", "bad_symbols", "symbol_code IS NULL"),
+        _violations("symbol_code length", "dim_symbol", "bad_symbols", "length(symbol_code) > 10"),
+        _violations("company_name length", "dim_symbol", "bad_symbols", "length(company_name) > 255"),
+        _surplus("symbol_code unique", "dim_symbol", "bad_symbols", "symbol_code"),
         _violations("date_key not null", fact, "bad_fact", "date_key IS NULL"),
         _violations("symbol_code not null", fact, "bad_fact", "symbol_code IS NULL"),
         _violations("symbol_code length", fact, "bad_fact", "length(symbol_code) > 10"),
-        _violations("date_key known", fact, "bad_fact",
-                    "date_key NOT IN (SELECT date_key FROM bad_days)"),
-        _violations("symbol_code known", fact, "bad_fact",
-                    "symbol_code NOT IN (SELECT symbol FROM bad_symbols)"),
-        "SELECT 'date_key unique', 'dim_date', "
-        "CAST(count(*) - count(DISTINCT date_key) AS BIGINT) FROM bad_days",
-        "SELECT 'date_key, symbol_code unique', 'fact_stock_prices', "
-        "CAST(count(*) - count(DISTINCT (date_key, symbol_code)) AS BIGINT) FROM bad_fact",
+        _violations("date_key known", fact, "bad_fact", _orphans("date_key", "bad_days")),
+        _violations("symbol_code known", fact, "bad_fact", _orphans("symbol_code", "bad_symbols")),
+        _surplus("date_key, symbol_code unique", fact, "bad_fact", "date_key", "symbol_code"),
     ]
     for price in ("open_price", "high", "low", "close_price"):
         checks.append(
@@ -127,27 +139,58 @@ def _audit() -> str:
         )
     for price in ("open_price", "high_price", "low_price", "close_price"):
         checks.append(_violations(f"{price} range", fact, "bad_fact", f"abs({price}) >= 1000000"))
+
+    def raised(price: str, key: str, symbol: str) -> str:
+        return (
+            f"CAST({price} AS DECIMAL(13,4)) + CASE WHEN {key} = '{symbol}' THEN 1000000 ELSE 0 END AS {price}"
+        )
+
+    staged = [
+        raised(price, "symbol", symbol)
+        for price, symbol in (
+            ("open_price", "Brand#15"), ("high", "Brand#21"), ("low", "Brand#22"), ("close_price", "Brand#23")
+        )
+    ]
+    loaded = [
+        raised(price, "symbol_code", symbol)
+        for price, symbol in (
+            ("open_price", "Brand#44"), ("high_price", "Brand#45"), ("low_price", "Brand#51"),
+            ("close_price", "Brand#52"),
+        )
+    ]
     return (
         f"WITH {BARS}, {DATES}, {FACT}, "
-        """
+        f"""
 bad_staging AS (
-    SELECT date, open_price,
-           CAST(high AS DECIMAL(13,4)) + CASE WHEN symbol = 'Brand#15' THEN 1000000 ELSE 0 END
-               AS high,
-           low, close_price, volume,
+    SELECT date, {', '.join(staged)}, volume,
            CASE WHEN symbol = 'Brand#14' THEN 'Brand#14-long'
                 WHEN symbol <> 'Brand#13' THEN symbol END AS symbol
     FROM bars
 ),
 bad_days AS (
-    SELECT date_key, CASE WHEN month_number <> 2 THEN full_date END AS full_date
+    SELECT CASE WHEN month_number <> 3 THEN date_key END AS date_key,
+           CASE WHEN month_number <> 2 THEN full_date END AS full_date,
+           CASE WHEN month_number = 4 THEN 'a long day name' END AS day_name,
+           CASE WHEN month_number = 5 THEN 'a long month name' END AS month_name,
+           CASE WHEN month_number = 6 THEN 'Q12' END AS quarter_name
     FROM (SELECT * FROM days WHERE month_number <> 12
           UNION ALL SELECT * FROM days WHERE month_number = 1) AS d
 ),
-bad_symbols AS (SELECT DISTINCT symbol FROM bars WHERE symbol <> 'Brand#20'),
+bad_symbols AS (
+    SELECT CASE WHEN symbol = 'Brand#33' THEN 'Brand#33-long'
+                WHEN symbol <> 'Brand#32' THEN symbol END AS symbol_code,
+           repeat('x', CASE WHEN symbol = 'Brand#12' THEN 256 ELSE 255 END) AS company_name
+    FROM (SELECT DISTINCT symbol FROM bars WHERE symbol <> 'Brand#25'
+          UNION ALL SELECT DISTINCT symbol FROM bars WHERE symbol = 'Brand#11') AS s
+),
 bad_fact AS (
-    SELECT * FROM fact
-    UNION ALL SELECT * FROM fact WHERE date_key BETWEEN 19990101 AND 19991231
+    SELECT CASE WHEN NOT (date_key // 10000 = 1997 AND symbol_code = 'Brand#41') THEN date_key END AS date_key,
+           CASE WHEN date_key // 10000 = 1996 AND symbol_code = 'Brand#43' THEN 'Brand#43-long'
+                WHEN NOT (date_key // 10000 = 1996 AND symbol_code = 'Brand#42') THEN symbol_code END
+               AS symbol_code,
+           {', '.join(loaded)}, volume
+    FROM (SELECT * FROM fact
+          UNION ALL SELECT * FROM fact WHERE date_key BETWEEN 19990101 AND 19991231) AS f
 )
 """
         + "\nUNION ALL\n".join(checks)
@@ -165,7 +208,8 @@ judged AS (
            CASE WHEN year = 1996 THEN 'no daily series'
                 WHEN symbol = 'Brand#13' THEN 'not a valid document'
                 WHEN year = 1998 THEN 'empty daily series'
-                WHEN symbol = 'Brand#22' THEN 'not a valid document' END AS reason
+                WHEN symbol IN ('Brand#22', 'Brand#23', 'Brand#24', 'Brand#25', 'Brand#31', 'Brand#32')
+                    THEN 'not a valid document' END AS reason
     FROM documents
 )
 SELECT symbol, reason, CAST(count(*) AS BIGINT) AS payloads
@@ -178,10 +222,17 @@ UNION ALL
 SELECT * FROM raised WHERE symbol < 'Brand#2'""",
     "csv_by_name": STAGED,
     "staging_refresh": f"WITH {BARS}, {RAISED} SELECT * FROM raised",
-    "quarantine_rows": f"""
+    "csv_ragged_lines": f"""
 WITH {BARS}
+SELECT CASE WHEN symbol IN ('Brand#11', 'Brand#12') THEN 'ragged line' ELSE 'staged' END AS reason,
+       CAST(count(*) AS BIGINT) AS lines
+FROM bars GROUP BY 1""",
+    "quarantine_rows": f"""
+WITH {BARS}, spoilt AS (
+    SELECT * FROM bars UNION ALL SELECT * FROM bars WHERE symbol = 'Brand#22'
+)
 SELECT CASE WHEN symbol = 'Brand#11' THEN strftime(date, '%Y')
-            ELSE strftime(date, '%Y-%m-%d') END AS timestamp,
+            WHEN symbol <> 'Brand#21' THEN strftime(date, '%Y-%m-%d') END AS timestamp,
        CASE WHEN symbol = 'Brand#12' THEN '1e' ELSE CAST(open_price AS VARCHAR) END AS open,
        CASE WHEN symbol = 'Brand#13' THEN '999999.99995' ELSE CAST(high AS VARCHAR) END AS high,
        CAST(low AS VARCHAR) AS low,
@@ -195,14 +246,32 @@ SELECT CASE WHEN symbol = 'Brand#11' THEN strftime(date, '%Y')
                    WHEN 'Brand#13' THEN 'high is not a decimal(10,4)'
                    WHEN 'Brand#14' THEN 'volume is not a bigint'
                    WHEN 'Brand#15' THEN 'symbol is longer than 10'
-                   WHEN 'Brand#16' THEN 'symbol is missing' END AS reason
-FROM bars
-WHERE symbol IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14', 'Brand#15', 'Brand#16')""",
+                   WHEN 'Brand#16' THEN 'symbol is missing'
+                   WHEN 'Brand#21' THEN 'date is missing'
+                   WHEN 'Brand#22' THEN 'repeated key' END AS reason
+FROM spoilt
+WHERE symbol IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14', 'Brand#15', 'Brand#16', 'Brand#21',
+                 'Brand#22')""",
     "quarantine_kept": f"""
 WITH {BARS}
 SELECT date, open_price, high, low, close_price,
        CASE WHEN symbol <> 'Brand#15' THEN volume END AS volume, symbol
 FROM bars WHERE symbol <> 'Brand#14'""",
+    "empty_refresh": f"""
+WITH {BARS}
+SELECT CAST(count(*) AS BIGINT) AS row_count, 0 AS step FROM bars
+UNION ALL SELECT CAST(0 AS BIGINT), 1""",
+    "table_list": f"""
+WITH {BARS}
+SELECT 'staging' AS schema_name, 'stock_prices' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM bars
+UNION ALL SELECT 'public', 'dim_date', CAST(count(DISTINCT date) AS BIGINT) FROM bars
+UNION ALL SELECT 'public', 'dim_symbol', CAST(count(DISTINCT symbol) AS BIGINT) FROM bars
+UNION ALL SELECT 'public', 'fact_stock_prices', CAST(count(*) AS BIGINT) FROM bars""",
+    "distributed_join": f"""
+WITH {BARS}, {RAISED}
+SELECT b.symbol, b.date, b.open_price AS first_price, r.open_price AS second_price
+FROM bars AS b JOIN raised AS r ON b.symbol = r.symbol AND b.date = r.date
+WHERE b.date < DATE '2000-01-01'""",
     "staging_count": f"WITH {BARS} SELECT CAST(count(*) AS BIGINT) AS row_count FROM bars",
     "staging_peek": f"WITH {BARS} SELECT * FROM bars ORDER BY date, symbol LIMIT 10",
     "dim_date": f"WITH {BARS}, {DATES} SELECT * FROM days",
@@ -244,11 +313,24 @@ WITH {BARS}, {SYMBOLS}
 SELECT * FROM symbols
 UNION ALL
 SELECT CAST(count(*) + 1 AS INTEGER), 'UNSEEN', 'N/A' FROM symbols""",
+    "symbol_key_properties": f"""
+WITH {BARS}, counts AS (
+    SELECT CAST(count(DISTINCT symbol) AS BIGINT) AS n,
+           CAST(count(DISTINCT CASE WHEN symbol < 'Brand#2' THEN symbol END) AS BIGINT) AS early
+    FROM bars
+)
+SELECT n AS symbols, n AS codes, n AS keys, 1 AS first_key, CAST(n AS INTEGER) AS last_key,
+       CAST(early AS INTEGER) AS last_known_key, CAST(early + 1 AS INTEGER) AS first_new_key,
+       early AS unchanged
+FROM counts""",
     "fact_one_symbol": f"{ALL_FACTS} WHERE symbol_code = 'Brand#12'",
     "fact_all_symbols": ALL_FACTS,
     "fact_upsert": UPSERTED,
     "fact_upsert_nulls": f"WITH {BARS}, {DATES}, {FACT}, "
     + MERGED.format(volume="CASE WHEN date_key >= 20000101 THEN volume END"),
+    "fact_date_range": f"""
+SELECT * FROM ({UPSERTED}) AS merged
+WHERE date_key BETWEEN 19981215 AND 19990114 AND symbol_code IN ('Brand#12', 'Brand#34')""",
     "fact_duplicate_keys": f"""
 WITH {BARS}, {DATES}, {FACT},
 twice AS (
@@ -259,5 +341,15 @@ SELECT date_key, symbol_code, CAST(count(*) AS BIGINT) AS copies
 FROM twice GROUP BY date_key, symbol_code HAVING count(*) > 1""",
     "constraint_audit": _audit(),
     "load_all_steps": ALL_FACTS,
+    "load_two_days": UPSERTED,
+    "load_symbols_apart": f"{STAGED} WHERE symbol = 'Brand#34'",
     "incremental_stream": UPSERTED,
+    "packed_stream": ALL_FACTS,
+    "stream_with_rejects": f"""
+WITH {BARS}
+SELECT symbol, CAST(count(*) AS BIGINT) AS number, 'fact rows' AS kind
+FROM bars WHERE symbol >= 'Brand#2' GROUP BY symbol
+UNION ALL
+SELECT symbol, CAST(count(DISTINCT extract(year FROM date)) AS BIGINT), 'rejected documents'
+FROM bars WHERE symbol < 'Brand#2' GROUP BY symbol""",
 }

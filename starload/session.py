@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,13 +39,61 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/starload/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """`df` written to the scratch folder and read back.
+def stored(df: DataFrame, label: str, *partitions: str) -> DataFrame:
+    """`df` written to the scratch folder, by the partitions if any are named, and read back.
 
     Cuts the lineage for good: a lost executor re-reads files instead of recomputing,
     and the planner knows the real size, so it can decide by itself what to broadcast.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stamp() -> str:
+    """A name for a run: later ones sort behind earlier ones, and no two are the same."""
+    return f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, wherever it lies, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of one of that name."""
+    system, place = _hadoop(spark, path)
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, place = _hadoop(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all that is in it."""
+    system, place = _hadoop(spark, path)
+    system.delete(place, True)
+
+
+def folder_ages(spark: SparkSession, path: str) -> list[tuple[str, dt.timedelta]]:
+    """What a folder holds, and how long ago each was changed; nothing if it does not exist."""
+    system, place = _hadoop(spark, path)
+    if not system.exists(place):
+        return []
+    now = dt.datetime.now(dt.UTC).timestamp()
+    return [
+        (entry.getPath().getName(), dt.timedelta(seconds=now - entry.getModificationTime() / 1000))
+        for entry in system.listStatus(place)
+    ]

@@ -1,18 +1,22 @@
 """Landed payload documents of the price service.
 
-A landing folder holds `symbol=<requested symbol>/<any name>` text files. The symbol is
-the one that was asked for, taken from the folder, never from inside the document.
+A landing folder holds `landed=<yyyymmdd>/symbol=<requested symbol>/<any name>` text files.
+The symbol is the one that was asked for, taken from the folder, never from inside the
+document. A run reads the folder of its day: its cost does not grow with the history.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.functions.checks import require
 from starload.schemas import CSV_COLUMNS, FIELDS, SERIES_KEY
+from starload.session import stored
 
-LANDING_SCHEMA = "payload STRING, symbol STRING"
+LANDING_SCHEMA = "payload STRING, landed INT, symbol STRING"
 
 _DOCUMENT = "`{}` MAP<STRING, STRUCT<{}>>, `_broken` STRING".format(
     SERIES_KEY, ", ".join(f"`{f}`: STRING" for f in FIELDS)
@@ -20,23 +24,41 @@ _DOCUMENT = "`{}` MAP<STRING, STRUCT<{}>>, `_broken` STRING".format(
 _STRICT_JSON = {"columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
 
 
+def landed_path(path: str, run_date: dt.date) -> str:
+    return f"{path.rstrip('/')}/landed={run_date:%Y%m%d}"
+
+
 def read_landing(
-    spark: SparkSession, path: str, symbols: list[str] | None = None, packed: bool = False
+    spark: SparkSession,
+    path: str,
+    run_date: dt.date | None = None,
+    symbols: list[str] | None = None,
+    packed: bool = False,
 ) -> DataFrame:
-    """One row per document: payload, symbol, file.
+    """One row per document of a day, or of all days: payload, symbol, file, landed_at.
 
     `packed` reads many one-line documents per file; at scale that beats a file per
-    document. Asking for symbols prunes the folders that are listed and read.
+    document. Asking for symbols prunes the folders that are listed and read. An empty file
+    holds no document and gives no row.
     """
-    landed = spark.read.schema(LANDING_SCHEMA).text(path, wholetext=not packed)
+    folder = path if run_date is None else landed_path(path, run_date)
+    reader = spark.read.schema(LANDING_SCHEMA).option("basePath", path)
+    landed = reader.text(folder, wholetext=not packed)
     if symbols is not None:
         landed = landed.filter(F.col("symbol").isin(list(symbols)))
     return with_file(landed)
 
 
-def stream_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same rows for files as they land. The folder must hold one symbol at least."""
-    reader = spark.readStream.schema(LANDING_SCHEMA).format("text").option("wholetext", True)
+def stream_landing(
+    spark: SparkSession, path: str, max_files: int | None = None, packed: bool = False
+) -> DataFrame:
+    """The same rows for files as they land. The folder must hold one symbol at least.
+
+    A file counts however old it is when it comes; by default those would be left out that
+    are a week older than the latest.
+    """
+    reader = spark.readStream.schema(LANDING_SCHEMA).format("text")
+    reader = reader.option("wholetext", not packed).option("maxFileAge", "36500d")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return with_file(reader.load(path))
@@ -51,17 +73,32 @@ def with_file(landed: DataFrame) -> DataFrame:
     )
 
 
+def _alone(payload: Column) -> Column:
+    """Whether the text is one JSON value and nothing follows it.
+
+    Parsers of one value stop behind it. As the first element of an array whose second is
+    known, a text with more in it puts something else in second place or breaks the array.
+    """
+    mark = F.xxhash64(payload).cast("string")
+    listed = F.concat(F.lit("["), payload, F.lit(',"'), mark, F.lit('"]'))
+    return F.get_json_object(listed, "$[1]").eqNullSafe(mark)
+
+
 def parse_payloads(documents: DataFrame) -> DataFrame:
     """`documents` with `series`, the parsed days, and `reason`, why it is unusable or NULL.
 
+    A text that holds more than one document, or anything behind it, is not a valid one.
+
     The one-element explode keeps a document on its row and makes the parsed value a column
     of its own: filters on it stay above, so that each text is parsed exactly once.
     """
     document = F.from_json("payload", _DOCUMENT, _STRICT_JSON)
-    parsed = documents.select("*", F.explode(F.array(document)).alias("_doc"))
-    series = F.col("_doc").getField(SERIES_KEY)
+    value = F.struct(document.alias("json"), _alone(F.col("payload")).alias("alone"))
+    parsed = documents.select("*", F.explode(F.array(value)).alias("_doc"))
+    series = F.col("_doc.json").getField(SERIES_KEY)
+    broken = F.col("_doc.json._broken").isNotNull() | ~F.col("_doc.alone")
     reason = (
-        F.when(F.col("_doc._broken").isNotNull(), "not a valid document")
+        F.when(broken, "not a valid document")
         .when(series.isNull(), "no daily series")
         .when(F.size(series) == 0, "empty daily series")
         .when(F.exists(F.map_values(series), lambda v: v.isNull()), "day without values")
@@ -111,7 +148,12 @@ def require_usable(parsed: DataFrame) -> DataFrame:
 
 
 def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable documents, rejects with symbol, file and reason)."""
-    good = parsed.filter(F.col("reason").isNull())
-    bad = parsed.filter(F.col("reason").isNotNull())
-    return good, bad.select("symbol", "file", "reason")
+    """(usable documents, rejects with symbol, file and reason).
+
+    The judged documents are written once, usable and unusable ones apart, and read back:
+    texts are read and parsed once for both.
+    """
+    judged = parsed.drop("payload").withColumn("rejected", F.col("reason").isNotNull())
+    judged = stored(judged, "documents", "rejected")
+    good = judged.filter(~F.col("rejected")).drop("rejected")
+    return good, judged.filter("rejected").select("symbol", "file", "reason")

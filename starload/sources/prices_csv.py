@@ -1,4 +1,8 @@
-"""The interchange CSV files: `<path>/extract_date=YYYYMMDD/symbol_part=<symbol>/*.csv`."""
+"""The interchange CSV files: `<path>/extract_date=YYYYMMDD/run=<run>/*.csv`.
+
+A run writes a folder of its own, which is handed on to the load and never changes again. A
+reader of a whole day takes, for each symbol, the rows of the latest run that wrote it.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.schemas import CSV_COLUMNS, CSV_SCHEMA
+from starload.session import stamp
 
 # Quotes are doubled, as most writers do, and blanks are kept: text arrives as it was.
 _FORMAT = {
@@ -16,33 +21,31 @@ _FORMAT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+RAGGED = "ragged line"
 
 
 def day_path(path: str, run_date: dt.date) -> str:
     return f"{path.rstrip('/')}/extract_date={run_date:%Y%m%d}"
 
 
-def write_csv(rows: DataFrame, path: str, run_date: dt.date, cluster: bool = True) -> str:
-    """Write one extraction day and return its folder, for the load that follows.
+def by_symbol_and_day(rows: DataFrame) -> DataFrame:
+    """Rows laid out by ranges of symbol and day: few symbols in a file, and a symbol that
+    holds a large share of all rows cut into several ranges."""
+    return rows.repartitionByRange("symbol", "timestamp")
+
 
-    Files are ascending by day. Writing a symbol again on the same day replaces what that
-    day had for the symbol and leaves all other symbols alone.
+def write_csv(
+    rows: DataFrame, path: str, run_date: dt.date, run: str | None = None, laid_out: bool = False
+) -> str:
+    """Write the files of one run and return their folder, for the load that follows.
 
-    `cluster` lays rows out by symbol and day ranges first: few files per symbol, and a
-    symbol that holds a large share of all rows is cut into several ranges. Rows that come
-    straight from documents lie together already and are written without any shuffle.
+    Files ascend by symbol and day. Their number follows from the size of the data, not from
+    the number of symbols. Rows that are `laid_out` already are not shuffled again.
     """
-    target = day_path(path, run_date)
-    laid_out = rows.select(*CSV_COLUMNS).withColumn("symbol_part", F.col("symbol"))
-    if cluster:
-        laid_out = laid_out.repartitionByRange("symbol_part", "timestamp")
-    (
-        laid_out.sortWithinPartitions("symbol_part", "timestamp")
-        .write.partitionBy("symbol_part")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .csv(target, **_FORMAT)
-    )
+    target = f"{day_path(path, run_date)}/run={run or stamp()}"
+    rows = rows if laid_out else by_symbol_and_day(rows)
+    files = rows.select(*CSV_COLUMNS).sortWithinPartitions("symbol", "timestamp")
+    files.write.csv(target, **_FORMAT)
     return target
 
 
@@ -55,6 +58,30 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_csv_judged(spark: SparkSession, path: str) -> DataFrame:
+    """The same, but ragged lines come along: `reason` says so, their text is `timestamp`."""
+    rows = spark.read.schema(f"{CSV_SCHEMA}, `_broken` STRING").csv(
+        path, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord="_broken", **_FORMAT
+    )
+    ragged = F.col("_broken").isNotNull()
+    columns = [F.when(~ragged, F.col(c)).alias(c) for c in CSV_COLUMNS[1:]]
+    return rows.select(
+        F.coalesce("_broken", "timestamp").alias("timestamp"), *columns,
+        F.when(ragged, RAGGED).alias("reason"),
+    )
+
+
+def read_csv_day(spark: SparkSession, path: str, run_date: dt.date) -> DataFrame:
+    """All runs of a day: of each symbol what its latest run wrote."""
+    rows = spark.read.schema(f"{CSV_SCHEMA}, run STRING").csv(
+        day_path(path, run_date), mode="FAILFAST", enforceSchema=False, **_FORMAT
+    )
+    # A row for each symbol; the planner sees how many there are.
+    latest = rows.groupBy(F.col("symbol").alias("its_symbol")).agg(F.max("run").alias("its_run"))
+    same = F.col("symbol").eqNullSafe(F.col("its_symbol")) & (F.col("run") == F.col("its_run"))
+    return rows.join(latest, same, "left_semi").select(*CSV_COLUMNS)
+
+
 def read_foreign_csv(spark: SparkSession, path: str) -> DataFrame:
     """Files from elsewhere: columns are found by header name, in any order.
 

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from starload.operators.merge import latest_per_key
-from starload.plans.load import load_dimensions, load_fact, load_staging
-from starload.plans.warehouse import Warehouse
+from starload.plans.load import last_landed, load_dimensions, load_fact, load_staging
+from starload.plans.warehouse import ROWS_PER_FILE, Warehouse
 from starload.schemas import CSV_COLUMNS
 from starload.sources.payloads import (
     explode_series,
     parse_payloads,
     require_usable,
+    split_payloads,
     stream_landing,
 )
 
@@ -24,30 +25,47 @@ def ingest(
     warehouse: Warehouse,
     checkpoint: str,
     max_files: int | None = None,
+    packed: bool = False,
+    rejects: str | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Load every document that landed since the last run with this checkpoint, then stop.
 
     Micro-batches run in landing order and each one is a complete load, so a batch that is
     repeated after a failure changes nothing. Where one batch brings a day of a symbol more
     than once, the document that landed last wins, as if they had been loaded in turn.
+
+    One unusable document or row stops the stream, at every start, unless there is a
+    `rejects` folder: then those go there, below the names of stream and batch, so that a
+    repeated batch replaces what it has put aside before.
     """
-    documents = stream_landing(spark, landing, max_files)
-    rows = explode_series(require_usable(parse_payloads(documents)))
+    documents = stream_landing(spark, landing, max_files, packed)
+    parsed = parse_payloads(documents)
+    if rejects is None:
+        parsed = require_usable(parsed)
     warehouse.create()
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def aside(kind: str, batch_id: int) -> str:
+        return f"{rejects.rstrip('/')}/{kind}/stream={stream}/batch={batch_id}"
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        landed_last = [F.col("landed_at"), F.col("file")]
-        latest = latest_per_key(batch, ["symbol", "timestamp"], landed_last)
-        load_staging(warehouse.on(batch.sparkSession), latest.select(*CSV_COLUMNS))
+    def load(batch: DataFrame, batch_id: int) -> None:
+        bad_rows = None
+        if rejects is not None:
+            batch, unusable = split_payloads(batch)
+            unusable.write.mode("overwrite").parquet(aside("documents", batch_id))
+            bad_rows = aside("rows", batch_id)
+        latest = last_landed(explode_series(batch)).select(*CSV_COLUMNS)
+        load_staging(warehouse.on(batch.sparkSession), latest, bad_rows, again=True)
         # A micro-batch has a session of its own, and sessions remember the files of a table.
         # From the staging table on nothing streams, so the rest runs in the session of the
         # warehouse, which then sees its own changes.
         warehouse.spark.catalog.refreshTable(warehouse.staging)
         load_dimensions(warehouse)
-        load_fact(warehouse)
+        load_fact(warehouse, rows_per_file=rows_per_file)
 
     return (
-        rows.writeStream.foreachBatch(load)
+        parsed.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

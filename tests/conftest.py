@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 from pathlib import Path
 
@@ -39,8 +40,13 @@ def payload(days: dict[str, tuple]) -> str:
     return json.dumps({SERIES_KEY: series})
 
 
-def land(root: Path, symbol: str, text: str, name: str = "doc.json") -> str:
-    folder = root / f"symbol={symbol}"
+RUN_DATE = dt.date(2024, 1, 5)
+
+
+def land(
+    root: Path, symbol: str, text: str, name: str = "doc.json", day: dt.date = RUN_DATE
+) -> str:
+    folder = root / f"landed={day:%Y%m%d}" / f"symbol={symbol}"
     folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text(text)
     return str(root)

@@ -4,10 +4,18 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from starload.operators.staging import to_staging
 from starload.schemas import CSV_COLUMNS
-from starload.sources.prices_csv import read_csv, read_foreign_csv, write_csv
+from starload.sources.prices_csv import (
+    RAGGED,
+    read_csv,
+    read_csv_day,
+    read_csv_judged,
+    read_foreign_csv,
+    write_csv,
+)
 from tests.conftest import FAILURE, raw, row, rows_of
 
 DAY_ONE, DAY_TWO = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
@@ -24,27 +32,53 @@ def test_round_trip_keeps_text(spark, tmp_path):
         row("2024-01-02", " X "),
     )
     path = write_csv(rows, str(tmp_path), DAY_ONE)
-    assert path.endswith("extract_date=20240105")
+    assert path.startswith(f"{tmp_path}/extract_date=20240105/run=")
     assert rows_of(read_csv(spark, path)) == rows_of(rows)
 
 
 def test_files_have_a_header_and_ascend_by_day(spark, tmp_path):
     rows = raw(spark, *[row(f"2024-01-{d:02}", "IBM") for d in (9, 3, 7, 1)])
-    files = sorted(Path(write_csv(rows, str(tmp_path), DAY_ONE)).glob("symbol_part=IBM/*.csv"))
+    files = sorted(Path(write_csv(rows, str(tmp_path), DAY_ONE)).glob("*.csv"))
     header, *lines = files[0].read_text().splitlines()
     assert header == ",".join(CSV_COLUMNS)
     assert [line[:10] for line in lines] == ["2024-01-01", "2024-01-03", "2024-01-07", "2024-01-09"]
 
 
-def test_same_day_and_symbol_is_replaced_and_nothing_else(spark, tmp_path):
-    write_csv(raw(spark, row("2024-01-02", "A"), row("2024-01-02", "B")), str(tmp_path), DAY_ONE)
+def test_a_day_has_the_latest_run_of_each_symbol(spark, tmp_path):
+    first = write_csv(raw(spark, row("2024-01-02", "A"), row("2024-01-02", "B")), str(tmp_path), DAY_ONE)
     write_csv(raw(spark, row("2024-01-02", "A")), str(tmp_path), DAY_TWO)
-    path = write_csv(raw(spark, row("2024-01-03", "A")), str(tmp_path), DAY_ONE)
-    assert {(r.timestamp, r.symbol) for r in read_csv(spark, path).collect()} == {
+    second = write_csv(raw(spark, row("2024-01-03", "A")), str(tmp_path), DAY_ONE)
+    assert {(r.timestamp, r.symbol) for r in read_csv_day(spark, str(tmp_path), DAY_ONE).collect()} == {
         ("2024-01-03", "A"),
         ("2024-01-02", "B"),
     }
-    assert read_csv(spark, f"{tmp_path}/extract_date=20240106").count() == 1
+    assert read_csv(spark, first).count() == 2
+    assert read_csv(spark, second).count() == 1
+    assert read_csv_day(spark, str(tmp_path), DAY_TWO).count() == 1
+
+
+def test_files_do_not_grow_with_the_symbols(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.lit("2024-01-02").alias("timestamp"),
+        *[F.lit("1").alias(c) for c in CSV_COLUMNS[1:-1]],
+        F.format_string("S%d", "id").alias("symbol"),
+    )
+    path = write_csv(rows, str(tmp_path), DAY_ONE)
+    assert len(list(Path(path).glob("*.csv"))) <= 8
+    assert read_csv(spark, path).select("symbol").distinct().count() == 4000
+
+
+def test_ragged_lines_are_told_from_others(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    lines = ["2024-01-02,1,1,1,1,1,A", "2024-01-02,1,1,1", "2024-01-02,1,1,1,1,1,B,more", "2024-01-03,,,,,,C"]
+    file.write_text("\n".join([",".join(CSV_COLUMNS), *lines]) + "\n")
+    rows = read_csv_judged(spark, str(file)).collect()
+    assert [(r.timestamp, r.symbol) for r in rows if r.reason is None] == [
+        ("2024-01-02", "A"), ("2024-01-03", "C"),
+    ]
+    assert sorted((r.timestamp, r.symbol, r.reason) for r in rows if r.reason) == [
+        (lines[1], None, RAGGED), (lines[2], None, RAGGED),
+    ]
 
 
 def test_a_hot_symbol_is_cut_into_ranges(spark, tmp_path):

@@ -1,5 +1,6 @@
 """Landed documents: validity, order, repeated days, odd symbols."""
 
+import datetime as dt
 import json
 import random
 
@@ -31,6 +32,13 @@ def parsed(spark, path, **kwargs):
         (payload({"2024-01-02": DAY})[:-5], "not a valid document"),
         (f'{{"{SERIES_KEY}": [1, 2]}}', "not a valid document"),
         (f"{{'{SERIES_KEY}': {{}}}}", "not a valid document"),
+        (payload({"2024-01-02": DAY}) * 2, "not a valid document"),
+        (payload({"2024-01-02": DAY}) + "\n" + payload({"2024-01-03": DAY}), "not a valid document"),
+        (payload({"2024-01-02": DAY}) + ", " + payload({"2024-01-03": DAY}), "not a valid document"),
+        (payload({"2024-01-02": DAY}) + " trailing", "not a valid document"),
+        (payload({"2024-01-02": DAY}) + "]", "not a valid document"),
+        (payload({"2024-01-02": DAY}) + ", 1] x", "not a valid document"),
+        (" ", "not a valid document"),
         (f'{{"{SERIES_KEY}": {{}}}}', "empty daily series"),
         (f'{{"{SERIES_KEY}": {{"2024-01-02": null}}}}', "day without values"),
     ],
@@ -97,6 +105,21 @@ def test_symbols_stay_text_and_prune_the_scan(spark, tmp_path):
     )
 
 
+def test_blanks_around_a_document_are_no_fault(spark, tmp_path):
+    path = land(tmp_path, "IBM", " \n" + payload({"2024-01-02": DAY}) + " \n\t ")
+    assert explode_series(require_usable(parsed(spark, path))).count() == 1
+
+
+def test_a_day_is_read_by_itself(spark, tmp_path):
+    other = dt.date(2024, 1, 6)
+    land(tmp_path, "A", payload({"2024-01-02": DAY}))
+    path = land(tmp_path, "B", payload({"2024-01-02": DAY}), day=other)
+    assert {r.symbol for r in read_landing(spark, path).collect()} == {"A", "B"}
+    one = read_landing(spark, path, other)
+    assert [r.symbol for r in one.collect()] == ["B"]
+    assert all("landed=20240106" in file for file in one.inputFiles())
+
+
 def test_packed_documents(spark, tmp_path):
     lines = [payload({f"2024-01-0{d}": DAY}) for d in (1, 2, 3)]
     path = land(tmp_path, "IBM", "\n".join(lines))

@@ -1,5 +1,6 @@
 """Physical plans: pushdown, pruning, joins, no Python in the tasks."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -8,11 +9,18 @@ from pyspark.sql import functions as F
 from starload.functions.dates import month_key
 from starload.operators.dims import build_dim_date, staged_symbols
 from starload.operators.facts import build_fact
-from starload.plans.load import load_dimensions, load_fact, load_staging
-from starload.plans.warehouse import MONTH, merge_months, plan_layout
+from starload.plans.load import (
+    audit_tables,
+    last_landed,
+    load_dimensions,
+    load_fact,
+    load_staging,
+)
+from starload.plans.warehouse import LOAD, MONTH, merge_months, plan_layout
 from starload.queries.bars import bars
 from starload.queries.registry import QUERIES
-from tests.conftest import SF_DIR, raw, row, rows_of
+from starload.sources.payloads import explode_series, parse_payloads, read_landing
+from tests.conftest import SF_DIR, land, payload, raw, row, rows_of
 
 
 def physical(df) -> str:
@@ -65,27 +73,47 @@ def test_distinct_days_combine_before_the_shuffle(loaded):
     assert "SortAggregate" not in plan
 
 
-def test_month_filter_prunes_the_fact(spark, loaded):
-    plan = formatted(spark.table(loaded.fact).filter("month_key = 202401"))
-    assert "month_key=202401" in plan and "month_key=202402" not in plan
+def test_days_prune_the_fact(loaded):
+    january = loaded.read_fact(dt.date(2024, 1, 1), dt.date(2024, 1, 31), ["A"])
+    plan = formatted(january)
+    filters = re.search(r"PartitionFilters: (.*)", plan)[1]
+    assert "month_key" in filters and "202401" in filters
+    assert "EqualTo(symbol_code,A)" in plan or "In(symbol_code, [A])" in plan
+    assert len(january.inputFiles()) == 1
+    assert rows_of(january) == {r for r in rows_of(loaded.read(loaded.fact)) if r[:2] == (20240102, "A")}
 
 
 def test_months_are_merged_by_one_shuffle_and_one_sort(spark, loaded):
     incoming = build_fact(loaded.read(loaded.staging), loaded.read(loaded.dim_date))
     incoming = incoming.withColumn(MONTH, month_key(F.col("date_key")))
     months = [202312, 202401, 202402]
-    existing = spark.table(loaded.fact).filter(F.col(MONTH).isin(months))
-    layout, tasks = plan_layout([(m, 4, "b") for m in months], rows_per_file=2, parallelism=8)
+    existing = loaded.fact_source(months).drop(LOAD)
+    layout, tasks = plan_layout([(m, 4) for m in months], rows_per_file=2, parallelism=8)
     plan = physical(merge_months(existing, incoming, layout, tasks))
     assert len(re.findall(r"Exchange (hash|range|shuffle|REPART|Single|\w*partition)", plan)) == 1
     assert plan.count("Sort [") == 1
     assert "SortMergeJoin" not in plan and "Aggregate" not in plan
 
 
+def test_the_audit_scans_the_fact_once(loaded):
+    plan = formatted(audit_tables(loaded))
+    scans = re.findall(r"Location: .*", plan)
+    assert sum("fact_files" in s for s in scans) == 1
+    assert sum("stock_prices" in s for s in scans) == 1
+    assert "CartesianProduct" not in plan
+
+
+def test_last_landed_rows_are_laid_out_by_one_shuffle(spark, tmp_path):
+    path = land(tmp_path, "IBM", payload({"2024-01-02": (1, 2, 0.5, 1.5, 100)}))
+    rows = last_landed(explode_series(parse_payloads(read_landing(spark, path))))
+    assert physical(rows).count("Exchange") == 1
+
+
 def test_bars_combine_before_the_shuffle_and_read_only_what_they_need(spark):
     plan = bars(spark, SF_DIR)
     assert physical(plan).count("Exchange hashpartitioning") == 1
-    assert "Aggregate" in physical(plan).split("Exchange hashpartitioning")[1]
+    assert physical(plan).count("HashAggregate") == 2
+    assert "SortAggregate" not in physical(plan)
     schemas = re.findall(r"ReadSchema: (.*)", formatted(plan))
     assert any("p_brand" in s and "p_name" not in s for s in schemas)
     assert not any("l_tax" in s for s in schemas)

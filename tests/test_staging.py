@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starload.operators.reports import first_rows, row_count
 from starload.operators.staging import quarantine, to_staging
@@ -61,12 +62,26 @@ def test_bad_row_fails_the_job(session, bad, reason):
 
 
 def test_quarantine_splits(session):
-    rows = raw(session, row("2024-01-02", "OK"), *[bad for bad, _ in BAD])
+    more = [
+        (row(None, "A"), "date is missing"),
+        (row("2024-01-09", "TWICE", price="1"), "repeated key"),
+        (row("2024-01-09", "TWICE", price="2"), "repeated key"),
+    ]
+    rows = raw(session, row("2024-01-02", "OK"), *[bad for bad, _ in BAD + more], row("2024-01-09", "OK"))
+    good, rejects = quarantine(rows)
+    assert sorted((str(r.date), r.symbol) for r in good.collect()) == [("2024-01-02", "OK"), ("2024-01-09", "OK")]
+    assert sorted(map(repr, map(tuple, rejects.collect()))) == sorted(
+        repr((*bad, reason.replace("\\", ""))) for bad, reason in BAD + more
+    )
+
+
+def test_quarantine_keeps_reasons_that_rows_came_with(session):
+    rows = raw(session, row("2024-01-02", "OK"), row("2024-01-02", "B")).withColumn(
+        "reason", F.when(F.col("symbol") == "B", "for some reason")
+    )
     good, rejects = quarantine(rows)
     assert [r.symbol for r in good.collect()] == ["OK"]
-    kept = rejects.collect()
-    assert [tuple(r)[:-1] for r in kept] == [bad for bad, _ in BAD]
-    assert [r.reason for r in kept] == [reason.replace("\\", "") for _, reason in BAD]
+    assert [(r.symbol, r.reason) for r in rejects.collect()] == [("B", "for some reason")]
 
 
 def test_reports(spark):

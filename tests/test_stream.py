@@ -20,7 +20,7 @@ def drop(spark, warehouse, tmp_path):
             land(tmp_path / "in", symbol, payload(days), name)
             # Landing order is the order of modification times.
             stamp = 1_700_000_000 + 10 * int(name.split(".")[0])
-            os.utime(tmp_path / "in" / f"symbol={symbol}" / name, (stamp, stamp))
+            os.utime(tmp_path / "in" / "landed=20240105" / f"symbol={symbol}" / name, (stamp, stamp))
         query = ingest(spark, str(tmp_path / "in"), warehouse, str(tmp_path / "cp"), **kwargs)
         query.awaitTermination()
         rows = warehouse.read(warehouse.fact).collect()
@@ -69,3 +69,50 @@ def test_unusable_document_stops_the_stream(spark, warehouse, tmp_path):
     with pytest.raises(FAILURE, match="unusable payload of symbol A"):
         query.awaitTermination()
     assert warehouse.read(warehouse.fact).count() == 0
+
+
+def test_a_bad_document_does_not_block_the_stream(spark, warehouse, drop, tmp_path):
+    rejects = str(tmp_path / "rejects")
+    land(tmp_path / "in", "BAD", '{"Note": "limit"}', "bad.json")
+    found = drop(("A", {JAN_2: prices(1), JAN_3: (1, 1, 1, 1, "x")}), rejects=rejects)
+    assert found == {(20240102, "A"): 1.0}
+    assert drop(("A", {FEB_1: prices(2)}), rejects=rejects) == {**found, (20240201, "A"): 2.0}
+    documents = spark.read.parquet(f"{rejects}/documents").collect()
+    assert [(r.symbol, r.reason) for r in documents] == [("BAD", "no daily series")]
+    rows = spark.read.parquet(f"{rejects}/rows").collect()
+    assert [(r.timestamp, r.reason) for r in rows] == [(JAN_3, "volume is not a bigint")]
+
+
+def test_a_repeated_batch_does_not_double_its_rejects(spark, warehouse, tmp_path, monkeypatch):
+    rejects, checkpoint = str(tmp_path / "rejects"), str(tmp_path / "cp")
+    land(tmp_path / "in", "BAD", "nonsense")
+    land(tmp_path / "in", "A", payload({JAN_2: prices(1), JAN_3: (1, 1, 1, 1, "x")}))
+
+    def start():
+        return ingest(spark, str(tmp_path / "in"), warehouse, checkpoint, rejects=rejects)
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("starload.streaming.ingest.load_fact", die)
+        with pytest.raises(FAILURE, match="lost"):
+            start().awaitTermination()
+    start().awaitTermination()
+    assert spark.read.parquet(f"{rejects}/documents").count() == 1
+    assert spark.read.parquet(f"{rejects}/rows").count() == 1
+    assert warehouse.read(warehouse.fact).count() == 1
+
+
+def test_packed_documents_in_the_stream(spark, warehouse, tmp_path):
+    lines = [payload({f"2024-01-0{d}": prices(d)}) for d in (1, 2, 3)]
+    land(tmp_path / "in", "A", "\n".join(lines))
+    ingest(spark, str(tmp_path / "in"), warehouse, str(tmp_path / "cp"), packed=True).awaitTermination()
+    assert warehouse.read(warehouse.fact).count() == 3
+
+
+def test_a_file_of_several_documents_stops_the_stream(spark, warehouse, tmp_path):
+    lines = [payload({f"2024-01-0{d}": prices(d)}) for d in (1, 2, 3)]
+    land(tmp_path / "in", "A", "\n".join(lines))
+    with pytest.raises(FAILURE, match="not a valid document"):
+        ingest(spark, str(tmp_path / "in"), warehouse, str(tmp_path / "cp")).awaitTermination()

@@ -1,21 +1,30 @@
 """Tables: definitions, replacement, failure, reruns, months."""
 
 import datetime as dt
+import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+import starload.plans.warehouse as house
 from starload.functions.dates import month_key
 from starload.operators.staging import to_staging
-from starload.plans.load import load_dimensions, load_fact, load_staging, run
+from starload.plans.load import (
+    AuditError,
+    load_dimensions,
+    load_fact,
+    load_staging,
+    run,
+)
 from starload.plans.warehouse import Warehouse, plan_layout, save_distributed
 from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, STAGING, names
 from starload.sources.prices_csv import read_csv
 from tests.conftest import FAILURE, land, payload, raw, row, rows_of
 
-RUN_DATE = dt.date(2024, 1, 5)
+RUN_DATE, NEXT_DAY = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
 
 
 def load(spark, warehouse, *rows, symbols=None):
@@ -32,13 +41,17 @@ def facts(warehouse):
 def fact_files(warehouse):
     return {
         (r.month_key, r.file)
-        for r in warehouse.spark.table(warehouse.fact)
+        for r in warehouse.fact_source()
         .select("month_key", F.col("_metadata.file_path").alias("file"))
         .distinct()
         .collect()
     }
 
 
+def all_fact_files(warehouse):
+    return list(Path(warehouse.root).glob("storage/fact_files/load=*/*/*.parquet"))
+
+
 def test_create_twice_and_list(warehouse):
     warehouse.create()
     assert warehouse.tables("staging") == ["stock_prices"]
@@ -124,7 +137,7 @@ def test_rerun_changes_nothing(spark, warehouse):
     assert len(list(Path(warehouse.root).glob("public/dim_*/*.parquet"))) == dim_files
 
 
-def test_untouched_months_keep_their_files_and_old_copies_do_not_pile_up(spark, warehouse):
+def test_untouched_months_keep_their_files_and_old_copies_can_go(spark, warehouse):
     load(spark, warehouse, row("2024-01-02", "A"), row("2024-02-02", "A"))
     before = fact_files(warehouse)
     for price in ("2", "3", "4"):
@@ -132,8 +145,41 @@ def test_untouched_months_keep_their_files_and_old_copies_do_not_pile_up(spark,
     after = fact_files(warehouse)
     assert {f for f in before if f[0] == 202401} == {f for f in after if f[0] == 202401}
     assert facts(warehouse)[(20240202, "A")] == (4.0, 10)
-    stored = list(Path(warehouse.root).glob("public/fact_stock_prices/*/month_key=202402/*.parquet"))
-    assert len(stored) == 2
+    assert len(all_fact_files(warehouse)) == 5
+    assert warehouse.remove_old(dt.timedelta(days=1)) == 0
+    # Of the fact loads 2 and 3; of staging all but the last.
+    assert warehouse.remove_old(dt.timedelta(0)) == 2 + 3
+    assert len(all_fact_files(warehouse)) == 3
+    assert fact_files(warehouse) == after
+    assert facts(warehouse) == {(20240102, "A"): (1.5, 10), (20240202, "A"): (4.0, 10)}
+    assert load(spark, warehouse, row("2024-02-02", "A", price="5")) == 1
+    assert facts(warehouse)[(20240202, "A")] == (5.0, 10)
+
+
+def test_readers_that_planned_before_two_loads_finish(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"))
+    other = spark.newSession()
+    planned = warehouse.on(other).read(warehouse.fact)
+    staged = warehouse.on(other).read(warehouse.staging)
+    for df in (planned, staged):
+        df._jdf.queryExecution().executedPlan()
+    for price in ("2", "3"):
+        load(spark, warehouse, row("2024-01-02", "A", price=price))
+    assert [float(r.open_price) for r in planned.collect()] == [1.5]
+    assert [float(r.open_price) for r in staged.collect()] == [1.5]
+    assert [float(r.open_price) for r in warehouse.on(other).read(warehouse.fact).collect()] == [3.0]
+
+
+def test_fact_reads_by_days_and_symbols(spark, warehouse):
+    days = ("2023-12-31", "2024-01-01", "2024-01-31", "2024-02-01")
+    load(spark, warehouse, *[row(d, s) for d in days for s in "AB"])
+    january = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+    found = {(r.date_key, r.symbol_code) for r in warehouse.read_fact(*january).collect()}
+    assert found == {(20240101, "A"), (20240101, "B"), (20240131, "A"), (20240131, "B")}
+    assert warehouse.read_fact(first_day=january[1]).count() == 4
+    assert warehouse.read_fact(last_day=january[0], symbols=["A"]).count() == 2
+    assert warehouse.read_fact(symbols=["none"]).count() == 0
+    assert warehouse.read_fact().count() == 8
 
 
 def test_failed_fact_load_leaves_every_month(spark, warehouse):
@@ -147,19 +193,39 @@ def test_failed_fact_load_leaves_every_month(spark, warehouse):
     assert facts(warehouse) == {**before, (20240102, "A"): (9.0, 10)}
 
 
-def test_a_load_that_dies_before_repointing_leaves_the_fact(spark, warehouse, monkeypatch):
-    load(spark, warehouse, row("2024-01-02", "A"))
+@pytest.mark.parametrize("step", ["_write_load", "live_months", "_publish", "after files", "after list"])
+def test_a_load_that_dies_shows_all_old_rows(spark, warehouse, monkeypatch, step):
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-02-02", "A"))
+    before = facts(warehouse)
+    changed = [row("2024-01-02", "A", price="9"), row("2024-02-02", "A", price="9"), row("2024-05-02", "A")]
 
-    def die(self, slots, known):
+    def die(*_, **__):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(Warehouse, "_repoint", die)
+        if step == "after files":
+            patch.setattr(DataFrameReader, "schema", die)  # the first thing after the write
+        elif step == "after list":
+            write = house.write_text
+            patch.setattr(house, "write_text", lambda *args: (write(*args), die()))
+        else:
+            patch.setattr(Warehouse, step, die)
         with pytest.raises(RuntimeError):
-            load(spark, warehouse, row("2024-01-02", "A", price="9"), row("2024-05-02", "A"))
-    assert facts(warehouse) == {(20240102, "A"): (1.5, 10)}
-    load(spark, warehouse, row("2024-01-02", "A", price="9"), row("2024-05-02", "A"))
-    assert facts(warehouse) == {(20240102, "A"): (9.0, 10), (20240502, "A"): (1.5, 10)}
+            load(spark, warehouse, *changed)
+    assert facts(warehouse) == before
+    load(spark, warehouse, *changed)
+    assert facts(warehouse) == {(20240102, "A"): (9.0, 10), (20240202, "A"): (9.0, 10), (20240502, "A"): (1.5, 10)}
+
+
+def test_publishing_makes_no_statement_per_month(spark, warehouse, monkeypatch):
+    months = [row(f"20{y}-{m:02}-02", "A") for y in range(20, 24) for m in range(1, 13)]
+    load(spark, warehouse, *months)
+    statements = []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: statements.append(text) or sql(self, text, *a, **k))
+    load_fact(warehouse)
+    changes = [s for s in statements if not s.startswith(("SHOW", "DESCRIBE"))]
+    assert [s.split()[0] for s in changes] == ["ALTER", "CREATE"]
 
 
 def test_a_hot_month_becomes_many_files(spark, warehouse):
@@ -174,7 +240,7 @@ def test_a_hot_month_becomes_many_files(spark, warehouse):
     table = warehouse.read(warehouse.fact)
     assert table.count() == table.distinct().count() == 30040
     per_file = (
-        spark.table(warehouse.fact)
+        warehouse.fact_source()
         .groupBy("month_key", F.col("_metadata.file_path").alias("file"))
         .count()
         .collect()
@@ -189,12 +255,12 @@ def test_a_hot_month_becomes_many_files(spark, warehouse):
 
 
 def test_layout_splits_large_months_and_packs_small_ones():
-    months = [(202301, 10, "a"), (202302, 10, "b"), (202401, 1000, "a")]
+    months = [(202301, 10), (202302, 10), (202401, 1000)]
     layout, tasks = plan_layout(months, rows_per_file=100, parallelism=4)
-    assert [(m.key, m.slot, m.parts, m.first_part) for m in layout] == [
-        (202401, "a", 10, 0),
-        (202301, "a", 1, 10),
-        (202302, "b", 1, 11),
+    assert [(m.key, m.parts, m.first_part) for m in layout] == [
+        (202401, 10, 0),
+        (202301, 1, 10),
+        (202302, 1, 11),
     ]
     assert tasks == 11
 
@@ -267,7 +333,7 @@ def test_unusable_document_stops_the_run_before_staging(spark, warehouse, tmp_pa
     assert [r.symbol for r in warehouse.read(warehouse.staging).collect()] == ["OLD"]
 
 
-def test_run_with_a_rejects_folder_loads_the_rest(spark, warehouse, tmp_path):
+def test_run_with_a_rejects_folder_loads_the_rest_and_keeps_all_rejects(spark, warehouse, tmp_path):
     landing, rejects = tmp_path / "landing", str(tmp_path / "rejects")
     good = (1, 2, 0.5, 1.5, 100)
     land(landing, "A", payload({"2024-01-02": good, "2024-01-03": (1, 2, 0.5, 1.5, "1.5")}))
@@ -275,12 +341,56 @@ def test_run_with_a_rejects_folder_loads_the_rest(spark, warehouse, tmp_path):
     csv = str(tmp_path / "csv")
     report = run(spark, str(landing), csv, warehouse, RUN_DATE, rejects=rejects)
     assert (report.staged_rows, report.fact_rows) == (1, 1)
+    land(landing, "A", payload({"2024-01-04": good}), day=NEXT_DAY)
+    report = run(spark, str(landing), csv, warehouse, NEXT_DAY, rejects=rejects)
+    assert (report.staged_rows, report.fact_rows) == (1, 1)
     documents = spark.read.parquet(f"{rejects}/documents").collect()
-    assert [(r.symbol, r.reason) for r in documents] == [("B", "no daily series")]
+    assert [(r.symbol, r.reason, r.run_date) for r in documents] == [("B", "no daily series", 20240105)]
     rows = spark.read.parquet(f"{rejects}/rows").collect()
     assert [(r.timestamp, r.volume, r.reason) for r in rows] == [
         ("2024-01-03", "1.5", "volume is not a bigint")
     ]
+    assert set(facts(warehouse)) == {(20240102, "A"), (20240104, "A")}
+
+
+def test_a_second_day_with_overlapping_documents(spark, warehouse, tmp_path):
+    landing, csv = tmp_path / "landing", str(tmp_path / "csv")
+    land(landing, "A", payload({"2024-01-03": (1, 1, 1, 1, 1), "2024-01-04": (1, 1, 1, 1, 1)}))
+    run(spark, str(landing), csv, warehouse, RUN_DATE)
+    for number, price in enumerate((9, 2)):
+        name = f"{number}.json"
+        land(landing, "A", payload({"2024-01-04": (price,) * 5, "2024-01-05": (price,) * 5}), name, NEXT_DAY)
+        stamp = 1_700_000_000 + number
+        os.utime(landing / "landed=20240106" / "symbol=A" / name, (stamp, stamp))
+    report = run(spark, str(landing), csv, warehouse, NEXT_DAY)
+    assert report.staged_rows == 2
+    assert facts(warehouse) == {
+        (20240103, "A"): (1.0, 1), (20240104, "A"): (2.0, 2), (20240105, "A"): (2.0, 2),
+    }
+
+
+def test_a_run_stages_only_what_it_extracted(spark, warehouse, tmp_path):
+    landing, csv, rejects = tmp_path / "landing", str(tmp_path / "csv"), str(tmp_path / "rejects")
+    for symbol in "AB":
+        land(landing, symbol, payload({"2024-01-02": (1, 1, 1, 1, 1)}))
+    run(spark, str(landing), csv, warehouse, RUN_DATE, symbols=["A"])
+    run(spark, str(landing), csv, warehouse, RUN_DATE, symbols=["B"])
+    assert [r.symbol for r in warehouse.read(warehouse.staging).collect()] == ["B"]
+    land(landing, "B", "spoilt")
+    report = run(spark, str(landing), csv, warehouse, RUN_DATE, symbols=["B"], rejects=rejects)
+    assert report.staged_rows == 0
+    assert spark.read.parquet(f"{rejects}/documents").count() == 1
+
+
+def test_a_run_checks_before_it_writes_the_fact(spark, warehouse, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "A", payload({"2024-01-02": (1, 1, 1, 1, 1)}))
+    spark.sql(f"INSERT INTO {warehouse.dim_symbol} VALUES (1, 'B', 'x'), (2, 'B', 'x')")
+    with pytest.raises(AuditError, match="dim_symbol: symbol_code unique \\(1\\)"):
+        run(spark, str(landing), str(tmp_path / "csv"), warehouse, RUN_DATE)
+    assert facts(warehouse) == {}
+    run(spark, str(landing), str(tmp_path / "csv"), warehouse, RUN_DATE, check=False, with_calendar=True)
+    assert facts(warehouse) == {(20240102, "A"): (1.0, 1)}
 
 
 def test_run_needs_a_symbol(spark, warehouse, tmp_path):
@@ -301,8 +411,8 @@ def test_month_key(spark):
 def test_tables_hashed_alike_join_without_a_shuffle(spark, warehouse):
     staged = to_staging(raw(spark, row("2024-01-02", "A"), row("2024-01-03", "B")))
     left, right = f"{warehouse.prefix}public.left_side", f"{warehouse.prefix}public.right_side"
-    save_distributed(staged, left, "date", 4)
-    save_distributed(staged.select("date", F.lit(1).alias("one")), right, "date", 4)
+    save_distributed(staged, left, ["date"], 4)
+    save_distributed(staged.select("date", F.lit(1).alias("one")), right, ["date"], 4)
     joined = spark.table(left).hint("merge").join(spark.table(right), "date")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 2
