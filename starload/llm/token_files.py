@@ -36,12 +36,12 @@ from pyspark.sql.window import Window
 
 from starload.llm.common import Batches, parallelism, text_of
 
-_HELD_WORDS = 700_000  # words whose tokens a worker remembers, twice over
+_HELD_WORDS = 500_000  # words whose tokens a worker remembers, twice over
 _LONG_WORD = 64  # code points from which on a word is forgotten at once
 _MARKS = ".,;:!?"
 _NOT_LATIN_1 = 0xC4  # the first byte of the first code point beyond Latin-1 in UTF-8
 _NOT_LATIN = "\u0250"  # the first code point after the Latin letters that need no context
-_BYTES_AT_ONCE = 8 << 20
+_BYTES_AT_ONCE = 4 << 20
 _DOCUMENTS_AT_ONCE = 4096
 
 _PART = "part INT, file STRING, width INT, documents BIGINT, tokens BIGINT, nameless BIGINT"
