@@ -20,7 +20,7 @@ import functools
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from hashlib import blake2b
 
 import pandas as pd
@@ -112,6 +112,7 @@ def parse(page: str) -> Element:
     line break ends a text. Scripts, styles and comments are left out."""
     root = Element("", "")
     stack = [root]
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
     pieces: list[str] = []
     linked, in_link, at = 0, False, 0
 
@@ -125,13 +126,12 @@ def parse(page: str) -> Element:
         linked = 0
 
     def close(names, unless=()) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in names:
-                end_text()
-                del stack[depth:]
-                return
-            if stack[depth].name in unless:
-                return
+        depth, bar = (max((places[n][-1] for n in some if places.get(n)), default=0) for some in (names, unless))
+        if depth > bar:
+            end_text()
+            for element in stack[depth:]:
+                places[element.name].pop()
+            del stack[depth:]
 
     while True:
         token = _TOKEN.search(page, at)
@@ -152,7 +152,7 @@ def parse(page: str) -> Element:
                 in_link = not token.group(1)
             continue
         if token.group(1):
-            if name == "p" and not any(e.name == "p" for e in stack):
+            if name == "p" and not places.get("p"):
                 end_text()
             else:
                 close((name,))
@@ -171,6 +171,7 @@ def parse(page: str) -> Element:
         in_link = False
         element = Element(name, signature(name, token.group(3)))
         stack[-1].children.append(element)
+        places.setdefault(name, []).append(len(stack))
         stack.append(element)
     end_text()
     return root
@@ -202,35 +203,85 @@ class Part:
     def is_group(self) -> bool:
         return self.signature[:1] == "("
 
-    def to_list(self) -> list:
-        flags = self.optional + 2 * self.repeated + 4 * self.article
-        return [self.signature, flags, self.free, self.fixed, [c.to_list() for c in self.children]]
+    def to_list(self) -> list[list]:
+        """All parts, every one before its children, with the number of these."""
+        return [
+            [p.signature, p.optional + 2 * p.repeated + 4 * p.article, p.free, p.fixed, len(p.children)]
+            for p in outermost_first(self)
+        ]
 
     @classmethod
-    def from_list(cls, saved: list) -> Part:
-        part = cls(saved[0], [cls.from_list(c) for c in saved[4]], bool(saved[1] & 1), bool(saved[1] & 2), saved[2], saved[3])
-        part.article = bool(saved[1] & 4)
-        return part
+    def from_list(cls, saved: list[list]) -> Part:
+        waiting: list[Part] = []  # roots of what has been read from the end, the last one first
+        for name, flags, free, fixed, n in reversed(saved):
+            children = waiting[len(waiting) - n :][::-1]
+            del waiting[len(waiting) - n :]
+            part = cls(name, children, bool(flags & 1), bool(flags & 2), free, fixed)
+            part.article = bool(flags & 4)
+            waiting.append(part)
+        return waiting[0]
+
+
+def outermost_first(top):
+    """An element or a part with all those in it, every one before its children, in order."""
+    stack = [top]
+    while stack:
+        one = stack.pop()
+        yield one
+        stack += [c for c in reversed(one.children) if not isinstance(c, tuple)]
+
+
+def _run(call: Generator):
+    """What a generator returns that yields the calls it needs the results of. Pages nest
+    deeper than Python's calls may."""
+    calls, result = [call], None
+    while calls:
+        try:
+            call = calls[-1].send(result)
+        except StopIteration as end:
+            calls.pop()
+            result = end.value
+        else:
+            calls.append(call)
+            result = None
+    return result
 
 
 def to_wrapper(element: Element) -> Part:
     """The wrapper that fits this element alone."""
-    children = []
-    for child in element.children:
-        if isinstance(child, Element):
-            children.append(to_wrapper(child))
-        else:
-            text, linked = child
-            fixed = blake2b(clean(text).encode(errors="replace"), digest_size=8).hexdigest()
-            children.append(Part(TEXT, free=len(text) - linked, fixed=fixed))
-    return Part(element.signature, fold_repeats(children))
+    made: dict[int, Part] = {}
+    for one in reversed(list(outermost_first(element))):
+        children = []
+        for child in one.children:
+            if isinstance(child, Element):
+                children.append(made.pop(id(child)))
+            else:
+                text, linked = child
+                fixed = blake2b(clean(text).encode(errors="replace"), digest_size=8).hexdigest()
+                children.append(Part(TEXT, free=len(text) - linked, fixed=fixed))
+        made[id(one)] = Part(one.signature, fold_repeats(children))
+    return made[id(element)]
 
 
 def merge(a: Part, b: Part) -> Part:
     """One part that fits whatever either of two parts of equal signature fits."""
+    return _run(_merge(a, b))
+
+
+def fold_repeats(parts: list[Part]) -> list[Part]:
+    """Runs of equal tags, or of equal groups of tags, become one repeated part."""
+    if len(parts) < 2:
+        return list(parts)
+    return _run(_fold_repeats(parts))
+
+
+def _merge(a: Part, b: Part) -> Generator:
+    children = ()
+    if a.children or b.children:
+        children = yield _align(a.children, b.children)
     return Part(
         a.signature,
-        align(a.children, b.children),
+        children,
         a.optional or b.optional,
         a.repeated or b.repeated,
         a.free + b.free,
@@ -238,8 +289,7 @@ def merge(a: Part, b: Part) -> Part:
     )
 
 
-def fold_repeats(parts: list[Part]) -> list[Part]:
-    """Runs of equal tags, or of equal groups of tags, become one repeated part."""
+def _fold_repeats(parts: list[Part]) -> Generator:
     for width in range(1, MAX_GROUP + 1):
         names = [p.signature for p in parts]
         folded: list[Part] = []
@@ -255,7 +305,10 @@ def fold_repeats(parts: list[Part]) -> list[Part]:
                 continue
             merged = parts[at : at + width]
             for other in range(at + width, end, width):
-                merged = [merge(x, y) for x, y in zip(merged, parts[other : other + width], strict=True)]
+                turn = zip(merged, parts[other : other + width], strict=True)
+                merged = []
+                for x, y in turn:
+                    merged.append((yield _merge(x, y)))
             if width == 1:
                 merged[0].repeated = True
                 folded.append(merged[0])
@@ -284,7 +337,7 @@ def _grouped(parts: list[Part], groups: list[Part]) -> list[Part]:
     return parts
 
 
-def align(a: list[Part], b: list[Part]) -> list[Part]:
+def _align(a: list[Part], b: list[Part]) -> Generator:
     """Two sequences of parts as one: what both have in common order is merged, the rest
     becomes optional."""
     if [p.signature for p in a] != [p.signature for p in b]:
@@ -301,10 +354,10 @@ def align(a: list[Part], b: list[Part]) -> list[Part]:
             part.optional = True
             result.append(part)
         if x < len(a):
-            result.append(merge(a[x], b[y]))
+            result.append((yield _merge(a[x], b[y])))
         i, j = x + 1, y + 1
     if len(common) < max(len(a), len(b)):
-        return fold_repeats(result)
+        return (yield _fold_repeats(result))
     return result
 
 
@@ -348,28 +401,41 @@ def _is_named(signature: str, name: str) -> bool:
     return tag == name or (name != "article" and name in words)
 
 
-def _free_text(part: Part) -> int:
-    """Characters outside links in free slots that may belong to an article."""
-    if part.signature == TEXT:
-        return part.free if part.fixed is None else 0
-    if not part.is_group and is_boilerplate(part.signature):
-        return 0
-    return sum(map(_free_text, part.children))
+def _free_text(wrapper: Part) -> dict[int, int]:
+    """By id of each part, its characters outside links in free slots that may belong to an
+    article."""
+    free: dict[int, int] = {}
+    for part in reversed(list(outermost_first(wrapper))):
+        if part.signature == TEXT:
+            free[id(part)] = part.free if part.fixed is None else 0
+        elif not part.is_group and is_boilerplate(part.signature):
+            free[id(part)] = 0
+        else:
+            free[id(part)] = sum(free[id(c)] for c in part.children)
+    return free
 
 
 def mark_article(wrapper: Part) -> Part:
     """Set `article` on the parts that hold the main text."""
 
-    def mark(part: Part, name: str) -> bool:
+    def mark(name: str) -> bool:
         """Mark the outermost parts of that name; whether there are any."""
-        if is_boilerplate(part.signature):
-            return False
-        part.article = _is_named(part.signature, name)
-        return part.article or any([mark(c, name) for c in part.children])
+        found, stack = False, [wrapper]
+        while stack:
+            part = stack.pop()
+            if is_boilerplate(part.signature):
+                continue
+            part.article = _is_named(part.signature, name)
+            if part.article:
+                found = True
+            else:
+                stack += part.children
+        return found
 
-    if any(mark(wrapper, name) for name in ARTICLE_NAMES):
+    if any(mark(name) for name in ARTICLE_NAMES):
         return wrapper
-    most, part = _MOST * _free_text(wrapper), wrapper
+    free = _free_text(wrapper)
+    most, part = _MOST * free[id(wrapper)], wrapper
     while most:
         # Paragraphs, which repeat or hold text themselves, are too small to be an article.
         inner = [
@@ -377,7 +443,7 @@ def mark_article(wrapper: Part) -> Part:
             for c in part.children
             if not c.repeated
             and not any(own.signature == TEXT for own in c.children)
-            and _free_text(c) >= most
+            and free[id(c)] >= most
         ]
         if not inner:
             break
@@ -399,36 +465,56 @@ def main_text(page: str | None, wrapper: Part) -> str:
 
 
 def _gather(element: Element, blocks: list[str], inside: bool = False) -> None:
-    for child in element.children:
-        if not isinstance(child, Element):
-            blocks.append(child[0])
-        elif not is_boilerplate(child.signature, inside):
-            _gather(child, blocks, inside)
-
-
-def _read(element: Element, part: Part, blocks: list[str]) -> bool:
-    """Walk an element along its part of the wrapper; whether an article was met."""
-    if part.article:
-        named = any(_is_named(element.signature, name) for name in ARTICLE_NAMES)
-        _gather(element, blocks, inside=named)
-        return True
-    slots: list[Part] = []
-    turns: list[int] = []  # where the group of a slot begins, if it is in one
-    for child in part.children:
-        own = child.children if child.is_group else [child]
-        turns += [len(slots) if child.is_group else -1] * len(own)
-        slots += own
-    met, at = False, 0
-    for child in element.children:
-        if not isinstance(child, Element):
-            continue
-        found = _next(slots, turns, at, child.signature)
+    stack: list[Element | tuple[str, int]] = [element]
+    while stack:
+        one = stack.pop()
+        if not isinstance(one, Element):
+            blocks.append(one[0])
+        elif one is element or not is_boilerplate(one.signature, inside):
+            stack += reversed(one.children)
+
+
+class _Place:
+    """Where the tags in an element are on its part of the wrapper."""
+
+    __slots__ = ("children", "slots", "turns", "at")
+
+    def __init__(self, element: Element, part: Part):
+        self.children = iter(element.children)
+        self.slots: list[Part] = []
+        self.turns: list[int] = []  # where the group of a slot begins, if it is in one
+        self.at = 0
+        for child in part.children:
+            own = child.children if child.is_group else [child]
+            self.turns += [len(self.slots) if child.is_group else -1] * len(own)
+            self.slots += own
+
+    def part_of(self, element: Element) -> Part | None:
+        """The part of the next element, if the wrapper has one."""
+        found = _next(self.slots, self.turns, self.at, element.signature)
         if found is None:
-            continue
-        at = found
-        met |= _read(child, slots[found], blocks)
-        if not slots[found].repeated:
-            at = found + 1
+            return None
+        self.at = found if self.slots[found].repeated else found + 1
+        return self.slots[found]
+
+
+def _read(root: Element, wrapper: Part, blocks: list[str]) -> bool:
+    """Walk a page along its wrapper; whether an article was met."""
+    if wrapper.article:
+        _gather(root, blocks)
+        return True
+    met, places = False, [_Place(root, wrapper)]
+    while places:
+        child = next(places[-1].children, None)
+        if child is None:
+            places.pop()
+        elif isinstance(child, Element) and (part := places[-1].part_of(child)):
+            if part.article:
+                named = any(_is_named(child.signature, name) for name in ARTICLE_NAMES)
+                _gather(child, blocks, inside=named)
+                met = True
+            else:
+                places.append(_Place(child, part))
     return met
 
 

@@ -104,6 +104,16 @@ def test_long_pages_take_no_longer_than_their_length():
     main_text("<div>" * 400 + "x", wrapper)
 
 
+def test_pages_may_nest_to_any_depth(spark):
+    deep = "<div>" * 100_000
+    rows = [
+        (1, "http://a.example/1", f"{deep}<p>one</p>"), (2, "http://a.example/2", f"{deep}<p>two</p>"),
+        (3, "http://b.example/", "<p><table>" + deep + "alone"), (4, "http://c.example/", "<p>flat</p>"),
+    ]
+    found = by_id(extract_main_text(spark.createDataFrame(rows, PAGE)), "page_id")
+    assert {i: r["text"] for i, r in found.items()} == {1: "one", 2: "two", 3: "alone", 4: "flat"}
+
+
 def test_rows_of_every_kind(spark):
     page = "<article><p>text</p></article>"
     rows = [
