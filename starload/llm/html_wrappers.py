@@ -20,8 +20,9 @@ import functools
 import html
 import json
 import re
-from collections.abc import Generator, Iterator
+from collections.abc import Callable, Generator, Iterator
 from hashlib import blake2b
+from operator import add
 
 import pandas as pd
 import pyarrow as pa
@@ -61,19 +62,30 @@ IMPLIED_END = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-# Parts of a page that are never its main text, by tag and by words of class, id and role.
+# Parts of a page that are never its main text, by tag and by words of class, id and role. A
+# word is all that stands between blanks, without numbers: "related-work" is not "related".
 BOILERPLATE_TAGS = frozenset(
-    "head nav footer aside form script style noscript template iframe svg math object embed "
+    "head nav footer aside form script style noscript template iframe svg object embed "
     "canvas audio video button select textarea title menu dialog".split()
 )
+SURE_WORDS = frozenset(
+    "ad ads advert adverts advertisement ad-banner ad-container ad-slot ad-wrapper adsbygoogle "
+    "breadcrumb breadcrumbs comments comments-area comment-form comment-list cookie-banner "
+    "cookie-consent cookie-notice disqus disqus-thread navbar share-buttons social-share".split()
+)
+# These may as well be said of an article's own parts: they count where the wrapper agrees.
 BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments cookie cookies disqus footer header masthead menu modal nav navbar navigation "
-    "newsletter notice popup promo promoted related share sharing sidebar social sponsor "
-    "sponsored subscribe toolbar widget".split()
+    "advertising banner comment cookie cookies footer header main-menu main-nav main-navigation "
+    "masthead menu modal nav navigation newsletter notice page-footer page-header popup promo "
+    "promoted related related-articles related-links related-posts share sharing sidebar "
+    "site-footer site-header site-nav site-navigation social social-links sponsor sponsored "
+    "subscribe toolbar widget".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NEVER_BY_WORD = HEADINGS | {"", "html", "body", "main", "article"}
 # What names the article, the surest first: a tag, or a word of class, id, role or itemprop.
 ARTICLE_NAMES = ("article", "articlebody", "main")
+_SAME_NAME = {"article-body": "articlebody", "main-content": "main", "main-body": "main", "main-text": "main"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -103,7 +115,8 @@ class Element:
 @functools.lru_cache(maxsize=4096)
 def signature(name: str, attributes: str) -> str:
     """The tag and the words of its class, id, role and itemprop, without numbers."""
-    words = {w for _, value in _NAMED.findall(attributes) for w in _WORD.findall(value.lower())}
+    named = " ".join(value[1:] if value[:1] in "\"'" else value for _, value in _NAMED.findall(attributes))
+    words = {"-".join(_WORD.findall(w)) for w in named.lower().split()} - {""}
     return ".".join([name, *sorted(words)])
 
 
@@ -189,15 +202,19 @@ class Part:
     """A tag, a text slot or a group of a wrapper.
 
     `free` counts the characters of the texts of a free slot that are not in links, `fixed`
-    is the hash of a slot's only text so far.
+    is the hash of a slot's only text so far, `pages` the number of pages that have the part,
+    at least. `boilerplate` is set where the evidence of the pages confirms its words.
     """
 
-    __slots__ = ("signature", "children", "optional", "repeated", "free", "fixed", "article")
+    __slots__ = (
+        "signature", "children", "optional", "repeated", "free", "fixed", "pages", "article", "boilerplate",
+    )
 
-    def __init__(self, signature, children=(), optional=False, repeated=False, free=0, fixed=None):
+    def __init__(self, signature, children=(), optional=False, repeated=False, free=0, fixed=None, pages=1):
         self.signature, self.children = signature, list(children)
         self.optional, self.repeated = optional, repeated
-        self.free, self.fixed, self.article = free, fixed, False
+        self.free, self.fixed, self.pages = free, fixed, pages
+        self.article = self.boilerplate = False
 
     @property
     def is_group(self) -> bool:
@@ -206,18 +223,21 @@ class Part:
     def to_list(self) -> list[list]:
         """All parts, every one before its children, with the number of these."""
         return [
-            [p.signature, p.optional + 2 * p.repeated + 4 * p.article, p.free, p.fixed, len(p.children)]
+            [
+                p.signature, p.optional + 2 * p.repeated + 4 * p.article + 8 * p.boilerplate,
+                p.free, p.fixed, p.pages, len(p.children),
+            ]
             for p in outermost_first(self)
         ]
 
     @classmethod
     def from_list(cls, saved: list[list]) -> Part:
         waiting: list[Part] = []  # roots of what has been read from the end, the last one first
-        for name, flags, free, fixed, n in reversed(saved):
+        for name, flags, free, fixed, pages, n in reversed(saved):
             children = waiting[len(waiting) - n :][::-1]
             del waiting[len(waiting) - n :]
-            part = cls(name, children, bool(flags & 1), bool(flags & 2), free, fixed)
-            part.article = bool(flags & 4)
+            part = cls(name, children, bool(flags & 1), bool(flags & 2), free, fixed, pages)
+            part.article, part.boilerplate = bool(flags & 4), bool(flags & 8)
             waiting.append(part)
         return waiting[0]
 
@@ -275,10 +295,11 @@ def fold_repeats(parts: list[Part]) -> list[Part]:
     return _run(_fold_repeats(parts))
 
 
-def _merge(a: Part, b: Part) -> Generator:
+def _merge(a: Part, b: Part, pages: Callable = add) -> Generator:
+    """`pages` is max for parts that the same pages may have, as in a row of repeats."""
     children = ()
     if a.children or b.children:
-        children = yield _align(a.children, b.children)
+        children = yield _align(a.children, b.children, pages)
     return Part(
         a.signature,
         children,
@@ -286,6 +307,7 @@ def _merge(a: Part, b: Part) -> Generator:
         a.repeated or b.repeated,
         a.free + b.free,
         a.fixed if a.fixed == b.fixed else None,
+        pages(a.pages, b.pages),
     )
 
 
@@ -308,7 +330,7 @@ def _fold_repeats(parts: list[Part]) -> Generator:
                 turn = zip(merged, parts[other : other + width], strict=True)
                 merged = []
                 for x, y in turn:
-                    merged.append((yield _merge(x, y)))
+                    merged.append((yield _merge(x, y, max)))
             if width == 1:
                 merged[0].repeated = True
                 folded.append(merged[0])
@@ -337,7 +359,7 @@ def _grouped(parts: list[Part], groups: list[Part]) -> list[Part]:
     return parts
 
 
-def _align(a: list[Part], b: list[Part]) -> Generator:
+def _align(a: list[Part], b: list[Part], pages: Callable) -> Generator:
     """Two sequences of parts as one: what both have in common order is merged, the rest
     becomes optional."""
     if [p.signature for p in a] != [p.signature for p in b]:
@@ -354,7 +376,7 @@ def _align(a: list[Part], b: list[Part]) -> Generator:
             part.optional = True
             result.append(part)
         if x < len(a):
-            result.append((yield _merge(a[x], b[y])))
+            result.append((yield _merge(a[x], b[y], pages)))
         i, j = x + 1, y + 1
     if len(common) < max(len(a), len(b)):
         return (yield _fold_repeats(result))
@@ -388,17 +410,25 @@ def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 def is_boilerplate(signature: str, inside: bool = False) -> bool:
-    """By tag or words; `inside` an article its own header belongs to it."""
+    """By tag or sure words; `inside` an article its own header belongs to it."""
     name, *words = signature.split(".")
     if name in BOILERPLATE_TAGS or (name == "header" and not inside):
         return True
+    return name not in NEVER_BY_WORD and not SURE_WORDS.isdisjoint(words)
+
+
+def may_be_boilerplate(signature: str, inside: bool = False) -> bool:
+    """Whether words say so that need the evidence of the pages."""
+    name, *words = signature.split(".")
     found = BOILERPLATE_WORDS.intersection(words)
-    return bool(found - {"header"} if inside else found)
+    return name not in NEVER_BY_WORD and bool(found - {"header"} if inside else found)
 
 
 def _is_named(signature: str, name: str) -> bool:
     tag, *words = signature.split(".")
-    return tag == name or (name != "article" and name in words)
+    if name == "article" or tag in HEADINGS:
+        return tag == name
+    return tag == name or name in {_SAME_NAME.get(w, w) for w in words}
 
 
 def _free_text(wrapper: Part) -> dict[int, int]:
@@ -415,6 +445,21 @@ def _free_text(wrapper: Part) -> dict[int, int]:
     return free
 
 
+def confirm_boilerplate(wrapper: Part) -> None:
+    """Set `boilerplate` where words say so and all texts are in links or the same on every
+    page of the host. Where no text differs between pages, only links tell."""
+    own: dict[int, bool] = {}  # whether a part has text that may be an article's
+    order = list(outermost_first(wrapper))
+    differs = any(p.signature == TEXT and p.fixed is None and p.free for p in order)
+    for part in reversed(order):
+        if part.signature == TEXT:
+            same = differs and part.fixed is not None and part.pages == wrapper.pages
+            own[id(part)] = part.free > 0 and not same
+        else:
+            own[id(part)] = any(own[id(c)] for c in part.children)
+            part.boilerplate = may_be_boilerplate(part.signature) and not own[id(part)]
+
+
 def mark_article(wrapper: Part) -> Part:
     """Set `article` on the parts that hold the main text."""
 
@@ -423,7 +468,7 @@ def mark_article(wrapper: Part) -> Part:
         found, stack = False, [wrapper]
         while stack:
             part = stack.pop()
-            if is_boilerplate(part.signature):
+            if part.boilerplate or is_boilerplate(part.signature):
                 continue
             part.article = _is_named(part.signature, name)
             if part.article:
@@ -432,6 +477,7 @@ def mark_article(wrapper: Part) -> Part:
                 stack += part.children
         return found
 
+    confirm_boilerplate(wrapper)
     if any(mark(name) for name in ARTICLE_NAMES):
         return wrapper
     free = _free_text(wrapper)
@@ -460,18 +506,25 @@ def main_text(page: str | None, wrapper: Part) -> str:
     root = parse(page)
     blocks: list[str] = []
     if not _read(root, wrapper, blocks):
-        _gather(root, blocks)
+        _gather(root, wrapper, blocks)
     return " ".join(filter(None, map(clean, blocks)))
 
 
-def _gather(element: Element, blocks: list[str], inside: bool = False) -> None:
-    stack: list[Element | tuple[str, int]] = [element]
-    while stack:
-        one = stack.pop()
-        if not isinstance(one, Element):
-            blocks.append(one[0])
-        elif one is element or not is_boilerplate(one.signature, inside):
-            stack += reversed(one.children)
+def _gather(element: Element, part: Part | None, blocks: list[str], inside: bool = False) -> None:
+    """All texts of an element but boilerplate; what the wrapper does not know is none by its
+    unsure words."""
+    places = [_Place(element, part)]
+    while places:
+        child = next(places[-1].children, None)
+        if child is None:
+            places.pop()
+        elif not isinstance(child, Element):
+            blocks.append(child[0])
+        else:
+            part = places[-1].part_of(child)
+            confirmed = part and part.boilerplate and may_be_boilerplate(child.signature, inside)
+            if not confirmed and not is_boilerplate(child.signature, inside):
+                places.append(_Place(child, part))
 
 
 class _Place:
@@ -479,12 +532,12 @@ class _Place:
 
     __slots__ = ("children", "slots", "turns", "at")
 
-    def __init__(self, element: Element, part: Part):
+    def __init__(self, element: Element, part: Part | None):
         self.children = iter(element.children)
         self.slots: list[Part] = []
         self.turns: list[int] = []  # where the group of a slot begins, if it is in one
         self.at = 0
-        for child in part.children:
+        for child in part.children if part else ():
             own = child.children if child.is_group else [child]
             self.turns += [len(self.slots) if child.is_group else -1] * len(own)
             self.slots += own
@@ -501,7 +554,7 @@ class _Place:
 def _read(root: Element, wrapper: Part, blocks: list[str]) -> bool:
     """Walk a page along its wrapper; whether an article was met."""
     if wrapper.article:
-        _gather(root, blocks)
+        _gather(root, wrapper, blocks)
         return True
     met, places = False, [_Place(root, wrapper)]
     while places:
@@ -511,7 +564,7 @@ def _read(root: Element, wrapper: Part, blocks: list[str]) -> bool:
         elif isinstance(child, Element) and (part := places[-1].part_of(child)):
             if part.article:
                 named = any(_is_named(child.signature, name) for name in ARTICLE_NAMES)
-                _gather(child, blocks, inside=named)
+                _gather(child, part, blocks, inside=named)
                 met = True
             else:
                 places.append(_Place(child, part))

@@ -104,6 +104,30 @@ def test_long_pages_take_no_longer_than_their_length():
     main_text("<div>" * 400 + "x", wrapper)
 
 
+def test_words_need_to_be_whole_and_confirmed():
+    body = (
+        "<body class='has-sidebar'><main class='with-sidebar'><h1 id='notice'>Title {i}</h1>"
+        "<h2 id='related-work'>Work</h2><section id='social-history'>History {i}</section>"
+        "<div class='notice-period'>Period {i}</div><section id='notice'>Own {i}</section>"
+        "<math><mi>x</mi><mo>=</mo><mn>{i}</mn></math><div class='newsletter'>Sign up</div>"
+        "<div class='related'><ul><li><a href='/{i}'>Other {i}</a></ul></div><div class='ad'>Buy {i}</div></main></body>"
+    )
+    text = "Title {i} Work History {i} Period {i} Own {i} x = {i}"
+    for plain in (body, body.replace("main", "div")):
+        pages = [plain.format(i=i) for i in range(4)]
+        wrapper = mark_article(wrapper_of(*pages))
+        assert [main_text(p, wrapper) for p in pages] == [text.format(i=i) for i in range(4)]
+    # One page, or the same one twice, tells nothing of what is fixed.
+    for pages in ([body.format(i=7)], [body.format(i=7)] * 2):
+        assert main_text(pages[0], mark_article(wrapper_of(*pages))) == text.format(i=7) + " Sign up"
+
+
+def test_a_notice_on_some_pages_only_is_text():
+    pages = [f"<article><p>text {i}</p>{'<div class=notice>Only here</div>' * (i == 2)}</article>" for i in range(4)]
+    wrapper = mark_article(wrapper_of(*pages))
+    assert main_text(pages[2], wrapper) == "text 2 Only here"
+
+
 def test_pages_may_nest_to_any_depth(spark):
     deep = "<div>" * 100_000
     rows = [
