@@ -10,7 +10,7 @@ with each other the same way, so every task folds its own pages, and the results
 in two rounds for each host. All pages take part, and no task ever holds a host's pages.
 
 The wrapper tells which of its parts is the article: the part that the markup names as such,
-else the smallest part that has most of the free text outside links. A page is then read
+else the smallest part that has all of the free text outside links. A page is then read
 along its host's wrapper, and the text of what falls on the article is its main text.
 """
 
@@ -34,7 +34,6 @@ from starload.llm.common import Batches, arrow_batches, extended
 from starload.session import stored
 
 MAX_GROUP = 4  # tags of a repeated group
-_MOST = 0.8  # share of the free text that makes a part the article
 _HELD_HOSTS = 2000  # hosts whose wrappers a task folds at a time
 
 # -- fixed values of HTML
@@ -278,7 +277,9 @@ def to_wrapper(element: Element) -> Part:
             else:
                 text, linked = child
                 fixed = blake2b(clean(text).encode(errors="replace"), digest_size=8).hexdigest()
-                children.append(Part(TEXT, free=len(text) - linked, fixed=fixed))
+                # A title may link to its own page.
+                free = len(text) - (0 if one.name == "h1" else linked)
+                children.append(Part(TEXT, free=free, fixed=fixed))
         made[id(one)] = Part(one.signature, fold_repeats(children))
     return made[id(element)]
 
@@ -432,12 +433,15 @@ def _is_named(signature: str, name: str) -> bool:
 
 
 def _free_text(wrapper: Part) -> dict[int, int]:
-    """By id of each part, its characters outside links in free slots that may belong to an
-    article."""
+    """By id of each part, its characters outside links that may belong to an article: all but
+    boilerplate and what is the same on every page of the host. None where no text differs."""
     free: dict[int, int] = {}
-    for part in reversed(list(outermost_first(wrapper))):
+    order = list(outermost_first(wrapper))
+    differs = any(p.signature == TEXT and p.fixed is None for p in order)
+    for part in reversed(order):
         if part.signature == TEXT:
-            free[id(part)] = part.free if part.fixed is None else 0
+            same = part.fixed is not None and part.pages == wrapper.pages
+            free[id(part)] = part.free if differs and not same else 0
         elif not part.is_group and is_boilerplate(part.signature):
             free[id(part)] = 0
         else:
@@ -481,15 +485,15 @@ def mark_article(wrapper: Part) -> Part:
     if any(mark(name) for name in ARTICLE_NAMES):
         return wrapper
     free = _free_text(wrapper)
-    most, part = _MOST * free[id(wrapper)], wrapper
-    while most:
+    whole, part = free[id(wrapper)], wrapper
+    while whole:
         # Paragraphs, which repeat or hold text themselves, are too small to be an article.
         inner = [
             c
             for c in part.children
             if not c.repeated
             and not any(own.signature == TEXT for own in c.children)
-            and free[id(c)] >= most
+            and free[id(c)] == whole
         ]
         if not inner:
             break

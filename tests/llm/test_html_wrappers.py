@@ -104,6 +104,23 @@ def test_long_pages_take_no_longer_than_their_length():
     main_text("<div>" * 400 + "x", wrapper)
 
 
+def test_without_a_named_article_no_free_text_is_lost():
+    page = (
+        "<body><div class='top'><ul><li><a href='/'>Home</a></ul></div><div class='page'><h1><a href='/{i}'>Title {i}</a></h1>"
+        "<div class='lead'><p>Lead {i}</p></div><div class='story'>{story}</div>{more}</div><p>All rights reserved</p></body>"
+    )
+    story = "<p>Story {i} goes on and on.</p>" * 9
+    more = "<div class='appendix'><p>Only this page has it.</p></div>"
+    pages = [page.format(i=i, story=story.format(i=i), more=more * (i == 2)) for i in range(4)]
+    wrapper = mark_article(wrapper_of(*pages))
+    for i, one in enumerate(pages):
+        wanted = f"Title {i} Lead {i}" + f" Story {i} goes on and on." * 9 + " Only this page has it." * (i == 2)
+        assert main_text(one, wrapper) == wanted
+    # Where no text differs, nothing is known to be the frame.
+    pages = ["<div><p>same</p></div>", "<div><p>same</p></div><section><p>more</p></section>"]
+    assert main_text(pages[1], mark_article(wrapper_of(*pages))) == "same more"
+
+
 def test_words_need_to_be_whole_and_confirmed():
     body = (
         "<body class='has-sidebar'><main class='with-sidebar'><h1 id='notice'>Title {i}</h1>"
