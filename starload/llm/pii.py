@@ -43,9 +43,24 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
+_WORD_END = re.compile(r"(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
+# Characters of an IBAN, by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 
 class Span(NamedTuple):
     """Code points [start, end) of a text."""
@@ -114,9 +129,23 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for match in _IBAN.finditer(text):
-        if mod97(match.group().replace(" ", "")):
-            yield match.span()
+    """From each place that may begin one, as long as its country prescribes; for a country
+    not known here up to the last word end where the check digits agree."""
+    done = 0
+    for head in _IBAN_HEAD.finditer(text):
+        start = head.start()
+        rest = _IBAN_REST.match(text, head.end()) if start >= done else None
+        if not rest:
+            continue
+        ends = [i + 1 for i in range(start, rest.end()) if text[i] != " "]
+        length = IBAN_LENGTHS.get(head.group()[:2])
+        for n in [length] if length else range(len(ends), 14, -1):
+            if n > len(ends) or not _WORD_END.match(text, ends[n - 1]):
+                continue
+            if mod97(text[start : ends[n - 1]].replace(" ", "")):
+                done = ends[n - 1]
+                yield start, done
+                break
 
 
 def ssns(text: str) -> Iterator[tuple[int, int]]:

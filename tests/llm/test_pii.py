@@ -84,6 +84,29 @@ def test_further_kinds_need_checks_and_context():
     assert told.score > plain.score
 
 
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("IBAN GB82 WEST 1234 5698 7654 32 BIC WESTGB2L", ["GB82 WEST 1234 5698 7654 32"]),
+        ("pay GB82 WEST 1234 5698 7654 32 EUR 100", ["GB82 WEST 1234 5698 7654 32"]),
+        ("GB82WEST12345698765432 DE89370400440532013000 NO9386011117947",
+         ["GB82WEST12345698765432", "DE89370400440532013000", "NO9386011117947"]),
+        ("AB12 CDEF 1234 DE89 3704 0044 0532 0130 00 A", ["DE89 3704 0044 0532 0130 00"]),
+        ("GB82WEST12345698765432X", []),
+        ("GB82 WEST 1234 5698 7654 31 BIC WESTGB2L", []),
+    ],
+)
+def test_an_iban_ends_where_its_country_says(text, wanted):
+    assert [text[s.start : s.end] for s in spans_of(text) if s.kind == "iban"] == wanted
+
+
+def test_an_iban_of_an_unknown_country_ends_at_a_word():
+    body = "1234567890123456"
+    check = next(f"{n:02}" for n in range(2, 99) if mod97(f"ZZ{n:02}{body}"))
+    text = f"to ZZ{check} {body} EUR NOW"
+    assert [text[s.start : s.end] for s in spans_of(text) if s.kind == "iban"] == [f"ZZ{check} {body}"]
+
+
 def test_long_runs_take_no_longer_than_their_length():
     assert base("1" * 300_000) == []
     assert base("a" * 300_000 + "@") == []
