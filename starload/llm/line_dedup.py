@@ -18,6 +18,7 @@ handled as the 128-bit hash of its UTF-8 bytes.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,11 +32,13 @@ from pyspark.sql.types import LongType
 
 from starload.llm import cuckoo
 from starload.llm.common import arrow_batches, extended, fresh, parallelism, text_of
-from starload.session import scratch_dir
+from starload.session import folder_ages, read_text, scratch_dir, write_text
 
 _HELD_KEYS = 200_000  # keys that a counting task holds before it hands them on
 _COUNTS = "shard INT, hi BIGINT, lo BIGINT, n BIGINT"
 _FILTERS = "shard INT, slots BINARY, mistaken BINARY"
+_SETTINGS = "settings.json"
+_COMPLETE = "complete"
 
 
 def line_keys(text: str, min_chars: int) -> tuple[list[bytes], list[bytes]]:
@@ -136,9 +139,11 @@ class LineStore:
     """Exact line counts and filters of a changing set of documents, in the folder `path`.
 
     `min_docs` documents make a line frequent; keys of fewer than `min_chars` code points
-    are never counted nor dropped. Both and the number of shards are fixed for a store.
+    are never counted nor dropped. Both and the number of shards are fixed for a store; one
+    opened again goes on from its latest version, and fails if it was made with others.
     Give some hundred thousand distinct keys to a shard. A change is published as a new
-    version by writing its filters last; a change that dies leaves the version before it.
+    version by a mark written behind its filters; a change that dies leaves the version
+    before it. One change may run at a time.
     """
 
     def __init__(
@@ -152,9 +157,37 @@ class LineStore:
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.min_docs, self.min_chars = min_docs, min_chars
-        self.shards = shards or parallelism(spark)
         self.max_broadcast_bytes = max_broadcast_bytes
-        self.version = 0
+        self.version = self._latest()
+        if self.version:
+            self.shards = shards or self._made_with()["shards"]
+            self._check()
+        else:
+            self.shards = shards or parallelism(spark)
+
+    def _made_with(self) -> dict[str, int]:
+        return json.loads(read_text(self.spark, f"{self.path}/{_SETTINGS}"))
+
+    def _check(self) -> None:
+        if (made := self._made_with()) != self._settings():
+            raise ValueError(f"{self.path} was made with {made}, not {self._settings()}")
+
+    def _settings(self) -> dict[str, int]:
+        return {"min_docs": self.min_docs, "min_chars": self.min_chars, "shards": self.shards}
+
+    def _holds(self, folder: str) -> set[str]:
+        return {name for name, _ in folder_ages(self.spark, folder)}
+
+    def _latest(self) -> int:
+        """The latest complete version, 0 if there is none."""
+        found = self._holds(self.path)
+        numbers = [int(n.removeprefix("version=")) for n in found if n.startswith("version=")]
+        for version in sorted(numbers, reverse=True):
+            if _COMPLETE in self._holds(f"{self.path}/version={version}"):
+                return version
+        if numbers and _SETTINGS not in found:
+            raise ValueError(f"{self.path} has versions, but does not say what they were made with")
+        return 0
 
     def _folder(self, name: str, version: int) -> str:
         return f"{self.path}/version={version}/{name}"
@@ -179,6 +212,11 @@ class LineStore:
         self._change(docs, text_col, -1)
 
     def _change(self, docs: DataFrame, text_col: str, sign: int) -> None:
+        self.version = self._latest()  # another object may have gone on meanwhile
+        if self.version:
+            self._check()
+        else:
+            write_text(self.spark, f"{self.path}/{_SETTINGS}", json.dumps(self._settings()))
         change = docs.select(text_of(text_col).alias("text")).mapInArrow(
             _count_keys(self.shards, self.min_chars), _COUNTS
         )
@@ -209,6 +247,7 @@ class LineStore:
             .write.mode("overwrite")
             .parquet(self._folder("filters", new))
         )
+        write_text(self.spark, self._folder(_COMPLETE, new), "")
         self.version = new
 
     def apply(

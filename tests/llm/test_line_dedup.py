@@ -69,6 +69,46 @@ def test_insert_and_remove_are_exact(spark, documents, tmp_path):
     check(store.apply(documents(first)), first, min_docs=10)
 
 
+def test_a_store_opened_again_goes_on(spark, documents, tmp_path):
+    first, second = made(1), [(i + 1000, t) for i, t in made(2, 150)]
+    path = str(tmp_path / "s")
+    LineStore(spark, path, min_docs=10, shards=5).insert(documents(first))
+    alone = sorted(map(tuple, LineStore(spark, path, min_docs=10).counts().collect()))
+    again = LineStore(spark, path, min_docs=10)
+    assert (again.version, again.shards) == (1, 5)
+    check(again.apply(documents(first)), first, min_docs=10)
+    again.insert(documents(second))
+    check(LineStore(spark, path, min_docs=10).apply(documents(first + second)), first + second, min_docs=10)
+    for wrong in ({"min_docs": 9}, {"min_docs": 10, "min_chars": 2}, {"min_docs": 10, "shards": 4}):
+        with pytest.raises(ValueError, match="was made with"):
+            LineStore(spark, path, **wrong)
+    # A change that dies leaves the version before it.
+    with pytest.raises(FAILURE):
+        LineStore(spark, path, min_docs=10).remove(documents([(1, "never inserted")]))
+    last = LineStore(spark, path, min_docs=10)
+    assert last.version == 2
+    last.remove(documents(second))
+    assert last.version == 3
+    assert sorted(map(tuple, LineStore(spark, path, min_docs=10).counts().collect())) == alone
+
+
+def test_two_objects_may_take_turns(spark, documents, tmp_path):
+    one, two, other = (LineStore(spark, str(tmp_path / "s"), min_docs=2, shards=n) for n in (2, 2, 3))
+    one.insert(documents([(1, "a")]))
+    two.insert(documents([(2, "a")]))
+    with pytest.raises(ValueError, match="was made with"):
+        other.insert(documents([(3, "a")]))
+    assert [r["n"] for r in one.counts().collect()] == [1]
+    assert [r["n"] for r in two.counts().collect()] == [2]
+
+
+def test_versions_without_their_settings_are_not_overwritten(spark, documents, tmp_path):
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=2, shards=2)
+    (tmp_path / "s" / "version=1").mkdir(parents=True)
+    with pytest.raises(ValueError, match="does not say"):
+        store.insert(documents([(1, "a")]))
+
+
 def test_keys_travel_where_filters_are_too_large(spark, documents, tmp_path):
     rows = [*made(), (900, None), (901, "")]
     store = LineStore(spark, str(tmp_path / "s"), min_docs=10, shards=5, max_broadcast_bytes=0)
