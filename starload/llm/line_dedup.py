@@ -35,6 +35,7 @@ from starload.llm.common import arrow_batches, extended, fresh, parallelism, tex
 from starload.session import folder_ages, read_text, scratch_dir, write_text
 
 _HELD_KEYS = 200_000  # keys that a counting task holds before it hands them on
+_SHARD_KEYS = 300_000  # keys of a shard, which one task holds
 _COUNTS = "shard INT, hi BIGINT, lo BIGINT, n BIGINT"
 _FILTERS = "shard INT, slots BINARY, mistaken BINARY"
 _SETTINGS = "settings.json"
@@ -52,6 +53,13 @@ def line_keys(text: str, min_chars: int) -> tuple[list[bytes], list[bytes]]:
     return lines, [xxhash.xxh3_128_digest(k) if len(k) >= min_chars else b"" for k in keys]
 
 
+def _lines_of(docs: DataFrame, text_col: str) -> int:
+    """Lines of all texts: their distinct keys are no more."""
+    text = text_of(text_col)
+    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    return docs.agg(F.sum(ends + 1)).first()[0] or 0
+
+
 def _words(keys: list[bytes] | Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
     both = np.frombuffer(b"".join(keys), ">u8").astype(np.uint64).reshape(-1, 2)
     return both[:, 0].copy(), both[:, 1].copy()
@@ -141,7 +149,8 @@ class LineStore:
     `min_docs` documents make a line frequent; keys of fewer than `min_chars` code points
     are never counted nor dropped. Both and the number of shards are fixed for a store; one
     opened again goes on from its latest version, and fails if it was made with others.
-    Give some hundred thousand distinct keys to a shard. A change is published as a new
+    Give some hundred thousand distinct keys to a shard; without a number, the first documents'
+    lines are counted and `_SHARD_KEYS` of them at most go to each. A change is published as a new
     version by a mark written behind its filters; a change that dies leaves the version
     before it. One change may run at a time.
     """
@@ -164,6 +173,7 @@ class LineStore:
             self._check()
         else:
             self.shards = shards or parallelism(spark)
+        self._given = bool(shards)
 
     def _made_with(self) -> dict[str, int]:
         return json.loads(read_text(self.spark, f"{self.path}/{_SETTINGS}"))
@@ -216,6 +226,8 @@ class LineStore:
         if self.version:
             self._check()
         else:
+            if not self._given:
+                self.shards = max(self.shards, -(-_lines_of(docs, text_col) // _SHARD_KEYS))
             write_text(self.spark, f"{self.path}/{_SETTINGS}", json.dumps(self._settings()))
         change = docs.select(text_of(text_col).alias("text")).mapInArrow(
             _count_keys(self.shards, self.min_chars), _COUNTS

@@ -30,6 +30,7 @@ from starload.session import stored
 
 SEED = 42
 _HASHES_AT_ONCE = 1 << 16
+_TREES_SEARCHING = 4  # trees whose nodes search a tree at a time
 _PAIRS_AT_ONCE = 1 << 18
 
 
@@ -142,21 +143,27 @@ def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def _links_in_shards(radius: int):
     """Rows (tree, role, value) of whole trees -> a spanning forest of their links.
 
-    `role` 0 is a node of the tree, which also searches it; 1 only searches it.
+    `role` 0 is a node of the tree, which also searches it; 1 only searches it; 2 is a node of
+    a further copy of the tree, which others search.
     """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tree, searching, values in _whole_trees(batches):
-            nodes = ~searching
+        for tree, role, values in _whole_trees(batches):
+            nodes, searching = role != 1, role == 1
             forest = Forest(tree[nodes], values[nodes])
             keys = tree[nodes][forest.roots]
-            root = np.searchsorted(keys, tree)
+            if not len(keys):
+                continue
+            root = np.minimum(np.searchsorted(keys, tree), len(keys) - 1)
             place = np.concatenate([np.flatnonzero(nodes), np.flatnonzero(searching)])
             known = np.zeros(len(values), np.int64)
             known[place] = np.arange(len(values))  # numbers: nodes first, then the others
             label = np.arange(len(values))
-            for who, node in forest.search(values[place], forest.roots[root[place]], radius):
-                merge_labels(label, who, node)
+            # By chance a tree may have got no node.
+            asking = np.flatnonzero((role[place] != 2) & (keys[root[place]] == tree[place]))
+            asked = place[asking]
+            for who, node in forest.search(values[asked], forest.roots[root[asked]], radius):
+                merge_labels(label, asking[who], node)
             linked = np.flatnonzero(label != np.arange(len(label)))
             own = values[place].view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -174,7 +181,7 @@ def _whole_trees(batches, at_least: int = 50_000):
         held.append(
             (
                 batch.column(0).to_numpy(),
-                batch.column(1).to_numpy().astype(bool),
+                batch.column(1).to_numpy(),
                 batch.column(2).to_numpy().view(np.uint64),
             )
         )
@@ -189,9 +196,10 @@ def _whole_trees(batches, at_least: int = 50_000):
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def links(nodes: DataFrame, radius: int = 3, tree_size: int = 20_000) -> DataFrame:
-    """Links (a, b) that connect all numbers in column `fingerprint` within `radius` bits of
-    each other; not every linked pair is given. The numbers must be distinct."""
+def tree_rows(nodes: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """tree, role, fingerprint: every node in its own tree of each shard and, as a searcher, in
+    those behind it. A tree that many search has a copy for every block of searchers, so that
+    none comes with more than about `_TREES_SEARCHING` trees of them."""
     bands = radius + 1
     width = -(-64 // bands)
     mask = (1 << width) - 1
@@ -213,11 +221,23 @@ def links(nodes: DataFrame, radius: int = 3, tree_size: int = 20_000) -> DataFra
     routed = sized.withColumn("own", own).withColumn(
         "tree", F.explode(F.sequence(F.col("own"), F.col("trees") - 1))
     )
-    rows = routed.select(
-        F.xxhash64("band", "value", "tree").alias("tree"),
-        (F.col("tree") != F.col("own")).cast("int").alias("role"),
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("tree") / _TREES_SEARCHING).cast("int"))
+    is_node = F.col("tree") == F.col("own")
+    one = F.pmod(F.xxhash64("fingerprint", "tree"), blocks).cast("int")
+    dealt = routed.withColumn(
+        "block", F.explode(F.when(is_node, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(one)))
+    )
+    return dealt.select(
+        F.xxhash64("band", "value", "tree", "block").alias("tree"),
+        F.when(~is_node, 1).when(F.col("block") == 0, 0).otherwise(2).alias("role"),
         "fingerprint",
     )
+
+
+def links(nodes: DataFrame, radius: int = 3, tree_size: int = 20_000) -> DataFrame:
+    """Links (a, b) that connect all numbers in column `fingerprint` within `radius` bits of
+    each other; not every linked pair is given. The numbers must be distinct."""
+    rows = tree_rows(nodes, radius, tree_size)
     n = parallelism(nodes.sparkSession)
     return (
         rows.repartition(n, "tree")

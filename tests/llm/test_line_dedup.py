@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from starload.llm import cuckoo
+from starload.llm import cuckoo, line_dedup
 from starload.llm.line_dedup import LineStore, drop_frequent_lines
 from tests.conftest import FAILURE
 from tests.llm.conftest import by_id, plain_rows
@@ -116,6 +116,16 @@ def test_keys_travel_where_filters_are_too_large(spark, documents, tmp_path):
     check(store.apply(documents(rows)), rows, min_docs=10)
 
 
+def test_shards_grow_with_the_corpus(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_SHARD_KEYS", 20)
+    rows = [*made(), *((2000 + i, f"own é {i}\nand {i}") for i in range(300))]
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=10)
+    store.insert(documents(rows))
+    assert store.shards >= 600 // 20
+    assert max(r["count"] for r in store.counts().groupBy("shard").count().collect()) < 60
+    check(LineStore(spark, str(tmp_path / "s"), min_docs=10).apply(documents(rows)), rows, min_docs=10)
+
+
 def test_removing_what_was_never_inserted_fails(spark, documents, tmp_path):
     store = LineStore(spark, str(tmp_path / "s"), min_docs=2, shards=2)
     store.insert(documents([(1, "a")]))

@@ -15,6 +15,7 @@ from starload.llm.simhash_dedup import (
     links,
     one_of_each_group,
     simhash_groups,
+    tree_rows,
 )
 from tests.conftest import SF_DIR
 from tests.llm.conftest import by_id, plain_rows
@@ -81,6 +82,14 @@ def test_links_connect_what_brute_force_does(spark, seed, tree_size):
     assert {v: got.get(v, v) for v in values} == wanted
 
 
+def test_no_tree_meets_a_whole_shard(spark):
+    nodes = spark.createDataFrame([(i,) for i in range(400)], "fingerprint BIGINT")
+    rows = tree_rows(nodes, 3, 10)
+    assert max(r["count"] for r in rows.groupBy("tree").count().collect()) < 150
+    reached = connected_components(links(nodes, 3, 10)).collect()
+    assert len({r["component"] for r in reached}) == 1 and len(reached) == 400
+
+
 def test_tree_is_that_of_single_insertions():
     pick = np.random.default_rng(3)
     values = pick.integers(0, 2**10, 300, np.uint64)
