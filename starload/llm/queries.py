@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from starload.llm.exact_dedup import exact_dedup
 from starload.llm.html_wrappers import extract_main_text
 from starload.llm.language_id import held_out, learn, predict
 from starload.llm.line_dedup import drop_frequent_lines
+from starload.llm.merkle_manifest import COLUMNS, fold, leaf_digest, merkle_manifest, siblings
+from starload.llm.merkle_sql import merkle_sql
 from starload.llm.packing import pack
 from starload.llm.pivot_index import near_vectors
 from starload.llm.pii import BASE, KINDS, find_pii
@@ -97,6 +100,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and whether rows prove to be in it after the texts of a third of them were
+    lower-cased."""
+    picked = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    told = [lowered if c == "text" else F.col(c) for c in COLUMNS]
+    manifest = merkle_manifest(
+        table(spark, sf_dir, "documents"), carry={"tampered": F.when(picked, leaf_digest(*told))}
+    )
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return manifest.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_main_text": op2_main_text,
@@ -108,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -137,4 +157,5 @@ ORACLE: dict[str, str] = {
                    AS kept_sha256
         FROM keyed k LEFT JOIN frequent f USING (key) GROUP BY doc_id
     """,
+    "op11_merkle": merkle_sql(),
 }
