@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from starload.llm.common import table
 from starload.llm.exact_dedup import exact_dedup
 from starload.llm.html_wrappers import extract_main_text
+from starload.llm.label_shards import shard_documents
 from starload.llm.language_id import held_out, learn, predict
+from starload.llm.lexical_search import search
 from starload.llm.line_dedup import drop_frequent_lines
 from starload.llm.merkle_manifest import COLUMNS, fold, leaf_digest, merkle_manifest, siblings
 from starload.llm.merkle_sql import merkle_sql
@@ -116,6 +118,18 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "linked",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_main_text": op2_main_text,
@@ -128,6 +142,8 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_merkle": op11_merkle,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_shards": op13_shards,
 }
 
 ORACLE: dict[str, str] = {
@@ -158,4 +174,36 @@ ORACLE: dict[str, str] = {
         FROM keyed k LEFT JOIN frequent f USING (key) GROUP BY doc_id
     """,
     "op11_merkle": merkle_sql(),
+    "op12_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, whole GROUP BY term, docs
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        scored AS (
+            SELECT item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+            FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), whole
+            GROUP BY item_id, doc_id
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+    """,
 }
