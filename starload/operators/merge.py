@@ -58,11 +58,24 @@ def tag_union(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return old.unionByName(incoming.withColumn(_INCOMING, F.lit(1)))
 
 
-def merge_tagged(both: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the new row if there is one, else the old row.
+def newer(version: Sequence[str]) -> list[Column]:
+    """An order in which new and old rows of a key come by `version`, the latest first. A new row
+    that has none comes before all old ones, an old one after all; of equals the new one wins."""
+    first, *_ = version
+    unversioned = (F.col(_INCOMING) == 1) & F.col(first).isNull()
+    return [F.desc(unversioned), *[F.desc(c) for c in version], F.desc(_INCOMING)]
+
+
+def merge_tagged(
+    both: DataFrame, keys: Sequence[str], version: Sequence[str] = (), fate: str | None = None
+) -> DataFrame:
+    """One row per key: the new row if there is one, else the old row. With a `version`, whichever
+    of the two is the later one.
 
     All measures come from that row, so a NULL of a new row replaces the old value. Two new
-    rows with one key are a conflict and fail the job, as does a NULL in a key.
+    rows with one key are a conflict and fail the job, as does a NULL in a key. A column `fate`
+    tells what has become of the key: inserted, replaced, late (a new row that was older than
+    the old one) or kept.
 
     Rows are sorted by key, new before old, and walked once: at most one shuffle, none where
     the rows already lie together by some of the keys, and nothing that has to fit in memory.
@@ -71,16 +84,26 @@ def merge_tagged(both: DataFrame, keys: Sequence[str]) -> DataFrame:
     present = F.lit(True)
     for name in keys:
         present = present & F.col(name).isNotNull()
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(_INCOMING)))
+    order = newer(version) if version else [F.desc(_INCOMING)]
+    walk = Window.partitionBy(*keys).orderBy(*order)
+    incoming, other = F.col(_INCOMING) == 1, F.lead(_INCOMING).over(walk)
+    outcome = (
+        F.when(incoming & other.isNull(), "inserted").when(incoming, "replaced")
+        .when(other == 1, "late").otherwise("kept")
+    )
     message = F.concat(F.lit("NULL or repeated key in one load: "), F.to_json(F.struct(*keys)))
     # One CASE, not two filters: a plain "position = 1" would let the planner drop all
     # other rows of a key before the conflict could be seen.
+    one_is_old = (F.col(_INCOMING) == 0) | (F.col("_previous") == 0)
     keep = (
         F.when((F.col("_position") == 1) & present, F.lit(True))
-        .when((F.col("_position") == 2) & (F.col(_INCOMING) == 0), F.lit(False))
+        .when((F.col("_position") == 2) & one_is_old, F.lit(False))
         .otherwise(F.raise_error(message).cast("boolean"))
     )
-    return both.withColumn("_position", position).filter(keep).drop("_position", _INCOMING)
+    told = {"_position": F.row_number().over(walk), "_previous": F.lag(_INCOMING).over(walk)}
+    if fate:
+        told[fate] = outcome
+    return both.withColumns(told).filter(keep).drop("_position", "_previous", _INCOMING)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,13 +5,13 @@ All casts are the try_ kind, so that the outcome does not hang on the session's
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starload import schemas
 from starload.operators.merge import duplicate_keys
-from starload.schemas import CSV_COLUMNS, CSV_TO_STAGING, STAGING
-from starload.session import stored
+from starload.schemas import CSV_COLUMNS, CSV_TO_STAGING, STAGING, VERSION, names
+from starload.session import observed, stored
 
 _SOURCE = {to: name for name, to in CSV_TO_STAGING.items()}
 
@@ -74,26 +74,36 @@ def _strict(column: schemas.Column) -> Column:
     return value
 
 
-def to_staging(raw: DataFrame) -> DataFrame:
-    """Typed rows; writing them fails at the first row that does not fit its types."""
-    return raw.select(*[_strict(column).alias(column.name) for column in STAGING])
+def _version_of(raw: DataFrame) -> list[str]:
+    return [name for name in names(VERSION) if name in raw.columns]
 
 
-def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def to_staging(raw: DataFrame, versioned: bool = False) -> DataFrame:
+    """Typed rows; writing them fails at the first row that does not fit its types. If they are
+    to be `versioned`, when they landed comes along as far as they say so."""
+    typed = [_strict(column).alias(column.name) for column in STAGING]
+    return raw.select(*typed, *(_version_of(raw) if versioned else ()))
+
+
+def quarantine(
+    raw: DataFrame, read: Observation | None = None, versioned: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(typed good rows, bad rows as the text they came as, with the reason).
 
     Beyond what cannot be stored, a row is bad that would fail the loads that follow: one
     without a day, and every one of several rows with the same day and symbol. Rows that
     come with a `reason` are bad for that one.
 
-    The judged rows are written once, and read back for the good and the bad ones.
+    The judged rows are written once, and read back for the good and the bad ones; `read`
+    observes how many `rows` there are. Good rows can be `versioned` as in to_staging.
     """
     known = F.col("reason") if "reason" in raw.columns else F.lit(None).cast("string")
     missing = F.when(F.col("timestamp").isNull(), "date is missing")
     reason = F.coalesce(known, bad_reason(), missing)
-    typed = F.struct(*[_typed(column).alias(column.name) for column in STAGING])
-    judged = raw.select(*CSV_COLUMNS, reason.alias("reason"), typed.alias("typed"))
-    judged = stored(judged, "judged_rows")
+    typed = [_typed(column).alias(column.name) for column in STAGING]
+    whole = F.struct(*typed, *(_version_of(raw) if versioned else ()))
+    judged = raw.select(*CSV_COLUMNS, reason.alias("reason"), whole.alias("typed"))
+    judged = stored(observed(judged, read), "judged_rows")
     good = judged.filter(F.col("reason").isNull())
     keys = ["timestamp", "symbol"]
     repeated = duplicate_keys(good, keys).select(*keys)

@@ -11,8 +11,14 @@ Parquet tables of the session catalog. Three rules make loads safe:
 * The dimensions only ever grow by appended rows.
 
 A load that dies, at any moment, leaves everything as it was but for files that nobody reads.
-`remove_old` deletes those and replaced versions after a while. One load at a time may run
-against a warehouse; nothing here locks.
+`remove_old` deletes those and replaced versions after a while.
+
+One load at a time should run against a warehouse. Loads that run together nevertheless write
+to folders of their own, and only the first of them is published: the others end in a
+`LoadConflict` and can be run again.
+
+Rows carry when their documents landed, in columns that only the files have. A load keeps the
+later of two versions of a fact row, so old documents that come late, or once more, do no harm.
 """
 
 from __future__ import annotations
@@ -20,23 +26,63 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from starload.functions.dates import month_key
 from starload.operators.merge import merge_tagged, tag_union
-from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, FACT_KEY, STAGING, ddl, names
-from starload.session import delete, folder_ages, read_text, stamp, write_text
+from starload.schemas import (
+    DIM_DATE,
+    DIM_SYMBOL,
+    FACT,
+    FACT_KEY,
+    STAGING,
+    VERSION,
+    ddl,
+    names,
+    stored_ddl,
+)
+from starload.session import (
+    claim,
+    delete,
+    folder_ages,
+    observed,
+    read_text,
+    stamp,
+    write_text,
+)
 
 MONTH = "month_key"
 LOAD = "load"
 # How large files get: a month is cut into so many that none has more rows. Only the layout
 # depends on it, never a result; every load can set it.
 ROWS_PER_FILE = 8_000_000
+# How long a load may take over its last statement before it counts as dead.
+PUBLISHING = dt.timedelta(minutes=10)
+# What becomes of a key that a load brings.
+FATE = "fate"
+
+
+class LoadConflict(RuntimeError):
+    """Another load was published meanwhile. Nothing has changed; run the load again."""
+
+
+class Upserted(NamedTuple):
+    """What became of the rows of a load: `late` ones were older than those they met."""
+
+    inserted: int = 0
+    replaced: int = 0
+    late: int = 0
+
+    @property
+    def rows(self) -> int:
+        return sum(self)
 
 
 class MonthLayout(NamedTuple):
@@ -118,11 +164,13 @@ class Warehouse:
         self._create_table(self.dim_date, ddl(DIM_DATE), self._folder(self.dim_date))
         self._create_table(self.dim_symbol, ddl(DIM_SYMBOL), self._folder(self.dim_symbol))
         # Without lengths: a view over varchar columns casts them, and no filter passes a cast.
-        plain = ", ".join(f"`{c.name}` {c.stored_type}" for c in FACT)
         self._create_table(
-            self.fact_files, f"{plain}, `{LOAD}` bigint, `{MONTH}` int",
+            self.fact_files, f"{stored_ddl(FACT + VERSION)}, `{LOAD}` bigint, `{MONTH}` int",
             self._folder(self.fact_files), f"`{LOAD}`, `{MONTH}`",
         )
+        if not set(names(VERSION)) <= set(self.spark.table(self.fact_files).columns):
+            # A table from before there were versions: its rows count as older than any other.
+            self.spark.sql(f"ALTER TABLE {self.fact_files} ADD COLUMNS ({stored_ddl(VERSION)})")
         if not self.spark.catalog.tableExists(self.fact):
             self._publish(0, {})
 
@@ -145,9 +193,16 @@ class Warehouse:
     def tables(self, schema: str) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(f"{self.prefix}{schema}"))
 
-    def require(self, table: str) -> None:
+    def missing(self, table: str) -> str | None:
+        """Why a table cannot be used, or nothing if it can."""
         if not self.spark.catalog.tableExists(table):
-            raise AnalysisException(f"table {table} does not exist; create the warehouse first")
+            return f"table {table} does not exist; create the warehouse first"
+        return None
+
+    def require(self, table: str) -> None:
+        reason = self.missing(table)
+        if reason:
+            raise AnalysisException(reason)
 
     # -- reading
 
@@ -175,9 +230,53 @@ class Warehouse:
             rows = rows.filter(F.col("symbol_code").isin(list(symbols)))
         return rows.drop(MONTH)
 
+    def staged(self) -> DataFrame:
+        """The staging table's rows with their versions."""
+        folder = self._staging_folder()
+        schema = stored_ddl(STAGING + VERSION)
+        if not folder_ages(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def _staging_folder(self) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.staging}")
+        return described.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+    def count_fact(self) -> DataFrame:
+        """month_key, row_count: from the list of live months, no file is read."""
+        counted = [(month, own.rows) for month, own in sorted(self.live_months().items())]
+        return self.spark.createDataFrame(counted, f"{MONTH} int, row_count bigint")
+
+    def require_counts(self) -> None:
+        """Fail if the live files do not hold as many rows as the list says. Only the files'
+        footers are read."""
+        listed = {month: own.rows for month, own in self.live_months().items()}
+        if self._footer_counts(self.fact_source()) != listed:
+            raise ValueError(f"the files of {self.fact} do not hold the rows that were loaded")
+
+    def kept_audit(self) -> dict:
+        """What `keep_audit` was given last; nothing if that cannot be read."""
+        folder = self._folder(self.fact_files, "_audit")
+        if not folder_ages(self.spark, folder):
+            return {}
+        try:
+            return json.loads(read_text(self.spark, f"{folder}/months.json"))
+        except (Py4JJavaError, ValueError):
+            return {}
+
+    def keep_audit(self, found: dict) -> None:
+        """Keep the violations of the live months: an entry for each month, at most twelve for
+        each year of the calendar."""
+        write_text(self.spark, self._folder(self.fact_files, "_audit", "months.json"), json.dumps(found))
+
+    @staticmethod
+    def _footer_counts(files: DataFrame) -> dict[int, int]:
+        """Rows by month: no column is read."""
+        return {r[MONTH]: r["count"] for r in files.groupBy(MONTH).count().collect()}
+
     def fact_source(self, months: Sequence[int] | None = None) -> DataFrame:
-        """The live files' rows, of the months or of all, with the columns `load`, `month_key`
-        and `_metadata`."""
+        """The live files' rows, of the months or of all, with their versions and the columns
+        `load`, `month_key` and `_metadata`."""
         live = self.live_months()
         return self._files_of(live if months is None else {m: live[m] for m in months if m in live})
 
@@ -195,6 +294,38 @@ class Warehouse:
     def _list_of(self, load: int) -> str:
         return self._folder(self.fact_files, "_live", f"{load}.json")
 
+    def _claim_load(self) -> int:
+        """A number above those of all loads that there were, for one load alone."""
+        known = [self._published()]
+        for name, _ in folder_ages(self.spark, self._folder(self.fact_files)):
+            if name.startswith(f"{LOAD}="):
+                known.append(int(name.removeprefix(f"{LOAD}=")))
+        load = max(known) + 1
+        while not claim(self.spark, self._list_of(load)):
+            load += 1
+        return load
+
+    @contextmanager
+    def _publishing_after(self, base: int) -> Iterator[None]:
+        """Let one load publish on top of `base`, and only if that is still what the fact shows.
+
+        A mark that is there for as long as the statement takes keeps out others. If a driver
+        dies just then, the mark counts no more after a while.
+        """
+        folder, name = self._folder(self.fact_files, "_live"), f"after-{base}"
+        mark = f"{folder}/{name}"
+        if not claim(self.spark, mark):
+            age = dict(folder_ages(self.spark, folder)).get(name, PUBLISHING)
+            if age < PUBLISHING:
+                raise LoadConflict(f"another load of {self.fact} is being published")
+            write_text(self.spark, mark, "")
+        try:
+            if self._published() != base:
+                raise LoadConflict(f"another load of {self.fact} was published after load {base}")
+            yield
+        finally:
+            delete(self.spark, mark)
+
     def _published(self) -> int:
         """The number of the load that the fact shows; 0 before the first."""
         properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.fact}").collect()
@@ -203,12 +334,12 @@ class Warehouse:
     # -- writing
 
     def replace_staging(self, rows: DataFrame) -> int:
-        """Full refresh; returns the row count, observed while writing."""
+        """Full refresh; returns the row count, observed while writing. When rows landed, if they
+        say so, is written beside the table's columns."""
         self.require(self.staging)
         target = self._folder(self.staging, f"{LOAD}={stamp()}")
         loaded = Observation()
-        counted = rows.select(*names(STAGING)).observe(loaded, F.count(F.lit(1)).alias("rows"))
-        counted.write.parquet(target)
+        observed(rows.select(*names(STAGING), *_versions(rows)), loaded).write.parquet(target)
         self.spark.sql(f"ALTER TABLE {self.staging} SET LOCATION '{target}'")
         return loaded.get["rows"]
 
@@ -220,22 +351,35 @@ class Warehouse:
     def upsert_fact(self, incoming: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
         """Insert or replace fact rows by key, all or none; only months that `incoming` touches
         are read and written. Returns the number of incoming rows.
+
+        A row that landed before the one it would replace is left out as late. Rows that do not
+        say when they landed replace whatever they meet, and are replaced by whatever comes.
         """
+        return self.upsert_fact_counted(incoming, rows_per_file).rows
+
+    def upsert_fact_counted(
+        self, incoming: DataFrame, rows_per_file: int = ROWS_PER_FILE
+    ) -> Upserted:
+        """The same, returning what became of the rows, observed while writing."""
         self.require(self.fact)
         incoming = incoming.withColumn(MONTH, month_key(F.col("date_key")))
         touched = _month_counts(incoming)
         if not touched:
-            return 0
-        live = self.live_months()
-        load = self._published() + 1
+            return Upserted()
+        base, live, load = self._published(), self.live_months(), self._claim_load()
         sizes = [(m, rows + (live[m].rows if m in live else 0)) for m, rows in touched.items()]
         layout, tasks = plan_layout(
             sizes, rows_per_file, self.spark.sparkContext.defaultParallelism
         )
         existing = self._files_of({m: live[m] for m in touched if m in live}).drop(LOAD)
-        merged = merge_months(existing, incoming, layout, tasks)
-        self._publish(load, {**live, **self._write_load(load, merged)})
-        return sum(touched.values())
+        outcome = Observation()
+        merged = merge_months(existing, incoming, layout, tasks).observe(
+            outcome, *[F.count_if(F.col(FATE) == fate).alias(fate) for fate in Upserted._fields]
+        )
+        written = self._write_load(load, merged.drop(FATE))
+        with self._publishing_after(base):
+            self._publish(load, {**live, **written})
+        return Upserted(**outcome.get)
 
     def _write_load(self, load: int, merged: DataFrame) -> dict[int, LiveMonth]:
         """Write whole months to the folder of the load, over what a load that died has left
@@ -243,8 +387,7 @@ class Warehouse:
         folder = self._folder(self.fact_files, f"{LOAD}={load}")
         merged.write.partitionBy(MONTH).mode("overwrite").parquet(folder)
         written = self.spark.read.schema(merged.schema).parquet(folder)
-        # From the files' footers; no column is read.
-        months = {r[MONTH]: LiveMonth(load, r["count"]) for r in written.groupBy(MONTH).count().collect()}
+        months = {m: LiveMonth(load, n) for m, n in self._footer_counts(written).items()}
         partitions = " ".join(
             f"PARTITION ({LOAD}={load}, {MONTH}={m}) LOCATION '{folder}/{MONTH}={m}'" for m in sorted(months)
         )
@@ -267,9 +410,7 @@ class Warehouse:
 
         A query that was planned on a version must end, or begin anew, within that time.
         """
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.staging}")
-        staging = described.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
-        fact = self._folder(self.fact_files)
+        staging, fact = self._staging_folder(), self._folder(self.fact_files)
         needed = {own.load for own in self.live_months().values()} | {self._published()}
         gone = 0
         for folder in (self._folder(self.staging), fact):
@@ -284,9 +425,22 @@ class Warehouse:
                         delete(self.spark, self._list_of(int(number)))
                     delete(self.spark, f"{folder}/{name}")
                     gone += 1
+        lists = {f"{load}.json" for load in needed}
+        for name, age in folder_ages(self.spark, f"{fact}/_live"):
+            # Lists that were replaced, and claims of loads that died before they wrote anything.
+            if name.endswith(".json") and name not in lists and age > max(keep, PUBLISHING):
+                delete(self.spark, f"{fact}/_live/{name}")
         return gone
 
 
+def _versions(rows: DataFrame) -> list[Column]:
+    """The version columns of rows, null if they have none."""
+    return [
+        F.col(c.name) if c.name in rows.columns else F.lit(None).cast(c.type).alias(c.name)
+        for c in VERSION
+    ]
+
+
 def _live_filter(live: dict[int, LiveMonth]) -> str:
     """The partitions of the files that count, as SQL."""
     by_load: dict[int, list[int]] = {}
@@ -302,7 +456,8 @@ def _live_filter(live: dict[int, LiveMonth]) -> str:
 def merge_months(
     existing: DataFrame, incoming: DataFrame, layout: Sequence[MonthLayout], tasks: int
 ) -> DataFrame:
-    """Old and new rows of the touched months, merged and laid out to be written.
+    """Old and new rows of the touched months, merged and laid out to be written, with the
+    `fate` of each key.
 
     Rows are spread once, each to the part that its key is given, and merged where they
     land, as old and new row of a key meet there. Merging sorts the rows by symbol and day,
@@ -313,18 +468,19 @@ def merge_months(
         f"{MONTH} INT, parts INT, first_part INT",
     )
     part = F.col("first_part") + F.pmod(F.xxhash64(*FACT_KEY), F.col("parts"))
+    old, new = (df.select(*names(FACT), *_versions(df), MONTH) for df in (existing, incoming))
     # The list has a row per calendar month, twelve for each year of a four-digit calendar
     # at most, however many rows the months have: safe to broadcast.
     spread = (
-        tag_union(existing, incoming)
+        tag_union(old, new)
         .join(F.broadcast(plan), MONTH)
         .withColumn("part", part.cast("int"))
         .drop("parts", "first_part")
         .repartitionById(tasks, "part")
     )
     by_symbol = [MONTH, "part", "symbol_code", "date_key"]
-    merged = merge_tagged(spread, by_symbol).sortWithinPartitions(*by_symbol)
-    return merged.select(*names(FACT), MONTH)
+    merged = merge_tagged(spread, by_symbol, names(VERSION), FATE).sortWithinPartitions(*by_symbol)
+    return merged.select(*names(FACT + VERSION), MONTH, FATE)
 
 
 def _month_counts(incoming: DataFrame) -> dict[int, int]:

@@ -154,8 +154,8 @@ def _audit() -> str:
     loaded = [
         raised(price, "symbol_code", symbol)
         for price, symbol in (
-            ("open_price", "Brand#44"), ("high_price", "Brand#45"), ("low_price", "Brand#51"),
-            ("close_price", "Brand#52"),
+            ("open_price", "Brand#1"), ("high_price", "Brand#2"), ("low_price", "Brand#3"),
+            ("close_price", "Brand#4"),
         )
     ]
     return (
@@ -177,16 +177,16 @@ bad_days AS (
           UNION ALL SELECT * FROM days WHERE month_number = 1) AS d
 ),
 bad_symbols AS (
-    SELECT CASE WHEN symbol = 'Brand#33' THEN 'Brand#33-long'
-                WHEN symbol <> 'Brand#32' THEN symbol END AS symbol_code,
+    SELECT CASE WHEN symbol = 'Brand#16' THEN 'Brand#16-long'
+                WHEN symbol <> 'Brand#17' THEN symbol END AS symbol_code,
            repeat('x', CASE WHEN symbol = 'Brand#12' THEN 256 ELSE 255 END) AS company_name
     FROM (SELECT DISTINCT symbol FROM bars WHERE symbol <> 'Brand#25'
           UNION ALL SELECT DISTINCT symbol FROM bars WHERE symbol = 'Brand#11') AS s
 ),
 bad_fact AS (
-    SELECT CASE WHEN NOT (date_key // 10000 = 1997 AND symbol_code = 'Brand#41') THEN date_key END AS date_key,
-           CASE WHEN date_key // 10000 = 1996 AND symbol_code = 'Brand#43' THEN 'Brand#43-long'
-                WHEN NOT (date_key // 10000 = 1996 AND symbol_code = 'Brand#42') THEN symbol_code END
+    SELECT CASE WHEN NOT (date_key // 10000 = 1997 AND symbol_code = 'Brand#18') THEN date_key END AS date_key,
+           CASE WHEN date_key // 10000 = 1996 AND symbol_code = 'Brand#19' THEN 'Brand#19-long'
+                WHEN NOT (date_key // 10000 = 1996 AND symbol_code = 'Brand#20') THEN symbol_code END
                AS symbol_code,
            {', '.join(loaded)}, volume
     FROM (SELECT * FROM fact
@@ -208,7 +208,7 @@ judged AS (
            CASE WHEN year = 1996 THEN 'no daily series'
                 WHEN symbol = 'Brand#13' THEN 'not a valid document'
                 WHEN year = 1998 THEN 'empty daily series'
-                WHEN symbol IN ('Brand#22', 'Brand#23', 'Brand#24', 'Brand#25', 'Brand#31', 'Brand#32')
+                WHEN symbol IN ('Brand#22', 'Brand#23', 'Brand#24', 'Brand#25', 'Brand#11', 'Brand#12')
                     THEN 'not a valid document' END AS reason
     FROM documents
 )
@@ -330,7 +330,7 @@ FROM counts""",
     + MERGED.format(volume="CASE WHEN date_key >= 20000101 THEN volume END"),
     "fact_date_range": f"""
 SELECT * FROM ({UPSERTED}) AS merged
-WHERE date_key BETWEEN 19981215 AND 19990114 AND symbol_code IN ('Brand#12', 'Brand#34')""",
+WHERE date_key BETWEEN 19981215 AND 19990114 AND symbol_code IN ('Brand#12', 'Brand#21')""",
     "fact_duplicate_keys": f"""
 WITH {BARS}, {DATES}, {FACT},
 twice AS (
@@ -342,7 +342,51 @@ FROM twice GROUP BY date_key, symbol_code HAVING count(*) > 1""",
     "constraint_audit": _audit(),
     "load_all_steps": ALL_FACTS,
     "load_two_days": UPSERTED,
-    "load_symbols_apart": f"{STAGED} WHERE symbol = 'Brand#34'",
+    "load_old_day_again": UPSERTED,
+    "stream_late_document": UPSERTED,
+    "csv_mixed_headers": STAGED,
+    "fact_count": f"""
+SELECT date_key // 100 AS month_key, CAST(count(*) AS BIGINT) AS row_count
+FROM ({UPSERTED}) AS merged GROUP BY 1""",
+    "table_exists": f"""
+WITH {BARS}
+SELECT 'staging.stock_prices' AS table_name, CAST(NULL AS VARCHAR) AS reason, CAST(count(*) AS BIGINT) AS row_count FROM bars
+UNION ALL SELECT 'public.dim_date', NULL, CAST(count(DISTINCT date) AS BIGINT) FROM bars
+UNION ALL SELECT 'public.fact_stock_prices', NULL, CAST(count(*) AS BIGINT) FROM bars
+UNION ALL SELECT name, 'table ' || name || ' does not exist; create the warehouse first', 0
+FROM (VALUES ('public.dim_symbol'), ('public.dim_company')) AS gone(name)""",
+    "input_exists": f"""
+WITH {BARS}, documents AS (SELECT DISTINCT symbol, extract(year FROM date) AS year FROM bars)
+SELECT 20240105 AS landed, true AS exists, CAST(count(*) AS BIGINT) AS files FROM documents WHERE year < 2000
+UNION ALL SELECT 20240106, true, CAST(count(*) AS BIGINT) FROM documents WHERE year >= 1999
+UNION ALL SELECT 20240107, false, 0""",
+    "load_counts": f"""
+WITH {BARS}, sent AS (
+    SELECT 0 AS load, 'inserted_rows' AS fate, * FROM bars WHERE date < DATE '2000-01-01'
+    UNION ALL
+    SELECT 1, CASE WHEN date < DATE '2000-01-01' THEN 'replaced_rows' ELSE 'inserted_rows' END, *
+    FROM bars WHERE date >= DATE '1999-01-01'
+    UNION ALL
+    SELECT 2, 'late_rows', * FROM bars WHERE extract(year FROM date) = 1999
+),
+usable AS (SELECT * FROM sent WHERE symbol <> 'Brand#13'),
+loaded AS (SELECT * FROM usable WHERE symbol <> 'Brand#15'),
+loads AS (SELECT unnest([0, 1, 2]) AS load),
+fates AS (SELECT load, unnest(['inserted_rows', 'replaced_rows', 'late_rows']) AS fate FROM loads)
+SELECT load, 'documents' AS step, CAST(count(DISTINCT (symbol, extract(year FROM date))) AS BIGINT) AS number
+FROM sent GROUP BY load
+UNION ALL
+SELECT load, 'rejected_documents', CAST(count(DISTINCT extract(year FROM date)) AS BIGINT)
+FROM sent WHERE symbol = 'Brand#13' GROUP BY load
+UNION ALL SELECT load, 'extracted_rows', CAST(count(*) AS BIGINT) FROM usable GROUP BY load
+UNION ALL SELECT load, 'read_rows', CAST(count(*) AS BIGINT) FROM usable GROUP BY load
+UNION ALL
+SELECT load, 'rejected_rows', CAST(count(*) AS BIGINT) FROM usable WHERE symbol = 'Brand#15' GROUP BY load
+UNION ALL SELECT load, 'staged_rows', CAST(count(*) AS BIGINT) FROM loaded GROUP BY load
+UNION ALL
+SELECT load, fate, CAST(count(symbol) AS BIGINT) FROM fates LEFT JOIN loaded USING (load, fate)
+GROUP BY load, fate""",
+    "load_symbols_apart": f"{STAGED} WHERE symbol = 'Brand#21'",
     "incremental_stream": UPSERTED,
     "packed_stream": ALL_FACTS,
     "stream_with_rejects": f"""

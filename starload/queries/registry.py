@@ -37,6 +37,7 @@ from starload.schemas import CSV_COLUMNS, DIM_SYMBOL, FACT_KEY, names
 from starload.session import scratch_dir, stored
 from starload.sources.payloads import (
     explode_series,
+    landed_documents,
     parse_payloads,
     read_landing,
     require_usable,
@@ -110,8 +111,8 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("symbol") == "Brand#23", F.concat(payload, payload))
         .when(F.col("symbol") == "Brand#24", F.concat(payload, F.lit("\n"), payload))
         .when(F.col("symbol") == "Brand#25", F.concat(payload, F.lit(", "), payload))
-        .when(F.col("symbol") == "Brand#31", F.concat(payload, F.lit(" trailing")))
-        .when(F.col("symbol") == "Brand#32", F.concat(payload, F.lit("], [1")))
+        .when(F.col("symbol") == "Brand#11", F.concat(payload, F.lit(" trailing")))
+        .when(F.col("symbol") == "Brand#12", F.concat(payload, F.lit("], [1")))
         .otherwise(F.concat(payload, F.lit(" \n ")))
     )
     documents = payloads(bars(spark, sf_dir)).withColumn("payload", spoilt)
@@ -157,6 +158,21 @@ def csv_ragged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(kept.unionByName(aside), "ragged")
 
 
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three writers in one folder, with other orders of columns and columns more."""
+    path = scratch_dir(spark, "mixed_csv")
+    rows = raw_bars(bars(spark, sf_dir)).withColumns({"currency": F.lit("USD"), "venue": F.lit("a,b")})
+    symbol = F.col("symbol")
+    writers = [
+        (symbol < "Brand#14", CSV_COLUMNS, None),
+        (symbol.between("Brand#14", "Brand#2"), sorted(rows.columns), "gzip"),
+        (symbol > "Brand#2", ("venue", *reversed(CSV_COLUMNS)), None),
+    ]
+    for own, columns, compression in writers:
+        rows.filter(own).select(*columns).write.csv(path, mode="append", header=True, compression=compression)
+    return to_staging(read_foreign_csv(spark, path))
+
+
 def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of another writer: other column order, one column more."""
     path = scratch_dir(spark, "foreign_csv")
@@ -249,6 +265,22 @@ def table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(rows.withColumnRenamed("count", "row_count"), "tables")
 
 
+def table_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load finds of its tables when one was dropped and one never was: their rows, or why
+    they cannot be used."""
+    with scratch_warehouse(spark) as warehouse:
+        _load(warehouse, bars(spark, sf_dir))
+        spark.sql(f"DROP TABLE {warehouse.dim_symbol}")
+        tables = [warehouse.staging, warehouse.dim_date, warehouse.dim_symbol, warehouse.fact]
+        found = []
+        for table in [*tables, f"{warehouse.prefix}public.dim_company"]:
+            name, reason = table.removeprefix(warehouse.prefix), warehouse.missing(table)
+            told = F.lit(reason and reason.replace(warehouse.prefix, "")).cast("string")
+            rows = spark.range(0) if reason else warehouse.read(table)
+            found.append(row_count(rows).select(F.lit(name).alias("table_name"), told.alias("reason"), "row_count"))
+        return stored(reduce(DataFrame.unionByName, found), "tables")
+
+
 def distributed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days and symbols that both batches have: two tables hashed by symbol, joined on it and
     on the day without a shuffle."""
@@ -377,7 +409,16 @@ def fact_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_warehouse(spark) as warehouse:
         _load(warehouse, first_batch(staging), second_batch(staging))
         days = dt.date(1998, 12, 15), dt.date(1999, 1, 14)
-        return stored(warehouse.read_fact(*days, ["Brand#12", "Brand#34", "none"]), "range")
+        return stored(warehouse.read_fact(*days, ["Brand#12", "Brand#21", "none"]), "range")
+
+
+def fact_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each month after two loads, without reading a file of the fact."""
+    staging = _staged(spark, sf_dir)
+    with scratch_warehouse(spark) as warehouse:
+        _load(warehouse, first_batch(staging), second_batch(staging))
+        warehouse.require_counts()
+        return warehouse.count_fact()
 
 
 def fact_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,19 +459,19 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     long_name = F.repeat(F.lit("x"), F.when(code == "Brand#12", 256).otherwise(255))
     bad_symbols = symbols.unionByName(symbols.filter(code == "Brand#11")).select(
         F.lit(1).alias("symbol_key"),
-        F.when(code == "Brand#33", "Brand#33-long").when(code != "Brand#32", code).alias("symbol_code"),
+        F.when(code == "Brand#16", "Brand#16-long").when(code != "Brand#17", code).alias("symbol_code"),
         long_name.alias("company_name"),
     )
     year = F.call_function("div", F.col("date_key"), F.lit(10000))
     again = fact.unionByName(fact.filter(year == 1999))
     bad_fact = again.select(
-        F.when(~((year == 1997) & (code == "Brand#41")), F.col("date_key")).alias("date_key"),
-        F.when((year == 1996) & (code == "Brand#43"), "Brand#43-long")
-        .when(~((year == 1996) & (code == "Brand#42")), code).alias("symbol_code"),
-        too_large("open_price", code == "Brand#44").alias("open_price"),
-        too_large("high_price", code == "Brand#45").alias("high_price"),
-        too_large("low_price", code == "Brand#51").alias("low_price"),
-        too_large("close_price", code == "Brand#52").alias("close_price"),
+        F.when(~((year == 1997) & (code == "Brand#18")), F.col("date_key")).alias("date_key"),
+        F.when((year == 1996) & (code == "Brand#19"), "Brand#19-long")
+        .when(~((year == 1996) & (code == "Brand#20")), code).alias("symbol_code"),
+        too_large("open_price", code == "Brand#1").alias("open_price"),
+        too_large("high_price", code == "Brand#2").alias("high_price"),
+        too_large("low_price", code == "Brand#3").alias("low_price"),
+        too_large("close_price", code == "Brand#4").alias("close_price"),
         "volume",
     )
     return audit(bad_staging, bad_days, bad_symbols, bad_fact)
@@ -462,12 +503,56 @@ def load_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(warehouse.read(warehouse.fact), "fact")
 
 
+def load_old_day_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days, then the first once more: what the second brought stays."""
+    staging = _staged(spark, sf_dir)
+    landing, csv = scratch_dir(spark, "landing"), scratch_dir(spark, "csv")
+    next_day = RUN_DATE + dt.timedelta(days=1)
+    land(payloads(first_batch(staging)), landing, RUN_DATE)
+    land(payloads(second_batch(staging)), landing, next_day)
+    with scratch_warehouse(spark) as warehouse:
+        for day in (RUN_DATE, next_day, RUN_DATE):
+            run(spark, landing, csv, warehouse, day)
+        return stored(warehouse.read(warehouse.fact), "fact")
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the steps of three runs counted: of the first days, of the days from 1999 on, and of
+    1999 once more for a landing day before both. One symbol sends bad documents, another has too
+    long a name."""
+    staging = _staged(spark, sf_dir)
+    landing, csv, rejects = (scratch_dir(spark, name) for name in ("landing", "csv", "rejects"))
+    symbol = F.col("symbol")
+    batches = [first_batch(staging), second_batch(staging), staging.filter(F.year("date") == 1999)]
+    found = []
+    with scratch_warehouse(spark) as warehouse:
+        for load, (days, batch) in enumerate(zip((0, 1, -1), batches, strict=True)):
+            documents = payloads(batch).select(
+                F.when(symbol == "Brand#15", "Brand#15-long").otherwise(symbol).alias("symbol"),
+                F.when(symbol == "Brand#13", "<html></html>").otherwise(F.col("payload")).alias("payload"),
+            )
+            day = RUN_DATE + dt.timedelta(days=days)
+            land(documents, landing, day)
+            counts = run(spark, landing, csv, warehouse, day, rejects=rejects).counts
+            found += [(load, step, number) for step, number in counts._asdict().items()]
+    return spark.createDataFrame(found, "load INT, step STRING, number BIGINT")
+
+
+def input_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What has landed on three days, of which the last has no folder."""
+    staging, landing = _staged(spark, sf_dir), scratch_dir(spark, "landing")
+    days = [RUN_DATE + dt.timedelta(days=n) for n in range(3)]
+    for day, batch in zip(days, (first_batch(staging), second_batch(staging)), strict=False):
+        land(payloads(batch), landing, day)
+    return landed_documents(spark, landing, days).drop("bytes")
+
+
 def load_symbols_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two symbols in turn on one day; what staging holds after the second run."""
     landing = land(payloads(bars(spark, sf_dir)), scratch_dir(spark, "landing"), RUN_DATE)
     csv = scratch_dir(spark, "csv")
     with scratch_warehouse(spark) as warehouse:
-        for symbol in ("Brand#12", "Brand#34"):
+        for symbol in ("Brand#12", "Brand#21"):
             run(spark, landing, csv, warehouse, RUN_DATE, [symbol])
         return stored(warehouse.read(warehouse.staging), "staging")
 
@@ -483,6 +568,19 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(warehouse.read(warehouse.fact), "fact")
 
 
+def stream_late_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream finds the documents of a later landing day first. Those of the day before, which
+    come late, bring what is missing, and win against nothing that landed after them."""
+    staging = _staged(spark, sf_dir)
+    landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
+    next_day = RUN_DATE + dt.timedelta(days=1)
+    with scratch_warehouse(spark) as warehouse:
+        for batch, day in ((second_batch(staging), next_day), (first_batch(staging), RUN_DATE)):
+            land(payloads(batch), landing, day)
+            ingest(spark, landing, warehouse, checkpoint).awaitTermination()
+        return stored(warehouse.read(warehouse.fact), "fact")
+
+
 def packed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many documents in a file, picked up by the stream."""
     landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
@@ -522,6 +620,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_replace": csv_replace,
     "csv_by_name": csv_by_name,
+    "csv_mixed_headers": csv_mixed_headers,
     "csv_ragged_lines": csv_ragged_lines,
     "quarantine_rows": quarantine_rows,
     "quarantine_kept": quarantine_kept,
@@ -530,6 +629,8 @@ QUERIES: dict[str, Query] = {
     "staging_count": staging_count,
     "staging_peek": staging_peek,
     "table_list": table_list,
+    "table_exists": table_exists,
+    "input_exists": input_exists,
     "distributed_join": distributed_join,
     "dim_date": dim_date,
     "dim_date_full_ddl": dim_date_full_ddl,
@@ -544,12 +645,16 @@ QUERIES: dict[str, Query] = {
     "fact_upsert": fact_upsert,
     "fact_upsert_nulls": fact_upsert_nulls,
     "fact_date_range": fact_date_range,
+    "fact_count": fact_count,
     "fact_duplicate_keys": fact_duplicate_keys,
     "constraint_audit": constraint_audit,
     "load_all_steps": load_all_steps,
     "load_two_days": load_two_days,
+    "load_old_day_again": load_old_day_again,
+    "load_counts": load_counts,
     "load_symbols_apart": load_symbols_apart,
     "incremental_stream": incremental_stream,
+    "stream_late_document": stream_late_document,
     "packed_stream": packed_stream,
     "stream_with_rejects": stream_with_rejects,
 }

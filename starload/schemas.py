@@ -108,6 +108,10 @@ STAGING_TO_FACT = {
 }
 
 FACT_KEY = ("date_key", "symbol_code")
+
+# What tells versions of a row apart: the landing day of its document and when that landed. It
+# is stored in the files of staging and fact, and no column of the tables.
+VERSION = (Column("landed", "int"), Column("landed_at", "timestamp"))
 UNKNOWN_COMPANY = "N/A"
 
 
@@ -117,3 +121,8 @@ def names(columns: tuple[Column, ...]) -> list[str]:
 
 def ddl(columns: tuple[Column, ...]) -> str:
     return ", ".join(f"`{c.name}` {c.type}" for c in columns)
+
+
+def stored_ddl(columns: tuple[Column, ...]) -> str:
+    """Without lengths."""
+    return ", ".join(f"`{c.name}` {c.stored_type}" for c in columns)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(
@@ -51,6 +53,15 @@ def stored(df: DataFrame, label: str, *partitions: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, into: Observation | None) -> DataFrame:
+    """`df`, whose `rows` are counted into the observation, if there is one, while it is written.
+
+    To be used right below a write, where each task counts once however often it is tried.
+    Below a shuffle the counts would include tasks that ran again, and those that sample ranges.
+    """
+    return df if into is None else df.observe(into, F.count(F.lit(1)).alias("rows"))
+
+
 def stamp() -> str:
     """A name for a run: later ones sort behind earlier ones, and no two are the same."""
     return f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
@@ -81,6 +92,48 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, uri: str, longest: int = 1 << 20) -> str | None:
+    """The first line of a text file, compressed or not, or nothing if it is empty. Of a longer
+    line only the start."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    settings = spark._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(place)
+    stream = place.getFileSystem(settings).open(place)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(plain, longest)
+        reader = jvm.java.io.InputStreamReader(bounded, "UTF-8")
+        return jvm.java.io.BufferedReader(reader).readLine()
+    finally:
+        stream.close()
+
+
+def file_sizes(spark: SparkSession, path: str) -> list[int] | None:
+    """The sizes of all files below a folder that are not hidden; nothing if there is none."""
+    system, place = _hadoop(spark, path)
+    if not system.exists(place):
+        return None
+    sizes, files = [], system.listFiles(place, True)
+    while files.hasNext():
+        file = files.next()
+        if not file.getPath().getName().startswith(("_", ".")):
+            sizes.append(file.getLen())
+    return sizes
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file of that name, unless there is one: whether this was the one to do so."""
+    system, place = _hadoop(spark, path)
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError as error:
+        if system.exists(place):
+            return False
+        raise error
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all that is in it."""
     system, place = _hadoop(spark, path)

@@ -8,13 +8,14 @@ document. A run reads the folder of its day: its cost does not grow with the his
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starload.functions.checks import require
 from starload.schemas import CSV_COLUMNS, FIELDS, SERIES_KEY
-from starload.session import stored
+from starload.session import file_sizes, stored
 
 LANDING_SCHEMA = "payload STRING, landed INT, symbol STRING"
 
@@ -35,7 +36,8 @@ def read_landing(
     symbols: list[str] | None = None,
     packed: bool = False,
 ) -> DataFrame:
-    """One row per document of a day, or of all days: payload, symbol, file, landed_at.
+    """One row per document of a day, or of all days: payload, symbol, file, and when it landed:
+    the day of its folder, `landed`, and the time of its file, `landed_at`.
 
     `packed` reads many one-line documents per file; at scale that beats a file per
     document. Asking for symbols prunes the folders that are listed and read. An empty file
@@ -49,6 +51,19 @@ def read_landing(
     return with_file(landed)
 
 
+def landed_documents(
+    spark: SparkSession, path: str, run_dates: Sequence[dt.date]
+) -> DataFrame:
+    """landed, exists, files, bytes: what the landing folder has for each of the days, from file
+    listings alone. A day without a folder does not exist; a run of that day would fail."""
+    found = []
+    for day in run_dates:
+        sizes = file_sizes(spark, landed_path(path, day))
+        key = day.year * 10000 + day.month * 100 + day.day
+        found.append((key, sizes is not None, len(sizes or ()), sum(sizes or ())))
+    return spark.createDataFrame(found, "landed INT, exists BOOLEAN, files BIGINT, bytes BIGINT")
+
+
 def stream_landing(
     spark: SparkSession, path: str, max_files: int | None = None, packed: bool = False
 ) -> DataFrame:
@@ -69,6 +84,7 @@ def with_file(landed: DataFrame) -> DataFrame:
         "payload",
         "symbol",
         F.col("_metadata.file_path").alias("file"),
+        "landed",
         F.col("_metadata.file_modification_time").alias("landed_at"),
     )
 
@@ -139,7 +155,7 @@ def explode_series(parsed: DataFrame) -> DataFrame:
 
 
 def require_usable(parsed: DataFrame) -> DataFrame:
-    """Fail the job at the first unusable document."""
+    """All documents; the job fails at the first unusable one."""
     message = F.concat(
         F.lit("unusable payload of symbol "), F.coalesce("symbol", F.lit("?")),
         F.lit(": "), F.coalesce("reason", F.lit("")),
@@ -147,13 +163,19 @@ def require_usable(parsed: DataFrame) -> DataFrame:
     return require(parsed, F.col("reason").isNull(), message)
 
 
-def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_payloads(
+    parsed: DataFrame, counted: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(usable documents, rejects with symbol, file and reason).
 
     The judged documents are written once, usable and unusable ones apart, and read back:
-    texts are read and parsed once for both.
+    texts are read and parsed once for both. `counted` observes `rows` and those `rejected`.
     """
-    judged = parsed.drop("payload").withColumn("rejected", F.col("reason").isNotNull())
-    judged = stored(judged, "documents", "rejected")
+    rejected = F.col("reason").isNotNull()
+    judged = parsed.drop("payload")
+    if counted is not None:
+        both = F.count(F.lit(1)).alias("rows"), F.count_if(rejected).alias("rejected")
+        judged = judged.observe(counted, *both)
+    judged = stored(judged.withColumn("rejected", rejected), "documents", "rejected")
     good = judged.filter(~F.col("rejected")).drop("rejected")
     return good, judged.filter("rejected").select("symbol", "file", "reason")

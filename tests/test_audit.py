@@ -1,7 +1,10 @@
 """The audit finds every planted violation and nothing in a clean load."""
 
+from pathlib import Path
+
 from starload.operators.audit import audit
 from starload.plans.load import audit_tables, load_dimensions, load_fact, load_staging
+from starload.plans.warehouse import Warehouse
 from tests.conftest import raw, row
 
 
@@ -53,3 +56,47 @@ def test_violations(spark):
         ("fact_stock_prices", "date_key known"): 1,
         ("fact_stock_prices", "symbol_code known"): 1,
     }
+
+
+def test_kept_counts_equal_the_full_audit(spark, warehouse, monkeypatch):
+    """Three loads, with violations in some months; only months that were loaded are read."""
+    read = []
+    source = Warehouse.fact_source
+    monkeypatch.setattr(
+        Warehouse, "fact_source", lambda self, months=None: read.append(months) or source(self, months)
+    )
+
+    def equal():
+        read.clear()
+        kept = by_check(audit_tables(warehouse))
+        assert kept == by_check(audit_tables(warehouse, full=True))
+        return [m for months in read for m in months], {k: v for k, v in kept.items() if v}
+
+    def load(*rows, days=True):
+        load_staging(warehouse, raw(spark, *rows))
+        if days:
+            load_dimensions(warehouse)
+        fact = "SELECT date_key, symbol_code, open_price, 0.0 high_price, 0.0 low_price, 0.0 close_price, volume"
+        staged = spark.sql(
+            f"{fact} FROM (SELECT cast(date_format(date, 'yyyyMMdd') as int) date_key, symbol symbol_code, "
+            f"open_price, volume FROM {warehouse.staging})"
+        )
+        warehouse.upsert_fact(staged)
+
+    load(row("2024-01-02", "A"), row("2024-02-02", "A"))
+    assert equal() == ([202401, 202402], {})
+    assert equal() == ([], {})
+    load(row("2024-03-02", "B"), row("2024-03-03", "B"), days=False)
+    months, found = equal()
+    assert months == [202403]
+    orphans = {("fact_stock_prices", "date_key known"): 2, ("fact_stock_prices", "symbol_code known"): 2}
+    assert found == orphans
+    assert equal() == ([], orphans)
+    load(row("2024-02-03", "A"))
+    assert equal() == ([202402, 202403], orphans)
+    load_staging(warehouse, raw(spark, row("2024-03-02", "B")))
+    load_dimensions(warehouse)
+    assert equal() == ([202403], {("fact_stock_prices", "date_key known"): 1})
+    # What is kept is only ever a short cut.
+    Path(warehouse.root, "storage/fact_files/_audit/months.json").write_text("{")
+    assert len(equal()[0]) == 3

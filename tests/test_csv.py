@@ -1,6 +1,7 @@
 """Interchange files: layout, replacement, header and line checks."""
 
 import datetime as dt
+import gzip
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from starload.operators.staging import to_staging
 from starload.schemas import CSV_COLUMNS
 from starload.sources.prices_csv import (
     RAGGED,
+    files_by_header,
     read_csv,
     read_csv_day,
     read_csv_judged,
@@ -111,18 +113,43 @@ def test_foreign_files_double_their_quotes(spark, tmp_path):
     assert [r.symbol for r in read_foreign_csv(spark, str(file)).collect()] == ['A"B,C']
 
 
-def test_foreign_files_without_a_column_fail(spark, tmp_path):
-    file = tmp_path / "x.csv"
-    file.write_text("timestamp,open,high,low,close,symbol\n2024-01-02,1,1,1,1,A\n")
-    with pytest.raises(FAILURE, match="volume"):
-        read_foreign_csv(spark, str(file))
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        ("timestamp,open,high,low,close,symbol\n2024-01-02,1,1,1,1,A\n", "no column volume"),
+        (f"{','.join(CSV_COLUMNS)},open\n2024-01-02,1,1,1,1,1,A,2\n", "two columns open"),
+        ("", "no header"),
+    ],
+)
+def test_foreign_files_with_an_unusable_header_fail(spark, tmp_path, text, reason):
+    (tmp_path / "good.csv").write_text(f"{','.join(CSV_COLUMNS)}\n2024-01-02,1,1,1,1,1,A\n")
+    (tmp_path / "x.csv").write_text(text)
+    with pytest.raises(ValueError, match=reason):
+        read_foreign_csv(spark, str(tmp_path))
 
 
-def test_foreign_files_with_different_headers_fail(spark, tmp_path):
+def test_foreign_files_are_read_by_their_own_headers(spark, tmp_path):
+    own = row("2024-01-02", "A", "1", "1")
     (tmp_path / "a.csv").write_text(f"{','.join(CSV_COLUMNS)}\n2024-01-02,1,1,1,1,1,A\n")
     (tmp_path / "b.csv").write_text(
-        "open,timestamp,high,low,close,volume,symbol\n1,2024-01-02,1,1,1,1,B\n"
+        "\ufeffopen,timestamp,high,low,close,volume,symbol\r\n2,2024-01-02,2,2,2,1,B\r\n"
     )
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as file:
+        file.write('x,"x",symbol,volume,close,low,high,open,timestamp\n"a,b",,C,1,3,3,3,3,2024-01-02\n')
+    (tmp_path / "d.csv").write_text(f"{','.join(CSV_COLUMNS)}\n2024-01-02,4,4,4,4,1,D\n")
+    (tmp_path / "_hidden.csv").write_text("nonsense\n")
+    found = read_foreign_csv(spark, str(tmp_path))
+    wanted = {(own[0], p, p, p, p, "1", s) for p, s in zip("1234", "ABCD", strict=True)}
+    assert rows_of(found) == wanted
+    # Files with equal headers are one scan.
+    assert len(files_by_header(spark, str(tmp_path))) == 3
+    assert rows_of(read_foreign_csv(spark, str(tmp_path / "a.csv"))) == {own}
+
+
+@pytest.mark.parametrize("line", ["1,2024-01-02,1,1,1,1", "1,2024-01-02,1,1,1,1,B,more"])
+def test_ragged_lines_of_foreign_files_fail(spark, tmp_path, line):
+    header = "open,timestamp,high,low,close,volume,symbol"
+    (tmp_path / "x.csv").write_text(f"{header}\n1,2024-01-02,1,1,1,1,B\n{line}\n")
     with pytest.raises(FAILURE):
         read_foreign_csv(spark, str(tmp_path)).collect()
 

@@ -96,7 +96,7 @@ def test_months_are_merged_by_one_shuffle_and_one_sort(spark, loaded):
 
 
 def test_the_audit_scans_the_fact_once(loaded):
-    plan = formatted(audit_tables(loaded))
+    plan = formatted(audit_tables(loaded, full=True))
     scans = re.findall(r"Location: .*", plan)
     assert sum("fact_files" in s for s in scans) == 1
     assert sum("stock_prices" in s for s in scans) == 1

@@ -1,9 +1,12 @@
 """Documents that land over time."""
 
+import datetime as dt
 import os
+from pathlib import Path
 
 import pytest
 
+from starload.plans.load import LoadCounts
 from starload.streaming.ingest import ingest
 from tests.conftest import FAILURE, land, payload
 
@@ -95,7 +98,7 @@ def test_a_repeated_batch_does_not_double_its_rejects(spark, warehouse, tmp_path
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr("starload.streaming.ingest.load_fact", die)
+        patch.setattr("starload.streaming.ingest.load_fact_counted", die)
         with pytest.raises(FAILURE, match="lost"):
             start().awaitTermination()
     start().awaitTermination()
@@ -116,3 +119,60 @@ def test_a_file_of_several_documents_stops_the_stream(spark, warehouse, tmp_path
     land(tmp_path / "in", "A", "\n".join(lines))
     with pytest.raises(FAILURE, match="not a valid document"):
         ingest(spark, str(tmp_path / "in"), warehouse, str(tmp_path / "cp")).awaitTermination()
+
+
+def test_a_late_document_of_an_earlier_day_fills_gaps_only(spark, warehouse, tmp_path):
+    def go():
+        ingest(spark, str(tmp_path / "in"), warehouse, str(tmp_path / "cp")).awaitTermination()
+        rows = warehouse.read(warehouse.fact).collect()
+        return {(r.date_key, r.symbol_code): float(r.open_price) for r in rows}
+
+    later, earlier = dt.date(2024, 1, 6), dt.date(2024, 1, 5)
+    land(tmp_path / "in", "A", payload({JAN_2: prices(6)}), day=later)
+    assert go() == {(20240102, "A"): 6.0}
+    late = payload({JAN_2: prices(5), JAN_3: prices(5)})
+    land(tmp_path / "in", "A", late, day=earlier)
+    assert go() == {(20240102, "A"): 6.0, (20240103, "A"): 5.0}
+    # Landed on the later day, but earlier than what was loaded of it.
+    path = land(tmp_path / "in", "A", payload({JAN_2: prices(4)}), "early.json", day=later)
+    os.utime(f"{path}/landed=20240106/symbol=A/early.json", (1_600_000_000, 1_600_000_000))
+    assert go() == {(20240102, "A"): 6.0, (20240103, "A"): 5.0}
+
+
+def test_the_stream_removes_old_versions(spark, warehouse, drop):
+    for value in range(4):
+        drop(("A", {JAN_2: prices(value), FEB_1: prices(value)}), keep=dt.timedelta(0))
+    folder = Path(warehouse.root)
+    assert len(list(folder.glob("storage/fact_files/load=*"))) == 1
+    assert len(list(folder.glob("storage/fact_files/load=*/month_key=*"))) == 2
+    assert len(list(folder.glob("staging/stock_prices/load=*"))) == 1
+    assert warehouse.read(warehouse.fact).count() == 2
+
+
+def test_the_stream_keeps_versions_for_a_while(spark, warehouse, drop):
+    for value in range(3):
+        drop(("A", {JAN_2: prices(value)}))
+    assert len(list(Path(warehouse.root).glob("storage/fact_files/load=*"))) == 3
+
+
+def test_the_stream_audits_before_it_writes_the_fact(spark, warehouse, drop):
+    first = drop(("A", {JAN_2: prices(1)}))
+    warehouse.append(warehouse.dim_symbol, warehouse.read(warehouse.dim_symbol))
+    with pytest.raises(FAILURE, match="symbol_code unique"):
+        drop(("A", {JAN_3: prices(2)}))
+    rows = warehouse.read(warehouse.fact).collect()
+    assert {(r.date_key, r.symbol_code): float(r.open_price) for r in rows} == first
+    assert drop(check=False) == {**first, (20240103, "A"): 2.0}
+
+
+def test_the_stream_tells_what_it_counted(drop, tmp_path):
+    told = {}
+    drop(
+        ("A", {JAN_2: prices(1), JAN_3: (1, 1, 1, 1, "x")}), ("B", {JAN_2: prices(1)}),
+        rejects=str(tmp_path / "bad"), on_load=told.__setitem__,
+    )
+    drop(("B", {JAN_2: prices(3), FEB_1: prices(1)}), on_load=told.__setitem__)
+    assert told == {
+        0: LoadCounts(documents=2, read_rows=3, rejected_rows=1, staged_rows=2, inserted_rows=2),
+        1: LoadCounts(documents=1, read_rows=2, staged_rows=2, inserted_rows=1, replaced_rows=1),
+    }

@@ -2,10 +2,10 @@
 
 import datetime as dt
 import os
+import threading
 from pathlib import Path
 
 import pytest
-from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -14,13 +14,19 @@ from starload.functions.dates import month_key
 from starload.operators.staging import to_staging
 from starload.plans.load import (
     AuditError,
+    LoadCounts,
     load_dimensions,
     load_fact,
+    load_fact_counted,
     load_staging,
+    load_staging_counted,
     run,
 )
-from starload.plans.warehouse import Warehouse, plan_layout, save_distributed
+from starload.operators.facts import build_fact
+from starload.plans.warehouse import LoadConflict, Upserted, Warehouse, plan_layout, save_distributed
 from starload.schemas import DIM_DATE, DIM_SYMBOL, FACT, STAGING, names
+from starload.session import stored
+from starload.sources.payloads import landed_documents
 from starload.sources.prices_csv import read_csv
 from tests.conftest import FAILURE, land, payload, raw, row, rows_of
 
@@ -204,7 +210,7 @@ def test_a_load_that_dies_shows_all_old_rows(spark, warehouse, monkeypatch, step
 
     with monkeypatch.context() as patch:
         if step == "after files":
-            patch.setattr(DataFrameReader, "schema", die)  # the first thing after the write
+            patch.setattr(Warehouse, "_footer_counts", die)  # the first thing after the write
         elif step == "after list":
             write = house.write_text
             patch.setattr(house, "write_text", lambda *args: (write(*args), die()))
@@ -416,3 +422,176 @@ def test_tables_hashed_alike_join_without_a_shuffle(spark, warehouse):
     joined = spark.table(left).hint("merge").join(spark.table(right), "date")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 2
+
+
+# -- versions, counts and claims
+
+
+def version(rows, day, at="2024-01-05 10:00:00"):
+    return rows.withColumns({"landed": F.lit(day), "landed_at": F.to_timestamp(F.lit(at))})
+
+
+def load_version(spark, warehouse, rows, day, at="2024-01-05 10:00:00"):
+    load_staging(warehouse, version(raw(spark, *rows), day, at))
+    load_dimensions(warehouse)
+    return load_fact_counted(warehouse)
+
+
+def test_the_later_version_of_a_row_stays(spark, warehouse):
+    a, b = row("2024-01-02", "A", price="1"), row("2024-01-02", "B", price="1")
+    assert load_version(spark, warehouse, [a, b], 20240106) == Upserted(inserted=2)
+    older = [row("2024-01-02", "A", price="9"), row("2024-01-03", "A", price="9")]
+    assert load_version(spark, warehouse, older, 20240105) == Upserted(inserted=1, late=1)
+    assert facts(warehouse) == {
+        (20240102, "A"): (1.0, 10), (20240102, "B"): (1.0, 10), (20240103, "A"): (9.0, 10),
+    }
+    # On one day the time decides, and of equals the load that comes later.
+    earlier = load_version(spark, warehouse, [row("2024-01-02", "A", price="7")], 20240106, "2024-01-05 09:59:59")
+    assert earlier == Upserted(late=1)
+    assert load_version(spark, warehouse, [row("2024-01-02", "A", price="8")], 20240106) == Upserted(replaced=1)
+    assert facts(warehouse)[20240102, "A"] == (8.0, 10)
+
+
+def test_rows_without_a_version_replace_and_are_replaced(spark, warehouse):
+    load_version(spark, warehouse, [row("2024-01-02", "A", price="1")], 20240106)
+    load(spark, warehouse, row("2024-01-02", "A", price="2"))
+    assert facts(warehouse) == {(20240102, "A"): (2.0, 10)}
+    assert load_version(spark, warehouse, [row("2024-01-02", "A", price="3")], 20230101) == Upserted(replaced=1)
+
+
+def test_a_late_row_still_conflicts_with_itself(spark, warehouse):
+    load_version(spark, warehouse, [row("2024-01-02", "A", price="1")], 20240106)
+    with pytest.raises(FAILURE, match="NULL or repeated key"):
+        load_version(spark, warehouse, [row("2024-01-02", "A"), row("2024-01-02", "A")], 20240105)
+
+
+def test_versions_are_no_columns_of_the_tables(spark, warehouse):
+    load_version(spark, warehouse, [row("2024-01-02", "A")], 20240106)
+    assert spark.table(warehouse.staging).columns == names(STAGING)
+    assert warehouse.read(warehouse.fact).columns == names(FACT)
+    assert warehouse.staged().first()["landed"] == 20240106
+
+
+def test_a_fact_from_before_versions_is_taken_on(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A", price="1"))
+    plain = ", ".join(f"`{c.name}` {c.stored_type}" for c in FACT)
+    spark.sql(f"DROP TABLE {warehouse.fact_files}")
+    spark.sql(
+        f"CREATE TABLE {warehouse.fact_files} ({plain}, load bigint, month_key int) USING PARQUET "
+        f"PARTITIONED BY (load, month_key) LOCATION '{warehouse.root}/storage/fact_files'"
+    )
+    spark.catalog.recoverPartitions(warehouse.fact_files)
+    warehouse.create()
+    assert load_version(spark, warehouse, [row("2024-01-02", "A", price="2")], 20200101) == Upserted(replaced=1)
+    assert facts(warehouse) == {(20240102, "A"): (2.0, 10)}
+
+
+def test_running_an_old_day_again_changes_nothing(spark, warehouse, tmp_path):
+    landing, csv = tmp_path / "in", str(tmp_path / "csv")
+    land(landing, "A", payload({"2024-01-02": (1, 1, 1, 1, 1)}))
+    land(landing, "A", payload({"2024-01-02": (2, 2, 2, 2, 2)}), day=NEXT_DAY)
+    for day in (RUN_DATE, NEXT_DAY, RUN_DATE):
+        report = run(spark, str(landing), csv, warehouse, day)
+    assert facts(warehouse) == {(20240102, "A"): (2.0, 2)}
+    assert (report.fact_rows, report.counts.late_rows) == (1, 1)
+
+
+def test_a_run_counts_what_each_step_took(spark, warehouse, tmp_path):
+    landing = tmp_path / "in"
+    land(landing, "A", payload({"2024-01-02": (1, 1, 1, 1, 1), "2024-01-03": (1, 1, 1, 1, "x")}))
+    land(landing, "B", payload({"2024-01-02": (1, 1, 1, 1, 1)}))
+    land(landing, "BAD", "nonsense")
+    report = run(
+        spark, str(landing), str(tmp_path / "csv"), warehouse, RUN_DATE, rejects=str(tmp_path / "bad")
+    )
+    assert report.counts == LoadCounts(
+        documents=3, rejected_documents=1, extracted_rows=3, read_rows=3, rejected_rows=1,
+        staged_rows=2, inserted_rows=2,
+    )
+
+
+def test_counting_makes_no_job_of_its_own(spark, warehouse):
+    rows = raw(spark, row("2024-01-02", "A"), row("2024-01-03", "A"))
+    status = spark.sparkContext.statusTracker()
+
+    def jobs(action, group):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            action()
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        return len(status.getJobIdsForGroup(group))
+
+    folder = f"{warehouse.root}/plain"
+    plain = jobs(lambda: to_staging(rows).write.parquet(folder), "plain")
+    counted = jobs(lambda: load_staging_counted(warehouse, rows), "counted")
+    assert counted == plain
+
+
+def test_of_two_loads_at_once_one_is_published(spark, warehouse, monkeypatch):
+    """Both have written their files when the first publishes; the second changes nothing, and
+    can be run again."""
+    load(spark, warehouse, row("2024-01-02", "A", price="1"))
+    incoming = [
+        version(build_fact(to_staging(raw(spark, row("2024-01-02", "A", price=p))), warehouse.read(warehouse.dim_date)), 20240106)
+        for p in ("2", "3")
+    ]
+    incoming = [stored(df, "incoming") for df in incoming]
+    both, outcomes = threading.Barrier(2, timeout=100), []
+    write = Warehouse._write_load
+
+    def write_and_wait(self, number, merged):
+        written = write(self, number, merged)
+        both.wait()
+        return written
+
+    monkeypatch.setattr(Warehouse, "_write_load", write_and_wait)
+
+    def go(df):
+        try:
+            outcomes.append(warehouse.upsert_fact(df))
+        except LoadConflict:
+            outcomes.append("conflict")
+
+    threads = [threading.Thread(target=go, args=(df,)) for df in incoming]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(map(str, outcomes)) == ["1", "conflict"]
+    assert facts(warehouse)[20240102, "A"][0] in (2.0, 3.0)
+    monkeypatch.undo()
+    assert warehouse.upsert_fact(incoming[1]) == 1
+    assert facts(warehouse) == {(20240102, "A"): (3.0, 10)}
+
+
+def test_a_mark_that_a_dead_load_left_counts_for_a_while(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A", price="1"))
+    base = warehouse._published()
+    mark = Path(warehouse.root) / "storage/fact_files/_live" / f"after-{base}"
+    mark.touch()
+    with pytest.raises(LoadConflict):
+        load(spark, warehouse, row("2024-01-02", "A", price="2"))
+    assert facts(warehouse) == {(20240102, "A"): (1.0, 10)}
+    old = mark.stat().st_mtime - 2 * house.PUBLISHING.total_seconds()
+    os.utime(mark, (old, old))
+    load(spark, warehouse, row("2024-01-02", "A", price="2"))
+    assert facts(warehouse) == {(20240102, "A"): (2.0, 10)}
+
+
+def test_rows_are_counted_from_the_list_and_checked_against_footers(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A"), row("2024-01-03", "A"), row("2024-02-02", "A"))
+    load(spark, warehouse, row("2024-02-02", "A", price="5"), row("2024-02-03", "A"))
+    assert rows_of(warehouse.count_fact()) == {(202401, 2), (202402, 2)}
+    assert "FileScan" not in warehouse.count_fact()._jdf.queryExecution().toString()
+    warehouse.require_counts()
+    lost = next(Path(warehouse.root).glob("storage/fact_files/load=1/month_key=202401/*.parquet"))
+    lost.unlink()
+    spark.catalog.refreshTable(warehouse.fact_files)
+    with pytest.raises(ValueError, match="do not hold"):
+        warehouse.require_counts()
+
+
+def test_landed_documents(spark, tmp_path):
+    land(tmp_path, "A", "four")
+    land(tmp_path, "B", "fours")
+    found = landed_documents(spark, str(tmp_path), [RUN_DATE, NEXT_DAY])
+    assert rows_of(found) == {(20240105, True, 2, 9), (20240106, False, 0, 0)}
