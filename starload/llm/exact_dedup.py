@@ -52,7 +52,9 @@ def _one_of_equals(batch: pa.RecordBatch) -> pa.RecordBatch:
     first = np.flatnonzero(starts)
     place = batch.schema.get_field_index("size")
     sizes = np.add.reduceat(batch.column(place).to_numpy(zero_copy_only=False), first)
-    return batch.take(pa.array(first)).set_column(place, "size", pa.array(sizes))
+    columns = batch.take(pa.array(first)).columns
+    columns[place] = pa.array(sizes)
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
 
 def _merge_along(batches: Batches) -> Iterator[pa.RecordBatch]:

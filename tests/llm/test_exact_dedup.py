@@ -117,7 +117,9 @@ def test_a_merge_holds_one_batch_whatever_the_length():
             columns = [[0] * 1000, [0] * 1000, digest, [b"x"] * 1000, [n] * 1000, [1] * 1000]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            # As Spark's batches come: some columns cannot be null.
+            fields = [pa.field(n, t, nullable=n != "size") for n, t in zip(names, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
             most = max(most, pa.total_allocated_bytes())
 
     before = pa.total_allocated_bytes()
