@@ -1,13 +1,16 @@
 """Lines that many documents share, kept countable and reversible.
 
-A `LineStore` is a folder of versions. Each version has two tables:
+A `LineStore` is a folder of versions. Each version has three tables:
 
+* members: for every document, by the hash of its id and text, how often it is in the store;
 * counts: for every line key, the exact number of documents that hold it, sharded by key;
 * filters: for every shard, a cuckoo filter of the keys that reach `min_docs`, and the list
   of all other counted keys for which that filter answers yes by mistake.
 
 `insert` and `remove` add a set of documents to the counts or take it away again; keys that
-cross the threshold enter or leave their shard's filter. Since every counted key that a
+cross the threshold enter or leave their shard's filter. Documents that are not members cannot be
+removed, so what was inserted is what can be taken back, no more. As the store grows, its shards
+are doubled, so none ever has more keys than a task can hold. Since every counted key that a
 filter mistakes is on the list, filter and list together answer exactly for all documents
 in the store, and `apply` can judge a line where its document lies: no text is shuffled.
 The two are broadcast only up to a size; beyond it the lines' keys travel to the shards.
@@ -31,12 +34,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from starload.llm import cuckoo
-from starload.llm.common import arrow_batches, extended, fresh, parallelism, text_of
-from starload.session import folder_ages, read_text, scratch_dir, write_text
+from starload.llm.common import (
+    arrow_batches,
+    extended,
+    fresh,
+    parallelism,
+    power_of_two,
+    text_of,
+)
+from starload.session import delete, folder_ages, read_text, scratch_dir, write_text
 
 _HELD_KEYS = 200_000  # keys that a counting task holds before it hands them on
 _SHARD_KEYS = 300_000  # keys of a shard, which one task holds
 _COUNTS = "shard INT, hi BIGINT, lo BIGINT, n BIGINT"
+_KIND = "member BOOLEAN"  # of an entry: a document, or a line key
 _FILTERS = "shard INT, slots BINARY, mistaken BINARY"
 _SETTINGS = "settings.json"
 _COMPLETE = "complete"
@@ -66,28 +77,37 @@ def _words(keys: list[bytes] | Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]
 
 
 def _count_keys(shards: int, min_chars: int):
-    def flush(held: Counter) -> pa.RecordBatch:
+    """Documents (id, text) as entries to count: each document, and each of its distinct keys."""
+
+    def flush(held: Counter, member: bool) -> pa.RecordBatch:
         hi, lo = _words(list(held))
         return pa.RecordBatch.from_arrays(
             [
+                pa.array(np.full(len(held), member)),
                 pa.array(cuckoo.shard_of(hi, shards).astype(np.int32)),
                 pa.array(hi.view(np.int64)),
                 pa.array(lo.view(np.int64)),
                 pa.array(np.fromiter(held.values(), np.int64, len(held))),
             ],
-            names=["shard", "hi", "lo", "n"],
+            names=["member", "shard", "hi", "lo", "n"],
         )
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0):
-                held.update(set(line_keys(text.as_py(), min_chars)[1]) - {b""})
+            own: Counter = Counter()
+            for name, text in zip(batch.column(0), batch.column(1), strict=True):
+                text = text.as_py()
+                named = b"-" if not name.is_valid else b"=" + name.as_py().encode()
+                own[xxhash.xxh3_128_digest(named + b"\0" + text.encode())] += 1
+                held.update(set(line_keys(text, min_chars)[1]) - {b""})
                 if len(held) >= _HELD_KEYS:
-                    yield flush(held)
+                    yield flush(held, False)
                     held.clear()
+            if own:
+                yield flush(own, True)
         if held:
-            yield flush(held)
+            yield flush(held, False)
 
     return over
 
@@ -147,12 +167,15 @@ class LineStore:
     """Exact line counts and filters of a changing set of documents, in the folder `path`.
 
     `min_docs` documents make a line frequent; keys of fewer than `min_chars` code points
-    are never counted nor dropped. Both and the number of shards are fixed for a store; one
-    opened again goes on from its latest version, and fails if it was made with others.
-    Give some hundred thousand distinct keys to a shard; without a number, the first documents'
-    lines are counted and `_SHARD_KEYS` of them at most go to each. A change is published as a new
-    version by a mark written behind its filters; a change that dies leaves the version
-    before it. One change may run at a time.
+    are never counted nor dropped. Every row is a document, also where rows or ids repeat: it is
+    told by its id, which may be null, and its text together, and a store may hold it several
+    times. What makes a store is fixed; one opened again goes on from its latest version, and
+    fails if it was made with other settings.
+
+    Without a number of `shards` there are so many that `_SHARD_KEYS` keys at most go to each, and
+    they are doubled as the store grows. A change is published as a new version by a mark
+    written behind its filters; a change that dies leaves the version before it. Of older
+    versions the last is kept, for readers. One change may run at a time.
     """
 
     def __init__(
@@ -167,100 +190,131 @@ class LineStore:
         self.spark, self.path = spark, path.rstrip("/")
         self.min_docs, self.min_chars = min_docs, min_chars
         self.max_broadcast_bytes = max_broadcast_bytes
-        self.version = self._latest()
-        if self.version:
-            self.shards = shards or self._made_with()["shards"]
-            self._check()
-        else:
-            self.shards = shards or parallelism(spark)
-        self._given = bool(shards)
+        self._given = shards
+        self.shards = shards or power_of_two(parallelism(spark))
+        self.version = 0
+        self._open()
 
     def _made_with(self) -> dict[str, int]:
         return json.loads(read_text(self.spark, f"{self.path}/{_SETTINGS}"))
 
-    def _check(self) -> None:
-        if (made := self._made_with()) != self._settings():
+    def _open(self) -> None:
+        """Go on from the latest version."""
+        self.version = self._latest()
+        if not self.version:
+            return
+        made = self._made_with()
+        self._given = self._given or made["shards"]
+        if made != self._settings():
             raise ValueError(f"{self.path} was made with {made}, not {self._settings()}")
+        self.shards = int(read_text(self.spark, self._folder(_COMPLETE, self.version)))
 
-    def _settings(self) -> dict[str, int]:
-        return {"min_docs": self.min_docs, "min_chars": self.min_chars, "shards": self.shards}
+    def _settings(self) -> dict[str, int | None]:
+        return {"min_docs": self.min_docs, "min_chars": self.min_chars, "shards": self._given}
 
     def _holds(self, folder: str) -> set[str]:
         return {name for name, _ in folder_ages(self.spark, folder)}
 
+    def _versions(self) -> list[int]:
+        found = self._holds(self.path)
+        return [int(n.removeprefix("version=")) for n in found if n.startswith("version=")]
+
     def _latest(self) -> int:
         """The latest complete version, 0 if there is none."""
-        found = self._holds(self.path)
-        numbers = [int(n.removeprefix("version=")) for n in found if n.startswith("version=")]
+        numbers = self._versions()
         for version in sorted(numbers, reverse=True):
             if _COMPLETE in self._holds(f"{self.path}/version={version}"):
                 return version
-        if numbers and _SETTINGS not in found:
+        if numbers and _SETTINGS not in self._holds(self.path):
             raise ValueError(f"{self.path} has versions, but does not say what they were made with")
         return 0
 
     def _folder(self, name: str, version: int) -> str:
         return f"{self.path}/version={version}/{name}"
 
-    def counts(self) -> DataFrame:
-        """shard, hi, lo, n: in how many documents each key is."""
+    def _entries(self, name: str) -> DataFrame:
         if not self.version:
             return self.spark.createDataFrame([], _COUNTS)
-        return self.spark.read.schema(_COUNTS).parquet(self._folder("counts", self.version))
+        return self.spark.read.schema(_COUNTS).parquet(self._folder(name, self.version))
+
+    def counts(self) -> DataFrame:
+        """shard, hi, lo, n: in how many documents each key is."""
+        return self._entries("counts")
+
+    def members(self) -> DataFrame:
+        """shard, hi, lo, n: how often each document is in the store."""
+        return self._entries("members")
 
     def filters(self) -> DataFrame:
         if not self.version:
             return self.spark.createDataFrame([], _FILTERS)
         return self.spark.read.schema(_FILTERS).parquet(self._folder("filters", self.version))
 
-    def insert(self, docs: DataFrame, text_col: str = "text") -> None:
-        """Count the documents' lines; a null text is one empty line."""
-        self._change(docs, text_col, 1)
-
-    def remove(self, docs: DataFrame, text_col: str = "text") -> None:
-        """Undo `insert` for these documents; fails if they were never inserted."""
-        self._change(docs, text_col, -1)
-
-    def _change(self, docs: DataFrame, text_col: str, sign: int) -> None:
-        self.version = self._latest()  # another object may have gone on meanwhile
-        if self.version:
-            self._check()
-        else:
-            if not self._given:
-                self.shards = max(self.shards, -(-_lines_of(docs, text_col) // _SHARD_KEYS))
+    def insert(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> None:
+        """Count the documents' lines; a null text is one empty line. A document that is in the
+        store already is in it once more then."""
+        self._change(docs, text_col, id_col, 1)
+
+    def remove(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> None:
+        """Undo `insert` for these documents. Fails, and changes nothing, if one of them is not in
+        the store, with that id and text, as often as it is to be removed."""
+        self._change(docs, text_col, id_col, -1)
+
+    def _grown(self, docs: DataFrame, text_col: str, sign: int) -> int:
+        """The number of shards that the store needs once the documents are in it."""
+        if self._given or sign < 0:
+            return self.shards
+        keys = self.counts().count() + _lines_of(docs, text_col)
+        return max(self.shards, power_of_two(-(-keys // _SHARD_KEYS)))
+
+    def _change(self, docs: DataFrame, text_col: str, id_col: str, sign: int) -> None:
+        self._open()  # another object may have gone on meanwhile
+        if not self.version:
             write_text(self.spark, f"{self.path}/{_SETTINGS}", json.dumps(self._settings()))
-        change = docs.select(text_of(text_col).alias("text")).mapInArrow(
-            _count_keys(self.shards, self.min_chars), _COUNTS
-        )
+        shards = self._grown(docs, text_col, sign)
+        same = shards == self.shards
+        change = docs.select(
+            F.col(id_col).cast("string").alias("id"), text_of(text_col).alias("text")
+        ).mapInArrow(_count_keys(shards, self.min_chars), f"{_KIND}, {_COUNTS}")
         zero = F.lit(0).cast("long")
+        shard = F.pmod(F.col("hi").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(shards)).cast("int")
         both = change.select(
-            "shard", "hi", "lo", zero.alias("n_before"), (F.col("n") * sign).alias("n")
-        ).unionByName(
-            self.counts().select("shard", "hi", "lo", F.col("n").alias("n_before"), "n")
+            "member", "shard", "hi", "lo", zero.alias("n_before"), (F.col("n") * sign).alias("n")
         )
+        for member, known in ((True, self.members()), (False, self.counts())):
+            old = known.select(
+                F.lit(member).alias("member"), shard.alias("shard"), "hi", "lo",
+                F.col("n").alias("n_before"), "n",
+            )
+            both = both.unionByName(old)
         # Dealt by shard once, for the sums here; every task has combined its own before.
         summed = (
             both.repartition("shard")
-            .groupBy("shard", "hi", "lo")
+            .groupBy("member", "shard", "hi", "lo")
             .agg(F.sum("n_before").alias("n_before"), F.sum("n").alias("n"))
         )
-        unknown = F.raise_error(F.lit("a document to remove was never inserted"))
+        unknown = F.raise_error(F.lit("a document to remove is not in the store"))
         summed = summed.withColumn("n", F.when(F.col("n") < 0, unknown).otherwise(F.col("n")))
         new = self.version + 1
-        summed.write.mode("overwrite").parquet(self._folder("changes", new))
-        changes = self.spark.read.parquet(self._folder("changes", new))
-        changes.filter("n > 0").select("shard", "hi", "lo", "n").write.mode("overwrite").parquet(
-            self._folder("counts", new)
-        )
+        summed.write.mode("overwrite").partitionBy("member").parquet(self._folder("changes", new))
+        changes = self.spark.read.schema(summed.schema).parquet(self._folder("changes", new))
+        for member, name in ((True, "members"), (False, "counts")):
+            left = changes.filter((F.col("member") == member) & (F.col("n") > 0))
+            left.select("shard", "hi", "lo", "n").write.mode("overwrite").parquet(self._folder(name, new))
+        # Shards that were cut anew have new filters.
+        filters = self.filters() if same else self.spark.createDataFrame([], _FILTERS)
         (
-            changes.groupBy("shard")
-            .cogroup(self.filters().groupBy("shard"))
+            changes.filter("not member").drop("member").groupBy("shard")
+            .cogroup(filters.groupBy("shard"))
             .applyInPandas(_update_filter(self.min_docs), _FILTERS)
             .write.mode("overwrite")
             .parquet(self._folder("filters", new))
         )
-        write_text(self.spark, self._folder(_COMPLETE, new), "")
-        self.version = new
+        write_text(self.spark, self._folder(_COMPLETE, new), str(shards))
+        self.version, self.shards = new, shards
+        delete(self.spark, self._folder("changes", new))
+        for old in [n for n in self._versions() if n < new - 1]:
+            delete(self.spark, f"{self.path}/version={old}")
 
     def apply(
         self,
@@ -364,8 +418,10 @@ def drop_frequent_lines(
     min_docs: int = 10,
     min_chars: int = 1,
     into: tuple[str, str] = ("n_lines", "n_dropped"),
+    id_col: str = "doc_id",
 ) -> DataFrame:
-    """`docs` without the lines that `min_docs` or more of them share; see LineStore.apply."""
+    """`docs` without the lines that `min_docs` or more of them share; see LineStore. Every row
+    counts as a document, also where ids repeat or are null."""
     store = LineStore(docs.sparkSession, scratch_dir(docs.sparkSession, "lines"), min_docs, min_chars)
-    store.insert(docs, text_col)
+    store.insert(docs, text_col, id_col)
     return store.apply(docs, text_col, into)

@@ -155,9 +155,9 @@ ORACLE: dict[str, str] = {
     """,
     "op10_line_dedup": r"""
         WITH lines AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            SELECT doc_id, own, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
-            FROM documents
+            FROM (SELECT *, row_number() OVER () AS own FROM documents) AS d
         ),
         keyed AS (
             SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -166,12 +166,12 @@ ORACLE: dict[str, str] = {
         ),
         frequent AS (
             SELECT key FROM keyed WHERE length(key) >= 1
-            GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+            GROUP BY key HAVING count(DISTINCT own) >= 10
         )
         SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), ''))
                    AS kept_sha256
-        FROM keyed k LEFT JOIN frequent f USING (key) GROUP BY doc_id
+        FROM keyed k LEFT JOIN frequent f USING (key) GROUP BY own, doc_id
     """,
     "op11_merkle": merkle_sql(),
     "op12_lexical_search": r"""

@@ -116,6 +116,64 @@ def test_keys_travel_where_filters_are_too_large(spark, documents, tmp_path):
     check(store.apply(documents(rows)), rows, min_docs=10)
 
 
+def test_a_stranger_cannot_be_removed(spark, documents, tmp_path):
+    """Not even one whose lines are all in the store, nor a member once too often."""
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=10, shards=3)
+    rows = [(i, f"shared\nown {i}") for i in range(12)]
+    store.insert(documents(rows))
+    before = sorted(map(tuple, store.counts().collect()))
+    strangers = [[(100 + i, "shared") for i in range(3)], [(1, "shared")], [(50, rows[1][1])], [(None, "shared")]]
+    for some in [*strangers, [rows[1], rows[1]]]:
+        with pytest.raises(FAILURE, match="not in the store"):
+            store.remove(documents(some))
+        assert sorted(map(tuple, store.counts().collect())) == before
+    check(store.apply(documents(rows)), rows, min_docs=10)
+    store.remove(documents(rows[:3]))
+    check(store.apply(documents(rows[3:])), rows[3:], min_docs=10)
+    with pytest.raises(FAILURE, match="not in the store"):
+        store.remove(documents(rows[:1]))
+
+
+def test_a_document_may_be_in_the_store_several_times(spark, documents, tmp_path):
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=3, shards=2)
+    row = [(None, "a")]
+    for _ in range(3):
+        store.insert(documents(row))
+    assert [r["n"] for r in store.members().collect()] == [3]
+    assert store.apply(documents(row)).first()["text"] == ""
+    store.remove(documents(row))
+    assert store.apply(documents(row)).first()["text"] == "a"
+    store.remove(documents(row * 2))
+    assert store.counts().count() == store.members().count() == 0
+
+
+def test_shards_are_doubled_as_the_store_grows(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_SHARD_KEYS", 20)
+    path = str(tmp_path / "s")
+    first, second = made(1, 40), [(2000 + i, f"own é {i}\nand {i}\nLicense MIT") for i in range(300)]
+    store = LineStore(spark, path, min_docs=5)
+    store.insert(documents(first))
+    few, alone = store.shards, sorted((r["hi"], r["lo"], r["n"]) for r in store.counts().collect())
+    check(store.apply(documents(first)), first, min_docs=5)
+    store.insert(documents(second))
+    assert store.shards > few and store.shards & (store.shards - 1) == 0
+    assert max(r["count"] for r in store.counts().groupBy("shard").count().collect()) < 60
+    again = LineStore(spark, path, min_docs=5)
+    assert again.shards == store.shards
+    check(again.apply(documents(first + second)), first + second, min_docs=5)
+    again.remove(documents(second))
+    assert sorted((r["hi"], r["lo"], r["n"]) for r in again.counts().collect()) == alone
+    check(again.apply(documents(first)), first, min_docs=5)
+
+
+def test_old_versions_go(spark, documents, tmp_path):
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=2, shards=2)
+    for i in range(4):
+        store.insert(documents([(i, "a")]))
+    versions = {p.name: {q.name for q in p.iterdir() if not q.name.startswith(".")} for p in (tmp_path / "s").glob("version=*")}
+    assert versions == {f"version={n}": {"members", "counts", "filters", "complete"} for n in (3, 4)}
+
+
 def test_shards_grow_with_the_corpus(spark, documents, tmp_path, monkeypatch):
     monkeypatch.setattr(line_dedup, "_SHARD_KEYS", 20)
     rows = [*made(), *((2000 + i, f"own é {i}\nand {i}") for i in range(300))]
@@ -134,7 +192,10 @@ def test_removing_what_was_never_inserted_fails(spark, documents, tmp_path):
     assert store.version == 1
 
 
-def test_repeated_rows_count_each(documents):
+def test_repeated_rows_and_ids_count_each(documents):
+    rows = [(1, "a\nb"), (1, "a"), (None, "a"), (None, "c")]
+    found = drop_frequent_lines(documents(rows), min_docs=3)
+    assert sorted(r["text"] for r in found.collect()) == ["", "", "b", "c"]
     rows = [(1, "a\nb")] * 3
     assert plain_rows(drop_frequent_lines(documents(rows), min_docs=3).select("text")) == [("",)] * 3
 
