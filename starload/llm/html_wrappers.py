@@ -7,11 +7,14 @@ text or whatever varies. It starts as the stream of one page and is aligned with
 page: where texts differ, a slot becomes free; where tags differ, a stretch that occurs
 again and again becomes a repeated group and any other an optional one. Wrappers are aligned
 with each other the same way, so every task folds its own pages, and the results are folded
-in two rounds for each host. All pages take part, and no task ever holds a host's pages.
-
-The wrapper tells which of its parts is the article: the part that the markup names as such,
-else the smallest part that has all of the free text outside links. A page is then read
-along its host's wrapper, and the text of what falls on the article is its main text.
+in rounds for each host, some at a time. All pages take part, and no task ever holds a host's
+pages. Where pages vary without end, what varies becomes one repeated group of optional parts, so
+a wrapper has a part for each kind of tag at most.
+
+The wrapper tells which of its parts is the article: the part that the markup names as such, and
+of several the main one; else the smallest part that has all of the free text outside links
+and beside what the markup names as something else. A page is then read along its host's
+wrapper, and the text of what falls on the article is its main text.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ import functools
 import html
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Generator, Iterator
 from hashlib import blake2b
 from operator import add
@@ -34,6 +39,10 @@ from starload.llm.common import Batches, arrow_batches, extended
 from starload.session import stored
 
 MAX_GROUP = 4  # tags of a repeated group
+MAX_PARTS = 64  # parts of an element that pages vary in; with more they may come in any order
+ANY = "(*)"  # the group of parts in any order
+_TABLE = 250_000  # places of an alignment's table
+_FOLDED = 64  # wrappers that a task folds into one
 _HELD_HOSTS = 2000  # hosts whose wrappers a task folds at a time
 
 # -- fixed values of HTML
@@ -62,26 +71,30 @@ IMPLIED_END = {
     "option": ({"option"}, {"select"}),
 }
 # Parts of a page that are never its main text, by tag and by words of class, id and role. A
-# word is all that stands between blanks, without numbers: "related-work" is not "related".
+# word, all that stands between blanks, tells if each of its pieces between marks is a kind or says
+# where or how such a part stands, and one is a kind: "reader-comments" and "cookie-bar" do,
+# "related-work" and "has-sidebar" do not.
 BOILERPLATE_TAGS = frozenset(
     "head nav footer aside form script style noscript template iframe svg object embed "
     "canvas audio video button select textarea title menu dialog".split()
 )
-SURE_WORDS = frozenset(
-    "ad ads advert adverts advertisement ad-banner ad-container ad-slot ad-wrapper adsbygoogle "
-    "breadcrumb breadcrumbs comments comments-area comment-form comment-list cookie-banner "
-    "cookie-consent cookie-notice disqus disqus-thread navbar share-buttons social-share".split()
+COMMENT_KINDS = frozenset(
+    "comment comments commentlist commenter commentary-list disqus replies usercomments".split()
+)
+KINDS = COMMENT_KINDS | frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsbygoogle banner breadcrumb "
+    "breadcrumbs cookie cookies cookiebar cookieconsent footer header masthead menu modal nav navbar "
+    "navigation newsletter notice notices notification notifications popup promo promos promoted "
+    "promotion related share sharing sidebar sidebars social sponsor sponsored sponsors subscribe "
+    "toolbar widget widgets".split()
 )
-# These may as well be said of an article's own parts: they count where the wrapper agrees.
-BOILERPLATE_WORDS = frozenset(
-    "advertising banner comment cookie cookies footer header main-menu main-nav main-navigation "
-    "masthead menu modal nav navigation newsletter notice page-footer page-header popup promo "
-    "promoted related related-articles related-links related-posts share sharing sidebar "
-    "site-footer site-header site-nav site-navigation social social-links sponsor sponsored "
-    "subscribe toolbar widget".split()
+STANDING = frozenset(
+    "area articles bar block bottom box buttons consent container content form global inner item left "
+    "links list main message outer overlay page panel policy post posts reader readers right row section "
+    "signup site slot stories thread top user users wrap wrapper".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NEVER_BY_WORD = HEADINGS | {"", "html", "body", "main", "article"}
+NEVER_BY_WORD = HEADINGS | {"", "html", "body", "main"}
 # What names the article, the surest first: a tag, or a word of class, id, role or itemprop.
 ARTICLE_NAMES = ("article", "articlebody", "main")
 _SAME_NAME = {"article-body": "articlebody", "main-content": "main", "main-body": "main", "main-text": "main"}
@@ -202,18 +215,18 @@ class Part:
 
     `free` counts the characters of the texts of a free slot that are not in links, `fixed`
     is the hash of a slot's only text so far, `pages` the number of pages that have the part,
-    at least. `boilerplate` is set where the evidence of the pages confirms its words.
+    at least.
     """
 
     __slots__ = (
-        "signature", "children", "optional", "repeated", "free", "fixed", "pages", "article", "boilerplate",
+        "signature", "children", "optional", "repeated", "free", "fixed", "pages", "article",
     )
 
     def __init__(self, signature, children=(), optional=False, repeated=False, free=0, fixed=None, pages=1):
         self.signature, self.children = signature, list(children)
         self.optional, self.repeated = optional, repeated
         self.free, self.fixed, self.pages = free, fixed, pages
-        self.article = self.boilerplate = False
+        self.article = False
 
     @property
     def is_group(self) -> bool:
@@ -223,7 +236,7 @@ class Part:
         """All parts, every one before its children, with the number of these."""
         return [
             [
-                p.signature, p.optional + 2 * p.repeated + 4 * p.article + 8 * p.boilerplate,
+                p.signature, p.optional + 2 * p.repeated + 4 * p.article,
                 p.free, p.fixed, p.pages, len(p.children),
             ]
             for p in outermost_first(self)
@@ -236,7 +249,7 @@ class Part:
             children = waiting[len(waiting) - n :][::-1]
             del waiting[len(waiting) - n :]
             part = cls(name, children, bool(flags & 1), bool(flags & 2), free, fixed, pages)
-            part.article, part.boilerplate = bool(flags & 4), bool(flags & 8)
+            part.article = bool(flags & 4)
             waiting.append(part)
         return waiting[0]
 
@@ -369,6 +382,8 @@ def _align(a: list[Part], b: list[Part], pages: Callable) -> Generator:
             _grouped(x, [g for g in y if g.is_group and g.signature in known])
             for x, y in ((a, b), (b, a))
         )
+    if any(p.signature == ANY for p in (*a, *b)):
+        return [(yield _merge((yield _any_of(a)), (yield _any_of(b)), pages))]
     common = _common([p.signature for p in a], [p.signature for p in b])
     result: list[Part] = []
     i = j = 0
@@ -380,14 +395,75 @@ def _align(a: list[Part], b: list[Part], pages: Callable) -> Generator:
             result.append((yield _merge(a[x], b[y], pages)))
         i, j = x + 1, y + 1
     if len(common) < max(len(a), len(b)):
-        return (yield _fold_repeats(result))
+        result = yield _fold_repeats(result)
+        if len(result) > MAX_PARTS:
+            return [(yield _any_of(result))]
     return result
 
 
+def _any_of(parts: list[Part]) -> Generator:
+    """A repeated group in which each of the parts' tags occurs once and may be left out: it fits
+    them in any order. Pages that vary without end come to one, and a wrapper stops growing."""
+    found: dict[str, Part] = {}
+    flat = [c for p in parts for c in (p.children if p.is_group else [p])]
+    for part in flat:
+        if part.signature in found:
+            part = yield _merge(found[part.signature], part, max)
+        part.optional = part.repeated = True
+        found[part.signature] = part
+    return Part(ANY, [found[name] for name in sorted(found)], repeated=True)
+
+
 def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """The places of a longest common subsequence."""
-    if a == b:
-        return [(i, i) for i in range(len(a))]
+    """The places of a common subsequence: a longest one, or for long sequences the longest in
+    which the n-th of equal tags meets the n-th. Space and time stay about linear."""
+    first = 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    last = 0
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    middle_a, middle_b = a[first : len(a) - last], b[first : len(b) - last]
+    small = len(middle_a) * len(middle_b) <= _TABLE
+    middle = (_longest_common if small else _paired_common)(middle_a, middle_b)
+    return [
+        *((i, i) for i in range(first)),
+        *((first + i, first + j) for i, j in middle),
+        *((len(a) - n, len(b) - n) for n in range(last, 0, -1)),
+    ]
+
+
+def _paired_common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Equal tags are paired by their number among equals; of the pairs the longest ascending row."""
+    places: dict[tuple[str, int], int] = {}
+    seen: Counter = Counter()
+    for j, name in enumerate(b):
+        places[name, seen[name]] = j
+        seen[name] += 1
+    seen.clear()
+    pairs: list[tuple[int, int, int]] = []  # place in a and b, and the pair before
+    ends: list[int] = []  # the pair that a row of that length ends in, with the least place in b
+    least: list[int] = []
+    for i, name in enumerate(a):
+        j = places.get((name, seen[name]))
+        seen[name] += 1
+        if j is None:
+            continue
+        length = bisect_left(least, j)
+        pairs.append((i, j, ends[length - 1] if length else -1))
+        if length == len(least):
+            least.append(j)
+            ends.append(len(pairs) - 1)
+        else:
+            least[length], ends[length] = j, len(pairs) - 1
+    found, at = [], ends[-1] if ends else -1
+    while at >= 0:
+        i, j, at = pairs[at]
+        found.append((i, j))
+    return found[::-1]
+
+
+def _longest_common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     longest = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -410,19 +486,21 @@ def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 # -- the article
 
 
+@functools.lru_cache(maxsize=4096)
 def is_boilerplate(signature: str, inside: bool = False) -> bool:
-    """By tag or sure words; `inside` an article its own header belongs to it."""
+    """By tag or words; `inside` an article its own header belongs to it. An article is one by
+    words only if they call it a comment."""
     name, *words = signature.split(".")
     if name in BOILERPLATE_TAGS or (name == "header" and not inside):
         return True
-    return name not in NEVER_BY_WORD and not SURE_WORDS.isdisjoint(words)
-
-
-def may_be_boilerplate(signature: str, inside: bool = False) -> bool:
-    """Whether words say so that need the evidence of the pages."""
-    name, *words = signature.split(".")
-    found = BOILERPLATE_WORDS.intersection(words)
-    return name not in NEVER_BY_WORD and bool(found - {"header"} if inside else found)
+    if name in NEVER_BY_WORD:
+        return False
+    kinds = COMMENT_KINDS if name == "article" else KINDS
+    for word in words:
+        pieces = set(word.split("-"))
+        if not (kinds.isdisjoint(pieces) or pieces - KINDS - STANDING or (inside and word == "header")):
+            return True
+    return False
 
 
 def _is_named(signature: str, name: str) -> bool:
@@ -449,42 +527,35 @@ def _free_text(wrapper: Part) -> dict[int, int]:
     return free
 
 
-def confirm_boilerplate(wrapper: Part) -> None:
-    """Set `boilerplate` where words say so and all texts are in links or the same on every
-    page of the host. Where no text differs between pages, only links tell."""
-    own: dict[int, bool] = {}  # whether a part has text that may be an article's
-    order = list(outermost_first(wrapper))
-    differs = any(p.signature == TEXT and p.fixed is None and p.free for p in order)
-    for part in reversed(order):
-        if part.signature == TEXT:
-            same = differs and part.fixed is not None and part.pages == wrapper.pages
-            own[id(part)] = part.free > 0 and not same
+def _named_parts(wrapper: Part, name: str) -> list[Part]:
+    """The outermost parts of that name which are not boilerplate, in page order."""
+    found, stack = [], [wrapper]
+    while stack:
+        part = stack.pop()
+        if is_boilerplate(part.signature):
+            continue
+        if _is_named(part.signature, name):
+            found.append(part)
         else:
-            own[id(part)] = any(own[id(c)] for c in part.children)
-            part.boilerplate = may_be_boilerplate(part.signature) and not own[id(part)]
+            stack += reversed(part.children)
+    return found
 
 
-def mark_article(wrapper: Part) -> Part:
-    """Set `article` on the parts that hold the main text."""
-
-    def mark(name: str) -> bool:
-        """Mark the outermost parts of that name; whether there are any."""
-        found, stack = False, [wrapper]
-        while stack:
-            part = stack.pop()
-            if part.boilerplate or is_boilerplate(part.signature):
-                continue
-            part.article = _is_named(part.signature, name)
-            if part.article:
-                found = True
-            else:
-                stack += part.children
-        return found
+def _main_one(parts: list[Part], free: dict[int, int]) -> Part:
+    """Of several parts that are named article the main one: repeated ones are comments or
+    teasers, where there is another; else the one with the page's title, or with the most text."""
+    single = [p for p in parts if not p.repeated] or parts
+    titled = [p for p in single if any(c.signature.split(".")[0] == "h1" for c in outermost_first(p))]
+    return max(titled or single, key=lambda p: free[id(p)])
 
-    confirm_boilerplate(wrapper)
-    if any(mark(name) for name in ARTICLE_NAMES):
-        return wrapper
+
+def mark_article(wrapper: Part) -> Part:
+    """Set `article` on the part that holds the main text."""
     free = _free_text(wrapper)
+    for name in ARTICLE_NAMES:
+        if parts := _named_parts(wrapper, name):
+            _main_one(parts, free).article = True
+            return wrapper
     whole, part = free[id(wrapper)], wrapper
     while whole:
         # Paragraphs, which repeat or hold text themselves, are too small to be an article.
@@ -509,26 +580,22 @@ def main_text(page: str | None, wrapper: Part) -> str:
         return ""
     root = parse(page)
     blocks: list[str] = []
-    if not _read(root, wrapper, blocks):
-        _gather(root, wrapper, blocks)
+    for element in _articles(root, wrapper) or [root]:
+        _gather(element, blocks, any(_is_named(element.signature, name) for name in ARTICLE_NAMES))
     return " ".join(filter(None, map(clean, blocks)))
 
 
-def _gather(element: Element, part: Part | None, blocks: list[str], inside: bool = False) -> None:
-    """All texts of an element but boilerplate; what the wrapper does not know is none by its
-    unsure words."""
-    places = [_Place(element, part)]
+def _gather(element: Element, blocks: list[str], inside: bool = False) -> None:
+    """All texts of an element but boilerplate."""
+    places = [iter(element.children)]
     while places:
-        child = next(places[-1].children, None)
+        child = next(places[-1], None)
         if child is None:
             places.pop()
         elif not isinstance(child, Element):
             blocks.append(child[0])
-        else:
-            part = places[-1].part_of(child)
-            confirmed = part and part.boilerplate and may_be_boilerplate(child.signature, inside)
-            if not confirmed and not is_boilerplate(child.signature, inside):
-                places.append(_Place(child, part))
+        elif not is_boilerplate(child.signature, inside):
+            places.append(iter(child.children))
 
 
 class _Place:
@@ -555,24 +622,25 @@ class _Place:
         return self.slots[found]
 
 
-def _read(root: Element, wrapper: Part, blocks: list[str]) -> bool:
-    """Walk a page along its wrapper; whether an article was met."""
+def _articles(root: Element, wrapper: Part) -> list[Element]:
+    """Walk a page along its wrapper: what falls on the article. Of several elements that do,
+    those with a heading, if there are any: others are comments beside them."""
     if wrapper.article:
-        _gather(root, wrapper, blocks)
-        return True
-    met, places = False, [_Place(root, wrapper)]
+        return [root]
+    found, places = [], [_Place(root, wrapper)]
     while places:
         child = next(places[-1].children, None)
         if child is None:
             places.pop()
         elif isinstance(child, Element) and (part := places[-1].part_of(child)):
             if part.article:
-                named = any(_is_named(child.signature, name) for name in ARTICLE_NAMES)
-                _gather(child, part, blocks, inside=named)
-                met = True
+                found.append(child)
             else:
                 places.append(_Place(child, part))
-    return met
+    if len(found) > 1:
+        headed = [e for e in found if any(c.name in HEADINGS for c in outermost_first(e))]
+        found = headed or found
+    return found
 
 
 def _next(slots: list[Part], turns: list[int], at: int, signature: str) -> int | None:
@@ -641,17 +709,19 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         F.length("html") > 0
     )
     schema = "host STRING, wrapper STRING"
-    folded = full.mapInArrow(_fold_pages, schema)
-    # A task gives one wrapper a host. Two rounds, as many tasks may have seen the same host.
-    salted = folded.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(64)).cast("int"))
-    some = salted.groupBy("host", "salt").applyInPandas(_fold_wrappers, schema)
-    whole = some.groupBy("host").applyInPandas(_fold_wrappers, schema)
+    folded = stored(full.mapInArrow(_fold_pages, schema), "wrappers")
+    # A task gives one wrapper a host; rounds fold about `_FOLDED` of a host's, whatever their number.
+    most = folded.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    while most > 1:
+        most = -(-most // _FOLDED)
+        salted = folded.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(most)).cast("int"))
+        folded = stored(salted.groupBy("host", "salt").applyInPandas(_fold_wrappers, schema), "wrappers")
 
     def decide(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         marked = [_dump(mark_article(_load(w.as_py()))) for w in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marked)], names=["host", "wrapper"])
 
-    return whole.mapInArrow(arrow_batches(decide), schema)
+    return folded.mapInArrow(arrow_batches(decide), schema)
 
 
 @functools.lru_cache(maxsize=4096)
