@@ -1,11 +1,16 @@
 """Near duplicates by SimHash, found with BK-trees.
 
-Equal fingerprints are one node. Nodes that differ in at most `radius` bits agree exactly in
-one of `radius + 1` bands of bits, so the nodes are cut into shards by (band, value of the
-band) and every linked pair meets in one shard at least. A shard's BK-tree has children
-keyed by their Hamming distance to the parent; a search follows only the edges within
-`radius` of the distance to the node it stands on. A shard with more nodes than a tree may
-hold becomes several trees, each searched by all nodes of the shard.
+Equal fingerprints are one node. Nodes are cut into shards, and a shard is a BK-tree: children are
+keyed by their Hamming distance to the parent, and a search follows only the edges within
+`radius` of the distance to the node it stands on.
+
+Up to a number of nodes that bounds their size, shards are drawn by hash, their packed trees are
+broadcast, and every node searches all of them. That makes every node meet every tree, so
+beyond it shards are drawn by bands instead: nodes that differ in at most `radius` bits agree
+exactly in one of `radius + 1` bands of bits, so of the shards by (band, value of the band) every
+linked pair meets in one at least, and nodes search the trees of their own shards only. A shard
+with more nodes than a tree may hold becomes several trees, each searched by all nodes of the
+shard. Both ways find the same links.
 
 Trees are built and searched level by level over arrays. What leaves a task are not the
 links but a spanning forest of them: at most one link a node.
@@ -17,12 +22,13 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
-from pyspark.sql.window import Window
 
 from starload.llm.common import arrow_batches, extended, fresh, parallelism
 from starload.llm.components import connected_components
@@ -32,6 +38,9 @@ SEED = 42
 _HASHES_AT_ONCE = 1 << 16
 _TREES_SEARCHING = 4  # trees whose nodes search a tree at a time
 _PAIRS_AT_ONCE = 1 << 18
+_SEARCHING = 4096  # nodes that search a broadcast tree at a time
+# What a tree consists of, with the types that it is broadcast in.
+_PACKED = {"values": np.uint64, "children": np.int32, "start": np.int32, "count": np.int32, "edge": np.int8}
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -52,26 +61,28 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, text_col: str = "text", shingle: int = 3, into: str = "fingerprint"
+    docs: DataFrame,
+    text_col: str = "text",
+    shingle: int = 3,
+    into: str = "fingerprint",
+    keep_text: bool = True,
 ) -> DataFrame:
     """`docs` with the fingerprint as a signed 64-bit number, in place of a column of that name.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. A text with fewer
     words than a shingle is one shingle; null, empty or blank texts have fingerprint zero.
     """
-    kept = [c for c in docs.columns if c != into]
-
-    place = kept.index(text_col)
+    source = docs.select(*[c for c in docs.columns if c != into])
+    place = source.columns.index(text_col)
+    kept = [c for c in source.columns if keep_text or c != text_col]
 
     def append(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column(place)
         values = np.array([fingerprint(t.as_py() or "", shingle) for t in texts], np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(values.view(np.int64))], names=[*kept, into]
-        )
+        own = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+        yield pa.RecordBatch.from_arrays([*own, pa.array(values.view(np.int64))], names=[*kept, into])
 
-    source = docs.select(*kept)
-    return source.mapInArrow(arrow_batches(append), extended(source, **{into: LongType()}))
+    return source.mapInArrow(arrow_batches(append), extended(source.select(*kept), **{into: LongType()}))
 
 
 class Forest:
@@ -100,6 +111,17 @@ class Forest:
         self.start = np.searchsorted(self.parent[self.children], np.arange(n))
         self.count = np.bincount(self.parent[self.children], minlength=n)
 
+    def packed(self) -> dict[str, bytes]:
+        """The tree of a single key, 21 bytes a node."""
+        return {name: np.ascontiguousarray(getattr(self, name).astype(kind)).tobytes() for name, kind in _PACKED.items()}
+
+    @classmethod
+    def unpacked(cls, saved) -> Forest:
+        tree = cls.__new__(cls)
+        for name, kind in _PACKED.items():
+            setattr(tree, name, np.frombuffer(saved[name], kind).astype(np.uint64 if name == "values" else np.int64))
+        return tree
+
     def search(
         self, queries: np.ndarray, roots: np.ndarray, radius: int
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -234,9 +256,51 @@ def tree_rows(nodes: DataFrame, radius: int, tree_size: int) -> DataFrame:
     )
 
 
-def links(nodes: DataFrame, radius: int = 3, tree_size: int = 20_000) -> DataFrame:
+def _build_tree(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    values = np.sort(rows["fingerprint"].to_numpy()).view(np.uint64)
+    return pd.DataFrame([Forest(np.zeros(len(values), np.int64), values).packed()])
+
+
+def shard_trees(nodes: DataFrame, tree_size: int, count: int) -> list[Forest]:
+    """The trees of shards drawn by hash, built in tasks and collected: for numbers of nodes whose
+    size was checked only."""
+    shard = F.pmod(F.xxhash64("fingerprint"), F.lit(-(-count // tree_size)))
+    built = nodes.groupBy(shard.alias("shard")).applyInPandas(
+        _build_tree, ", ".join(f"`{name}` BINARY" for name in _PACKED)
+    )
+    return [Forest.unpacked(row) for row in built.collect()]
+
+
+def _links_to(trees: Broadcast, radius: int):
+    """Numbers -> a spanning forest of their links to the nodes of all trees."""
+
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        own = batch.column(0).to_numpy().view(np.uint64)
+        for tree in trees.value:
+            values = np.concatenate([tree.values, own])
+            label = np.arange(len(values))
+            for who, node in tree.search(own, np.zeros(len(own), np.int64), radius):
+                merge_labels(label, who + len(tree.values), node)
+            linked = np.flatnonzero(values != values[label])
+            ends = [pa.array(values[at].view(np.int64)) for at in (linked, label[linked])]
+            yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    return arrow_batches(rows, _SEARCHING)
+
+
+def links(
+    nodes: DataFrame, radius: int = 3, tree_size: int = 20_000, max_broadcast_nodes: int = 1 << 16
+) -> DataFrame:
     """Links (a, b) that connect all numbers in column `fingerprint` within `radius` bits of
-    each other; not every linked pair is given. The numbers must be distinct."""
+    each other; not every linked pair is given. The numbers must be distinct. Up to
+    `max_broadcast_nodes` of them, 21 bytes each, the trees are broadcast."""
+    count = nodes.count()
+    if count <= max_broadcast_nodes:
+        spark = nodes.sparkSession
+        trees = shard_trees(nodes, tree_size, count) if count else []
+        search = _links_to(spark.sparkContext.broadcast(trees), radius)
+        spread = nodes.select("fingerprint").repartition(parallelism(spark))
+        return spread.mapInArrow(search, "a BIGINT, b BIGINT").distinct()
     rows = tree_rows(nodes, radius, tree_size)
     n = parallelism(nodes.sparkSession)
     return (
@@ -247,6 +311,18 @@ def links(nodes: DataFrame, radius: int = 3, tree_size: int = 20_000) -> DataFra
     )
 
 
+def _components(marked: DataFrame, radius: int, tree_size: int, max_broadcast_nodes: int) -> DataFrame:
+    """fingerprint, component (its smallest fingerprint as a number) and component_id, by the ids
+    and fingerprints of all rows."""
+    first = stored(marked.groupBy("fingerprint").agg(F.min("id").alias("first")), "nodes")
+    linked = links(first.select("fingerprint"), radius, tree_size, max_broadcast_nodes)
+    reached = connected_components(linked)
+    nodes = first.join(reached.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    nodes = nodes.withColumn("component", F.coalesce("component", "fingerprint"))
+    names = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
+    return nodes.join(names, "component").select("fingerprint", "component", "component_id")
+
+
 def simhash_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -254,6 +330,7 @@ def simhash_groups(
     shingle: int = 3,
     radius: int = 3,
     tree_size: int = 20_000,
+    max_broadcast_nodes: int = 1 << 16,
 ) -> DataFrame:
     """id, fingerprint (signed 64 bits) and component_id, the smallest id reachable by links.
 
@@ -262,17 +339,9 @@ def simhash_groups(
     other like any others. Null ids belong to their component but never name it, unless all
     its ids are null. Repeated rows are repeated; an empty table gives an empty result.
     """
-    marked = stored(
-        fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", shingle)
-        .select("id", "fingerprint"),
-        "fingerprints",
-    )
-    first = stored(marked.groupBy("fingerprint").agg(F.min("id").alias("first")), "nodes")
-    reached = connected_components(links(first.select("fingerprint"), radius, tree_size))
-    nodes = first.join(reached.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    nodes = nodes.withColumn("component", F.coalesce("component", "fingerprint"))
-    names = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = nodes.join(names, "component").select("fingerprint", "component_id")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = stored(fingerprints(source, "text", shingle, keep_text=False), "fingerprints")
+    named = _components(marked, radius, tree_size, max_broadcast_nodes)
     return marked.join(named, "fingerprint").select(
         F.col("id").alias(id_col), "fingerprint", "component_id"
     )
@@ -284,18 +353,34 @@ def one_of_each_group(
     text_col: str = "text",
     shingle: int = 3,
     radius: int = 3,
+    tree_size: int = 20_000,
+    max_broadcast_nodes: int = 1 << 16,
 ) -> DataFrame:
     """The rows of `docs`, with its own columns, that name their component: one of each.
 
-    Of rows that share id and fingerprint one stays, which their columns' hash decides.
+    Of rows with the id that names the component the one with the least hash of its columns stays,
+    and of rows that are equal in all of them any one. Texts are fingerprinted once, and who stays
+    is found by ids, fingerprints and hashes alone; texts meet the result in one join.
     """
-    mark, place, name, value = fresh(docs, "fingerprint", "place", "name", "value")
-    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
-    named = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias(name), F.col("fingerprint").alias(value)
-    ).distinct()
-    marked = fingerprints(docs, text_col, shingle, mark)
-    same = F.col(id_col).eqNullSafe(F.col(name)) & (F.col(mark) == F.col(value))
-    order = Window.partitionBy(id_col, mark).orderBy(F.xxhash64(*docs.columns))
-    kept = marked.join(named, same, "left_semi").withColumn(place, F.row_number().over(order))
-    return kept.filter(F.col(place) == 1).drop(mark, place)
+    whole = F.xxhash64(*docs.columns)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), whole.alias("row"))
+    marked = stored(fingerprints(source, "text", shingle, keep_text=False), "fingerprints")
+    named = _components(marked, radius, tree_size, max_broadcast_nodes)
+    naming = marked.join(named, "fingerprint").filter(F.col("id").eqNullSafe(F.col("component_id")))
+    equal = naming.groupBy("component", "component_id", "row").agg(F.count(F.lit(1)).alias("copies"))
+    least = equal.groupBy("component", "component_id").agg(F.min(F.struct("row", "copies")).alias("least"))
+    name, value, copies = fresh(docs, "name", "value", "copies")
+    stays = least.select(
+        F.col("component_id").alias(name), F.col("least.row").alias(value), F.col("least.copies").alias(copies)
+    )
+    stays = stored(stays, "stays")
+
+    def met(some: DataFrame) -> DataFrame:
+        return docs.join(some, (whole == F.col(value)) & F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+
+    repeated = stays.filter(F.col(copies) > 1)
+    if repeated.isEmpty():
+        return met(stays)
+    # Rows that repeat whole are few as a rule: only they are looked at once more.
+    one = met(repeated).withColumn(value, whole).dropDuplicates([id_col, value]).drop(value)
+    return met(stays.filter(F.col(copies) == 1)).unionByName(one)

@@ -70,11 +70,13 @@ def test_short_and_blank_texts(documents):
 
 @pytest.mark.parametrize("tree_size", [3, 20_000])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_links_connect_what_brute_force_does(spark, seed, tree_size):
+@pytest.mark.parametrize("broadcast", [0, 1 << 16])
+def test_links_connect_what_brute_force_does(spark, seed, tree_size, broadcast):
+    """Whether the trees are broadcast or not."""
     values = planted(seed) + [i for i in range(40)]  # the small numbers share most bands
     values = sorted(set(values))
     nodes = spark.createDataFrame([(v,) for v in values], "fingerprint BIGINT").repartition(5)
-    found = links(nodes, 3, tree_size)
+    found = links(nodes, 3, tree_size, broadcast)
     assert all(near(r["a"], r["b"]) or True for r in found.collect())
     got = {r["node"]: r["component"] for r in connected_components(found).collect()}
     label = components(values, near)
@@ -86,7 +88,7 @@ def test_no_tree_meets_a_whole_shard(spark):
     nodes = spark.createDataFrame([(i,) for i in range(400)], "fingerprint BIGINT")
     rows = tree_rows(nodes, 3, 10)
     assert max(r["count"] for r in rows.groupBy("tree").count().collect()) < 150
-    reached = connected_components(links(nodes, 3, 10)).collect()
+    reached = connected_components(links(nodes, 3, 10, 0)).collect()
     assert len({r["component"] for r in reached}) == 1 and len(reached) == 400
 
 
@@ -118,6 +120,40 @@ def test_tree_is_that_of_single_insertions():
     }
 
 
+def test_packed_trees_search_alike():
+    pick = np.random.default_rng(8)
+    values = np.unique(pick.integers(0, 2**12, 500, np.uint64))
+    tree = Forest(np.zeros(len(values), np.int64), values)
+    again = Forest.unpacked(tree.packed())
+    queries, roots = pick.integers(0, 2**12, 40, np.uint64), np.zeros(40, np.int64)
+    found = [
+        sorted((int(q), int(n)) for a, b in t.search(queries, roots, 2) for q, n in zip(a, b, strict=True))
+        for t in (tree, again)
+    ]
+    assert found[0] == found[1] != []
+    assert sum(map(len, tree.packed().values())) <= 21 * len(values)
+
+
+def test_both_ways_give_the_same_groups(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    trees, bands = (simhash_groups(docs, tree_size=500, max_broadcast_nodes=n) for n in (1 << 16, 0))
+    assert plain_rows(trees) == plain_rows(bands)
+
+
+def test_texts_meet_the_result_in_one_join(documents):
+    kept = one_of_each_group(documents([(i, f"some words of text {i}") for i in range(50)]))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Window" not in plan and "MapInArrow" not in plan
+
+
+def test_one_stays_of_each_group_though_ids_repeat(documents):
+    """One id names two groups, and two rows of one group: a row for each group all the same."""
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 4
+    rows = [(1, near), (1, near + "tail"), (1, "another text of a few words"), (5, "another text of a few words"), (None, "x y z w")]
+    kept = [(r["doc_id"], r["text"][:7]) for r in one_of_each_group(documents(rows)).collect()]
+    assert sorted(kept, key=repr) == [(1, "a b c d"), (1, "another"), (None, "x y z w")]
+
+
 def test_documents_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("doc_id < 250")
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
