@@ -47,9 +47,34 @@ _DOCUMENTS_AT_ONCE = 4096
 _PART = "part INT, file STRING, width INT, documents BIGINT, tokens BIGINT, nameless BIGINT"
 
 
-def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder that driver and executors share, and the path in it."""
-    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+# Names that Spark and Arrow have for one kind of storage.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "file": "file", "hdfs": "hdfs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A full URI of Spark's, as Arrow writes it. Storage that Arrow cannot open is refused."""
+    scheme, rest = uri.split(":", 1)
+    if scheme not in _ARROW_SCHEMES:
+        raise ValueError(f"token files cannot be written to {scheme}: use one of {', '.join(_ARROW_SCHEMES)}")
+    rest = rest if rest.startswith("//") else f"//{rest}"
+    return f"{_ARROW_SCHEMES[scheme]}:{rest}"
+
+
+def shared_folder(spark: SparkSession, path: str) -> str:
+    """The folder of that path, made if there is none, as a URI that all machines open alike.
+
+    It is found where Spark finds it: without a scheme on the session's default file system, and
+    behind the mounts of a view, which Arrow does not know.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place)
+    return arrow_uri(system.resolvePath(place).toString())
+
+
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder by its URI, and the path in it; a plain path is local."""
+    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
 
 
 # -- encoding
@@ -329,7 +354,8 @@ def write_token_files(
 ) -> None:
     """Encode every whole text into the files of a new data set at `path`, by ascending id.
 
-    `tokenizer_file` must exist under that name on all machines, `path` be shared by them.
+    `tokenizer_file` must exist under that name on all machines, `path` be shared by them: see
+    `shared_folder` for where it is looked for.
     `words_apart` and `plain_words`, see Encoder, speed up tokenizers of such a kind.
     A null text is empty: its tokens are the end token alone. Documents with a null id come
     first; those that share an id are ordered by text. An empty table gives a data set
@@ -338,9 +364,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     folder = path.rstrip("/")
-    system, inside = open_folder(folder)
-    system.create_dir(f"{inside}/files", recursive=True)
-    target = f"{folder}/files"
+    target = shared_folder(spark, f"{folder}/files")
 
     def write(batches: Batches) -> Batches:
         system, inside = open_folder(target)
@@ -416,7 +440,8 @@ def _mapped(system: fs.FileSystem, path: str, kind: str) -> np.ndarray:
 
 
 def open_part(folder: str, row: dict) -> Part:
-    """Map the files of a row of `parts`."""
+    """Map the files of a row of `parts` of the data set in a folder: the URI that `shared_folder`
+    gives for its path, or a local path."""
     system, inside = open_folder(f"{folder.rstrip('/')}/files")
     name = f"{inside}/{row['file']}"
     return Part(
@@ -435,11 +460,12 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
 
 def _over_documents(spark: SparkSession, path: str, schema: str, values) -> DataFrame:
     """A row per document: id, start, n_tokens and what `values` makes of its tokens."""
+    folder = shared_folder(spark, path)
 
     def read(batches: Batches) -> Batches:
         for batch in batches:
             for row in batch.to_pylist():
-                part = open_part(path, row)
+                part = open_part(folder, row)
                 for first in range(0, len(part.ids), _DOCUMENTS_AT_ONCE):
                     offsets = part.offsets[first : first + _DOCUMENTS_AT_ONCE + 1]
                     places = np.arange(first, first + len(offsets) - 1)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 
 from starload.llm.token_files import (
     Encoder,
+    arrow_uri,
     open_part,
     plain,
     read_checksums,
@@ -142,3 +144,42 @@ def test_documents_equal_the_library(spark, tokenizer, tmp_path):
         assert (got["start"], got["n_tokens"]) == (start, len(ids))
         assert got["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
+
+
+def test_a_path_without_a_scheme_is_on_the_default_file_system(spark, documents, tmp_path):
+    """The default is a view with a folder mounted: all files land in it, and none where the plain
+    path would be on this machine."""
+    rows = [(i, f"some words {i}") for i in range(30)]
+    docs = documents(rows).cache()
+    docs.count()
+    (tmp_path / "real").mkdir()
+    settings = spark._jsc.hadoopConfiguration()
+    before = settings.get("fs.defaultFS")
+    settings.set("fs.viewfs.mounttable.tokens.link./mounted", f"file://{tmp_path}/real")
+    settings.set("fs.defaultFS", "viewfs://tokens/")
+    try:
+        write_token_files(docs, "/mounted/set", WORDS, parts=3, **FAST)
+        found = {r["doc_id"]: r["n_tokens"] for r in read_documents(spark, "/mounted/set").collect()}
+    finally:
+        settings.set("fs.defaultFS", before)
+    assert sorted(found) == list(range(30))
+    kinds = sorted({p.suffix for p in (tmp_path / "real/set/files").iterdir()})
+    assert kinds == [".bin", ".ids", ".idx"]
+    assert not Path("/mounted").exists()
+    docs.unpersist()
+
+
+def test_all_files_lie_in_the_path(spark, documents, tmp_path):
+    for path in (f"file://{tmp_path}/a", f"file:{tmp_path}/b", f"{tmp_path}/c"):
+        write_token_files(documents([(1, "one"), (2, "two")]), path, WORDS, parts=2, **FAST)
+        assert read_checksums(spark, path).count() == 2
+    assert {p.name for p in tmp_path.iterdir()} == {"a", "b", "c"}
+    assert all({p.name for p in d.iterdir()} == {"files", "parts", "written"} for d in tmp_path.iterdir())
+
+
+def test_uris_that_arrow_opens():
+    assert arrow_uri("s3a://bucket/x") == "s3://bucket/x"
+    assert arrow_uri("file:/tmp/x") == "file:///tmp/x"
+    assert arrow_uri("hdfs://name:8020/x") == "hdfs://name:8020/x"
+    with pytest.raises(ValueError, match="wasbs"):
+        arrow_uri("wasbs://c@account/x")
