@@ -252,7 +252,7 @@ def _kept_fact_audit(warehouse: Warehouse) -> DataFrame:
         return sizes == before or not orphans
 
     months = {str(m): kept["months"][str(m)] for m in live if holds(m)}
-    changed = [m for m in live if str(m) not in months]
+    changed = [m for m in sorted(live) if str(m) not in months]
     if changed:
         found = audit_fact(warehouse.fact_source(changed), dim_date, dim_symbol, (MONTH,))
         for row in found.collect():

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+_CLAIMING = threading.Lock()
+
 
 def local_session(
     app: str, shared: str, cores: int | str = 8, memory: str = "8g"
@@ -123,14 +126,19 @@ def file_sizes(spark: SparkSession, path: str) -> list[int] | None:
 
 
 def claim(spark: SparkSession, path: str) -> bool:
-    """Create an empty file of that name, unless there is one: whether this was the one to do so."""
+    """Create an empty file of that name, unless there is one: whether this was the one to do so.
+
+    As safe as the file system's create; that of a local disk looks first and then creates, so
+    threads of one driver take turns here.
+    """
     system, place = _hadoop(spark, path)
-    try:
-        system.create(place, False).close()
-    except Py4JJavaError as error:
-        if system.exists(place):
-            return False
-        raise error
+    with _CLAIMING:
+        try:
+            system.create(place, False).close()
+        except Py4JJavaError as error:
+            if system.exists(place):
+                return False
+            raise error
     return True
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import shutil
 import threading
 from pathlib import Path
 
@@ -13,6 +14,7 @@ import starload.plans.warehouse as house
 from starload.functions.dates import month_key
 from starload.operators.staging import to_staging
 from starload.plans.load import (
+    audit_tables,
     AuditError,
     LoadCounts,
     load_dimensions,
@@ -55,7 +57,7 @@ def fact_files(warehouse):
 
 
 def all_fact_files(warehouse):
-    return list(Path(warehouse.root).glob("storage/fact_files/load=*/*/*.parquet"))
+    return list(Path(warehouse.root).glob("storage/fact_files/load=*/*/*/*.parquet"))
 
 
 def test_create_twice_and_list(warehouse):
@@ -254,7 +256,7 @@ def test_a_hot_month_becomes_many_files(spark, warehouse):
     sizes = {m: [r["count"] for r in per_file if r.month_key == m] for m in (202301, 202401)}
     assert len(sizes[202301]) == 1
     # Fifteen parts of about 2000 rows, each in a task and a file of its own.
-    assert len(sizes[202401]) == 15 and max(sizes[202401]) < 2300
+    assert len(sizes[202401]) == 15 and max(sizes[202401]) < 2400
     warehouse.upsert_fact(hot.withColumn("volume", F.lit(7)), rows_per_file=2000)
     # All of the hot month, and the one row of the cold month that had it before.
     assert warehouse.read(warehouse.fact).filter("volume = 7").count() == 30001
@@ -472,18 +474,95 @@ def test_versions_are_no_columns_of_the_tables(spark, warehouse):
     assert warehouse.staged().first()["landed"] == 20240106
 
 
-def test_a_fact_from_before_versions_is_taken_on(spark, warehouse):
-    load(spark, warehouse, row("2024-01-02", "A", price="1"))
-    plain = ", ".join(f"`{c.name}` {c.stored_type}" for c in FACT)
+def test_a_fact_from_before_versions_and_slices_is_taken_on(spark, warehouse):
+    load(spark, warehouse, row("2024-01-02", "A", price="1"), row("2024-02-02", "A", price="1"))
+    storage = Path(warehouse.root) / "storage/fact_files"
     spark.sql(f"DROP TABLE {warehouse.fact_files}")
+    for month in (202401, 202402):
+        own = storage / f"load=1/month_key={month}"
+        rows = spark.read.parquet(str(own / "slice=0")).select(*names(FACT))
+        rows.write.parquet(str(own / "plain"))
+        shutil.rmtree(own / "slice=0")
+        for file in (own / "plain").glob("*.parquet"):
+            file.rename(own / file.name)
+        shutil.rmtree(own / "plain")
+    (storage / "_live/1.json").write_text('{"202401": [1, 1], "202402": [1, 1]}')
+    (storage / "_live/.1.json.crc").unlink()
+    plain = ", ".join(f"`{c.name}` {c.stored_type}" for c in FACT)
     spark.sql(
         f"CREATE TABLE {warehouse.fact_files} ({plain}, load bigint, month_key int) USING PARQUET "
-        f"PARTITIONED BY (load, month_key) LOCATION '{warehouse.root}/storage/fact_files'"
+        f"PARTITIONED BY (load, month_key) LOCATION '{storage}'"
     )
-    spark.catalog.recoverPartitions(warehouse.fact_files)
     warehouse.create()
+    before = facts(warehouse)
+    assert before == {(20240102, "A"): (1.0, 10), (20240202, "A"): (1.0, 10)}
     assert load_version(spark, warehouse, [row("2024-01-02", "A", price="2")], 20200101) == Upserted(replaced=1)
-    assert facts(warehouse) == {(20240102, "A"): (2.0, 10)}
+    assert facts(warehouse) == {**before, (20240102, "A"): (2.0, 10)}
+    warehouse.require_counts()
+
+
+def many_symbols(spark, n, price=1, day=20240102):
+    return spark.range(n).select(
+        F.lit(day).alias("date_key"), F.format_string("S%d", "id").alias("symbol_code"),
+        *[F.lit(price).cast("decimal(10,4)").alias(c) for c in names(FACT)[2:6]], F.col("id").alias("volume"),
+    )
+
+
+def test_a_load_of_one_symbol_rewrites_its_slice_only(spark, warehouse):
+    warehouse.upsert_fact(many_symbols(spark, 4000), rows_per_file=1000)
+    warehouse.upsert_fact(many_symbols(spark, 50, day=20240202), rows_per_file=1000)
+    before = fact_files(warehouse)
+    assert len([f for f in before if f[0] == 202401]) == 4
+    one = many_symbols(spark, 4000, price=9).filter("symbol_code = 'S77'")
+    one = one.unionByName(one.withColumn("date_key", F.lit(20240103)))
+    assert warehouse.upsert_fact_counted(one, rows_per_file=1000) == Upserted(inserted=1, replaced=1)
+    after = fact_files(warehouse)
+    assert len(before - after) == len(after - before) == 1 and len(after) == 5
+    rows = warehouse.read(warehouse.fact)
+    assert rows.count() == rows.select("date_key", "symbol_code").distinct().count() == 4051
+    changed = rows.filter("open_price = 9").collect()
+    assert sorted((r.date_key, r.symbol_code) for r in changed) == [(20240102, "S77"), (20240103, "S77")]
+    assert rows_of(warehouse.count_fact()) == {(202401, 4001), (202402, 50)}
+    warehouse.require_counts()
+    # Folders of loads that hold a slice stay, and the others go.
+    warehouse.remove_old(dt.timedelta(0))
+    assert rows.count() == 4051
+    assert by_check(audit_tables(warehouse)) == by_check(audit_tables(warehouse, full=True))
+
+
+def by_check(report):
+    return {(r.table_name, r.check_name): r.violations for r in report.collect()}
+
+
+def test_a_month_of_many_loads_or_too_many_rows_is_written_whole(spark, warehouse):
+    warehouse.upsert_fact(many_symbols(spark, 3000), rows_per_file=1000)
+    held = []
+    for n in range(12):
+        one = many_symbols(spark, 3000, price=2 + n).filter(F.col("symbol_code") == f"S{n}")
+        warehouse.upsert_fact(one, rows_per_file=1000)
+        held.append(len(warehouse.live_months()[202401].of_load()))
+    assert max(held) <= house.MAX_LOADS
+    found = {r.symbol_code: float(r.open_price) for r in warehouse.read(warehouse.fact).filter("open_price > 1").collect()}
+    assert found == {f"S{n}": 2.0 + n for n in range(12)}
+    more = spark.range(3000, 9000).select(
+        F.lit(20240102).alias("date_key"), F.format_string("S%d", "id").alias("symbol_code"),
+        *[F.lit(1).cast("decimal(10,4)").alias(c) for c in names(FACT)[2:6]], F.col("id").alias("volume"),
+    )
+    warehouse.upsert_fact(more, rows_per_file=1000)
+    month = warehouse.live_months()[202401]
+    assert (len(month.slices), month.rows, len(month.of_load())) == (9, 9000, 1)
+    assert warehouse.read(warehouse.fact).count() == 9000
+
+
+def test_a_month_never_has_more_slices_than_the_list_allows(spark, warehouse):
+    warehouse.upsert_fact(many_symbols(spark, 5000), rows_per_file=100)
+    month = warehouse.live_months()[202401]
+    assert len(month.slices) == house.MAX_SLICES
+    files = [f for _, f in fact_files(warehouse)]
+    assert 50 <= len(files) <= 64
+    warehouse.upsert_fact(many_symbols(spark, 5000, price=3).filter("symbol_code = 'S5'"), rows_per_file=100)
+    assert 4 <= len({f for _, f in fact_files(warehouse)} - set(files)) + 4 <= 8
+    assert warehouse.read(warehouse.fact).count() == 5000
 
 
 def test_running_an_old_day_again_changes_nothing(spark, warehouse, tmp_path):
@@ -552,6 +631,8 @@ def test_of_two_loads_at_once_one_is_published(spark, warehouse, monkeypatch):
             outcomes.append(warehouse.upsert_fact(df))
         except LoadConflict:
             outcomes.append("conflict")
+        except Exception as error:
+            outcomes.append(repr(error))
 
     threads = [threading.Thread(target=go, args=(df,)) for df in incoming]
     [t.start() for t in threads]
@@ -583,7 +664,7 @@ def test_rows_are_counted_from_the_list_and_checked_against_footers(spark, wareh
     assert rows_of(warehouse.count_fact()) == {(202401, 2), (202402, 2)}
     assert "FileScan" not in warehouse.count_fact()._jdf.queryExecution().toString()
     warehouse.require_counts()
-    lost = next(Path(warehouse.root).glob("storage/fact_files/load=1/month_key=202401/*.parquet"))
+    lost = next(Path(warehouse.root).glob("storage/fact_files/load=1/month_key=202401/slice=0/*.parquet"))
     lost.unlink()
     spark.catalog.refreshTable(warehouse.fact_files)
     with pytest.raises(ValueError, match="do not hold"):
