@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from starload.llm.pivot_index import near_vectors
+from starload.llm.pivot_index import _BLOCK, _order_pivots, _postings, _two_levels, choose_pivots, describe, near_vectors
 from tests.conftest import SF_DIR
 from tests.llm.conftest import plain_rows
 
@@ -61,6 +61,51 @@ def test_nearly_all_links_even_at_the_threshold(spark, block_rows):
     assert sum(got[i]["component_id"] == component[i] for i in range(len(rows))) / len(rows) > 0.97
 
 
+@pytest.mark.parametrize("looked_at", [64, 10**6])
+def test_links_are_found_through_few_roots(spark, looked_at):
+    vectors, labels = planted(3)
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(vectors, labels, strict=True))]
+    links, _ = expected(np.arange(len(rows)), vectors, labels, 0.93)
+    got = near_vectors(table(spark, rows), pivots=600, looked_at=looked_at, block_rows=512).collect()
+    found = {r["vec_id"]: r["n_links"] for r in got}
+    assert all(found[i] <= links[i] for i in range(len(rows)))
+    assert sum(found.values()) / links.sum() > 0.97
+
+
+def test_nearest_pivots_by_their_roots():
+    pick = np.random.default_rng(4)
+    points = unit(pick.normal(size=(900, 32))).astype(np.float32)
+    pivots = _two_levels(points, 400, 0.7)
+    x = unit(pick.normal(size=(50, 32))).astype(np.float32)
+    assert len(pivots.starts) == len(pivots.roots) + 1 and pivots.starts[-1] == len(pivots.points)
+    every = pivots.nearest(x, 8, len(pivots.points))
+    assert (every == np.argsort(-(x @ pivots.points.T), axis=1)[:, :8]).all()
+    some = pivots.nearest(x, 8, 100)
+    for row, numbers in zip(x, some, strict=True):
+        order = np.argsort(-(pivots.roots @ row), kind="stable")
+        seen = np.zeros(len(pivots.points), bool)
+        for root in order:
+            if seen.sum() >= 100:
+                break
+            seen[pivots.starts[root] : pivots.starts[root + 1]] = True
+        similar = np.where(seen, pivots.points @ row, -np.inf)
+        assert numbers.tolist() == np.argsort(-similar, kind="stable")[:8].tolist()
+
+
+def test_a_vector_goes_to_a_block_once(spark):
+    pick = np.random.default_rng(5)
+    vectors = unit(pick.normal(size=(800, 16)))
+    rows = [(i, i % 2, 16, 1, v.tolist()) for i, v in enumerate(vectors)]
+    nodes = spark.createDataFrame(rows, "node BIGINT, group BIGINT, dimension INT, size BIGINT, vec ARRAY<FLOAT>")
+    described = describe(nodes, choose_pivots(nodes, 60), 8, 4096)
+    known = _order_pivots(described)
+    whole = _postings(described, known, 2, None).select("node", *_BLOCK)
+    assert whole.count() == whole.distinct().count() == 800
+    cut = _postings(described, known, 2, 300).select("node", *_BLOCK)
+    assert cut.count() == cut.distinct().count() < 800 * 7
+    assert cut.select("group", "cell").distinct().count() > 4
+
+
 def test_a_dense_group_and_copies(spark):
     pick = np.random.default_rng(2)
     base = unit(pick.normal(size=(1, 64)))
@@ -86,6 +131,12 @@ def test_vectors_that_link_with_nothing(spark):
     assert got == {i: linked.get(i, (0, i, True)) for i, *_ in rows}
 
 
+def test_zeros_have_no_sign(spark):
+    rows = [(1, [0.0, 1.0], 0), (2, [-0.0, 1.0], 0), (3, [-0.0, -1.0], 0)]
+    got = plain_rows(near_vectors(table(spark, rows)))
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(None, [1.0, 0.0], 0), (4, [1.0, 0.0], 0), (4, [1.0, 0.0], 0), (None, [0.0, 1.0], 0)]
     assert plain_rows(near_vectors(table(spark, rows))) == [
