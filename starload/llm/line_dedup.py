@@ -15,6 +15,9 @@ filter mistakes is on the list, filter and list together answer exactly for all
 in the store, and `apply` can judge a line where its document lies: no text is shuffled.
 The two are broadcast only up to a size; beyond it the lines' keys travel to the shards.
 
+Shards lie in buckets, a folder each. A change reads and writes the buckets that its keys fall
+into; all others stay in the versions that wrote them, which the new version names.
+
 A key is a line without ASCII white space at its ends and with A-Z lower-cased; it is
 handled as the 128-bit hash of its UTF-8 bytes.
 """
@@ -49,6 +52,11 @@ _SHARD_KEYS = 300_000  # keys of a shard, which one task holds
 _COUNTS = "shard INT, hi BIGINT, lo BIGINT, n BIGINT"
 _KIND = "member BOOLEAN"  # of an entry: a document, or a line key
 _FILTERS = "shard INT, slots BINARY, mistaken BINARY"
+# Shards are dealt to so many folders at most, so that they can be written anew one by one.
+_BUCKETS = 1024
+# Once so many versions hold parts of a store, the next change writes all of it.
+_MAX_VERSIONS = 16
+_TABLES = {"members": _COUNTS, "counts": _COUNTS, "filters": _FILTERS}
 _SETTINGS = "settings.json"
 _COMPLETE = "complete"
 
@@ -174,8 +182,9 @@ class LineStore:
 
     Without a number of `shards` there are so many that `_SHARD_KEYS` keys at most go to each, and
     they are doubled as the store grows. A change is published as a new version by a mark
-    written behind its filters; a change that dies leaves the version before it. Of older
-    versions the last is kept, for readers. One change may run at a time.
+    written behind its filters; a change that dies leaves the version before it. Buckets that
+    neither the latest version nor the one before it uses are removed. One change may run
+    at a time.
     """
 
     def __init__(
@@ -193,6 +202,7 @@ class LineStore:
         self._given = shards
         self.shards = shards or power_of_two(parallelism(spark))
         self.version = 0
+        self._held = self._nothing_held()
         self._open()
 
     def _made_with(self) -> dict[str, int]:
@@ -207,10 +217,18 @@ class LineStore:
         self._given = self._given or made["shards"]
         if made != self._settings():
             raise ValueError(f"{self.path} was made with {made}, not {self._settings()}")
-        self.shards = int(read_text(self.spark, self._folder(_COMPLETE, self.version)))
+        mark = json.loads(read_text(self.spark, self._folder(_COMPLETE, self.version)))
+        self.shards = mark.pop("shards")
+        self._held = mark
+
+    def _nothing_held(self) -> dict[str, list[int]]:
+        return {name: [0] * min(self.shards, _BUCKETS) for name in _TABLES}
 
     def _settings(self) -> dict[str, int | None]:
-        return {"min_docs": self.min_docs, "min_chars": self.min_chars, "shards": self._given}
+        return {
+            "min_docs": self.min_docs, "min_chars": self.min_chars, "shards": self._given,
+            "buckets": _BUCKETS,
+        }
 
     def _holds(self, folder: str) -> set[str]:
         return {name for name, _ in folder_ages(self.spark, folder)}
@@ -232,23 +250,36 @@ class LineStore:
     def _folder(self, name: str, version: int) -> str:
         return f"{self.path}/version={version}/{name}"
 
-    def _entries(self, name: str) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], _COUNTS)
-        return self.spark.read.schema(_COUNTS).parquet(self._folder(name, self.version))
+    def _read(self, name: str, buckets: set[int] | None = None) -> DataFrame:
+        """The rows of a table, of some buckets or of all: `_held` has for each bucket the
+        version that wrote it, 0 where it is empty."""
+        places = [
+            f"{self._folder(name, version)}/bucket={bucket}"
+            for bucket, version in enumerate(self._held[name])
+            if version and (buckets is None or bucket in buckets)
+        ]
+        if not places:
+            return self.spark.createDataFrame([], _TABLES[name])
+        return self.spark.read.schema(_TABLES[name]).parquet(*places)
+
+    def _write(self, rows: DataFrame, name: str, version: int, shards: int) -> set[int]:
+        """Write the rows to their buckets; which buckets those are."""
+        folder = self._folder(name, version)
+        bucketed = rows.withColumn("bucket", F.pmod("shard", F.lit(min(shards, _BUCKETS))))
+        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        found = self._holds(folder)
+        return {int(n.removeprefix("bucket=")) for n in found if n.startswith("bucket=")}
 
     def counts(self) -> DataFrame:
         """shard, hi, lo, n: in how many documents each key is."""
-        return self._entries("counts")
+        return self._read("counts")
 
     def members(self) -> DataFrame:
         """shard, hi, lo, n: how often each document is in the store."""
-        return self._entries("members")
+        return self._read("members")
 
     def filters(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], _FILTERS)
-        return self.spark.read.schema(_FILTERS).parquet(self._folder("filters", self.version))
+        return self._read("filters")
 
     def insert(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> None:
         """Count the documents' lines; a null text is one empty line. A document that is in the
@@ -267,22 +298,40 @@ class LineStore:
         keys = self.counts().count() + _lines_of(docs, text_col)
         return max(self.shards, power_of_two(-(-keys // _SHARD_KEYS)))
 
+    def _touched(self, change: DataFrame) -> dict[bool, set[int]]:
+        """The buckets that a change's documents (True) and keys (False) fall into; of a store that
+        too many versions hold, all."""
+        every = set(range(min(self.shards, _BUCKETS)))
+        if len({v for held in self._held.values() for v in held if v}) >= _MAX_VERSIONS:
+            return {True: every, False: every}
+        bucket = F.pmod("shard", F.lit(len(every))).alias("bucket")
+        met = change.select("member", bucket).distinct().collect()
+        return {kind: {r["bucket"] for r in met if r["member"] == kind} for kind in (True, False)}
+
     def _change(self, docs: DataFrame, text_col: str, id_col: str, sign: int) -> None:
         self._open()  # another object may have gone on meanwhile
         if not self.version:
             write_text(self.spark, f"{self.path}/{_SETTINGS}", json.dumps(self._settings()))
-        shards = self._grown(docs, text_col, sign)
+        shards, new = self._grown(docs, text_col, sign), self.version + 1
         same = shards == self.shards
+        every = set(range(min(shards, _BUCKETS)))
+        kind = f"{_KIND}, {_COUNTS}"
         change = docs.select(
             F.col(id_col).cast("string").alias("id"), text_of(text_col).alias("text")
-        ).mapInArrow(_count_keys(shards, self.min_chars), f"{_KIND}, {_COUNTS}")
+        ).mapInArrow(_count_keys(shards, self.min_chars), kind)
+        touched = {True: every, False: every}
+        if self.version and same:
+            # Written before anything is read, as it says what has to be.
+            change.write.mode("overwrite").parquet(self._folder("entries", new))
+            change = self.spark.read.schema(kind).parquet(self._folder("entries", new))
+            touched = self._touched(change)
         zero = F.lit(0).cast("long")
         shard = F.pmod(F.col("hi").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(shards)).cast("int")
         both = change.select(
             "member", "shard", "hi", "lo", zero.alias("n_before"), (F.col("n") * sign).alias("n")
         )
-        for member, known in ((True, self.members()), (False, self.counts())):
-            old = known.select(
+        for member, name in ((True, "members"), (False, "counts")):
+            old = self._read(name, touched[member] if same else None).select(
                 F.lit(member).alias("member"), shard.alias("shard"), "hi", "lo",
                 F.col("n").alias("n_before"), "n",
             )
@@ -295,26 +344,51 @@ class LineStore:
         )
         unknown = F.raise_error(F.lit("a document to remove is not in the store"))
         summed = summed.withColumn("n", F.when(F.col("n") < 0, unknown).otherwise(F.col("n")))
-        new = self.version + 1
         summed.write.mode("overwrite").partitionBy("member").parquet(self._folder("changes", new))
         changes = self.spark.read.schema(summed.schema).parquet(self._folder("changes", new))
+        # Shards that were cut anew have new filters.
+        filters = self._read("filters", touched[False] if same else set())
+        of_keys = changes.filter("not member").drop("member").groupBy("shard")
+        rows = {
+            "filters": of_keys.cogroup(filters.groupBy("shard")).applyInPandas(
+                _update_filter(self.min_docs), _FILTERS
+            )
+        }
         for member, name in ((True, "members"), (False, "counts")):
             left = changes.filter((F.col("member") == member) & (F.col("n") > 0))
-            left.select("shard", "hi", "lo", "n").write.mode("overwrite").parquet(self._folder(name, new))
-        # Shards that were cut anew have new filters.
-        filters = self.filters() if same else self.spark.createDataFrame([], _FILTERS)
-        (
-            changes.filter("not member").drop("member").groupBy("shard")
-            .cogroup(filters.groupBy("shard"))
-            .applyInPandas(_update_filter(self.min_docs), _FILTERS)
-            .write.mode("overwrite")
-            .parquet(self._folder("filters", new))
-        )
-        write_text(self.spark, self._folder(_COMPLETE, new), str(shards))
+            rows[name] = left.select("shard", "hi", "lo", "n")
+        held = {}
+        for name in _TABLES:
+            written = self._write(rows[name], name, new, shards)
+            rewritten = touched[name == "members"]
+            held[name] = [
+                new if b in written else 0 if b in rewritten else self._held[name][b] for b in sorted(every)
+            ]
+        write_text(self.spark, self._folder(_COMPLETE, new), json.dumps({"shards": shards, **held}))
+        before, self._held = self._held, held
         self.version, self.shards = new, shards
-        delete(self.spark, self._folder("changes", new))
-        for old in [n for n in self._versions() if n < new - 1]:
-            delete(self.spark, f"{self.path}/version={old}")
+        for name in ("changes", "entries"):
+            delete(self.spark, self._folder(name, new))
+        self._remove_unused(before)
+
+    def _remove_unused(self, before: dict[str, list[int]]) -> None:
+        """Remove the buckets of older versions that neither this version uses nor the one before."""
+        used = {
+            (name, version, bucket)
+            for held in (before, self._held) for name in _TABLES
+            for bucket, version in enumerate(held[name]) if version
+        }
+        for version in [v for v in self._versions() if v < self.version - 1]:
+            if version not in {v for _, v, _ in used}:
+                delete(self.spark, f"{self.path}/version={version}")
+                continue
+            delete(self.spark, self._folder(_COMPLETE, version))
+            for name in _TABLES:
+                folder = self._folder(name, version)
+                for place in self._holds(folder):
+                    _, _, bucket = place.partition("bucket=")
+                    if bucket and (name, version, int(bucket)) not in used:
+                        delete(self.spark, f"{folder}/{place}")
 
     def apply(
         self,

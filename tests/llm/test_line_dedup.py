@@ -166,14 +166,64 @@ def test_shards_are_doubled_as_the_store_grows(spark, documents, tmp_path, monke
     check(again.apply(documents(first)), first, min_docs=5)
 
 
+def buckets(path):
+    """(version, table, bucket) of all that a store holds."""
+    found = path.glob("version=*/*/bucket=*")
+    return {tuple(p.relative_to(path).parts) for p in found}
+
+
 def test_old_versions_go(spark, documents, tmp_path):
-    store = LineStore(spark, str(tmp_path / "s"), min_docs=2, shards=2)
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=2, shards=1)
     for i in range(4):
         store.insert(documents([(i, "a")]))
     versions = {p.name: {q.name for q in p.iterdir() if not q.name.startswith(".")} for p in (tmp_path / "s").glob("version=*")}
     assert versions == {f"version={n}": {"members", "counts", "filters", "complete"} for n in (3, 4)}
 
 
+def test_a_change_writes_only_the_buckets_it_meets(spark, documents, tmp_path, monkeypatch):
+    path = tmp_path / "s"
+    first = made(1, 60)
+    store = LineStore(spark, str(path), min_docs=3, shards=32)
+    store.insert(documents(first))
+    whole = buckets(path)
+    # Two documents with a new line, and one line that crosses the threshold by them.
+    small = [(5000, "brand new\nline 1"), (5001, "brand new\nline 1")]
+    store.insert(documents(small))
+    written = {b for b in buckets(path) if b[0] == "version=2"}
+    assert len([b for b in written if b[1] == "counts"]) <= 2 and len([b for b in written if b[1] == "members"]) <= 2
+    assert {b for b in buckets(path) if b[0] == "version=1"} == whole
+    again = LineStore(spark, str(path), min_docs=3)
+    check(again.apply(documents(first + small)), first + small, min_docs=3)
+    again.remove(documents(small))
+    check(LineStore(spark, str(path), min_docs=3).apply(documents(first)), first, min_docs=3)
+    # What is of no use any more goes bucket by bucket.
+    for i in range(3):
+        again.insert(documents([(6000 + i, "brand new")]))
+    counts = [b for v, t, b in buckets(path) if t == "counts"]
+    assert len(counts) <= len({b for _, t, b in whole if t == "counts"}) + 2
+    assert len(list(path.glob("version=*/complete"))) == 2
+    # Once many versions hold parts of the store, a change writes all of it.
+    monkeypatch.setattr(line_dedup, "_MAX_VERSIONS", 2)
+    again.insert(documents([(7000, "z")]))
+    assert {v for held in again._held.values() for v in held if v} == {again.version}
+    rows = [*first, *((6000 + i, "brand new") for i in range(3)), (7000, "z")]
+    check(LineStore(spark, str(path), min_docs=3).apply(documents(rows)), rows, min_docs=3)
+
+
+def test_buckets_hold_several_shards(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_BUCKETS", 4)
+    first, second = made(1, 60), [(i + 1000, t) for i, t in made(2, 40)]
+    store = LineStore(spark, str(tmp_path / "s"), min_docs=5, shards=10)
+    store.insert(documents(first))
+    alone = sorted(map(tuple, store.counts().collect()))
+    store.insert(documents(second))
+    assert {b for _, _, b in buckets(tmp_path / "s")} == {f"bucket={i}" for i in range(4)}
+    check(store.apply(documents(first + second)), first + second, min_docs=5)
+    store.remove(documents(second))
+    assert sorted(map(tuple, store.counts().collect())) == alone
+    check(store.apply(documents(first)), first, min_docs=5)
+
+
 def test_shards_grow_with_the_corpus(spark, documents, tmp_path, monkeypatch):
     monkeypatch.setattr(line_dedup, "_SHARD_KEYS", 20)
     rows = [*made(), *((2000 + i, f"own é {i}\nand {i}") for i in range(300))]
