@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starload.llm import language_id
 from starload.llm.language_id import Model, Sample, held_out, learn, predict, suffix_automaton
@@ -57,6 +58,28 @@ def test_phrases_are_longest_matches(monkeypatch, piece):
     assert np.array_equal(found, wanted)
 
 
+def plain(text):
+    """Lower-case letters, and one blank for whatever else stands between or behind them."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    return " ".join([*letters.split(), ""] if letters.endswith(" ") else letters.split())
+
+
+def test_the_language_that_needs_fewest_phrases(spark):
+    """Texts that are held out, judged by searching the samples."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    samples = learn(docs.filter(~held_out()))
+    short = docs.filter(held_out() & F.col("text").rlike("[A-Za-z]") & (F.length("text") < 600))
+    found = {r["doc_id"]: (r["text"], r["lang_pred"], r["score"]) for r in predict(short, samples).collect()}
+    sought = ["\n".join(plain(p) for p in s.text.split("\n")) for s in samples]
+    bits = [np.log2(sum(len(p) + 1 for p in s.split("\n"))) for s in sought]
+    assert len(found) > 30
+    for text, lang, score in found.values():
+        need = [phrases(plain(text), s) * b for s, b in zip(sought, bits, strict=True)]
+        least = sorted(need)
+        assert lang == samples[need.index(least[0])].lang
+        assert score == pytest.approx(1 - least[0] / least[1])
+
+
 def test_texts_of_every_kind(spark, documents):
     rows = [
         (1, "Banana, BANDANA!"), (2, "zyxo xylo 12"), (3, None), (4, ""), (5, "12 %% \n"),
