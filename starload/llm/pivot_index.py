@@ -41,6 +41,7 @@ from starload.session import stored
 _ROWS_AT_ONCE = 1024
 # Blocks up to this size are compared at once, not list by list.
 _ROWS_TOGETHER = 256
+_TILE = 2048
 _BLOCK_BYTES = 32 << 20
 _PIVOT_BYTES = 32 << 20
 
@@ -124,11 +125,10 @@ def _two_levels(unit: np.ndarray, pivots: int, apart: float) -> Pivots:
     """Roots are the first rows that are apart, about the root of the number of pivots; all rows go to
     the nearest of them and are thinned there."""
     roots = unit[_apart(unit, max(1, math.isqrt(pivots)), apart)]
-    similar = np.concatenate(
-        [unit[i : i + _ROWS_AT_ONCE] @ roots.T for i in range(0, len(unit), _ROWS_AT_ONCE)]
-    )
-    home = similar.argmax(axis=1)
-    kept = [own[_apart(unit[own], pivots, apart)] for own in map(np.flatnonzero, home == np.arange(len(roots))[:, None])]
+    parts = range(0, len(unit), _ROWS_AT_ONCE)
+    home = np.concatenate([(unit[i : i + _ROWS_AT_ONCE] @ roots.T).argmax(axis=1) for i in parts])
+    by_home = np.split(np.argsort(home, kind="stable"), np.searchsorted(np.sort(home), np.arange(1, len(roots))))
+    kept = [own[_apart(unit[own], pivots, apart)] for own in by_home]
     share = min(1.0, pivots / sum(len(k) for k in kept))
     kept = [k[: max(1, int(len(k) * share))] for k in kept]
     starts = np.concatenate([[0], np.cumsum([len(k) for k in kept])])
@@ -220,13 +220,20 @@ def _compare(threshold: float, shared: int, shares: Broadcast):
     return over
 
 
-def _members(rows: np.ndarray, lists: np.ndarray, counts: np.ndarray | bool = True) -> np.ndarray:
-    """Rows by pivots: 1 where a row has the pivot in its list, at a place that counts."""
-    who, place = np.nonzero(np.broadcast_to(counts, lists.shape)[rows])
-    known, what = np.unique(lists[rows[who], place], return_inverse=True)
-    table = np.zeros((len(rows), len(known)), np.float32)
-    table[who, what] = 1
-    return table
+def _common(x: np.ndarray, x_counts: np.ndarray, y: np.ndarray, y_counts: np.ndarray) -> np.ndarray:
+    """How many pivots the lists of rows `x` and `y` share, at the places that count."""
+    known = np.unique(x[x_counts])
+    if not len(known):
+        return np.zeros((len(x), len(y)), np.float32)
+
+    def table(lists: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(known, lists), len(known) - 1)
+        who, at = np.nonzero((known[place] == lists) & counts)
+        found = np.zeros((len(lists), len(known)), np.float32)
+        found[who, place[who, at]] = 1
+        return found
+
+    return table(x, x_counts) @ table(y, y_counts).T
 
 
 def _lists(order: np.ndarray, here: np.ndarray, side: np.ndarray, across: bool):
@@ -267,28 +274,32 @@ def _compare_block(
     here, before = (cell_of == cell) & prefix, (cell_of < cell) & prefix
     links = np.zeros(len(node), np.int64)
     label = np.arange(len(node))
+    every = np.ones(order.shape, bool)
     for left, right, pivot in _lists(order, here, side, a != b):
-        if not len(left) or not len(right):
-            continue
-        rows = left if right is left or a == b else np.concatenate([left, right])
-        has = _members(rows, order)
-        seen = _members(rows, order, before if pivot is None else before | here & (order < pivot))
-        own = _members(rows, order, here) if pivot is None else None
-        across = slice(0 if a == b else len(left), len(rows))
         for first in range(0, len(left), _ROWS_AT_ONCE):
-            part = slice(first, min(first + _ROWS_AT_ONCE, len(left)))
-            candidate = has[part] @ has[across].T >= needed
-            candidate &= seen[part] @ seen[across].T == 0
-            if own is not None:
-                candidate &= own[part] @ own[across].T > 0
-            if a == b:
-                candidate &= right[None, :] > left[part, None]
-            near = candidate & (vectors[left[part]] @ vectors[right].T >= threshold)
-            x, y = np.nonzero(near)
-            if len(x):
-                links[left[part]] += near @ size[right]
-                links[right] += near.T @ size[left[part]]
-                merge_labels(label, left[part][x], right[y])
+            part = left[first : first + _ROWS_AT_ONCE]
+            # Rows of one chunk meet those behind them; what is held at once is a tile.
+            for start in range(first if a == b else 0, len(right), _TILE):
+                tile = right[start : start + _TILE]
+
+                def common(counts: np.ndarray, rows=part, others=tile) -> np.ndarray:
+                    return _common(order[rows], counts[rows], order[others], counts[others])
+
+                candidate = common(every) >= needed
+                candidate &= common(before) == 0
+                if pivot is None:
+                    candidate &= common(here) > 0
+                else:
+                    x, y = (here[rows] & (order[rows] < pivot) for rows in (part, tile))
+                    candidate &= _common(order[part], x, order[tile], y) == 0
+                if a == b:
+                    candidate &= tile[None, :] > part[:, None]
+                near = candidate & (vectors[part] @ vectors[tile].T >= threshold)
+                x, y = np.nonzero(near)
+                if len(x):
+                    links[part] += near @ size[tile]
+                    links[tile] += near.T @ size[part]
+                    merge_labels(label, part[x], tile[y])
     linked = np.flatnonzero(links)
     if not len(linked):
         return None

@@ -106,7 +106,8 @@ def test_a_vector_goes_to_a_block_once(spark):
     assert cut.select("group", "cell").distinct().count() > 4
 
 
-def test_a_dense_group_and_copies(spark):
+@pytest.mark.parametrize("block_rows", [64, 400, None])
+def test_a_dense_group_and_copies(spark, block_rows):
     pick = np.random.default_rng(2)
     base = unit(pick.normal(size=(1, 64)))
     near = close_to(pick, np.repeat(base, 300, axis=0), 0.985)
@@ -114,7 +115,7 @@ def test_a_dense_group_and_copies(spark):
     vectors = np.concatenate([near, np.repeat(base, 300, axis=0), lone]).astype(np.float32)
     rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
     links, component = expected(np.arange(len(rows)), vectors, [0] * len(rows), 0.93)
-    got = {r["vec_id"]: r for r in near_vectors(table(spark, rows), block_rows=64).collect()}
+    got = {r["vec_id"]: r for r in near_vectors(table(spark, rows), block_rows=block_rows).collect()}
     assert [got[i]["n_links"] for i in range(len(rows))] == links.tolist()
     assert [got[i]["component_id"] for i in range(len(rows))] == component.tolist()
 
