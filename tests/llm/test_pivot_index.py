@@ -1,9 +1,19 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from starload.llm.pivot_index import _BLOCK, _order_pivots, _postings, _two_levels, choose_pivots, describe, near_vectors
+from starload.llm import pivot_index
+from starload.llm.pivot_index import (
+    _BLOCK,
+    _order_pivots,
+    _postings,
+    _two_levels,
+    choose_pivots,
+    describe,
+    near_vectors,
+)
 from tests.conftest import SF_DIR
 from tests.llm.conftest import plain_rows
 
@@ -166,3 +176,28 @@ def test_embeddings_equal_brute_force(spark):
     got = {r["vec_id"]: r for r in near_vectors(vectors, threshold=0.3, shared=1, pivots=8).collect()}
     assert sum(got[i]["n_links"] for i in ids) == links.sum() > 0
     assert [got[i]["component_id"] for i in ids] == component.tolist()
+
+
+@pytest.mark.parametrize(("tile", "at_once", "together"), [(5000, 5000, 0), (100, 64, 0), (64, 100, 10**6)])
+def test_a_block_is_compared_alike_in_tiles(monkeypatch, tile, at_once, together):
+    for name, value in (("_TILE", tile), ("_ROWS_AT_ONCE", at_once), ("_ROWS_TOGETHER", together)):
+        monkeypatch.setattr(pivot_index, name, value)
+    pick = np.random.default_rng(6)
+    dense = pick.normal(size=(1, 32)) + 0.25 * pick.normal(size=(400, 32))
+    vectors = np.concatenate([dense, pick.normal(size=(200, 32))]).astype(np.float32)
+    x, n, cells = unit(vectors.astype(float)), 600, 3
+    order = np.sort(np.argsort(-(x @ x[pick.permutation(n)[:40]].T), axis=1)[:, :8].astype(np.int32), axis=1)
+    shares = {32: np.linspace(0, 1, 40, endpoint=False)}
+    has = np.stack([np.bincount(o, minlength=40) for o in order])
+    linked = (x @ x.T >= 0.93) & (has @ has.T >= 2) & ~np.eye(n, dtype=bool)
+    for b, side in ((0, np.zeros(n, int)), (1, np.arange(n) % 2)):
+        found = np.zeros(n, int)
+        for cell in range(cells):
+            same = {"cell": cell, "dimension": 32, "a": 0, "b": b, "cells": cells, "size": 1}
+            block = pa.table({c: [v] * n for c, v in same.items()} | {
+                "side": side, "node": np.arange(n), "vec": pa.array(list(vectors)), "order": pa.array(list(order)),
+            })
+            links = pivot_index._compare_block(block, 0.93, 2, shares)
+            np.add.at(found, links["node"].to_numpy(), links["links"].to_numpy())
+        meets = linked if not b else linked & (side[:, None] != side[None, :])
+        assert (found == meets.sum(axis=1)).all() and found.sum() > 0
